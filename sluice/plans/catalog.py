@@ -234,3 +234,317 @@ SELECT job_id, id, rank, error FROM (
 WHERE rank <= 10 AND error IS NOT NULL AND error <> ''""")
 def q_first_errors(spark, sf_dir):
     return rp.first_errors(_views(spark, sf_dir, "tasks"), FIXTURE_NOW)
+
+
+# --- SQL twins of the text functions (oracle side) --------------------------
+
+def _sql_size(x: str) -> str:
+    units = ["B", "KB", "MB", "GB", "TB"]
+    parts, scaled = [], f"CAST({x} AS DOUBLE)"
+    for u in units:
+        parts.append(f"WHEN {scaled} < 1024.0 THEN format('{{:,.1f}} {u}', {scaled})")
+        scaled = f"({scaled} / 1024.0)"
+    return "(CASE " + " ".join(parts) + f" ELSE format('{{:,.1f}} PB', {scaled}) END)"
+
+
+def _sql_time_piece(v: str, unit: str) -> str:
+    return f"printf('%2.0f %s%s left', {v}, '{unit}', CASE WHEN round({v}) <> 1 THEN 's' ELSE '' END)"
+
+
+def _sql_time(x: str) -> str:
+    t = f"CAST({x} AS DOUBLE)"
+    parts = [f"WHEN {t} = -1 THEN 'estimating...'"]
+    scaled = t
+    for unit, step in zip(["sec", "min", "hour"], [60, 60, 24]):
+        parts.append(f"WHEN {scaled} < {step} THEN {_sql_time_piece(scaled, unit)}")
+        scaled = f"({scaled} / {float(step)})"
+    return "(CASE " + " ".join(parts) + f" ELSE {_sql_time_piece(scaled, 'day')} END)"
+
+
+def _sql_pad(kind: str, s: str, w: int | str) -> str:
+    return f"{kind}({s}, CAST(greatest({w}, length({s})) AS INTEGER), ' ')"
+
+
+def _sql_bar(cur: str, tot: str) -> str:
+    c, t = f"coalesce({cur}, 0)", f"coalesce({tot}, 0)"
+    frac = f"(CASE WHEN {t} = 0 THEN 0.0 ELSE CAST({c} AS DOUBLE) / CAST({t} AS DOUBLE) END)"
+    pct = f"(CAST(CAST(trunc({frac} * 100) AS BIGINT) AS VARCHAR) || '%')"
+    head = _sql_pad("rpad", pct, 4)
+    tail = f"({_sql_pad('lpad', _sql_size(c), 10)} || '/' || {_sql_pad('rpad', _sql_size(t), 10)})"
+    bare = f"({head} || ' ' || {tail})"
+    bw = f"(50 - length({bare}) - 3)"
+    filled = f"CAST(trunc({bw} * {frac}) AS BIGINT)"
+    bar = f"(repeat('=', {filled}) || CASE WHEN {filled} <> {bw} AND {frac} <> 0 THEN '>' ELSE '' END)"
+    boxed = f"('[' || {_sql_pad('rpad', bar, bw)} || ']')"
+    return f"(CASE WHEN {bw} <= 0 THEN {bare} ELSE {head} || ' ' || {boxed} || ' ' || {tail} END)"
+
+
+def _sql_rate(x: str) -> str:
+    return f"({_sql_pad('lpad', _sql_size(f'coalesce({x}, 0)'), 10)} || '/s')"
+
+
+def _sql_time_cell(x: str) -> str:
+    return _sql_pad("lpad", _sql_time(f"coalesce({x}, -1)"), 13)
+
+
+def _sql_fileid(x: str) -> str:
+    return f"CAST(('0x' || substr(sha256({x}), 1, 16))::UBIGINT AS VARCHAR)"
+
+
+# --- ps ----------------------------------------------------------------------
+
+@register("active_tasks", W("tasks") + f""",
+run AS (SELECT id AS task_id, job_id, json_extract_string(data, '$.key_name') AS file, bytes_downloaded,
+               bytes_total, download_rate, TRY_CAST(json_extract(data, '$.time_left') AS DOUBLE) AS tl, last_contact
+        FROM tasks WHERE {_TASK_STATE} = 'RUNNING')
+SELECT task_id, job_id, file, {_sql_bar('bytes_downloaded', 'bytes_total')} AS progress,
+       {_sql_rate('download_rate')} AS rate, {_sql_time_cell('tl')} AS time_left, last_contact
+FROM run
+UNION ALL
+SELECT 'Total', '', '', {_sql_bar('bd', 'bt')}, {_sql_rate('dr')}, {_sql_time_cell('greatest(tl, -1.0)')},
+       CAST(NULL AS TIMESTAMP)
+FROM (SELECT count(*) AS n, sum(coalesce(bytes_downloaded, 0)) AS bd, sum(coalesce(bytes_total, 0)) AS bt,
+             sum(coalesce(download_rate, 0)) AS dr, max(coalesce(tl, -1.0)) AS tl FROM run) s
+WHERE n > 1""")
+def q_active_tasks(spark, sf_dir):
+    return rp.ps_tasks(_views(spark, sf_dir, "tasks"), FIXTURE_NOW, order_by="progress")
+
+
+def _sql_frac(d, t, w):
+    return (f"({_sql_pad('lpad', f'CAST({d} AS VARCHAR)', w)} || '/' || "
+            f"{_sql_pad('rpad', f'CAST({t} AS VARCHAR)', w)} || ' finished')")
+
+
+@register("active_jobs", W("jobs", "tasks") + "," + _ROLLUP + "," + _JOBS_REPORT + f""",
+act AS (SELECT * FROM report WHERE state IN ('QUEUED', 'RUNNING')),
+wid AS (SELECT length(CAST(coalesce(sum(tasks_total), 0) AS VARCHAR)) AS w FROM act)
+SELECT id AS job_id, {_sql_frac('tasks_finished', 'tasks_total', 'w')} AS tasks,
+       {_sql_bar('bytes_downloaded', 'bytes_total')} AS progress, {_sql_rate('download_rate')} AS rate,
+       {_sql_time_cell('time_left')} AS time_left, last_contact
+FROM act, wid
+UNION ALL
+SELECT 'Total', {_sql_frac('tf', 'tt', 'w')}, {_sql_bar('bd', 'bt')}, {_sql_rate('dr')},
+       {_sql_time_cell('greatest(tl, -1.0)')}, CAST(NULL AS TIMESTAMP)
+FROM (SELECT count(*) AS n, sum(tasks_finished) AS tf, sum(tasks_total) AS tt,
+             sum(coalesce(bytes_downloaded, 0)) AS bd, sum(coalesce(bytes_total, 0)) AS bt,
+             sum(coalesce(download_rate, 0)) AS dr, max(coalesce(time_left, -1.0)) AS tl FROM act) s, wid
+WHERE n > 1""")
+def q_active_jobs(spark, sf_dir):
+    jobs, tasks = _views(spark, sf_dir, "jobs", "tasks")
+    return rp.ps_jobs(jobs, tasks, FIXTURE_NOW)
+
+
+# --- scalar functions ----------------------------------------------------------
+
+@register("file_id_hash", W("manifest") + f"SELECT name, {_sql_fileid('name')} AS file_id FROM manifest")
+def q_file_id_hash(spark, sf_dir):
+    from sluice.functions.fileid import file_id
+    m = _views(spark, sf_dir, "manifest")
+    return m.select("name", file_id("name", "bucket").cast("string").alias("file_id"))
+
+
+@register("file_id_text", f"SELECT doc_id, {_sql_fileid('text')} AS file_id FROM documents")
+def q_file_id_text(spark, sf_dir):
+    from sluice.functions.fileid import file_id
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return d.select("doc_id", file_id("text").cast("string").alias("file_id"))
+
+
+_SIZE_EXPR = "CAST(floor(l_extendedprice) AS DOUBLE) * power(1024, l_linenumber - 1)"
+
+
+@register("human_size", f"""
+SELECT l_orderkey, l_linenumber, {_SIZE_EXPR} AS size, {_sql_size(_SIZE_EXPR)} AS size_text FROM lineitem""")
+def q_human_size(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from sluice.functions.text import human_size
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    size = F.floor("l_extendedprice").cast("double") * F.pow(F.lit(1024.0), F.col("l_linenumber") - 1)
+    return li.select("l_orderkey", "l_linenumber", size.alias("size")).withColumn("size_text", human_size("size"))
+
+
+_SECS_EXPR = "CASE WHEN value < 1 THEN -1.0 ELSE value * power(10, event_id % 6) END"
+
+
+@register("time_left_text", f"""
+SELECT event_id, seconds, {_sql_time('seconds')} AS text FROM (SELECT event_id, {_SECS_EXPR} AS seconds FROM events) e""")
+def q_time_left_text(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from sluice.functions.text import time_left_text
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    secs = F.when(F.col("value") < 1, F.lit(-1.0)).otherwise(
+        F.col("value") * F.pow(F.lit(10.0), F.col("event_id") % 6))
+    return ev.select("event_id", secs.alias("seconds")).withColumn("text", time_left_text("seconds"))
+
+
+@register("progress_bar", W("tasks") + f"""
+SELECT id, CAST(trunc(CASE WHEN coalesce(bytes_total, 0) = 0 THEN 0.0
+                     ELSE coalesce(bytes_downloaded, 0) / bytes_total END * 100) AS INTEGER) AS percent,
+       {_sql_bar('bytes_downloaded', 'bytes_total')} AS progress FROM tasks""")
+def q_progress_bar(spark, sf_dir):
+    from sluice.functions.text import percent_done, progress_bar
+    t = _views(spark, sf_dir, "tasks")
+    return t.select("id", (percent_done("bytes_downloaded", "bytes_total") * 100).cast("int").alias("percent"),
+                    progress_bar("bytes_downloaded", "bytes_total").alias("progress"))
+
+
+# --- progress windows ---------------------------------------------------------
+
+@register("progress_rate", W("samples") + """
+SELECT task_id, seq, ts, bytes_downloaded, bytes_total, delta, round(rate, 6) AS rate,
+       round(CASE WHEN rate = 0 THEN -1.0 ELSE (bytes_total - bytes_downloaded) / rate END, 6) AS time_left
+FROM (SELECT *, CASE WHEN bytes_downloaded = bytes_total THEN 0.0 ELSE
+             avg(delta) OVER (PARTITION BY task_id ORDER BY seq ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) END AS rate
+      FROM (SELECT *, bytes_downloaded - lag(bytes_downloaded, 1, 0) OVER (PARTITION BY task_id ORDER BY seq) AS delta
+            FROM samples) a) b""")
+def q_progress_rate(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from sluice.operators.progress import with_rates
+    r = with_rates(_views(spark, sf_dir, "samples"))
+    return r.select("task_id", "seq", "ts", "bytes_downloaded", "bytes_total", "delta",
+                    F.round("rate", 6).alias("rate"), F.round("time_left", 6).alias("time_left"))
+
+
+@register("progress_stall", W("samples") + """
+SELECT task_id, seq, ts, delta, last_change, ts > last_change + INTERVAL 30 SECOND AS stalled
+FROM (SELECT *, coalesce(last_value(CASE WHEN delta > 10 THEN ts END IGNORE NULLS)
+                  OVER (PARTITION BY task_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+                  first_value(ts) OVER (PARTITION BY task_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS last_change
+      FROM (SELECT *, bytes_downloaded - lag(bytes_downloaded, 1, 0) OVER (PARTITION BY task_id ORDER BY seq) AS delta
+            FROM samples) a) b""")
+def q_progress_stall(spark, sf_dir):
+    from sluice.operators.progress import with_stall
+    s = with_stall(_views(spark, sf_dir, "samples"))
+    return s.select("task_id", "seq", "ts", "delta", "last_change", "stalled")
+
+
+# --- ledger changes -----------------------------------------------------------
+
+_T3 = ("json_extract_string(spec, '$.connection.host') = 'h' AND CAST(json_extract(spec, '$.connection.port') AS INTEGER) = 3306 "
+       "AND json_extract_string(spec, '$.target.database') = 'db' AND json_extract_string(spec, '$.target.table') = 't3'")
+_CHANGE_COLS = ["id", "job_id", "result", "execution_id", "steps", "started", "finished", "last_contact", "update_count"]
+_CANCEL_SQL = f"""SELECT id, job_id, 'cancelled' AS result, '0' AS execution_id, '[]' AS steps, {NOW} AS started,
+       {NOW} AS finished, {NOW} AS last_contact, update_count + 1 AS update_count"""
+
+
+def _t3_filter():
+    from sluice.functions.fields import job_spec
+    s = job_spec("spec")
+    return ((s["connection"]["host"] == "h") & (s["connection"]["port"] == 3306)
+            & (s["target"]["database"] == "db") & (s["target"]["table"] == "t3"))
+
+
+def _cancel_t3(jobs, tasks):
+    from sluice.operators.ledger import cancel_jobs
+    return cancel_jobs(jobs, tasks, FIXTURE_NOW, job_filter=_t3_filter())
+
+
+@register("cancel_target_jobs", W("jobs", "tasks") + f"""
+{_CANCEL_SQL} FROM tasks WHERE finished IS NULL AND job_id IN (SELECT id FROM jobs WHERE {_T3})""")
+def q_cancel_target_jobs(spark, sf_dir):
+    jobs, tasks = _views(spark, sf_dir, "jobs", "tasks")
+    return _cancel_t3(jobs, tasks).select(*_CHANGE_COLS)
+
+
+@register("force_cancel", W("tasks", "manifest") + f"""
+{_CANCEL_SQL} FROM tasks WHERE finished IS NULL
+  AND {_sql_fileid('file_key')} IN (SELECT {_sql_fileid('coalesce(bucket, \'\') || name')} FROM manifest)""")
+def q_force_cancel(spark, sf_dir):
+    from sluice.functions.fileid import file_id_string
+    from sluice.operators.ledger import force_cancel
+    tasks, manifest = _views(spark, sf_dir, "tasks", "manifest")
+    return force_cancel(tasks, manifest, FIXTURE_NOW, task_file_id=file_id_string("file_key")).select(*_CHANGE_COLS)
+
+
+@register("retry_errors", W("tasks") + f"""
+SELECT id, job_id, CAST(NULL AS VARCHAR) AS result, CAST(NULL AS VARCHAR) AS execution_id, CAST(NULL AS VARCHAR) AS steps,
+       CAST(NULL AS TIMESTAMP) AS started, CAST(NULL AS TIMESTAMP) AS finished, CAST(NULL AS TIMESTAMP) AS last_contact,
+       update_count + 1 AS update_count, bytes_downloaded,
+       json_extract_string(data, '$.key_name') AS key_name, json_extract_string(data, '$.error') AS error
+FROM tasks WHERE {_TASK_STATE} = 'ERROR'""")
+def q_retry_errors(spark, sf_dir):
+    from sluice.functions.fields import task_data
+    from sluice.operators.ledger import retry_errors
+    r = retry_errors(_views(spark, sf_dir, "tasks"), FIXTURE_NOW)
+    d = task_data("data")
+    return r.select(*_CHANGE_COLS, "bytes_downloaded", d["key_name"].alias("key_name"), d["error"].alias("error"))
+
+
+@register("current_tasks", W("jobs", "tasks") + f""",
+versions AS (
+  SELECT id, finished, result, execution_id, last_contact, update_count FROM tasks
+  UNION ALL
+  SELECT id, {NOW}, 'cancelled', '0', {NOW}, update_count + 1 FROM tasks
+  WHERE finished IS NULL AND job_id IN (SELECT id FROM jobs WHERE {_T3})
+  UNION ALL
+  SELECT id, NULL, NULL, NULL, NULL, update_count + 1 FROM tasks WHERE {_TASK_STATE} = 'ERROR')
+SELECT id, update_count, {_TASK_STATE} AS state FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY update_count DESC) AS rn FROM versions) v WHERE rn = 1""")
+def q_current_tasks(spark, sf_dir):
+    from sluice.functions.states import now_literal, task_state
+    from sluice.operators.ledger import current_versions, retry_errors
+    jobs, tasks = _views(spark, sf_dir, "jobs", "tasks")
+    versions = tasks.unionByName(_cancel_t3(jobs, tasks)).unionByName(retry_errors(tasks, FIXTURE_NOW))
+    cur = current_versions(versions)
+    return cur.select("id", "update_count", task_state(now_literal(FIXTURE_NOW)).alias("state"))
+
+
+@register("task_by_id", W("tasks") + f"""
+SELECT {_TASK_COLS} FROM tasks t WHERE t.id = (SELECT min(id) FROM tasks)""")
+def q_task_by_id(spark, sf_dir):
+    from pyspark.sql import functions as F
+    tasks = _views(spark, sf_dir, "tasks")
+    first_id = tasks.select(F.min("id")).scalar()
+    return tasks.where(F.col("id") == first_id).select(*rp._task_columns(FIXTURE_NOW)).limit(1)
+
+
+# --- what a new job loads -----------------------------------------------------------
+
+_COMPETING = f"(SELECT id FROM jobs WHERE {_T3} AND created < CAST('1995-09-01' AS TIMESTAMP))"
+_KNOWN = f"""(SELECT md5, json_extract_string(data, '$.key_name') AS key_name,
+        json_extract_string(data, '$.bucket') AS bucket FROM tasks
+ WHERE job_id IN {_COMPETING} AND {_TASK_STATE} IN ('QUEUED', 'RUNNING', 'SUCCESS') AND md5 IS NOT NULL)"""
+_SKIP_SQL = f"""SELECT m.scheme, m.bucket, m.name, m.etag, m.size, {_sql_fileid("coalesce(m.bucket, '') || m.name")} AS file_id
+FROM manifest m WHERE NOT EXISTS (SELECT 1 FROM {_KNOWN} k
+  WHERE k.md5 = m.etag AND k.key_name = m.name AND k.bucket IS NOT DISTINCT FROM m.bucket)"""
+
+
+def _competing(jobs):
+    from sluice.operators.submit import competing_jobs
+    return competing_jobs(jobs, "h", 3306, "db", "t3", created_before="1995-09-01 00:00:00")
+
+
+@register("skip_unchanged", W("jobs", "tasks", "manifest") + _SKIP_SQL)
+def q_skip_unchanged(spark, sf_dir):
+    from sluice.operators.submit import skip_unchanged
+    jobs, tasks, manifest = _views(spark, sf_dir, "jobs", "tasks", "manifest")
+    return skip_unchanged(manifest, tasks, _competing(jobs), FIXTURE_NOW)
+
+
+@register("submit_counts", W("jobs", "tasks", "manifest") + f"""
+SELECT count(*) AS submitted, (SELECT count(*) FROM manifest) - count(*) AS ignored FROM ({_SKIP_SQL}) s""")
+def q_submit_counts(spark, sf_dir):
+    from sluice.operators.submit import skip_unchanged, submit_counts
+    jobs, tasks, manifest = _views(spark, sf_dir, "jobs", "tasks", "manifest")
+    return submit_counts(manifest, skip_unchanged(manifest, tasks, _competing(jobs), FIXTURE_NOW))
+
+
+@register("prior_success", W("jobs", "tasks", "manifest") + f"""
+SELECT m.scheme, m.bucket, m.name, m.etag, m.size, {_sql_fileid("coalesce(m.bucket, '') || m.name")} AS file_id
+FROM manifest m WHERE {_sql_fileid("coalesce(m.bucket, '') || m.name")} IN (
+  SELECT {_sql_fileid('file_key')} FROM tasks WHERE job_id IN {_COMPETING} AND {_TASK_STATE} = 'SUCCESS')""")
+def q_prior_success(spark, sf_dir):
+    from sluice.functions.fileid import file_id_string
+    from sluice.operators.submit import prior_success
+    jobs, tasks, manifest = _views(spark, sf_dir, "jobs", "tasks", "manifest")
+    return prior_success(manifest, tasks, _competing(jobs), FIXTURE_NOW, task_file_id=file_id_string("file_key"))
+
+
+@register("names_per_etag", W("jobs", "tasks") + f""",
+pairs AS (SELECT md5, key_name, count(*) AS n_tasks FROM {_KNOWN} k GROUP BY md5, key_name)
+SELECT p.md5, p.key_name, p.n_tasks, c.n_names FROM pairs p
+JOIN (SELECT md5, count(*) AS n_names FROM pairs GROUP BY md5) c ON c.md5 = p.md5""")
+def q_names_per_etag(spark, sf_dir):
+    from sluice.operators.submit import names_per_etag
+    jobs, tasks = _views(spark, sf_dir, "jobs", "tasks")
+    return names_per_etag(tasks, _competing(jobs), FIXTURE_NOW)
