@@ -230,6 +230,8 @@ def parse_lines(lines: DataFrame, schema, opts: TextOptions) -> DataFrame:
         else:
             out_cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     meta = [c for c in ("_file", "_block", "_mid", "_line") if c in base.columns]
+    if "_script_error" in base.columns:
+        errors.insert(0, F.col("_script_error"))
     err = F.coalesce(*errors) if errors else F.lit(None).cast("string")
     return base.select(*out_cols, *meta, err.alias("_error"))
 
@@ -281,7 +283,7 @@ def format_lines(df: DataFrame, opts: TextOptions, columns: list[str] | None = N
 def write_delimited(df: DataFrame, path: str, opts: TextOptions, columns: list[str] | None = None,
                     file_key: str | None = None, files: int | None = None,
                     header_lines: int = 0, compression: str | None = None,
-                    order_by: list[str] | None = None) -> None:
+                    order_by: list[str] | None = None, stable_names: bool = False) -> None:
     """Write ``df`` as delimited text.  With ``file_key`` one file per key
     value (``key=<v>/``); ``header_lines`` junk lines open every file (for
     skip-lines); ``order_by`` fixes the row order inside files."""
@@ -311,8 +313,61 @@ def write_delimited(df: DataFrame, path: str, opts: TextOptions, columns: list[s
     if file_key:
         w = w.partitionBy("key")
     w.text(path)
+    if stable_names:
+        name_part_files(df.sparkSession, path)
 
 
 __all__ = ["TextOptions", "unescape_option", "split_columns", "read_lines", "with_line_numbers",
            "split_fields", "decode_field", "parse_lines", "read_delimited", "encode_field",
-           "format_lines", "write_delimited"]
+           "format_lines", "write_delimited", "name_part_files", "replace_files"]
+
+
+# ---------------------------------------------------------------------------
+# stable file names (fixtures / exports that are rewritten in place)
+# ---------------------------------------------------------------------------
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def name_part_files(spark: SparkSession, root: str, stem: str = "data") -> list[str]:
+    """Rename the ``part-*`` files Spark wrote below ``root`` to
+    ``<stem>[-i]<ext>`` per directory (``ext`` kept, e.g. ``.txt.gz``), so a
+    rewritten file keeps its name — and its file id.  Metadata only."""
+    jvm, _, fs = _fs(spark, root)
+    statuses = fs.globStatus(jvm.org.apache.hadoop.fs.Path(root + "/**/part-*")) or []
+    statuses = list(statuses) + list(fs.globStatus(jvm.org.apache.hadoop.fs.Path(root + "/part-*")) or [])
+    by_dir: dict[str, list] = {}
+    for st in statuses:
+        by_dir.setdefault(st.getPath().getParent().toString(), []).append(st.getPath())
+    out = []
+    for parent, files in by_dir.items():
+        files.sort(key=lambda p: p.getName())
+        for i, p in enumerate(files):
+            name = p.getName()
+            ext = name[name.index(".c000") + 5:] if ".c000" in name else ""
+            target = jvm.org.apache.hadoop.fs.Path(parent, f"{stem}{'' if len(files) == 1 else '-' + str(i)}{ext}")
+            fs.rename(p, target)
+            out.append(target.toString())
+    return out
+
+
+def replace_files(spark: SparkSession, src_root: str, dst_root: str) -> None:
+    """Move every file below ``src_root`` to the same relative place below
+    ``dst_root``, replacing what is there (a producer rewriting files)."""
+    jvm, src, fs = _fs(spark, src_root)
+    it = fs.listFiles(src, True)
+    base = fs.makeQualified(src).toString().rstrip("/")
+    dst_base = fs.makeQualified(jvm.org.apache.hadoop.fs.Path(dst_root)).toString().rstrip("/")
+    while it.hasNext():
+        p = it.next().getPath()
+        rel = p.toString()[len(base):]
+        if p.getName().startswith((".", "_")):
+            continue
+        target = jvm.org.apache.hadoop.fs.Path(dst_base + rel)
+        if fs.exists(target):
+            fs.delete(target, False)
+        fs.mkdirs(target.getParent())
+        fs.rename(p, target)
