@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from sluice.functions.fileid import file_id
 from sluice.session import ensure_checkpoint_dir, scratch_dir
 from sluice.sources.delimited import parse_lines, read_delimited, read_lines
+from sluice.sources.listing import empty_files
 from sluice.sources.paths import uri_bucket, uri_name
 from sluice.spec import LoadSpec, check_target
 
@@ -67,7 +68,7 @@ def parse_files(spark: SparkSession, spec: LoadSpec, paths: list[str]) -> DataFr
         rows = parse_lines(lines, spec.target.struct, spec.options)
     else:
         rows = read_delimited(spark, paths, spec.target.struct, spec.options)
-    return rows.withColumn("_fid", file_id(uri_name(F.col("_file")), uri_bucket(F.col("_file"))))
+    return with_file_ids(rows)
 
 
 def stage(spark: SparkSession, df: DataFrame, name: str = "stage") -> tuple[DataFrame, str]:
@@ -77,17 +78,27 @@ def stage(spark: SparkSession, df: DataFrame, name: str = "stage") -> tuple[Data
     return spark.read.parquet(path), path
 
 
-def _files_frame(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Every file under ``paths`` (directories expand), metadata only."""
+def _files_frame(spark: SparkSession, paths: list[str], with_empty: bool) -> DataFrame:
+    """Every file under ``paths`` (directories expand), metadata only; empty
+    files too when ``with_empty`` (Spark's file index skips them)."""
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path")
+    if with_empty:
+        empties = empty_files(spark, paths)
+        if empties:
+            listed = listed.unionByName(spark.createDataFrame([(e,) for e in empties], "path STRING"))
     return listed.select(file_id(uri_name(F.col("path")), uri_bucket(F.col("path"))).alias("file_id"),
                          uri_name(F.col("path")).alias("name"), uri_bucket(F.col("path")).alias("bucket"))
 
 
-def load_files(spark: SparkSession, spec: LoadSpec, files) -> LoadOutcome:
+def with_file_ids(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("_fid", file_id(uri_name(F.col("_file")), uri_bucket(F.col("_file"))))
+
+
+def load_files(spark: SparkSession, spec: LoadSpec, files, rows: DataFrame | None = None) -> LoadOutcome:
     """Load a batch of files (a manifest DataFrame with ``path`` or a list of
-    URIs) into the target.  Returns the per-file verdicts (lazy, over staged
-    data); the target is written when this returns."""
+    URIs) into the target.  ``rows`` may carry the batch already parsed (the
+    streaming path).  Returns the per-file verdicts (staged); the target is
+    written when this returns."""
     check_target(spark, spec)
     ensure_checkpoint_dir(spark)
     paths = files if not isinstance(files, DataFrame) else [r["path"] for r in files.select("path").collect()]
@@ -95,8 +106,9 @@ def load_files(spark: SparkSession, spec: LoadSpec, files) -> LoadOutcome:
         empty = spark.createDataFrame([], "file_id DECIMAL(20,0), name STRING, bucket STRING").select("file_id", "name", "bucket", F.lit("success").alias("status"),
                                  F.lit(None).cast("string").alias("error"), F.lit(0).cast("bigint").alias("row_count"))
         return LoadOutcome(empty, "")
-    all_files = _files_frame(spark, paths)
-    rows, staged_path = stage(spark, parse_files(spark, spec, paths))
+    all_files = _files_frame(spark, paths, with_empty=bool(spec.options.file_id_column))
+    parsed = parse_files(spark, spec, paths) if rows is None else with_file_ids(rows)
+    rows, staged_path = stage(spark, parsed)
     keys = list(spec.target.key_columns)
     fid_col = spec.options.file_id_column
     method = spec.duplicate_key_method

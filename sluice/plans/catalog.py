@@ -548,3 +548,51 @@ def q_names_per_etag(spark, sf_dir):
     from sluice.operators.submit import names_per_etag
     jobs, tasks = _views(spark, sf_dir, "jobs", "tasks")
     return names_per_etag(tasks, _competing(jobs), FIXTURE_NOW)
+
+
+# --- loading round trips -----------------------------------------------------------
+
+def _register_round_trips():
+    from sluice.plans import roundtrip as rt
+
+    dup = "'Duplicate entry ''' || CAST(min(o_orderkey) AS VARCHAR) || ''' for key ''PRIMARY'''"
+    oracles = {
+        "load_tsv": "SELECT * FROM part",
+        "load_csv_enclosed": "SELECT * FROM documents",
+        "load_gzip": "SELECT * FROM customer",
+        "load_skip_lines": "SELECT * FROM orders",
+        "load_line_prefix": "SELECT * FROM supplier",
+        "load_multi_sep": "SELECT * FROM events",
+        "load_columns": ("SELECT l_orderkey, l_linenumber, l_quantity, CAST(NULL AS DOUBLE) AS l_tax, "
+                         "true AS has_file_id FROM lineitem"),
+        "load_dup_ignore": ("SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 5 = 0 THEN o_totalprice * 2 "
+                            "ELSE o_totalprice END AS o_totalprice FROM orders"),
+        "load_dup_replace": ("SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 "
+                             "ELSE o_totalprice END AS o_totalprice FROM orders"),
+        "load_dup_error": ("SELECT o_orderkey, o_custkey, o_totalprice * 2 AS o_totalprice FROM orders "
+                           "WHERE o_orderkey % 5 = 0 AND o_orderkey % 3 = 1 UNION ALL "
+                           "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey % 3 = 2"),
+        "load_verdicts": (f"SELECT 'a' AS file, 'error' AS status, {dup} AS error, CAST(0 AS BIGINT) AS row_count "
+                          "FROM orders WHERE o_orderkey % 5 = 0 AND o_orderkey % 3 = 1 UNION ALL "
+                          "SELECT 'b', 'success', NULL, count(*) FROM orders WHERE o_orderkey % 3 = 2 UNION ALL "
+                          f"SELECT 'c', 'error', {dup}, 0 FROM orders WHERE o_orderkey % 21 = 0"),
+        "reload_changed_file": ("SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_nationkey < 5 "
+                                "THEN c_acctbal + 1000 ELSE c_acctbal END AS c_acctbal FROM customer "
+                                "WHERE c_nationkey <> 5"),
+        "list_flat": ("SELECT DISTINCT 'flat' AS pattern, 'key=' || CAST(c_nationkey AS VARCHAR) || '/data.txt' "
+                      "AS name FROM customer"),
+        "list_recursive": ("SELECT DISTINCT 'recursive' AS pattern, 'key=' || CAST(c_nationkey AS VARCHAR) "
+                           "|| '/data.txt' AS name FROM customer UNION ALL "
+                           "SELECT DISTINCT 'recursive', 'deep/key=' || c_mktsegment || '/data.txt' FROM customer "
+                           "UNION ALL SELECT DISTINCT 'deep', 'deep/key=' || c_mktsegment || '/data.txt' FROM customer"),
+        "load_script": ("SELECT c_custkey, upper(c_name) AS c_name, c_nationkey, c_acctbal, "
+                        "upper(c_mktsegment) AS c_mktsegment FROM customer"),
+        "sync_stream": "SELECT * FROM customer",
+        "heartbeat_stream": W("tasks") + (f"SELECT id AS task_id, last_contact FROM tasks WHERE finished IS NULL "
+                                          f"AND execution_id IS NOT NULL AND last_contact <= {NOW} - INTERVAL 120 SECOND"),
+    }
+    for name, sql in oracles.items():
+        register(name, sql)(getattr(rt, name))
+
+
+_register_round_trips()

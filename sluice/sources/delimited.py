@@ -139,6 +139,20 @@ def read_lines(spark: SparkSession, paths: list[str], opts: TextOptions) -> Data
     return lines
 
 
+def lines_from_stream(batch: DataFrame, opts: TextOptions) -> DataFrame:
+    """``read_lines`` for a micro-batch of the streaming text source (with
+    ``value`` and ``_metadata`` selected).  Skip-lines is not available."""
+    lines = batch.select(
+        _protect(F.col("value"), opts.fields_escaped).alias("value"),
+        decode_file_path(F.col("_path")).alias("_file"),
+        F.col("_block"), F.monotonically_increasing_id().alias("_mid"))
+    if opts.lines_starting:
+        at = F.instr(F.col("value"), opts.lines_starting)
+        lines = lines.where(at > 0).withColumn(
+            "value", F.substring(F.col("value"), at + len(opts.lines_starting), F.length("value")))
+    return lines
+
+
 def with_line_numbers(lines: DataFrame) -> DataFrame:
     """0-based line number within each file, without reading files whole:
     count lines per split, prefix-sum the counts per file in split order, and
@@ -318,7 +332,7 @@ def write_delimited(df: DataFrame, path: str, opts: TextOptions, columns: list[s
 
 
 __all__ = ["TextOptions", "unescape_option", "split_columns", "read_lines", "with_line_numbers",
-           "split_fields", "decode_field", "parse_lines", "read_delimited", "encode_field",
+           "split_fields", "decode_field", "lines_from_stream", "parse_lines", "read_delimited", "encode_field",
            "format_lines", "write_delimited", "name_part_files", "replace_files"]
 
 
@@ -371,3 +385,9 @@ def replace_files(spark: SparkSession, src_root: str, dst_root: str) -> None:
             fs.delete(target, False)
         fs.mkdirs(target.getParent())
         fs.rename(p, target)
+
+
+def truncate_file(spark: SparkSession, path: str) -> None:
+    """Make ``path`` an empty file (a producer emptying a file)."""
+    jvm, p, fs = _fs(spark, path)
+    fs.create(p, True).close()

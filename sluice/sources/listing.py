@@ -59,16 +59,33 @@ def _list_one(spark: SparkSession, lp: LoadPath, fingerprint: str) -> DataFrame:
     return out.where(F.col("name").rlike(lp.regex))
 
 
+def _empty_part(spark: SparkSession, lp: LoadPath, fingerprint: str) -> DataFrame | None:
+    found = empty_files(spark, [lp.root], with_mtime=True)
+    if not found:
+        return None
+    df = spark.createDataFrame(found, "path STRING, ms BIGINT")
+    etag = {"size_mtime": F.concat_ws("-", F.lit("0"), (F.col("ms") * 1000).cast("string")),
+            "md5": F.md5(F.lit(b"")), "none": F.lit(None).cast("string")}[fingerprint]
+    out = df.select(uri_scheme(F.col("path")).alias("scheme"), uri_bucket(F.col("path")).alias("bucket"),
+                    uri_name(F.col("path")).alias("name"), etag.alias("etag"), F.lit(0).cast("bigint").alias("size"),
+                    F.timestamp_millis(F.col("ms")).cast("timestamp_ntz").alias("mtime"), "path")
+    return out.where(F.col("name").rlike(lp.regex))
+
+
 def list_files(spark: SparkSession, paths: list[str] | str, fingerprint: str = "size_mtime",
-               keep_duplicates: bool = False) -> DataFrame:
+               keep_duplicates: bool = False, include_empty: bool = False) -> DataFrame:
     """S2–S4 + U1: the manifest of every file matched by any pattern.
 
     The reference lists a file twice when two patterns match it; by default
-    we de-duplicate on (scheme, bucket, name).
+    we de-duplicate on (scheme, bucket, name).  ``include_empty`` adds
+    zero-length files, which Spark's file index skips (needed when an
+    emptied file must replace its old rows).
     """
     if isinstance(paths, str):
         paths = [paths]
     parts = [_list_one(spark, resolve_path(p), fingerprint) for p in paths]
+    if include_empty:
+        parts += [e for e in (_empty_part(spark, resolve_path(p), fingerprint) for p in paths) if e is not None]
     out = reduce(DataFrame.unionByName, parts)
     if not keep_duplicates:
         out = out.dropDuplicates(["scheme", "bucket", "name"])
@@ -83,3 +100,28 @@ def with_file_id(manifest: DataFrame) -> DataFrame:
 def dry_run(spark: SparkSession, paths, fingerprint: str = "size_mtime") -> DataFrame:
     """The names that a load would read; nothing is loaded."""
     return list_files(spark, paths, fingerprint).select("name", "size")
+
+
+def empty_files(spark: SparkSession, roots: list[str], with_mtime: bool = False) -> list:
+    """Zero-length files below ``roots`` (Hadoop metadata listing).
+
+    Spark's file index drops empty files, but an emptied file must still be
+    reloaded so that its old rows disappear (K5).  Only the empty files'
+    names reach the driver; every file costs one metadata step here, so this
+    runs only where reload semantics need it."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out: list[str] = []
+    for root in roots:
+        p = jvm.org.apache.hadoop.fs.Path(root)
+        fs = p.getFileSystem(conf)
+        if not fs.exists(p):
+            continue
+        it = fs.listFiles(p, True)
+        while it.hasNext():
+            st = it.next()
+            name = st.getPath().getName()
+            if st.getLen() == 0 and not name.startswith((".", "_")):
+                out.append((st.getPath().toString(), st.getModificationTime()) if with_mtime
+                           else st.getPath().toString())
+    return out
