@@ -596,3 +596,14 @@ def _register_round_trips():
 
 
 _register_round_trips()
+
+
+@register("last_job", W("jobs") + "SELECT id, created, spec FROM jobs ORDER BY created DESC, id DESC LIMIT 1")
+def q_last_job(spark, sf_dir):
+    return rp.last_job(_views(spark, sf_dir, "jobs"))
+
+
+@register("job_lookup", ORACLES["job_detail"] + " WHERE j.id = '00000001'")
+def q_job_lookup(spark, sf_dir):
+    jobs, tasks = _views(spark, sf_dir, "jobs", "tasks")
+    return rp.job_lookup(jobs, tasks, FIXTURE_NOW, "00000001")

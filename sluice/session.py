@@ -74,3 +74,18 @@ def local_path(uri: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def configure_s3(spark: SparkSession, access_key: str | None = None, secret_key: str | None = None) -> None:
+    """S3 credentials as Hadoop ``fs.s3a`` options, never in the spec.
+
+    Both keys given → simple credentials; either missing → anonymous access
+    (public buckets), as the reference does.  Environment defaults apply only
+    when the caller passes them in."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    if access_key and secret_key:
+        conf.set("fs.s3a.aws.credentials.provider", "org.apache.hadoop.fs.s3a.SimpleAWSCredentialsProvider")
+        conf.set("fs.s3a.access.key", access_key)
+        conf.set("fs.s3a.secret.key", secret_key)
+    else:
+        conf.set("fs.s3a.aws.credentials.provider", "org.apache.hadoop.fs.s3a.AnonymousAWSCredentialsProvider")

@@ -34,7 +34,7 @@ class TargetSpec:
     schema: str
     key_columns: tuple[str, ...] = ()
     database: str = "default"
-    table: str | None = None
+    table: str | None = None  # logical name recorded in the ledger (P4); the data lives at ``path``
 
     @property
     def struct(self) -> StructType:
@@ -102,5 +102,3 @@ def check_target(spark: SparkSession, spec: LoadSpec) -> None:
             raise TargetError("options.columns can not contain the file_id_column")
         if not spec.options.columns:
             raise TargetError("options.columns must be specified if file_id_column is provided")
-    if spec.target.table and not spark.catalog.tableExists(spec.target.table):
-        raise TargetError(f"table {spec.target.table!r} does not exist")
