@@ -24,7 +24,7 @@ from sluice.spec import LoadSpec
 
 
 def start_sync_stream(spark: SparkSession, spec: LoadSpec, landing_dir: str, checkpoint: str | None = None,
-                      available_now: bool = True, max_files_per_trigger: int | None = None):
+                      available_now: bool = True, max_files_per_trigger: int = 1000):
     """Start the stream; returns the ``StreamingQuery``."""
     if spec.options.ignore_lines or spec.options.escaped_terminators:
         raise ValueError("skip-lines / escaped terminators need whole files: use the batch sync")
