@@ -60,15 +60,14 @@ def _order_key() -> Column:
 
 
 def parse_files(spark: SparkSession, spec: LoadSpec, paths: list[str]) -> DataFrame:
-    """Typed rows of the files plus ``_file``, ``_block``, ``_mid``, ``_error``
-    and the file id ``_fid`` (F1 of bucket ‖ name)."""
+    """Typed rows of the files plus ``_file``, ``_block``, ``_mid`` and
+    ``_error``.  The file id is computed per file, not per row (see
+    ``file_ids``)."""
     if spec.script:
         from sluice.sources.script import transform_files
         lines = transform_files(spark, paths, spec.script, spec.options, timeout_s=spec.script_timeout_s)
-        rows = parse_lines(lines, spec.target.struct, spec.options)
-    else:
-        rows = read_delimited(spark, paths, spec.target.struct, spec.options)
-    return with_file_ids(rows)
+        return parse_lines(lines, spec.target.struct, spec.options)
+    return read_delimited(spark, paths, spec.target.struct, spec.options)
 
 
 def stage(spark: SparkSession, df: DataFrame, name: str = "stage") -> tuple[DataFrame, str]:
@@ -90,8 +89,14 @@ def _files_frame(spark: SparkSession, paths: list[str], with_empty: bool) -> Dat
                          uri_name(F.col("path")).alias("name"), uri_bucket(F.col("path")).alias("bucket"))
 
 
-def with_file_ids(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("_fid", file_id(uri_name(F.col("_file")), uri_bucket(F.col("_file"))))
+def file_ids(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """``_file → _fid`` for the files of a staged batch: one SHA-256 per file
+    instead of per row.  Staged, so the planner sees its true (small) size and
+    broadcasts it when joining back; a batch of millions of files falls back
+    to a shuffle join by itself."""
+    m = rows.select("_file").distinct().select(
+        "_file", file_id(uri_name(F.col("_file")), uri_bucket(F.col("_file"))).alias("_fid"))
+    return stage(spark, m, "file-ids")[0]
 
 
 def load_files(spark: SparkSession, spec: LoadSpec, files, rows: DataFrame | None = None) -> LoadOutcome:
@@ -107,8 +112,9 @@ def load_files(spark: SparkSession, spec: LoadSpec, files, rows: DataFrame | Non
                                  F.lit(None).cast("string").alias("error"), F.lit(0).cast("bigint").alias("row_count"))
         return LoadOutcome(empty, "")
     all_files = _files_frame(spark, paths, with_empty=bool(spec.options.file_id_column))
-    parsed = parse_files(spark, spec, paths) if rows is None else with_file_ids(rows)
+    parsed = parse_files(spark, spec, paths) if rows is None else rows
     rows, staged_path = stage(spark, parsed)
+    fids = file_ids(spark, rows)
     keys = list(spec.target.key_columns)
     fid_col = spec.options.file_id_column
     method = spec.duplicate_key_method
@@ -117,55 +123,67 @@ def load_files(spark: SparkSession, spec: LoadSpec, files, rows: DataFrame | Non
     target = read_target(spark, spec)
     if fid_col:
         # rows of files being reloaded are about to disappear: they never conflict
-        batch_fids = rows.select(F.col("_fid").alias(fid_col)).distinct()
+        batch_fids = fids.select(F.col("_fid").alias(fid_col))
         target_kept = target.join(batch_fids, fid_col, "left_anti")
     else:
         target_kept = target
 
     # --- A11: failures per row, earliest per file -----------------------------
-    failures = rows.where(F.col("_error").isNotNull()).select(*_ORDER, "_fid", F.col("_error").alias("msg"))
     clean = rows.where(F.col("_error").isNull())
-    if method == "ignore":
-        failures = failures.limit(0)
-    if method == "error" and keys:
-        in_batch = clean.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(*keys)
-        in_target = target_kept.select(*keys).join(clean.select(*keys).distinct(), keys, "left_semi")
-        dup_keys = in_batch.unionByName(in_target).distinct()
-        key_text = F.concat_ws("-", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
-        conflicts = clean.join(dup_keys, keys, "left_semi").select(
-            *_ORDER, "_fid", F.format_string("Duplicate entry '%s' for key 'PRIMARY'", key_text).alias("msg"))
-        failures = failures.unionByName(conflicts)
-    first_failure = failures.groupBy("_fid").agg(F.min_by("msg", _order_key()).alias("error"))
-
-    # --- rows to write -------------------------------------------------------
-    if method == "ignore":
-        good = clean
-        if keys:
-            good = good.join(target_kept.select(*keys), keys, "left_anti")
-            good = (good.groupBy(*keys).agg(F.min_by(F.struct(*good.columns), _order_key()).alias("_r"))
-                    .select("_r.*"))
+    if not keys:
+        # one pass: earliest failure and clean-row count per file
+        per = rows.groupBy("_file").agg(
+            F.min_by("_error", F.when(F.col("_error").isNotNull(), _order_key())).alias("error"),
+            F.count_if(F.col("_error").isNull()).alias("n_clean"))
+        if method == "ignore":
+            per = per.select("_file", F.lit(None).cast("string").alias("error"), F.col("n_clean").alias("row_count"))
+            good = clean
+        else:
+            per = per.select("_file", "error", F.when(F.col("error").isNull(), F.col("n_clean"))
+                             .otherwise(F.lit(0)).alias("row_count"))
+            good = clean.join(per.where(F.col("error").isNotNull()).select("_file"), "_file", "left_anti")
+        per_file = fids.join(per, "_file", "left").select(F.col("_fid").alias("file_id"), "error", "row_count")
     else:
-        good = clean.join(first_failure.select("_fid"), "_fid", "left_anti")
-        if method == "replace" and keys:
-            good = (good.groupBy(*keys).agg(F.max_by(F.struct(*good.columns), _order_key()).alias("_r"))
+        failures = rows.where(F.col("_error").isNotNull()).select(*_ORDER, F.col("_error").alias("msg"))
+        if method == "ignore":
+            failures = failures.limit(0)
+        if method == "error":
+            in_batch = clean.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(*keys)
+            in_target = target_kept.select(*keys).join(clean.select(*keys).distinct(), keys, "left_semi")
+            dup_keys = in_batch.unionByName(in_target).distinct()
+            key_text = F.concat_ws("-", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+            conflicts = clean.join(dup_keys, keys, "left_semi").select(
+                *_ORDER, F.format_string("Duplicate entry '%s' for key 'PRIMARY'", key_text).alias("msg"))
+            failures = failures.unionByName(conflicts)
+        first_failure = failures.groupBy("_file").agg(F.min_by("msg", _order_key()).alias("error"))
+
+        # --- rows to write ---------------------------------------------------
+        if method == "ignore":
+            good = clean.join(target_kept.select(*keys), keys, "left_anti")
+            good = (good.groupBy(*keys).agg(F.min_by(F.struct(*good.columns), _order_key()).alias("_r"))
                     .select("_r.*"))
-
-    counts = good.groupBy("_fid").agg(F.count(F.lit(1)).alias("row_count"))
-    verdicts = (all_files.join(first_failure.withColumnRenamed("_fid", "file_id"), "file_id", "left")
-                .join(counts.withColumnRenamed("_fid", "file_id"), "file_id", "left")
+        else:
+            good = clean.join(first_failure.select("_file"), "_file", "left_anti")
+            if method == "replace":
+                good = (good.groupBy(*keys).agg(F.max_by(F.struct(*good.columns), _order_key()).alias("_r"))
+                        .select("_r.*"))
+        counts = good.groupBy("_file").agg(F.count(F.lit(1)).alias("row_count"))
+        per_file = (fids.join(first_failure, "_file", "left").join(counts, "_file", "left")
+                    .select(F.col("_fid").alias("file_id"), "error", "row_count"))
+    verdicts = (all_files.join(per_file, "file_id", "left")
                 .select("file_id", "name", "bucket",
                         F.when(F.col("error").isNotNull(), F.lit("error")).otherwise(F.lit("success")).alias("status"),
                         "error", F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count")))
     verdicts, _ = stage(spark, verdicts, "verdicts")
 
-    _write(spark, spec, good, target, target_kept, keys, method, fid_col, data_cols, verdicts)
+    _write(spark, spec, good, target, target_kept, keys, method, fid_col, data_cols, verdicts, fids)
     return LoadOutcome(verdicts, staged_path)
 
 
-def _write(spark, spec, good, target, target_kept, keys, method, fid_col, data_cols, verdicts):
+def _write(spark, spec, good, target, target_kept, keys, method, fid_col, data_cols, verdicts, fids):
     path = spec.target.path
     if fid_col:
-        out = good.select(*data_cols, F.col("_fid").alias(fid_col))
+        out = good.join(fids, "_file").select(*data_cols, F.col("_fid").alias(fid_col))
         cols = data_cols + [fid_col]
         empty_fids = verdicts.where((F.col("status") == "success") & (F.col("row_count") == 0)).select("file_id")
         if method == "replace" and keys:

@@ -14,9 +14,9 @@ Decoding, per line:
 2. fields: unenclosed → ``split`` on the terminator not preceded by the
    escape; enclosed → ``regexp_extract_all`` with possessive patterns
    (quoted field, doubled / escaped quotes, or a bare field);
-3. per field: unquoted ``\\N`` → NULL; ``\\0 \\b \\n \\r \\t \\Z`` → the control
-   character; escape + any other character → that character; placeholder →
-   the escape character.
+3. per field: unquoted ``\\N`` → NULL; escape + any other character → that
+   character; then one ``translate`` restores the escape character and the
+   control characters of ``\\0 \\b \\n \\r \\t \\Z`` (marked per line in step 1).
 
 Row identity for "first / last row wins" and "earliest error":
 ``(_file, _block, _mid)`` — the split's start offset and a monotonically
@@ -44,6 +44,8 @@ DEFAULT_LINES_TERMINATED = "\n"
 ESCAPE_LETTERS = {"0": "\x00", "b": "\b", "n": "\n", "r": "\r", "t": "\t", "Z": "\x1a"}
 
 _PLACEHOLDER = "﷐"
+# one Unicode non-character per escape letter, assigned in ESCAPE_LETTERS order
+_LETTER_MARKS = {letter: chr(0xFDD1 + i) for i, letter in enumerate(ESCAPE_LETTERS)}
 
 
 @dataclass(frozen=True)
@@ -101,10 +103,28 @@ def _q(text: str) -> str:
 # reading lines
 # ---------------------------------------------------------------------------
 
+def _plain_line(value: Column, esc: str, protected: bool = False) -> Column:
+    """True when a line holds no escape at all — its fields need no decoding
+    (the common case, taken without running the decoder)."""
+    if not esc:
+        return F.lit(True)
+    plain = F.instr(value, esc) == 0
+    if protected:
+        for mark in [_PLACEHOLDER, *_LETTER_MARKS.values()]:
+            plain = plain & (F.instr(value, mark) == 0)
+    return plain
+
+
 def _protect(value: Column, esc: str) -> Column:
+    """Step 1 on a whole line: escaped escapes and escape letters become
+    single non-characters, so they can neither split fields nor be misread,
+    and each field later needs one ``translate`` to restore them."""
     if not esc:
         return value
-    return F.replace(value, F.lit(esc + esc), F.lit(_PLACEHOLDER))
+    out = F.replace(value, F.lit(esc + esc), F.lit(_PLACEHOLDER))
+    for letter, mark in _LETTER_MARKS.items():
+        out = F.replace(out, F.lit(esc + letter), F.lit(mark))
+    return out
 
 
 def read_lines(spark: SparkSession, paths: list[str], opts: TextOptions) -> DataFrame:
@@ -121,11 +141,11 @@ def read_lines(spark: SparkSession, paths: list[str], opts: TextOptions) -> Data
         exploded = whole.select("_file", F.posexplode(F.split("value", sep_re, -1)).alias("_line", "value"),
                                 F.size(F.split("value", sep_re, -1)).alias("_n"))
         lines = exploded.where(~((F.col("_line") == F.col("_n") - 1) & (F.col("value") == ""))).select(
-            "value", "_file", F.lit(0).cast("bigint").alias("_block"),
+            "value", _plain_line(F.col("value"), esc, protected=True).alias("_plain"), "_file", F.lit(0).cast("bigint").alias("_block"),
             F.col("_line").cast("bigint").alias("_mid"), F.col("_line").cast("bigint").alias("_line"))
     else:
         raw = spark.read.text(paths, lineSep=lt).select(
-            _protect(F.col("value"), esc).alias("value"),
+            _protect(F.col("value"), esc).alias("value"), _plain_line(F.col("value"), esc).alias("_plain"),
             decode_file_path(F.col("_metadata.file_path")).alias("_file"),
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_mid"))
@@ -144,6 +164,7 @@ def lines_from_stream(batch: DataFrame, opts: TextOptions) -> DataFrame:
     ``value`` and ``_metadata`` selected).  Skip-lines is not available."""
     lines = batch.select(
         _protect(F.col("value"), opts.fields_escaped).alias("value"),
+        _plain_line(F.col("value"), opts.fields_escaped).alias("_plain"),
         decode_file_path(F.col("_path")).alias("_file"),
         F.col("_block"), F.monotonically_increasing_id().alias("_mid"))
     if opts.lines_starting:
@@ -200,12 +221,15 @@ def decode_field(f: Column, opts: TextOptions) -> Column:
         inner = F.replace(F.substring(f, F.lit(2), F.length(f) - 2), F.lit(q + q), F.lit(q))
         text = F.when(is_quoted, inner).otherwise(f)
     if esc:
-        for letter, char in ESCAPE_LETTERS.items():
-            text = F.replace(text, F.lit(esc + letter), F.lit(char))
-        text = F.regexp_replace(text, F.lit("(?s)" + _q(esc) + "(.)"), F.lit("$1"))
-        text = F.replace(text, F.lit(_PLACEHOLDER), F.lit(esc))
-        null_token = F.lit(esc + "N")
-        is_null = ~is_quoted & (f == null_token)
+        # remaining pairs are escape + any character → that character; then
+        # the line-level marks turn into their characters in one translate
+        text = F.when(F.instr(text, esc) > 0, F.regexp_replace(text, F.lit("(?s)" + _q(esc) + "(.)"), F.lit("$1"))) \
+            .otherwise(text)
+        # (translate cannot produce NUL — it is Spark's "delete" marker)
+        marks = {_LETTER_MARKS[k]: v for k, v in ESCAPE_LETTERS.items() if v != "\x00"}
+        text = F.translate(text, _PLACEHOLDER + "".join(marks), esc + "".join(marks.values()))
+        text = F.replace(text, F.lit(_LETTER_MARKS["0"]), F.lit("\x00"))
+        is_null = ~is_quoted & (f == F.lit(esc + "N"))
         if q:
             is_null = is_null | (~is_quoted & (f == "NULL"))
         return F.when(is_null, F.lit(None).cast("string")).otherwise(text)
@@ -228,26 +252,35 @@ def parse_lines(lines: DataFrame, schema, opts: TextOptions) -> DataFrame:
     for n in names:
         if n not in types:
             raise ValueError(f"column {n!r} is not in the target schema")
-    fields = F.transform(split_fields(F.col("value"), opts), lambda x: decode_field(x, opts))
-    base = lines.select("*", fields.alias("_fields")).drop("value")
-    raw = {n: F.get(F.col("_fields"), i) for i, n in enumerate(names)}
-    out_cols, errors = [], []
+    meta = [c for c in ("_file", "_block", "_mid", "_line", "_script_error") if c in lines.columns]
+    arr = split_fields(F.col("value"), opts)
+    decoded = F.transform(arr, lambda x: decode_field(x, opts))
+    if not opts.fields_enclosed and "_plain" in lines.columns:
+        # lines without any escape keep their fields as split; only the rest
+        # run the (compact, interpreted) decoding lambda
+        decoded = F.when(F.col("_plain"), arr).otherwise(decoded)
+    fields = lines.select(*meta, decoded.alias("_fields"))
+    dec = fields.select(*meta, *[F.get(F.col("_fields"), i).alias(f"_s{i}") for i in range(len(names))])
+    src = {n: f"_s{i}" for i, n in enumerate(names)}
+    typed_cols = []
     for f in st.fields:
         if f.name == opts.file_id_column:
             continue
-        if f.name in raw:
-            typed = raw[f.name].try_cast(f.dataType)
-            errors.append(F.when(raw[f.name].isNotNull() & typed.isNull(), F.format_string(
-                "Incorrect %s value: '%s' for column '%s'", F.lit(f.dataType.simpleString()),
-                raw[f.name], F.lit(f.name))))
-            out_cols.append(typed.alias(f.name))
+        if f.name in src:
+            typed_cols.append(F.col(src[f.name]).try_cast(f.dataType).alias(f.name))
         else:
-            out_cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    meta = [c for c in ("_file", "_block", "_mid", "_line") if c in base.columns]
-    if "_script_error" in base.columns:
-        errors.insert(0, F.col("_script_error"))
+            typed_cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+    typed = dec.select(*meta, *[F.col(c) for c in src.values()], *typed_cols)
+    errors = [F.col("_script_error")] if "_script_error" in meta else []
+    for f in st.fields:
+        if f.name in src:
+            raw = F.col(src[f.name])
+            errors.append(F.when(raw.isNotNull() & F.col(f.name).isNull(), F.format_string(
+                "Incorrect %s value: '%s' for column '%s'", F.lit(f.dataType.simpleString()), raw, F.lit(f.name))))
     err = F.coalesce(*errors) if errors else F.lit(None).cast("string")
-    return base.select(*out_cols, *meta, err.alias("_error"))
+    out_names = [f.name for f in st.fields if f.name != opts.file_id_column]
+    keep_meta = [c for c in meta if c != "_script_error"]
+    return typed.select(*out_names, *keep_meta, err.alias("_error"))
 
 
 def read_delimited(spark: SparkSession, paths: list[str] | str, schema, opts: TextOptions | None = None) -> DataFrame:

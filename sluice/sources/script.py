@@ -23,7 +23,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.sources.delimited import TextOptions, _protect
+from sluice.sources.delimited import TextOptions, _plain_line, _protect
 
 _OUT_SCHEMA = "value STRING, _file STRING, _block BIGINT, _mid BIGINT, _script_error STRING"
 _BATCH_LINES = 8192
@@ -101,7 +101,8 @@ def transform_files(spark: SparkSession, paths: list[str], command: str, opts: T
     opts = opts or TextOptions()
     files = spark.read.format("binaryFile").load(paths).select("path", "content")
     out = files.mapInArrow(_make_mapper(command, opts.lines_terminated, timeout_s), _OUT_SCHEMA)
-    out = out.withColumn("value", _protect(F.col("value"), opts.fields_escaped))
+    out = out.withColumns({"_plain": _plain_line(F.col("value"), opts.fields_escaped),
+                           "value": _protect(F.col("value"), opts.fields_escaped)})
     if opts.ignore_lines > 0:
         out = out.where((F.col("_mid") >= opts.ignore_lines) | F.col("_script_error").isNotNull())
     if opts.lines_starting:
