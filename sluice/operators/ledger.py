@@ -53,12 +53,22 @@ def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def append_versions(df: DataFrame, path: str, table: str = "tasks") -> None:
-    """Append version rows (or job rows) to the ledger.  Tasks are
-    partitioned by ``job_id`` so job-scoped reports prune files."""
-    w = df.write.mode("append")
-    if table == "tasks":
-        w = w.partitionBy("job_id")
-    w.parquet(f"{path}/{table}")
+    """Append version rows (or job rows) to the ledger.
+
+    Not partitioned by job: millions of small jobs would mean millions of
+    directories.  Rows are sorted by (job id, id) inside each file instead, so
+    Parquet min/max statistics let a job-id prefix filter skip row groups."""
+    key = "job_id" if table == "tasks" else "id"
+    df.sortWithinPartitions(key, "id" if key != "id" else "created").write.mode("append").parquet(f"{path}/{table}")
+
+
+def compact_ledger(spark: SparkSession, path: str, out_path: str) -> None:
+    """Write the current version of every task (and all jobs) to a new
+    ledger directory — many appends become a few sorted files.  Readers
+    switch to ``out_path``; the old directory is left untouched."""
+    jobs, tasks = read_ledger(spark, path)
+    jobs.repartitionByRange("id").sortWithinPartitions("id").write.parquet(f"{out_path}/jobs")
+    tasks.repartitionByRange("job_id", "id").sortWithinPartitions("job_id", "id").write.parquet(f"{out_path}/tasks")
 
 
 def job_row(spark: SparkSession, job_id: str, created: str, spec_json: str) -> DataFrame:

@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.fields import job_spec, task_data
+from sluice.functions.fields import task_data
+from sluice.plans.reports import same_target
 from sluice.functions.fileid import file_id_string
 from sluice.functions.states import TaskState, now_literal, task_state
 
@@ -25,9 +26,7 @@ def _now(now) -> Column:
 
 def competing_jobs(jobs: DataFrame, host: str, port: int, database: str, table: str,
                    created_before: str | None = None) -> DataFrame:
-    s = job_spec("spec")
-    cond = ((s["connection"]["host"] == host) & (s["connection"]["port"] == port)
-            & (s["target"]["database"] == database) & (s["target"]["table"] == table))
+    cond = same_target("spec", host, port, database, table)
     if created_before is not None:
         cond = cond & (F.col("created") < F.lit(created_before).cast("timestamp_ntz"))
     return jobs.where(cond).select("id")
@@ -35,9 +34,9 @@ def competing_jobs(jobs: DataFrame, host: str, port: int, database: str, table:
 
 def known_files(tasks: DataFrame, competing: DataFrame, now, states=LIVE_STATES) -> DataFrame:
     """Tasks of competing jobs in ``states`` as ``(md5, key_name, bucket, file_key_id)``."""
-    d = task_data("data")
     t = tasks.join(competing.select(F.col("id").alias("job_id")), "job_id", "left_semi")
-    t = t.where(task_state(_now(now)).isin(list(states)))
+    t = t.where(task_state(_now(now)).isin(list(states))).withColumn("_d", task_data("data"))
+    d = F.col("_d")
     fid = F.col("file_id") if "file_id" in tasks.columns else F.lit(None).cast("string")
     return t.select("md5", d["key_name"].alias("key_name"), d["bucket"].alias("bucket"), fid.alias("file_id"))
 

@@ -428,10 +428,7 @@ _CANCEL_SQL = f"""SELECT id, job_id, 'cancelled' AS result, '0' AS execution_id,
 
 
 def _t3_filter():
-    from sluice.functions.fields import job_spec
-    s = job_spec("spec")
-    return ((s["connection"]["host"] == "h") & (s["connection"]["port"] == 3306)
-            & (s["target"]["database"] == "db") & (s["target"]["table"] == "t3"))
+    return rp.same_target("spec", "h", 3306, "db", "t3")
 
 
 def _cancel_t3(jobs, tasks):
@@ -463,11 +460,13 @@ SELECT id, job_id, CAST(NULL AS VARCHAR) AS result, CAST(NULL AS VARCHAR) AS exe
        json_extract_string(data, '$.key_name') AS key_name, json_extract_string(data, '$.error') AS error
 FROM tasks WHERE {_TASK_STATE} = 'ERROR'""")
 def q_retry_errors(spark, sf_dir):
+    from pyspark.sql import functions as F
     from sluice.functions.fields import task_data
     from sluice.operators.ledger import retry_errors
     r = retry_errors(_views(spark, sf_dir, "tasks"), FIXTURE_NOW)
-    d = task_data("data")
-    return r.select(*_CHANGE_COLS, "bytes_downloaded", d["key_name"].alias("key_name"), d["error"].alias("error"))
+    r = r.withColumn("_d", task_data("data"))
+    return r.select(*_CHANGE_COLS, "bytes_downloaded", F.col("_d")["key_name"].alias("key_name"),
+                    F.col("_d")["error"].alias("error"))
 
 
 @register("current_tasks", W("jobs", "tasks") + f""",
@@ -495,7 +494,7 @@ def q_task_by_id(spark, sf_dir):
     from pyspark.sql import functions as F
     tasks = _views(spark, sf_dir, "tasks")
     first_id = tasks.select(F.min("id")).scalar()
-    return tasks.where(F.col("id") == first_id).select(*rp._task_columns(FIXTURE_NOW)).limit(1)
+    return rp.task_by_id(tasks, FIXTURE_NOW, first_id)
 
 
 # --- what a new job loads -----------------------------------------------------------
