@@ -61,7 +61,7 @@ def load_line_prefix(spark, sf_dir):
     sup = _table(spark, sf_dir, "supplier")
     d = scratch_dir(spark, "files")
     # files carry two junk lines without the prefix; the loader needs no skip
-    write_delimited(sup, d, TextOptions(lines_starting="xxx"), header_lines=2, files=1)
+    write_delimited(sup, d, TextOptions(lines_starting="xxx"), header_lines=2, files=4)
     spec = _spec(spark, sup, TextOptions(lines_starting="xxx"))
     load_files(spark, spec, [d])
     return read_target(spark, spec)

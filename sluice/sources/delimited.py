@@ -335,21 +335,23 @@ def write_delimited(df: DataFrame, path: str, opts: TextOptions, columns: list[s
     value (``key=<v>/``); ``header_lines`` junk lines open every file (for
     skip-lines); ``order_by`` fixes the row order inside files."""
     cols = [c for c in (columns or df.columns) if c != file_key]
+    if header_lines and not file_key:
+        # every file needs its own header lines: spread rows over ``files``
+        # hash-keyed files instead of funnelling them through one task
+        df = df.withColumn("_hk", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(files or 1)))
+        file_key = "_hk"
     body = df.select(format_lines(df, opts, cols).alias("value"),
                      *([F.col(file_key).alias("key")] if file_key else []),
                      F.lit(1).alias("_hdr"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by or [])])
     if header_lines:
-        keys = body.select("key").distinct() if file_key else body.limit(1).select()
-        hdr = keys.select(*(["key"] if file_key else []), F.explode(F.sequence(F.lit(1), F.lit(header_lines))).alias("_n"))
+        keys = body.select("key").distinct()
+        hdr = keys.select("key", F.explode(F.sequence(F.lit(1), F.lit(header_lines))).alias("_n"))
         hdr = hdr.select(F.concat(F.lit("header line "), F.col("_n").cast("string")).alias("value"),
-                         *(["key"] if file_key else []), F.lit(0).alias("_hdr"),
+                         "key", F.lit(0).alias("_hdr"),
                          *[F.lit(None).alias(f"_o{i}") for i, _ in enumerate(order_by or [])])
         body = body.unionByName(hdr, allowMissingColumns=True)
     n = files or 1
-    if file_key:
-        body = body.repartition(n, "key")
-    else:
-        body = body.repartition(n) if not header_lines else body.coalesce(1)
+    body = body.repartition(n, "key") if file_key else body.repartition(n)
     sort = (["key"] if file_key else []) + ["_hdr", "value"] + [f"_o{i}" for i, _ in enumerate(order_by or [])]
     if order_by:
         sort = (["key"] if file_key else []) + ["_hdr"] + [f"_o{i}" for i, _ in enumerate(order_by)]
