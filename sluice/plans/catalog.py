@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sluice.plans import fixtures as fx
 from sluice.plans import reports as rp
@@ -606,3 +607,27 @@ def q_last_job(spark, sf_dir):
 def q_job_lookup(spark, sf_dir):
     jobs, tasks = _views(spark, sf_dir, "jobs", "tasks")
     return rp.job_lookup(jobs, tasks, FIXTURE_NOW, "00000001")
+
+
+@register("cancel_job", W("tasks") + f"""
+{_CANCEL_SQL} FROM tasks WHERE finished IS NULL AND job_id = '00000002'""")
+def q_cancel_job(spark, sf_dir):
+    from sluice.operators.ledger import cancel_jobs
+    jobs, tasks = _views(spark, sf_dir, "jobs", "tasks")
+    return cancel_jobs(jobs, tasks, FIXTURE_NOW, job_prefix="00000002", multiple=False).select(*_CHANGE_COLS)
+
+
+@register("cancel_queued", W("jobs", "tasks") + f"""
+{_CANCEL_SQL} FROM tasks WHERE {_QUEUED} AND job_id IN (SELECT id FROM jobs WHERE {_T3})""")
+def q_cancel_queued(spark, sf_dir):
+    from sluice.operators.ledger import bulk_finish
+    jobs, tasks = _views(spark, sf_dir, "jobs", "tasks")
+    t3 = jobs.where(_t3_filter()).select(F.col("id").alias("job_id"))
+    return bulk_finish(tasks.join(t3, "job_id", "left_semi"), FIXTURE_NOW, queued_only=True).select(*_CHANGE_COLS)
+
+
+@register("job_tasks", W("jobs", "tasks") + f"""
+SELECT {_TASK_COLS} FROM tasks t JOIN jobs j ON j.id = t.job_id WHERE j.id LIKE '00000001%'""")
+def q_job_tasks(spark, sf_dir):
+    jobs, tasks = _views(spark, sf_dir, "jobs", "tasks")
+    return rp.tasks_report(jobs, tasks, FIXTURE_NOW, job_prefix="00000001")
