@@ -108,16 +108,17 @@ def manifest_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 def samples_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cumulative bytes per task in sample order; ``bytes_total`` is the
     task's final cumulative count (so the last sample is 'complete')."""
-    ev = _read(spark, sf_dir, "events")
-    inc = F.floor(F.col("value")).cast("bigint")
-    by_task = Window.partitionBy("user_id")
-    running = by_task.orderBy("event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ev = _read(spark, sf_dir, "events").select(
+        F.col("user_id").alias("task_id"), F.col("event_id").alias("seq"),
+        F.col("ts").cast("timestamp_ntz").alias("ts"), F.floor(F.col("value")).cast("bigint").alias("_inc"))
+    # windows on the renamed key, so rate / stall windows over ``task_id``
+    # reuse this partitioning and ordering (no second shuffle)
+    by_task = Window.partitionBy("task_id")
+    running = by_task.orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return ev.select(
-        F.col("user_id").alias("task_id"),
-        F.col("event_id").alias("seq"),
-        F.col("ts").cast("timestamp_ntz").alias("ts"),
-        F.sum(inc).over(running).cast("bigint").alias("bytes_downloaded"),
-        F.sum(inc).over(by_task).cast("bigint").alias("bytes_total"),
+        "task_id", "seq", "ts",
+        F.sum("_inc").over(running).cast("bigint").alias("bytes_downloaded"),
+        F.sum("_inc").over(by_task).cast("bigint").alias("bytes_total"),
     )
 
 
