@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.fileid import file_id
-from sluice.sources.paths import LoadPath, decode_file_path, resolve_path, uri_bucket, uri_name, uri_scheme
+from sluice.sources.paths import LoadPath, resolve_path, uri_bucket, uri_name, uri_scheme
 
 MANIFEST_COLUMNS = ["scheme", "bucket", "name", "etag", "size", "mtime", "path"]
 
@@ -37,7 +37,7 @@ def _list_one(spark: SparkSession, lp: LoadPath, fingerprint: str) -> DataFrame:
             return spark.createDataFrame([], "scheme STRING, bucket STRING, name STRING, etag STRING, "
                                              "size BIGINT, mtime TIMESTAMP_NTZ, path STRING")
         raise
-    path = decode_file_path(F.col("path"))
+    path = F.col("path")  # binaryFile gives the raw name (unlike _metadata.file_path)
     cols = {
         "scheme": uri_scheme(path),
         "bucket": uri_bucket(path),
