@@ -7,6 +7,23 @@ deltas per download in memory; here they are window functions per task.
 The 30-sample moving average uses the telescoping identity
 ``sum(last 30 deltas) = bytes[i] - bytes[i-30]``, so it is two ``lag`` calls
 over one sort instead of a 30-row sliding frame.
+
+Skew: a plain ``Window.partitionBy(task)`` puts all samples of a task into one
+task.  The default (``skew_safe=True``) range-partitions on ``(task, seq)``
+instead — a hot task is cut across many partitions — and works per
+``(task, partition)`` group:
+
+* the last ``window`` samples of each group are carried into the task's next
+  group, so ``lag`` over the group sees exactly the rows it needs;
+* values that reach back to the task's start (first sample time, last
+  "moving" time) come from a small table of one row per group, prefix-scanned
+  over the groups of a task.
+
+Every group is at most one range partition, so no task holds more than its
+share.  The tagged samples are written once to the shared checkpoint folder
+(so group ids are stable across the branches that read them).  Correct as long as a range partition holds at least ``window`` rows
+(true for any data worth partitioning: ``partitions ≤ rows / window``;
+``partitions`` defaults to ``spark.sql.shuffle.partitions``).
 """
 
 from __future__ import annotations
@@ -21,25 +38,40 @@ STALL_MIN_BYTES = 10
 STALL_TIMEOUT_SECONDS = 30
 
 
-def _task_order(task_col: str, order_col: str):
-    return Window.partitionBy(task_col).orderBy(order_col)
+def _ranged(samples: DataFrame, task_col: str, order_col: str, partitions: int | None) -> DataFrame:
+    """Range-partitioned samples tagged with their partition, written once to
+    the shared checkpoint folder: the group ids must be identical in every
+    branch that reads them (a recomputed range shuffle may sample other
+    bounds, and AQE may coalesce each branch differently)."""
+    from sluice.session import scratch_dir
+    spark = samples.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tagged = samples.repartitionByRange(n, task_col, order_col).withColumn("_pid", F.spark_partition_id())
+    path = scratch_dir(spark, "progress-ranged")
+    tagged.write.parquet(path)
+    return spark.read.parquet(path)
 
 
-def with_rates(samples: DataFrame, window: int = RATE_WINDOW, task_col: str = "task_id",
-               order_col: str = "seq") -> DataFrame:
-    """W1 delta, W2 moving-average rate, W3 time left.
+def _with_carry(r: DataFrame, task_col: str, order_col: str, carry: int) -> DataFrame:
+    """``r`` (with ``_pid``) plus the last ``carry`` rows of each group copied
+    into the same task's next group, flagged ``_carry``."""
+    tail_w = Window.partitionBy(task_col, "_pid").orderBy(F.col(order_col).desc())
+    tails = r.withColumn("_rk", F.row_number().over(tail_w)).where(F.col("_rk") <= carry).drop("_rk")
+    groups = r.select(task_col, "_pid").distinct()
+    nxt = groups.withColumn("_next", F.lead("_pid").over(Window.partitionBy(task_col).orderBy("_pid")))
+    moved = (tails.join(nxt.where(F.col("_next").isNotNull()), [task_col, "_pid"])
+             .withColumn("_pid", F.col("_next")).drop("_next"))
+    return r.withColumn("_carry", F.lit(False)).unionByName(moved.withColumn("_carry", F.lit(True)))
 
-    rate = mean of the last ``window`` deltas (first delta against 0);
-    0 once ``bytes_downloaded == bytes_total``; time_left = remaining / rate,
-    −1 when the rate is 0.
-    """
-    w = _task_order(task_col, order_col)
+
+def _rate_columns(df: DataFrame, w, window: int) -> DataFrame:
     b = F.col("bytes_downloaded")
-    delta = b - F.lag(b, 1, 0).over(w)
     n = F.least(F.row_number().over(w), F.lit(window))
-    rate = (b - F.lag(b, window, 0).over(w)) / n
-    out = samples.withColumns({"delta": delta, "rate": rate.cast("double")})
-    if "bytes_total" in samples.columns:
+    out = df.withColumns({
+        "delta": b - F.lag(b, 1, 0).over(w),
+        "rate": ((b - F.lag(b, window, 0).over(w)) / n).cast("double"),
+    })
+    if "bytes_total" in df.columns:
         done = F.col("bytes_downloaded") == F.col("bytes_total")
         out = out.withColumn("rate", F.when(done, F.lit(0.0)).otherwise(F.col("rate")))
         left = (F.col("bytes_total") - F.col("bytes_downloaded")) / F.col("rate")
@@ -47,21 +79,56 @@ def with_rates(samples: DataFrame, window: int = RATE_WINDOW, task_col: str = "t
     return out
 
 
+def with_rates(samples: DataFrame, window: int = RATE_WINDOW, task_col: str = "task_id",
+               order_col: str = "seq", skew_safe: bool = True, partitions: int | None = None) -> DataFrame:
+    """W1 delta, W2 moving-average rate, W3 time left.
+
+    rate = mean of the last ``window`` deltas (first delta against 0);
+    0 once ``bytes_downloaded == bytes_total``; time_left = remaining / rate,
+    −1 when the rate is 0.
+    """
+    if not skew_safe:
+        return _rate_columns(samples, Window.partitionBy(task_col).orderBy(order_col), window)
+    cols = samples.columns
+    u = _with_carry(_ranged(samples, task_col, order_col, partitions), task_col, order_col, window)
+    out = _rate_columns(u, Window.partitionBy(task_col, "_pid").orderBy(order_col), window)
+    return out.where(~F.col("_carry")).select(*cols, "delta", "rate", *(["time_left"] if "bytes_total" in cols else []))
+
+
 def with_stall(samples: DataFrame, min_bytes: int = STALL_MIN_BYTES,
                timeout_s: int = STALL_TIMEOUT_SECONDS, task_col: str = "task_id",
-               order_col: str = "seq") -> DataFrame:
+               order_col: str = "seq", skew_safe: bool = True, partitions: int | None = None) -> DataFrame:
     """``last_change`` = time of the last sample whose delta exceeded
-    ``min_bytes`` (the first sample's time before any); stalled when the
+    ``min_bytes`` (the task's first sample time before any); stalled when the
     sample is more than ``timeout_s`` later than that."""
-    w = _task_order(task_col, order_col)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     b = F.col("bytes_downloaded")
-    with_delta = samples.withColumn("delta", b - F.lag(b, 1, 0).over(w))
     moved = F.when(F.col("delta") > min_bytes, F.col("ts"))
-    last_change = F.coalesce(F.last(moved, ignorenulls=True).over(upto), F.first("ts").over(upto))
-    out = with_delta.withColumn("last_change", last_change)
     limit = F.col("last_change") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(timeout_s))
-    return out.withColumn("stalled", F.col("ts") > limit)
+    if not skew_safe:
+        w = Window.partitionBy(task_col).orderBy(order_col)
+        upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        d = samples.withColumn("delta", b - F.lag(b, 1, 0).over(w))
+        d = d.withColumn("last_change", F.coalesce(F.last(moved, ignorenulls=True).over(upto),
+                                                   F.first("ts").over(upto)))
+        return d.withColumn("stalled", F.col("ts") > limit)
+    cols = samples.columns
+    u = _with_carry(_ranged(samples, task_col, order_col, partitions), task_col, order_col, 1)
+    w = Window.partitionBy(task_col, "_pid").orderBy(order_col)
+    d = u.withColumn("delta", b - F.lag(b, 1, 0).over(w)).where(~F.col("_carry")).drop("_carry")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumns({"_moved": F.last(moved, ignorenulls=True).over(upto), "_first": F.first("ts").over(upto)})
+    # one row per (task, partition): what earlier groups contribute
+    groups = d.groupBy(task_col, "_pid").agg(
+        F.max_by(moved, F.when(moved.isNotNull(), F.col(order_col))).alias("_g_moved"),
+        F.min_by(F.col("ts"), F.col(order_col)).alias("_g_first"))
+    before = Window.partitionBy(task_col).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    task_start = Window.partitionBy(task_col).orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    groups = groups.select(task_col, "_pid",
+                           F.last("_g_moved", ignorenulls=True).over(before).alias("_in_moved"),
+                           F.first("_g_first").over(task_start).alias("_task_first"))
+    d = d.join(groups, [task_col, "_pid"])
+    d = d.withColumn("last_change", F.coalesce("_moved", "_in_moved", "_task_first"))
+    return d.withColumn("stalled", F.col("ts") > limit).select(*cols, "delta", "last_change", "stalled")
 
 
 def latest_sample(samples: DataFrame, task_col: str = "task_id", order_col: str = "seq") -> DataFrame:
