@@ -148,20 +148,27 @@ def load_files(spark: SparkSession, spec: LoadSpec, files, rows: DataFrame | Non
         if method == "ignore":
             failures = failures.limit(0)
         if method == "error":
-            in_batch = clean.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(*keys)
-            in_target = target_kept.select(*keys).join(clean.select(*keys).distinct(), keys, "left_semi")
+            # aggregate per (key, file) first — partial, map-side — so a key
+            # holding a third of all rows is one row per file before any join
+            per_key_file = clean.groupBy(*keys, "_file").agg(
+                F.count(F.lit(1)).alias("_n"), F.min(_order_key()).alias("_first"))
+            in_batch = per_key_file.groupBy(*keys).agg(F.sum("_n").alias("_n")).where(F.col("_n") > 1).select(*keys)
+            in_target = target_kept.select(*keys).join(per_key_file.select(*keys).distinct(), keys, "left_semi")
             dup_keys = in_batch.unionByName(in_target).distinct()
             key_text = F.concat_ws("-", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
-            conflicts = clean.join(dup_keys, keys, "left_semi").select(
-                *_ORDER, F.format_string("Duplicate entry '%s' for key 'PRIMARY'", key_text).alias("msg"))
+            conflicts = per_key_file.join(dup_keys, keys, "left_semi").select(
+                F.col("_first._file").alias("_file"), F.col("_first._block").alias("_block"),
+                F.col("_first._mid").alias("_mid"),
+                F.format_string("Duplicate entry '%s' for key 'PRIMARY'", key_text).alias("msg"))
             failures = failures.unionByName(conflicts)
         first_failure = failures.groupBy("_file").agg(F.min_by("msg", _order_key()).alias("error"))
 
         # --- rows to write ---------------------------------------------------
         if method == "ignore":
-            good = clean.join(target_kept.select(*keys), keys, "left_anti")
-            good = (good.groupBy(*keys).agg(F.min_by(F.struct(*good.columns), _order_key()).alias("_r"))
+            # first row per key (partial aggregate), then drop keys the target has
+            good = (clean.groupBy(*keys).agg(F.min_by(F.struct(*clean.columns), _order_key()).alias("_r"))
                     .select("_r.*"))
+            good = good.join(target_kept.select(*keys), keys, "left_anti")
         else:
             good = clean.join(first_failure.select("_file"), "_file", "left_anti")
             if method == "replace":

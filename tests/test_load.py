@@ -113,3 +113,28 @@ def test_script_transform(spark, scratch):
     out = load_files(spark, bad, [d + "/key=x"])
     (v,) = out.verdicts.collect()
     assert v.status == "error" and "code 3" in v.error
+
+
+def test_hot_key_modes(spark, scratch):
+    """A key holding a third of all rows: first / last wins, error names it."""
+    n = 3000
+    df = spark.range(0, n).select(
+        (F.col("id") % 2).cast("string").alias("k"), F.col("id").cast("int").alias("i"),
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).cast("int").alias("a"),
+        F.col("id").cast("int").alias("b"))
+    d = scratch("hot")
+    write_delimited(df, d, TextOptions(), columns=["a", "b"], file_key="k", files=2, order_by=["i"],
+                    stable_names=True)
+    paths = _paths(d, "01")
+    ign = _spec(scratch("t"), "ignore")
+    load_files(spark, ign, paths)
+    t = dict(_table(spark, ign))
+    assert len(t) == n - n // 3 + 1 and t[0] == 0        # first row of key 0: id 0 in key=0
+    rep = _spec(scratch("t"), "replace")
+    load_files(spark, rep, paths)
+    t = dict(_table(spark, rep))
+    assert t[0] == 2997                                    # last row of key 0 in key=1/ (files in name order)
+    err = _spec(scratch("t"), "error")
+    out = load_files(spark, err, paths)
+    assert all(v.status == "error" and "Duplicate entry '0'" in v.error for v in out.verdicts.collect())
+    assert _table(spark, err) == []
