@@ -190,7 +190,8 @@ def steps_json(name: str, start: Column, stop: Column) -> Column:
 def record_outcomes(tasks: DataFrame, verdicts: DataFrame, now, started=None) -> DataFrame:
     """Version rows from per-file verdicts
     ``(file_id, status 'success'|'error', error, row_count)``: result set,
-    ``data.row_count`` / ``data.error`` filled, one ``load`` step."""
+    ``data.row_count`` / ``data.error`` filled, one ``download`` step (the
+    step the load statistics, A6, measure)."""
     nowc = _now(now)
     start = nowc if started is None else _now(started)
     v = verdicts.select(F.col("file_id").cast("string").alias("file_id"), "status", "error", "row_count")
@@ -204,7 +205,7 @@ def record_outcomes(tasks: DataFrame, verdicts: DataFrame, now, started=None) ->
     return j.select(
         "id", "created", new_data.alias("data"), F.col("status").alias("result"),
         F.coalesce("execution_id", F.lit("0")).alias("execution_id"),
-        steps_json("load", start, nowc).alias("steps"), "job_id", "file_id", "bytes_total",
+        steps_json("download", start, nowc).alias("steps"), "job_id", "file_id", "bytes_total",
         F.col("bytes_total").alias("bytes_downloaded"), "download_rate", "md5",
         start.alias("started"), nowc.alias("last_contact"),
         (F.col("update_count") + 1).alias("update_count"), nowc.alias("finished"),

@@ -29,7 +29,8 @@ MANIFEST_COLUMNS = ["scheme", "bucket", "name", "etag", "size", "mtime", "path"]
 
 
 def _list_one(spark: SparkSession, lp: LoadPath, fingerprint: str) -> DataFrame:
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    # keys that vanish between listing and reading are skipped (S3 rule)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true")
     try:
         df = reader.load(lp.root)
     except Exception as e:  # noqa: BLE001 - a missing root matches nothing

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from sluice.operators.job import run_load_job
 from sluice.operators.ledger import read_ledger
 from sluice.operators.load import read_target
-from sluice.plans.reports import job_details, jobs_report
+from sluice.plans.reports import job_details, job_load_stats, jobs_report
 from sluice.session import local_path
 from sluice.sources.delimited import TextOptions, replace_files, write_delimited
 from sluice.spec import LoadSpec, SourceSpec, TargetSpec
@@ -42,4 +42,6 @@ def test_job_cycle(spark, scratch):
     assert all(r.state == "FINISHED" for r in rep.values())
     det = job_details(jobs, tasks, now).collect()
     assert sorted(r.tasks_succeeded for r in det) == [1, 3, 3]
+    stats = sorted((r.files_loaded, r.rows_loaded) for r in job_load_stats(tasks, now).collect())
+    assert stats == [(1, 100), (3, 300), (3, 300)]
     assert read_target(spark, spec).count() == 300
