@@ -121,8 +121,10 @@ def empty_files(spark: SparkSession, roots: list[str], with_mtime: bool = False)
         it = fs.listFiles(p, True)
         while it.hasNext():
             st = it.next()
+            if st.getLen() != 0:  # one round trip for the common case
+                continue
             name = st.getPath().getName()
-            if st.getLen() == 0 and not name.startswith((".", "_")):
+            if not name.startswith((".", "_")):
                 out.append((st.getPath().toString(), st.getModificationTime()) if with_mtime
                            else st.getPath().toString())
     return out

@@ -45,3 +45,22 @@ def test_job_cycle(spark, scratch):
     stats = sorted((r.files_loaded, r.rows_loaded) for r in job_load_stats(tasks, now).collect())
     assert stats == [(1, 100), (3, 300), (3, 300)]
     assert read_target(spark, spec).count() == 300
+
+
+def test_compact_ledger_keeps_reports(spark, scratch):
+    from sluice.operators.ledger import append_versions, cancel_jobs, compact_ledger, enqueue, job_row
+    ledger = scratch("ledger")
+    m = spark.createDataFrame([("file", None, f"/d/f{i}", f"e{i}", i) for i in range(20)],
+                              "scheme STRING, bucket STRING, name STRING, etag STRING, size BIGINT")
+    now = "2020-01-01 00:00:00"
+    append_versions(enqueue(m, "j1", now), ledger)
+    append_versions(job_row(spark, "j1", now, "{}"), ledger, table="jobs")
+    jobs, tasks = read_ledger(spark, ledger)
+    append_versions(cancel_jobs(jobs, tasks, now, job_prefix="j1"), ledger)
+    out = scratch("compact")
+    compact_ledger(spark, ledger, out)
+    a = jobs_report(*read_ledger(spark, ledger), now).collect()
+    b = jobs_report(*read_ledger(spark, out), now).collect()
+    assert [tuple(r) for r in a] == [tuple(r) for r in b]
+    assert a[0].tasks_cancelled == 20 and a[0].state == "CANCELLED"
+    assert spark.read.parquet(out + "/tasks").count() == 20
