@@ -1,53 +1,51 @@
-"""F2 / F3 state machines over every NULL combination (SQL three-valued logic)."""
+"""F2 / F3 state machines on hand-picked rows covering the NULL cases
+(SQL three-valued logic: a NULL condition is not true)."""
 
-import itertools
 from datetime import datetime, timedelta
 
+from pyspark.sql import functions as F
+
 from sluice.functions.states import job_state, now_literal, task_state
 
 NOW = datetime(2005, 1, 1)
-
-
-def py_task_state(finished, result, execution_id, last_contact):
-    if finished is not None:
-        return result.upper() if result is not None else None
-    queued = None
-    if execution_id is None:
-        queued = True
-    elif last_contact is not None:
-        queued = last_contact <= NOW - timedelta(seconds=120)
-    return "QUEUED" if queued else "RUNNING"
+S = timedelta(seconds=1)
+
+# (finished, result, execution_id, last_contact) -> state
+TASKS = [
+    ((NOW, "success", None, None), "SUCCESS"),
+    ((NOW, "cancelled", "0", NOW), "CANCELLED"),
+    ((NOW, "error", "x", NOW - 10 * S), "ERROR"),
+    ((NOW, None, None, None), None),
+    ((None, None, None, None), "QUEUED"),
+    ((None, None, "x", NOW - 10 * S), "RUNNING"),
+    ((None, None, "x", NOW - 120 * S), "QUEUED"),
+    ((None, None, "x", NOW - 119 * S), "RUNNING"),
+    ((None, None, "x", NOW - 500 * S), "QUEUED"),
+    ((None, None, "x", None), "RUNNING"),
+]
+
+# (total, finished, cancelled, queued) -> state
+JOBS = [
+    ((None, None, None, None), "FINISHED"),
+    ((3, 3, 1, 0), "CANCELLED"),
+    ((3, 3, 0, 0), "FINISHED"),
+    ((3, 3, None, 0), "FINISHED"),
+    ((3, 0, None, 3), "QUEUED"),
+    ((3, 1, 0, 2), "RUNNING"),
+    ((3, 0, None, None), "RUNNING"),
+    ((3, 2, 1, 1), "RUNNING"),
+    ((2, None, None, None), "RUNNING"),
+]
 
 
 def test_task_state(spark):
-    rows = list(itertools.product([None, NOW], [None, "success", "error", "cancelled"], [None, "x"],
-                                  [None, NOW - timedelta(seconds=10), NOW - timedelta(seconds=120),
-                                   NOW - timedelta(seconds=500)]))
-    df = spark.createDataFrame(rows, "finished timestamp_ntz, result string, execution_id string, "
-                                     "last_contact timestamp_ntz")
+    df = spark.createDataFrame([r for r, _ in TASKS], "finished timestamp_ntz, result string, execution_id string, "
+                                                       "last_contact timestamp_ntz")
     got = [r[0] for r in df.select(task_state(now_literal("2005-01-01 00:00:00"))).collect()]
-    assert got == [py_task_state(*r) for r in rows]
-
-
-def py_job_state(total, finished, cancelled, queued):
-    def eq(a, b):
-        return None if a is None or b is None else a == b
-    diff = None if total is None or finished is None else total - finished
-    c1 = eq(diff, 0)
-    c2 = None if cancelled is None else cancelled > 0
-    if c1 and c2:
-        return "CANCELLED"
-    if total is None or eq(finished, total):
-        return "FINISHED"
-    if eq(queued, total):
-        return "QUEUED"
-    return "RUNNING"
+    assert got == [e for _, e in TASKS]
 
 
 def test_job_state(spark):
-    vals = [None, 0, 1, 2]
-    rows = list(itertools.product(vals, vals, vals, vals))
-    df = spark.createDataFrame(rows, "t bigint, f bigint, c bigint, q bigint")
-    from pyspark.sql import functions as F
+    df = spark.createDataFrame([r for r, _ in JOBS], "t bigint, f bigint, c bigint, q bigint")
     got = [r[0] for r in df.select(job_state(F.col("t"), F.col("f"), F.col("c"), F.col("q"))).collect()]
-    assert got == [py_job_state(*r) for r in rows]
+    assert got == [e for _, e in JOBS]
