@@ -21,9 +21,10 @@ instead — a hot task is cut across many partitions — and works per
 
 Every group is at most one range partition, so no task holds more than its
 share.  The tagged samples are written once to the shared checkpoint folder
-(so group ids are stable across the branches that read them).  Correct as long as a range partition holds at least ``window`` rows
-(true for any data worth partitioning: ``partitions ≤ rows / window``;
-``partitions`` defaults to ``spark.sql.shuffle.partitions``).
+(so group ids are stable across the branches that read them).  Exact as long as a range partition holds at least ``window`` rows: the
+partition count is capped at ``rows / (4 · window)`` and the group sizes are
+checked; otherwise the plain windows run (``partitions`` defaults to
+``spark.sql.shuffle.partitions``).
 """
 
 from __future__ import annotations
@@ -38,18 +39,38 @@ STALL_MIN_BYTES = 10
 STALL_TIMEOUT_SECONDS = 30
 
 
-def _ranged(samples: DataFrame, task_col: str, order_col: str, partitions: int | None) -> DataFrame:
+def _ranged(samples: DataFrame, task_col: str, order_col: str, partitions: int | None,
+            window: int) -> DataFrame | None:
     """Range-partitioned samples tagged with their partition, written once to
     the shared checkpoint folder: the group ids must be identical in every
     branch that reads them (a recomputed range shuffle may sample other
-    bounds, and AQE may coalesce each branch differently)."""
+    bounds, and AQE may coalesce each branch differently).
+
+    Partitions must hold at least ``window`` rows for the carry to be exact:
+    the count (Parquet metadata) caps the number of partitions, and a check
+    of the group sizes returns None — use the plain windows — if a middle
+    group of some task is still shorter than the window."""
     from sluice.session import scratch_dir
     spark = samples.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = samples.repartitionByRange(n, task_col, order_col).withColumn("_pid", F.spark_partition_id())
     path = scratch_dir(spark, "progress-ranged")
-    tagged.write.parquet(path)
-    return spark.read.parquet(path)
+    samples.repartitionByRange(n, task_col, order_col).withColumn("_pid", F.spark_partition_id()).write.parquet(path)
+    staged = spark.read.parquet(path)
+    rows = staged.count()
+    cap = max(1, rows // (4 * window))
+    if n > cap:
+        path = scratch_dir(spark, "progress-ranged")
+        staged.drop("_pid").repartitionByRange(cap, task_col, order_col) \
+            .withColumn("_pid", F.spark_partition_id()).write.parquet(path)
+        staged = spark.read.parquet(path)
+    sizes = staged.groupBy(task_col, "_pid").count()
+    edge = Window.partitionBy(task_col)
+    short_middle = (sizes.withColumns({"_lo": F.min("_pid").over(edge), "_hi": F.max("_pid").over(edge)})
+                    .where((F.col("_pid") > F.col("_lo")) & (F.col("_pid") < F.col("_hi"))
+                           & (F.col("count") < window)))
+    if not short_middle.isEmpty():
+        return None
+    return staged
 
 
 def _with_carry(r: DataFrame, task_col: str, order_col: str, carry: int) -> DataFrame:
@@ -90,7 +111,10 @@ def with_rates(samples: DataFrame, window: int = RATE_WINDOW, task_col: str = "t
     if not skew_safe:
         return _rate_columns(samples, Window.partitionBy(task_col).orderBy(order_col), window)
     cols = samples.columns
-    u = _with_carry(_ranged(samples, task_col, order_col, partitions), task_col, order_col, window)
+    ranged = _ranged(samples, task_col, order_col, partitions, window)
+    if ranged is None:
+        return with_rates(samples, window, task_col, order_col, skew_safe=False)
+    u = _with_carry(ranged, task_col, order_col, window)
     out = _rate_columns(u, Window.partitionBy(task_col, "_pid").orderBy(order_col), window)
     return out.where(~F.col("_carry")).select(*cols, "delta", "rate", *(["time_left"] if "bytes_total" in cols else []))
 
@@ -112,7 +136,10 @@ def with_stall(samples: DataFrame, min_bytes: int = STALL_MIN_BYTES,
                                                    F.first("ts").over(upto)))
         return d.withColumn("stalled", F.col("ts") > limit)
     cols = samples.columns
-    u = _with_carry(_ranged(samples, task_col, order_col, partitions), task_col, order_col, 1)
+    ranged = _ranged(samples, task_col, order_col, partitions, RATE_WINDOW)
+    if ranged is None:
+        return with_stall(samples, min_bytes, timeout_s, task_col, order_col, skew_safe=False)
+    u = _with_carry(ranged, task_col, order_col, 1)
     w = Window.partitionBy(task_col, "_pid").orderBy(order_col)
     d = u.withColumn("delta", b - F.lag(b, 1, 0).over(w)).where(~F.col("_carry")).drop("_carry")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -33,14 +33,14 @@ def _same(a, b):
 
 def test_rates_skew_safe_equals_plain(spark):
     s = _hot_samples(spark).cache()
-    for parts in (4, 16, 64):
+    for parts in (4, 16, 64, 200):
         _same(with_rates(s, skew_safe=True, partitions=parts), with_rates(s, skew_safe=False))
     _same(with_rates(samples_view(spark, SF01), partitions=8), with_rates(samples_view(spark, SF01), skew_safe=False))
 
 
 def test_stall_skew_safe_equals_plain(spark):
     s = _hot_samples(spark).cache()
-    for parts in (4, 16, 64):
+    for parts in (4, 16, 64, 200):
         _same(with_stall(s, skew_safe=True, partitions=parts), with_stall(s, skew_safe=False))
     _same(with_stall(samples_view(spark, SF01), partitions=8), with_stall(samples_view(spark, SF01), skew_safe=False))
 
@@ -50,5 +50,13 @@ def test_hot_task_is_split(spark):
     r = with_rates(s, partitions=16)
     assert r.count() == s.count()
     from sluice.operators.progress import _ranged
-    spans = _ranged(s, "task_id", "seq", 16).where("task_id = 0").select("_pid").distinct().count()
+    spans = _ranged(s, "task_id", "seq", 16, 30).where("task_id = 0").select("_pid").distinct().count()
     assert spans > 3
+
+
+def test_tiny_input_many_partitions(spark):
+    """200 partitions over 1,000 samples: capped / guarded, still exact."""
+    from conftest import SF001
+    s = samples_view(spark, SF001)
+    _same(with_rates(s, partitions=200), with_rates(s, skew_safe=False))
+    _same(with_stall(s, partitions=200), with_stall(s, skew_safe=False))
