@@ -24,11 +24,15 @@ from sluice.spec import LoadSpec
 
 
 def start_sync_stream(spark: SparkSession, spec: LoadSpec, landing_dir: str, checkpoint: str | None = None,
-                      available_now: bool = True, max_files_per_trigger: int = 1000):
+                      available_now: bool = True, max_files_per_trigger: int = 1000,
+                      name_glob: str | None = None):
     """Start the stream; returns the ``StreamingQuery``."""
     if spec.options.ignore_lines or spec.options.escaped_terminators:
         raise ValueError("skip-lines / escaped terminators need whole files: use the batch sync")
-    reader = spark.readStream.format("text").option("lineSep", spec.options.lines_terminated)
+    reader = (spark.readStream.format("text").option("lineSep", spec.options.lines_terminated)
+              .option("recursiveFileLookup", "true"))
+    if name_glob:  # file-name pattern, e.g. "*.tsv.gz"
+        reader = reader.option("pathGlobFilter", name_glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     lines = reader.load(landing_dir).select(
@@ -48,7 +52,8 @@ def start_sync_stream(spark: SparkSession, spec: LoadSpec, landing_dir: str, che
     return w.start()
 
 
-def run_sync_stream(spark: SparkSession, spec: LoadSpec, landing_dir: str, checkpoint: str) -> None:
+def run_sync_stream(spark: SparkSession, spec: LoadSpec, landing_dir: str, checkpoint: str,
+                    name_glob: str | None = None) -> None:
     """One incremental run (availableNow) to completion."""
-    q = start_sync_stream(spark, spec, landing_dir, checkpoint, available_now=True)
+    q = start_sync_stream(spark, spec, landing_dir, checkpoint, available_now=True, name_glob=name_glob)
     q.awaitTermination()
