@@ -21,7 +21,10 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.operators.ledger import append_versions, enqueue, force_cancel, job_row, read_ledger, record_outcomes
+from sluice.functions.fileid import file_id_string
+from sluice.operators.ledger import (
+    append_versions, current_versions, enqueue, force_cancel, job_row, read_versions, record_outcomes,
+)
 from sluice.operators.load import load_files
 from sluice.operators.submit import competing_jobs, skip_unchanged
 from sluice.sources.listing import list_files
@@ -54,11 +57,15 @@ def run_load_job(spark: SparkSession, spec: LoadSpec, ledger_path: str, now: str
     if manifest.isEmpty():
         log.warning("Paths %s matched no files", list(spec.source.paths))
         return JobResult(None, 0, 0, 0, None)
-    jobs, tasks = read_ledger(spark, ledger_path)
+    jobs, versions = read_versions(spark, ledger_path)
     competing = competing_jobs(jobs, "spark", 0, spec.target.database, spec.target.name)
+    # resolve versions only for the tasks this submission can touch
+    of_competing = current_versions(versions.join(competing.select(F.col("id").alias("job_id")), "job_id", "left_semi"))
     cancelled = 0
     if force:
-        cancel = force_cancel(tasks, manifest, now, same_target_jobs=competing)
+        same_files = versions.join(
+            manifest.select(file_id_string("name", "bucket").alias("file_id")).distinct(), "file_id", "left_semi")
+        cancel = force_cancel(current_versions(same_files), manifest, now, same_target_jobs=competing)
         cancel.cache()
         cancelled = cancel.count()
         if cancelled:
@@ -66,7 +73,7 @@ def run_load_job(spark: SparkSession, spec: LoadSpec, ledger_path: str, now: str
         cancel.unpersist()
         to_load = manifest
     else:
-        to_load = skip_unchanged(manifest, tasks, competing, now).drop("file_id")
+        to_load = skip_unchanged(manifest, of_competing, competing, now).drop("file_id")
     to_load = to_load.cache()
     submitted = to_load.count()
     ignored = manifest.count() - submitted
@@ -78,9 +85,9 @@ def run_load_job(spark: SparkSession, spec: LoadSpec, ledger_path: str, now: str
     append_versions(queued, ledger_path)
     outcome = load_files(spark, spec, to_load)
     to_load.unpersist()
-    _, tasks_now = read_ledger(spark, ledger_path)
+    _, all_versions = read_versions(spark, ledger_path)
     finished_at = _utc_now() if now is None else now
-    versions = record_outcomes(tasks_now.where(F.col("job_id") == job_id),
+    versions = record_outcomes(current_versions(all_versions.where(F.col("job_id") == job_id)),
                                outcome.verdicts.select(F.col("file_id").cast("string").alias("file_id"),
                                                        "status", "error", "row_count"),
                                finished_at, started=now)

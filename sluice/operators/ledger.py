@@ -38,9 +38,25 @@ def _now(now) -> Column:
 def read_ledger(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """``(jobs, tasks)`` of a ledger directory; tasks at their current
     version (L1).  Missing tables read as empty."""
-    jobs = _read_or_empty(spark, f"{path}/jobs", JOBS_SCHEMA)
-    tasks = _read_or_empty(spark, f"{path}/tasks", TASKS_SCHEMA)
-    return jobs, current_versions(tasks)
+    jobs, versions = read_versions(spark, path)
+    return jobs, current_versions(versions)
+
+
+def read_job_tasks(spark: SparkSession, path: str, job_prefix: str) -> tuple[DataFrame, DataFrame]:
+    """``(jobs, tasks)`` of the jobs whose id starts with ``job_prefix``: the
+    prefix is applied to the raw versions, where it reaches the Parquet scan
+    (row groups sorted by job id are skipped), before versions are resolved."""
+    jobs, versions = read_versions(spark, path)
+    return (jobs.where(F.col("id").startswith(job_prefix)),
+            current_versions(versions.where(F.col("job_id").startswith(job_prefix))))
+
+
+def read_versions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``(jobs, task versions)`` without resolving versions.  A task's
+    ``job_id`` and ``file_id`` never change between versions, so filters on
+    them can run *before* ``current_versions`` and shrink its input."""
+    return (_read_or_empty(spark, f"{path}/jobs", JOBS_SCHEMA),
+            _read_or_empty(spark, f"{path}/tasks", TASKS_SCHEMA))
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:

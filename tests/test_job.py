@@ -38,6 +38,11 @@ def test_job_cycle(spark, scratch):
     assert r4.submitted == 3
     jobs, tasks = read_ledger(spark, ledger)
     assert jobs.count() == 3
+    from sluice.operators.ledger import read_job_tasks
+    one = jobs.orderBy("id").first().id
+    j1, t1 = read_job_tasks(spark, ledger, one)
+    assert j1.count() == 1 and t1.count() == tasks.where(F.col("job_id") == one).count()
+    assert "StringStartsWith" in t1._jdf.queryExecution().executedPlan().toString()
     rep = {r.id: r for r in jobs_report(jobs, tasks, now).collect()}
     assert all(r.state == "FINISHED" for r in rep.values())
     det = job_details(jobs, tasks, now).collect()
