@@ -173,8 +173,8 @@ def cancel_jobs(jobs: DataFrame, tasks: DataFrame, now, job_prefix: str | None =
     return bulk_finish(scoped, now)
 
 
-def cancel_task(tasks: DataFrame, now, task_id: str) -> DataFrame:
-    """Cancel one task by id."""
+def cancel_task(tasks: DataFrame, now, task_id) -> DataFrame:
+    """Cancel one task by id (a string or a Column, e.g. a scalar subquery)."""
     return bulk_finish(tasks, now, F.col("id") == task_id)
 
 

@@ -631,3 +631,12 @@ SELECT {_TASK_COLS} FROM tasks t JOIN jobs j ON j.id = t.job_id WHERE j.id LIKE
 def q_job_tasks(spark, sf_dir):
     jobs, tasks = _views(spark, sf_dir, "jobs", "tasks")
     return rp.tasks_report(jobs, tasks, FIXTURE_NOW, job_prefix="00000001")
+
+
+@register("cancel_task", W("tasks") + f"""
+{_CANCEL_SQL} FROM tasks WHERE id = (SELECT min(id) FROM tasks WHERE finished IS NULL)""")
+def q_cancel_task(spark, sf_dir):
+    from sluice.operators.ledger import cancel_task
+    tasks = _views(spark, sf_dir, "tasks")
+    first_open = tasks.where(F.col("finished").isNull()).select(F.min("id")).scalar()
+    return cancel_task(tasks, FIXTURE_NOW, first_open).select(*_CHANGE_COLS)
