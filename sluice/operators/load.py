@@ -45,8 +45,27 @@ class LoadOutcome:
     staged_path: str
 
 
+BUCKET_COL = "_file_bucket"
+
+
+def _read_stored(spark: SparkSession, spec: LoadSpec) -> DataFrame:
+    """The target as stored (with the bucket partition column if bucketed)."""
+    st = spec.target.struct
+    if spec.target.file_id_buckets:
+        from pyspark.sql.types import IntegerType, StructField, StructType
+        st = StructType(st.fields + [StructField(BUCKET_COL, IntegerType())])
+    try:
+        return spark.read.schema(st).parquet(spec.target.path)
+    except Exception as e:  # noqa: BLE001 - only a missing table is expected
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return spark.createDataFrame([], st)
+        raise
+
+
 def read_target(spark: SparkSession, spec: LoadSpec) -> DataFrame:
     st = spec.target.struct
+    if spec.target.file_id_buckets:
+        return _read_stored(spark, spec).drop(BUCKET_COL)
     try:
         return spark.read.schema(st).parquet(spec.target.path)
     except Exception as e:  # noqa: BLE001 - only a missing table is expected
@@ -189,6 +208,9 @@ def load_files(spark: SparkSession, spec: LoadSpec, files, rows: DataFrame | Non
 
 def _write(spark, spec, good, target, target_kept, keys, method, fid_col, data_cols, verdicts, fids):
     path = spec.target.path
+    if fid_col and spec.target.file_id_buckets:
+        _write_bucketed(spark, spec, good, keys, method, fid_col, data_cols, fids, verdicts)
+        return
     if fid_col:
         out = good.join(fids, "_file").select(*data_cols, F.col("_fid").alias(fid_col))
         cols = data_cols + [fid_col]
@@ -213,6 +235,41 @@ def _write(spark, spec, good, target, target_kept, keys, method, fid_col, data_c
     out.write.mode("append").parquet(path)
 
 
+def _write_bucketed(spark, spec, good, keys, method, fid_col, data_cols, fids, verdicts):
+    """K5 on a bucketed target: rewrite only the buckets the batch touches.
+
+    new bucket = old rows of the bucket − rows of the reloaded files
+                 (− rows whose key is replaced) ∪ the batch's rows.
+    Staged in the shared folder first, so the overwrite never reads the
+    partitions it replaces; buckets left without rows are dropped."""
+    nb = spec.target.file_id_buckets
+    bucket = lambda c: F.pmod(F.col(c), F.lit(nb)).cast("int")
+    cols = data_cols + [fid_col]
+    new = good.join(fids, "_file").select(*data_cols, F.col("_fid").alias(fid_col))
+    new = new.withColumn(BUCKET_COL, bucket(fid_col))
+    # files whose old rows go: every successfully loaded file, empty ones
+    # included; a failed file keeps its old rows (its load is rolled back)
+    batch_fids = verdicts.where(F.col("status") == "success").select(F.col("file_id").alias(fid_col))
+    touched = batch_fids.select(bucket(fid_col).alias(BUCKET_COL))
+    stored = _read_stored(spark, spec)
+    if method == "replace" and keys:
+        # buckets of other files holding replaced keys are rewritten too
+        hit = stored.join(new.select(*keys), keys, "left_semi").select(BUCKET_COL)
+        touched = touched.unionByName(hit)
+    # staged: after the overwrite nothing may read the replaced partitions
+    touched, _ = stage(spark, touched.distinct(), "touched-buckets")
+    old = stored.join(touched, BUCKET_COL, "left_semi").join(batch_fids, fid_col, "left_anti")
+    if method == "replace" and keys:
+        old = old.join(new.select(*keys), keys, "left_anti")
+    final, _ = stage(spark, old.select(*cols, BUCKET_COL).unionByName(new.select(*cols, BUCKET_COL)), "buckets")
+    emptied = [r[0] for r in touched.join(final.select(BUCKET_COL).distinct(), BUCKET_COL, "left_anti").collect()]
+    (final.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BUCKET_COL).parquet(spec.target.path))
+    if emptied:
+        _drop_partitions(spark, spec.target.path, BUCKET_COL,
+                         spark.createDataFrame([(int(b),) for b in emptied], "file_id INT"))
+
+
 def _drop_partitions(spark: SparkSession, path: str, col: str, fids: DataFrame) -> None:
     """Delete ``col=<id>`` directories of files that now have no rows (a
     reloaded empty file, or an old file whose rows were all replaced).

@@ -140,13 +140,16 @@ def load_verdicts(spark, sf_dir):
 
 # --- per-file reload ----------------------------------------------------------------
 
-def reload_changed_file(spark, sf_dir):
+def reload_changed_file(spark, sf_dir, buckets: int | None = None):
     cust = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
     d = scratch_dir(spark, "files")
     opts = TextOptions(columns=("c_custkey", "c_name", "c_nationkey", "c_acctbal"), file_id_column="file_id")
     write_delimited(cust.withColumn("_k", F.col("c_nationkey")), d, TextOptions(), columns=cust.columns,
                     file_key="_k", files=25, order_by=["c_custkey"], stable_names=True)
     spec = _spec(spark, cust, opts, schema=cust.schema.simpleString()[:-1] + ",file_id:decimal(20,0)>")
+    if buckets:
+        from dataclasses import replace
+        spec = replace(spec, target=replace(spec.target, file_id_buckets=buckets))
     load_files(spark, spec, [d])
     # producer rewrites nations 0-4 and empties nation 5
     changed = cust.where("c_nationkey < 5").withColumn("c_acctbal", F.col("c_acctbal") + 1000)
@@ -159,6 +162,11 @@ def reload_changed_file(spark, sf_dir):
     return read_target(spark, spec).drop("file_id")
 
 
+def reload_bucketed(spark, sf_dir):
+    """K5 on a target bucketed by file id (8 buckets for 25 files)."""
+    return reload_changed_file(spark, sf_dir, buckets=8)
+
+
 # --- listing -----------------------------------------------------------------------
 
 def _tree(spark, sf_dir) -> str:

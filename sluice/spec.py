@@ -35,6 +35,10 @@ class TargetSpec:
     key_columns: tuple[str, ...] = ()
     database: str = "default"
     table: str | None = None  # logical name recorded in the ledger (P4); the data lives at ``path``
+    # With a file-id column: partition by ``pmod(file_id, buckets)`` instead
+    # of one partition per file (millions of source files would otherwise be
+    # millions of tiny partitions); a load rewrites only the touched buckets.
+    file_id_buckets: int | None = None
 
     @property
     def struct(self) -> StructType:
@@ -102,3 +106,8 @@ def check_target(spark: SparkSession, spec: LoadSpec) -> None:
             raise TargetError("options.columns can not contain the file_id_column")
         if not spec.options.columns:
             raise TargetError("options.columns must be specified if file_id_column is provided")
+    if spec.target.file_id_buckets is not None:
+        if fid is None:
+            raise TargetError("file_id_buckets needs options.file_id_column")
+        if spec.target.file_id_buckets < 1:
+            raise TargetError("file_id_buckets must be >= 1")

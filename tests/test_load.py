@@ -138,3 +138,33 @@ def test_hot_key_modes(spark, scratch):
     out = load_files(spark, err, paths)
     assert all(v.status == "error" and "Duplicate entry '0'" in v.error for v in out.verdicts.collect())
     assert _table(spark, err) == []
+
+
+def test_bucketed_reload_and_replace(spark, scratch):
+    """Bucketed file-id target: reloads and replaces give the per-file result
+    with at most ``buckets`` partition directories."""
+    import os
+    from dataclasses import replace
+    from sluice.session import local_path
+    d1 = _files(spark, scratch, {f"f{i}": [(10 * i + j, i) for j in range(5)] for i in range(12)})
+    paths = [f"{d1}/key=f{i}" for i in range(12)]
+    spec = _spec(scratch("target"), "replace", keys=("a",), fid="file_id", columns=("a", "b"))
+    spec = replace(spec, target=replace(spec.target, file_id_buckets=3))
+    load_files(spark, spec, paths)
+    assert len(_table(spark, spec)) == 60
+    dirs = [x for x in os.listdir(local_path(spec.target.path)) if x.startswith("_file_bucket=")]
+    assert 1 <= len(dirs) <= 3
+    # f0 changes (a=0..4 → b=100), f1 is emptied, f2 re-sends key 0 (replace wins over f0's new row)
+    new = spark.createDataFrame([("f0", j, j, 100) for j in range(5)] + [("f2", 0, 0, 200)],
+                                "k STRING, i INT, a INT, b INT")
+    d2 = scratch("v2")
+    write_delimited(new, d2, TextOptions(), columns=["a", "b"], file_key="k", files=2, order_by=["i"],
+                    stable_names=True)
+    replace_files(spark, d2, d1)
+    from sluice.sources.delimited import truncate_file
+    truncate_file(spark, f"{d1}/key=f1/data.txt")
+    load_files(spark, spec, [f"{d1}/key=f0", f"{d1}/key=f1", f"{d1}/key=f2"])
+    t = dict(_table(spark, spec))
+    assert t[0] == 200 and all(t[j] == 100 for j in range(1, 5))
+    assert not any(10 <= a < 25 for a in t)              # f1 emptied; f2 now holds only key 0
+    assert len(t) == 50                                   # f0: keys 1-4, f2: key 0, f3-f11: 45
