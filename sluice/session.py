@@ -89,3 +89,17 @@ def configure_s3(spark: SparkSession, access_key: str | None = None, secret_key:
         conf.set("fs.s3a.secret.key", secret_key)
     else:
         conf.set("fs.s3a.aws.credentials.provider", "org.apache.hadoop.fs.s3a.AnonymousAWSCredentialsProvider")
+
+
+def delete_paths(spark: SparkSession, paths) -> None:
+    """Remove directories this library staged (Hadoop FS, works on any
+    shared file system).  Used once a job no longer needs its staged copy."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        if not p:
+            continue
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            fs.delete(path, True)
