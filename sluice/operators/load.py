@@ -146,8 +146,8 @@ def _load_files(spark: SparkSession, spec: LoadSpec, files, rows: DataFrame | No
     ensure_checkpoint_dir(spark)
     paths = files if not isinstance(files, DataFrame) else [r["path"] for r in files.select("path").collect()]
     if not paths:
-        empty = spark.createDataFrame([], "file_id DECIMAL(20,0), name STRING, bucket STRING").select("file_id", "name", "bucket", F.lit("success").alias("status"),
-                                 F.lit(None).cast("string").alias("error"), F.lit(0).cast("bigint").alias("row_count"))
+        empty = spark.createDataFrame(
+            [], "file_id DECIMAL(20,0), name STRING, bucket STRING, status STRING, error STRING, row_count BIGINT")
         return LoadOutcome(empty, "")
     all_files = _files_frame(spark, paths, with_empty=bool(spec.options.file_id_column))
     parsed = parse_files(spark, spec, paths) if rows is None else rows
