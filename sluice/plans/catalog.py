@@ -582,6 +582,7 @@ def _register_round_trips():
         "reload_bucketed": ("SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_nationkey < 5 "
                             "THEN c_acctbal + 1000 ELSE c_acctbal END AS c_acctbal FROM customer "
                             "WHERE c_nationkey <> 5"),
+        "dry_run": "SELECT DISTINCT 'key=' || c_mktsegment || '/data.txt' AS name FROM customer",
         "list_flat": ("SELECT DISTINCT 'flat' AS pattern, 'key=' || CAST(c_nationkey AS VARCHAR) || '/data.txt' "
                       "AS name FROM customer"),
         "list_recursive": ("SELECT DISTINCT 'recursive' AS pattern, 'key=' || CAST(c_nationkey AS VARCHAR) "

@@ -196,6 +196,20 @@ def list_recursive(spark, sf_dir):
         _listed(spark, root, "deep/**", "deep")).drop("size")
 
 
+def dry_run(spark, sf_dir):
+    """What a load job would read — through the job API, nothing loaded."""
+    from sluice.operators.job import run_load_job
+    cust = _table(spark, sf_dir, "customer")
+    root = scratch_dir(spark, "dry")
+    write_delimited(cust.withColumn("_k", F.col("c_mktsegment")), root, TextOptions(), columns=cust.columns,
+                    file_key="_k", files=5, stable_names=True)
+    base = local_path(root).rstrip("/") + "/"
+    spec = _spec(spark, cust, TextOptions())
+    spec = LoadSpec(SourceSpec(paths=(base + "key=*/data.txt",)), spec.target, spec.options)
+    plan = run_load_job(spark, spec, scratch_dir(spark, "dry-ledger"), dry_run=True)
+    return plan.select(F.expr(f"substring(name, {len(base) + 1})").alias("name"))
+
+
 # --- script --------------------------------------------------------------------------
 
 def load_script(spark, sf_dir):
