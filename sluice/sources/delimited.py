@@ -58,8 +58,9 @@ class TextOptions:
     ignore_lines: int = 0
     columns: tuple[str, ...] = field(default_factory=tuple)
     file_id_column: str | None = None
-    # Allow an escape followed by a raw line terminator inside a field.  Needs
-    # whole-file reads (one task per file), so it is opt-in.
+    # Allow raw line terminators inside a field: after an escape, or (with an
+    # encloser) inside quotes — multi-line CSV cells.  Needs whole-file reads
+    # (one task per file), so it is opt-in.
     escaped_terminators: bool = False
 
     def __post_init__(self):
@@ -137,11 +138,18 @@ def read_lines(spark: SparkSession, paths: list[str], opts: TextOptions) -> Data
         whole = spark.read.text(paths, wholetext=True).select(
             _protect(F.col("value"), esc).alias("value"),
             decode_file_path(F.col("_metadata.file_path")).alias("_file"))
-        sep_re = (f"(?<!{_q(esc)})" if esc else "") + _q(lt)
-        exploded = whole.select("_file", F.posexplode(F.split("value", sep_re, -1)).alias("_line", "value"),
-                                F.size(F.split("value", sep_re, -1)).alias("_n"))
+        if opts.fields_enclosed:
+            # records end at a terminator outside quotes (raw terminators
+            # inside an enclosed field belong to the field)
+            value = F.when(F.col("value").endswith(lt), F.col("value")).otherwise(F.concat(F.col("value"), F.lit(lt)))
+            records = F.regexp_extract_all(value, F.lit(_record_pattern(opts)), 1)
+        else:
+            sep_re = (f"(?<!{_q(esc)})" if esc else "") + _q(lt)
+            records = F.split(F.col("value"), sep_re, -1)
+        exploded = whole.select("_file", F.posexplode(records).alias("_line", "value"), F.size(records).alias("_n"))
         lines = exploded.where(~((F.col("_line") == F.col("_n") - 1) & (F.col("value") == ""))).select(
-            "value", _plain_line(F.col("value"), esc, protected=True).alias("_plain"), "_file", F.lit(0).cast("bigint").alias("_block"),
+            "value", _plain_line(F.col("value"), esc, protected=True).alias("_plain"), "_file",
+            F.lit(0).cast("bigint").alias("_block"),
             F.col("_line").cast("bigint").alias("_mid"), F.col("_line").cast("bigint").alias("_line"))
     else:
         raw = spark.read.text(paths, lineSep=lt).select(
@@ -191,6 +199,17 @@ def with_line_numbers(lines: DataFrame) -> DataFrame:
 # fields
 # ---------------------------------------------------------------------------
 
+def _record_pattern(opts: TextOptions) -> str:
+    """One record of a whole (protected) file: quoted runs, escape pairs or
+    any character that is not the terminator, up to the terminator."""
+    lt, q, esc = _q(opts.lines_terminated), _q(opts.fields_enclosed), opts.fields_escaped
+    e = _q(esc) if esc else None
+    pair = f"{e}.|" if e else ""
+    not_esc = f"(?!{e})" if e else ""
+    quoted = f"{q}(?:{pair}{q}{q}|(?!{q}){not_esc}.)*+{q}"
+    return f"(?s)\\G((?:{quoted}|{pair}(?!{lt})(?!{q}){not_esc}.)*+){lt}"
+
+
 def _field_patterns(opts: TextOptions) -> str:
     sep, q, esc = _q(opts.fields_terminated), _q(opts.fields_enclosed), opts.fields_escaped
     e = _q(esc) if esc else None

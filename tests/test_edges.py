@@ -65,3 +65,15 @@ def test_sync_stream_restart_loads_each_file_once(spark, scratch):
     run_sync_stream(spark, spec, landing, ckpt)
     got = sorted(tuple(r) for r in read_target(spark, spec).collect())
     assert got == [(1, 10), (2, 20), (3, 30)]
+
+
+def test_enclosed_fields_with_raw_newlines(spark, scratch):
+    """Multi-line quoted cells (whole-file mode with an encloser)."""
+    root = local_path(scratch("csv"))
+    os.makedirs(root)
+    with open(os.path.join(root, "a.csv"), "w") as fh:
+        fh.write('1,"two\nlines",x\n2,"say ""hi""\nand, bye",y\n3,plain,\\N\n4,"a\\"b",z')
+    opts = TextOptions(fields_terminated=",", fields_enclosed='"', escaped_terminators=True)
+    from sluice.sources.delimited import read_delimited
+    got = sorted(tuple(r)[:3] for r in read_delimited(spark, root, "k INT, s STRING, t STRING", opts).collect())
+    assert got == [(1, "two\nlines", "x"), (2, 'say "hi"\nand, bye', "y"), (3, "plain", None), (4, 'a"b', "z")]
