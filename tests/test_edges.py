@@ -77,3 +77,15 @@ def test_enclosed_fields_with_raw_newlines(spark, scratch):
     from sluice.sources.delimited import read_delimited
     got = sorted(tuple(r)[:3] for r in read_delimited(spark, root, "k INT, s STRING, t STRING", opts).collect())
     assert got == [(1, "two\nlines", "x"), (2, 'say "hi"\nand, bye', "y"), (3, "plain", None), (4, 'a"b', "z")]
+
+
+def test_load_stats_without_download_step(spark):
+    """A SUCCESS task whose steps hold no download step (or none at all)."""
+    from sluice.plans.reports import job_load_stats
+    rows = [("t1", "j", '{"row_count": 5}', "success", "[]", "2020-01-01 00:00:00"),
+            ("t2", "j", '{"row_count": 7}', "success", None, "2020-01-01 00:00:00")]
+    df = spark.createDataFrame(rows, "id STRING, job_id STRING, data STRING, result STRING, steps STRING, f STRING")
+    df = df.select("id", "job_id", "data", "result", "steps", F.col("f").cast("timestamp_ntz").alias("finished"),
+                   F.lit(None).cast("string").alias("execution_id"), F.lit(None).cast("timestamp_ntz").alias("last_contact"))
+    (r,) = job_load_stats(df, "2020-01-02 00:00:00").collect()
+    assert (r.files_loaded, r.rows_loaded, r.avg_rows_per_file, r.avg_rows_per_second) == (2, 12, 6, None)
