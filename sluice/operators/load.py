@@ -149,7 +149,12 @@ def _load_files(spark: SparkSession, spec: LoadSpec, files, rows: DataFrame | No
         empty = spark.createDataFrame(
             [], "file_id DECIMAL(20,0), name STRING, bucket STRING, status STRING, error STRING, row_count BIGINT")
         return LoadOutcome(empty, "")
-    all_files = _files_frame(spark, paths, with_empty=bool(spec.options.file_id_column))
+    if isinstance(files, DataFrame) and {"name", "bucket"} <= set(files.columns):
+        # a manifest already names every file (empty ones too when listed
+        # with include_empty): no second listing
+        all_files = files.select(file_id("name", "bucket").alias("file_id"), "name", "bucket")
+    else:
+        all_files = _files_frame(spark, paths, with_empty=bool(spec.options.file_id_column))
     parsed = parse_files(spark, spec, paths) if rows is None else rows
     rows, staged_path = stage(spark, parsed)
     fids = file_ids(spark, rows)

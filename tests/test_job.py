@@ -36,8 +36,18 @@ def test_job_cycle(spark, scratch):
     assert t.where("a % 3 = 1 AND b = a * 10 + 1").count() == 100
     r4 = run_load_job(spark, spec, ledger, now=now, force=True)
     assert r4.submitted == 3
+    # a producer empties one file: sync sees the new fingerprint and removes its rows
+    from sluice.sources.delimited import truncate_file
+    truncate_file(spark, f"{landing}/key=2/data.txt")
+    r5 = run_load_job(spark, spec, ledger, now=now)
+    assert (r5.submitted, r5.ignored) == (1, 2)
+    assert read_target(spark, spec).count() == 200
+    write_delimited(df.where("_k = 2"), d2 + "-back", TextOptions(), columns=["a", "b"], file_key="_k", files=1,
+                    stable_names=True)
+    replace_files(spark, d2 + "-back", landing)
+    assert run_load_job(spark, spec, ledger, now=now).submitted == 1
     jobs, tasks = read_ledger(spark, ledger)
-    assert jobs.count() == 3
+    assert jobs.count() == 5
     from sluice.operators.ledger import read_job_tasks
     one = jobs.orderBy("id").first().id
     j1, t1 = read_job_tasks(spark, ledger, one)
@@ -46,9 +56,9 @@ def test_job_cycle(spark, scratch):
     rep = {r.id: r for r in jobs_report(jobs, tasks, now).collect()}
     assert all(r.state == "FINISHED" for r in rep.values())
     det = job_details(jobs, tasks, now).collect()
-    assert sorted(r.tasks_succeeded for r in det) == [1, 3, 3]
+    assert sorted(r.tasks_succeeded for r in det) == [1, 1, 1, 3, 3]
     stats = sorted((r.files_loaded, r.rows_loaded) for r in job_load_stats(tasks, now).collect())
-    assert stats == [(1, 100), (3, 300), (3, 300)]
+    assert stats == [(1, 0), (1, 100), (1, 100), (3, 300), (3, 300)]
     assert read_target(spark, spec).count() == 300
 
 
