@@ -25,7 +25,8 @@ class SourceSpec:
     paths: tuple[str, ...]
     fingerprint: str = "size_mtime"  # size_mtime | md5 | none
     keep_duplicates: bool = False
-    hdfs_user: str | None = None
+    # (The HDFS user is the cluster's: HADOOP_USER_NAME / Kerberos at JVM
+    # start; the namenode comes from the hdfs://host:port URI.)
 
 
 @dataclass(frozen=True)
