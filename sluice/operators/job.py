@@ -54,7 +54,8 @@ def run_load_job(spark: SparkSession, spec: LoadSpec, ledger_path: str, now: str
                           include_empty=bool(spec.options.file_id_column))
     if dry_run:
         return manifest.select("name", "size")  # S7
-    if manifest.isEmpty():
+    total = manifest.count()
+    if total == 0:
         log.warning("Paths %s matched no files", list(spec.source.paths))
         return JobResult(None, 0, 0, 0, None)
     jobs, versions = read_versions(spark, ledger_path)
@@ -76,7 +77,7 @@ def run_load_job(spark: SparkSession, spec: LoadSpec, ledger_path: str, now: str
         to_load = skip_unchanged(manifest, of_competing, competing, now).drop("file_id")
     to_load = to_load.cache()
     submitted = to_load.count()
-    ignored = manifest.count() - submitted
+    ignored = total - submitted
     if submitted == 0:
         to_load.unpersist()
         return JobResult(None, 0, ignored, cancelled, None)
