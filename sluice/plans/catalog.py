@@ -644,3 +644,21 @@ def q_cancel_task(spark, sf_dir):
     tasks = _views(spark, sf_dir, "tasks")
     first_open = tasks.where(F.col("finished").isNull()).select(F.min("id")).scalar()
     return cancel_task(tasks, FIXTURE_NOW, first_open).select(*_CHANGE_COLS)
+
+
+@register("jobs_listing", W("jobs", "tasks") + "," + _ROLLUP + "," + _JOBS_REPORT + """
+SELECT id, created, last_contact, state, tasks_queued, tasks_running, tasks_cancelled, tasks_errored,
+       tasks_finished, tasks_total, json_extract_string(spec, '$.target.database') AS database,
+       json_extract_string(spec, '$.target.table') AS "table"
+FROM report""")
+def q_jobs_listing(spark, sf_dir):
+    jobs, tasks = _views(spark, sf_dir, "jobs", "tasks")
+    return rp.jobs_listing(jobs, tasks, FIXTURE_NOW)
+
+
+@register("last_job_tasks", W("jobs", "tasks") + f"""
+SELECT {_TASK_COLS} FROM tasks t
+WHERE t.job_id = (SELECT id FROM jobs ORDER BY created DESC, id DESC LIMIT 1)""")
+def q_last_job_tasks(spark, sf_dir):
+    jobs, tasks = _views(spark, sf_dir, "jobs", "tasks")
+    return rp.last_job_tasks(jobs, tasks, FIXTURE_NOW)
