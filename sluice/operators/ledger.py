@@ -165,9 +165,13 @@ def cancel_jobs(jobs: DataFrame, tasks: DataFrame, now, job_prefix: str | None =
     if job_filter is not None:
         sel = sel.where(job_filter)
     if not multiple:
-        ids = [r["id"] for r in sel.select("id").limit(2).collect()]
-        if len(ids) != 1:
-            raise ValueError(f"job prefix {job_prefix!r} matches {'no' if not ids else 'more than one'} job")
+        ids = [r["id"] for r in sel.select("id").orderBy("id").limit(21).collect()]
+        if not ids:
+            raise ValueError(f"No job found with id `{job_prefix}`")
+        if len(ids) > 1:
+            shown = ", ".join(ids[:20]) + (", ..." if len(ids) > 20 else "")
+            raise ValueError(f"More than one job matches `{job_prefix}` ({shown}); "
+                             "use a longer prefix or multiple=True")
     targets = sel.select(F.col("id").alias("job_id"))
     scoped = tasks.where(prefix_filter("job_id", job_prefix)).join(targets, "job_id", "left_semi")
     return bulk_finish(scoped, now)
