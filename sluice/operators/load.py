@@ -24,14 +24,13 @@ One Spark job per batch of files instead of one transaction per file:
 
 from __future__ import annotations
 
-import threading
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.fileid import file_id
-from sluice.session import delete_paths, ensure_checkpoint_dir, scratch_dir
+from sluice.session import ensure_checkpoint_dir, scratch_dir, staging_scope, track_staged
 from sluice.sources.delimited import parse_lines, read_delimited, read_lines
 from sluice.sources.listing import empty_files
 from sluice.sources.paths import uri_bucket, uri_name
@@ -90,16 +89,12 @@ def parse_files(spark: SparkSession, spec: LoadSpec, paths: list[str]) -> DataFr
     return read_delimited(spark, paths, spec.target.struct, spec.options)
 
 
-_LOAD = threading.local()  # .staged: paths staged by the running load (removed at its end)
-
-
 def stage(spark: SparkSession, df: DataFrame, name: str = "stage") -> tuple[DataFrame, str]:
     """Cut lineage: write to the shared checkpoint folder and read back."""
     path = scratch_dir(spark, name)
     df.write.parquet(path)
-    staged = getattr(_LOAD, "staged", None)
-    if staged is not None and name != "verdicts":
-        staged.append(path)
+    if name != "verdicts":  # the verdicts outlive the load (they are returned)
+        track_staged(path)
     return spark.read.parquet(path), path
 
 
@@ -128,13 +123,8 @@ def file_ids(spark: SparkSession, rows: DataFrame) -> DataFrame:
 def load_files(spark: SparkSession, spec: LoadSpec, files, rows: DataFrame | None = None) -> LoadOutcome:
     """Load a batch; staged copies (rows, maps, snapshots) are deleted when
     the load ends — only the small verdict table stays (it is returned)."""
-    outer = getattr(_LOAD, "staged", None)
-    _LOAD.staged = []
-    try:
+    with staging_scope(spark):
         return _load_files(spark, spec, files, rows)
-    finally:
-        staged, _LOAD.staged = _LOAD.staged, outer
-        delete_paths(spark, staged)
 
 
 def _load_files(spark: SparkSession, spec: LoadSpec, files, rows: DataFrame | None = None) -> LoadOutcome:

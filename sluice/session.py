@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -103,3 +105,27 @@ def delete_paths(spark: SparkSession, paths) -> None:
         fs = path.getFileSystem(conf)
         if fs.exists(path):
             fs.delete(path, True)
+
+
+_STAGING = threading.local()
+
+
+def track_staged(path: str) -> None:
+    """Record a staged directory for removal when the enclosing
+    ``staging_scope`` ends (no-op outside one)."""
+    paths = getattr(_STAGING, "paths", None)
+    if paths is not None:
+        paths.append(path)
+
+
+@contextmanager
+def staging_scope(spark: SparkSession):
+    """Delete everything staged (``track_staged``) inside the block when it
+    ends; nested scopes clean up their own paths."""
+    outer = getattr(_STAGING, "paths", None)
+    _STAGING.paths = []
+    try:
+        yield
+    finally:
+        paths, _STAGING.paths = _STAGING.paths, outer
+        delete_paths(spark, paths)

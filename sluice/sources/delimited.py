@@ -187,11 +187,21 @@ def with_line_numbers(lines: DataFrame) -> DataFrame:
     count lines per split, prefix-sum the counts per file in split order, and
     add the row's offset inside its split.  One small aggregate (a row per
     split) joined back."""
+    from sluice.session import scratch_dir, track_staged
+    spark = lines.sparkSession
     per_split = lines.groupBy("_file", "_block").agg(F.min("_mid").alias("_first"),
                                                      F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_split.withColumn("_before", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
-    j = lines.join(offsets.select("_file", "_block", "_first", "_before"), ["_file", "_block"])
+    # staged (one row per split): the planner sees its true size and
+    # broadcasts it instead of shuffling every line for the join.  The lines
+    # are scanned again for the join; ``_mid`` is deterministic for an
+    # unchanged file split (same split → same partition and row order), so
+    # both scans agree — as they did when both branches sat in one plan.
+    path = scratch_dir(spark, "line-offsets")
+    offsets.select("_file", "_block", "_first", "_before").write.parquet(path)
+    track_staged(path)
+    j = lines.join(spark.read.parquet(path), ["_file", "_block"])
     return j.withColumn("_line", F.col("_mid") - F.col("_first") + F.col("_before")).drop("_first", "_before")
 
 

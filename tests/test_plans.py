@@ -34,3 +34,13 @@ def test_progress_windows_shuffle_once(spark):
     from sluice.operators.progress import with_rates
     p = _plan(with_rates(fx.samples_view(spark, SF001), skew_safe=False))
     assert p.count("Exchange hashpartitioning") == 1
+
+
+def test_skip_lines_offsets_are_broadcast(spark, scratch):
+    from pyspark.sql import functions as F
+    from sluice.sources.delimited import TextOptions, read_delimited, write_delimited
+    d = scratch("skip")
+    df = spark.range(0, 500).select(F.col("id").cast("string").alias("a"))
+    write_delimited(df, d, TextOptions(ignore_lines=2), header_lines=2, files=2)
+    p = _plan(read_delimited(spark, d, "a STRING", TextOptions(ignore_lines=2)))
+    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
