@@ -50,11 +50,12 @@ def _ranged(samples: DataFrame, task_col: str, order_col: str, partitions: int |
     the count (Parquet metadata) caps the number of partitions, and a check
     of the group sizes returns None — use the plain windows — if a middle
     group of some task is still shorter than the window."""
-    from sluice.session import scratch_dir
+    from sluice.session import scratch_dir, track_staged
     spark = samples.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_dir(spark, "progress-ranged")
     samples.repartitionByRange(n, task_col, order_col).withColumn("_pid", F.spark_partition_id()).write.parquet(path)
+    track_staged(path)
     staged = spark.read.parquet(path)
     rows = staged.count()
     cap = max(1, rows // (4 * window))
@@ -62,6 +63,7 @@ def _ranged(samples: DataFrame, task_col: str, order_col: str, partitions: int |
         path = scratch_dir(spark, "progress-ranged")
         staged.drop("_pid").repartitionByRange(cap, task_col, order_col) \
             .withColumn("_pid", F.spark_partition_id()).write.parquet(path)
+        track_staged(path)
         staged = spark.read.parquet(path)
     sizes = staged.groupBy(task_col, "_pid").count()
     edge = Window.partitionBy(task_col)
