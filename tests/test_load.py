@@ -168,3 +168,14 @@ def test_bucketed_reload_and_replace(spark, scratch):
     assert t[0] == 200 and all(t[j] == 100 for j in range(1, 5))
     assert not any(10 <= a < 25 for a in t)              # f1 emptied; f2 now holds only key 0
     assert len(t) == 50                                   # f0: keys 1-4, f2: key 0, f3-f11: 45
+
+
+def test_script_timeout_fails_the_file(spark, scratch):
+    df = spark.createDataFrame([("x", 0, "ab", 1)], "k STRING, i INT, s STRING, n INT")
+    d = scratch("files")
+    write_delimited(df, d, TextOptions(), columns=["s", "n"], file_key="k", files=1, order_by=["i"])
+    spec = LoadSpec(SourceSpec(paths=()), TargetSpec(path=scratch("t"), schema="s STRING, n INT"),
+                    TextOptions(), script="cat >/dev/null; sleep 5", script_timeout_s=1)
+    (v,) = load_files(spark, spec, [d + "/key=x"]).verdicts.collect()
+    assert v.status == "error" and "did not exit within 1 s" in v.error
+    assert read_target(spark, spec).count() == 0
