@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm import tokens as tk
-from sluice.llm.tables import table
+from sluice.llm.tables import staged, table
 
 WINDOW = 13
 BLOCK_BYTES = 8 << 20
@@ -218,6 +218,17 @@ def find_hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     return merged.mapInArrow(verdicts, _RESULT.format(id=id_type))
 
 
+def clean(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+          block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``documents``, all columns, that are not contaminated. Rows of one id and text go together."""
+    verdicts = find_hits(documents.withColumn("doc_id", F.struct("doc_id", F.xxhash64("text").alias("key"))),
+                         benchmark, window, block_bytes)
+    bad = staged(verdicts.where("contaminated").select("doc_id.*").distinct(), "contaminated")
+    bad = bad.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
+    return documents.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key")),
+                          "left_anti")
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 

@@ -30,6 +30,8 @@ ROWS = 512
 PER_LANGUAGE = 500
 LANDMARKS = 128
 RIDGE = 1e-3
+#: In a filter, texts below this resemble no language; short texts in a known language score above.
+LEAST_SCORE = 0.25
 
 _FACTORS = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35))
 _IS_LETTER = np.zeros(256, dtype=bool)
@@ -123,27 +125,46 @@ def training_rows(documents: DataFrame, per_language: int = PER_LANGUAGE) -> lis
     return [(r["lang"], r["text"]) for r in rows.orderBy("lang", "n").select("lang", "text").collect()]
 
 
+def classify(model: dict | None, texts: pa.Array) -> tuple[list[str], list[float]]:
+    """Language and score of each text."""
+    langs, scores = [], []
+    for _, _, raw, offs in tk.text_slices(texts, max_rows=ROWS):
+        if model is None:
+            langs += ["und"] * (len(offs) - 1)
+            scores += [0.0] * (len(offs) - 1)
+            continue
+        kernel = _unit(presence(raw, offs)) @ model["landmarks"]
+        out = kernel @ model["weights"] + model["bias"]
+        best = out.argmax(axis=1)
+        top = np.clip((out[np.arange(len(out)), best] + 1) / 2, 0, 1)
+        for which, value, letters in zip(best, top, has_letter(raw, offs), strict=True):
+            langs.append(model["langs"][which] if letters else "und")
+            scores.append(float(value) if letters else 0.0)
+    return langs, scores
+
+
+def identified(documents: DataFrame, model: dict | None, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``documents``, all columns, whose text has a language: not ``und``, and a score of
+    ``least`` or more."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches):
+        for batch in batches:
+            langs, scores = classify(shared.value, batch.column("text"))
+            yield batch.filter(pa.array([lang != "und" and score >= least
+                                         for lang, score in zip(langs, scores, strict=True)], pa.bool_()))
+
+    return documents.mapInArrow(keep, documents.schema)
+
+
 def predict(documents: DataFrame, model: dict | None) -> DataFrame:
     """doc_id, held_out, lang_pred and score of each row of ``documents`` (doc_id, text)."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
     id_type = documents.schema["doc_id"].dataType.simpleString()
 
     def score(batches):
-        got = shared.value
         for batch in batches:
-            langs, scores = [], []
-            for _, _, raw, offs in tk.text_slices(batch.column("text"), max_rows=ROWS):
-                if got is None:
-                    langs += ["und"] * (len(offs) - 1)
-                    scores += [0.0] * (len(offs) - 1)
-                    continue
-                kernel = _unit(presence(raw, offs)) @ got["landmarks"]
-                out = kernel @ got["weights"] + got["bias"]
-                best = out.argmax(axis=1)
-                top = np.clip((out[np.arange(len(out)), best] + 1) / 2, 0, 1)
-                for which, value, letters in zip(best, top, has_letter(raw, offs), strict=True):
-                    langs.append(got["langs"][which] if letters else "und")
-                    scores.append(float(value) if letters else 0.0)
+            langs, scores = classify(shared.value, batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(langs, pa.string()),
                  pa.array(scores, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])

@@ -128,6 +128,31 @@ def draw(rows: DataFrame, planned: DataFrame, blocks: int = BLOCKS, seed: str =
         "_words", "_quota", "_key", "_bucket", "_upto", "_s", "_p", "_b", "_before", "_end")
 
 
+def mixed(documents: DataFrame, max_repeats: float | None = MAX_REPEATS, entropy: float | None = None,
+          budget: float | None = None) -> DataFrame:
+    """``documents``, all columns, each row as often as it is drawn. Rows of one id, source and text are taken
+    as repetitions of one."""
+    key = F.xxhash64("text")
+    rows = staged(documents.select("doc_id", "source", key.alias("_text"), word_count(F.col("text")).alias("words")),
+                  "words")
+    drawn = draw(rows, plan(rows, max_repeats, entropy, budget))
+    times = drawn.groupBy("doc_id", "source", "_text").agg(F.count("*").alias("_draws")).join(
+        rows.groupBy(F.col("doc_id").alias("_i"), F.col("source").alias("_s"), F.col("_text").alias("_t"))
+        .agg(F.count("*").alias("_rows")),
+        F.col("doc_id").eqNullSafe(F.col("_i")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("_text") == F.col("_t")))
+    # repeated rows share their draws: each as many as all can have, the first ones one more
+    times = staged(times.select("_i", "_s", "_t", "_draws", "_rows"), "draws")
+    joined = documents.withColumn("_text", key).join(
+        times, F.col("doc_id").eqNullSafe(F.col("_i")) & F.col("source").eqNullSafe(F.col("_s"))
+        & (F.col("_text") == F.col("_t")))
+    place = F.when(F.col("_rows") == 1, 1).otherwise(
+        F.row_number().over(Window.partitionBy("_i", "_s", "_t").orderBy("_rows")))
+    count = F.floor(F.col("_draws") / F.col("_rows")) + F.when(
+        F.col("_place") <= F.col("_draws") % F.col("_rows"), 1).otherwise(0)
+    return (joined.withColumn("_place", place).withColumn("_n", count.cast("int")).where("_n > 0")
+            .withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*documents.columns))
+
+
 def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = staged(table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("words")),
                   "words")

@@ -482,5 +482,19 @@ def similar(documents: DataFrame, size: int, p: int, q: int) -> DataFrame:
                     .when(F.col("doc_id").isNotNull(), F.col("component_id")).cast(kind).alias("component_id")))
 
 
+def one_of_each(documents: DataFrame, size: int, p: int, q: int) -> DataFrame:
+    """The rows of ``documents``, all columns, without near duplicates: of each component the document with
+    the least id stays, once. Texts without words and rows without an id stay."""
+    found = similar(documents, size, p, q)
+    gone = found.where((F.col("n_shingles") > 0) & (F.col("doc_id") != F.col("component_id"))).select("doc_id")
+    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    kept = documents.join(staged(gone.distinct(), "gone"), "doc_id", "left_anti")
+    repeated = staged(repeated, "repeated")
+    if repeated.isEmpty():
+        return kept
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(
+        kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar(table(spark, sf_dir, "documents"), size=3, p=90, q=100)
