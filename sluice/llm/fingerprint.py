@@ -24,8 +24,11 @@ from pyspark.sql import functions as F
 
 from sluice.llm.tables import partitions, staged, table
 
+#: Cells of each of the three rows, a power of two.
 WIDTH = 8
-ROUNDS = 3 * WIDTH
+ROWS = ("a", "b", "c")
+#: Rounds of peeling; what takes more counts as a failure and is tried larger.
+ROUNDS = 10
 #: Digests for each block of a larger sketch, at most, on its first try.
 LOAD = 5
 
@@ -41,26 +44,29 @@ def digests(text: Column) -> Column:
 
 def members(keys: Column, salt: Column) -> Column:
     """Digests with their check and their cell in each row."""
-    def place(p, row):
-        return (F.pmod(F.xxhash64(p, salt, F.lit(row)), F.lit(WIDTH)) + row * WIDTH).cast("int")
+    return F.transform(keys, lambda p: F.struct(p.alias("k"), F.xxhash64(p, F.lit("check")).alias("x"),
+                                                *_places(p, salt)))
 
-    return F.transform(keys, lambda p: F.struct(
-        p.alias("k"), F.xxhash64(p, F.lit("check")).alias("x"),
-        place(p, 0).alias("a"), place(p, 1).alias("b"), place(p, 2).alias("c")))
+
+def _places(p: Column, salt: Column) -> list[Column]:
+    """The cell of a digest in each row: three parts of one hash."""
+    hashed = F.xxhash64(p, salt)
+    bits = WIDTH.bit_length() - 1
+    return [F.shiftright(hashed, 20 * j).bitwiseAND((1 << bits) - 1).cast("int").alias(name)
+            for j, name in enumerate(ROWS)]
 
 
 def cells(held: Column) -> Column:
     """The sketch of ``members``."""
-    def cell(i):
-        at = F.when(i < WIDTH, 0).when(i < 2 * WIDTH, 1).otherwise(2)
-
-        def add(acc, m):
-            own = F.when(at == 0, m["a"]).when(at == 1, m["b"]).otherwise(m["c"])
-            return F.when(own == i, _cell(acc["n"] + 1, acc["k"].bitwiseXOR(m["k"]), acc["x"].bitwiseXOR(m["x"]))
-                          ).otherwise(acc)
-        return F.aggregate(held, _cell(F.lit(0), F.lit(0).cast("long"), F.lit(0).cast("long")), add)
+    def row(name):
+        def cell(i):
+            def add(acc, m):
+                return F.when(m[name] == i, _cell(
+                    acc["n"] + 1, acc["k"].bitwiseXOR(m["k"]), acc["x"].bitwiseXOR(m["x"]))).otherwise(acc)
+            return F.aggregate(held, _cell(F.lit(0), F.lit(0).cast("long"), F.lit(0).cast("long")), add)
+        return F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)), cell)
 
-    return F.transform(F.sequence(F.lit(0), F.lit(3 * WIDTH - 1)), cell)
+    return F.concat(*map(row, ROWS))
 
 
 def _cell(n: Column, k: Column, x: Column) -> Column:
@@ -74,21 +80,20 @@ def subtracted(left: Column, right: Column) -> Column:
 
 def peeled(difference: Column, salt: Column) -> Column:
     """struct(ok, only_left, only_right): whether all was recovered, and the digests of either side."""
-    def place(p, row):
-        return (F.pmod(F.xxhash64(p, salt, F.lit(row)), F.lit(WIDTH)) + row * WIDTH).cast("int")
-
     def step(acc, _):
-        def strip(cell, i):
-            def take(c, p):
-                return F.when((p["a"] == i) | (p["b"] == i) | (p["c"] == i), _cell(
-                    c["n"] - p["n"], c["k"].bitwiseXOR(p["k"]), c["x"].bitwiseXOR(p["x"]))).otherwise(c)
-            return F.aggregate(acc["pure"], cell, take)
+        def strip(j, name):
+            def cell_of(cell, i):
+                def take(c, p):
+                    return F.when(p[name] == i, _cell(
+                        c["n"] - p["n"], c["k"].bitwiseXOR(p["k"]), c["x"].bitwiseXOR(p["x"]))).otherwise(c)
+                return F.aggregate(acc["pure"], cell, take)
+            return F.transform(F.slice(acc["cells"], j * WIDTH + 1, WIDTH), cell_of)
 
         def found(sign):
             return F.transform(F.filter(acc["pure"], lambda p: p["n"] == sign), lambda p: p["k"])
 
         return F.struct(F.when(F.size(acc["pure"]) == 0, acc["cells"]).otherwise(
-            F.transform(acc["cells"], strip)).alias("cells"),
+            F.concat(*(strip(j, name) for j, name in enumerate(ROWS)))).alias("cells"),
             F.concat(acc["left"], found(1)).alias("left"), F.concat(acc["right"], found(-1)).alias("right"),
             acc["pure"].alias("pure"))
 
@@ -97,8 +102,7 @@ def peeled(difference: Column, salt: Column) -> Column:
                           & (F.xxhash64(c["k"], F.lit("check")) == c["x"]))
         return F.struct(acc["cells"].alias("cells"), acc["left"].alias("left"), acc["right"].alias("right"),
                         F.transform(F.array_distinct(single), lambda c: F.struct(
-                            c["n"].alias("n"), c["k"].alias("k"), c["x"].alias("x"), place(c["k"], 0).alias("a"),
-                            place(c["k"], 1).alias("b"), place(c["k"], 2).alias("c"))).alias("pure"))
+                            c["n"].alias("n"), c["k"].alias("k"), c["x"].alias("x"), *_places(c["k"], salt))).alias("pure"))
 
     none = F.array().cast("array<bigint>")
     start = pure({"cells": difference, "left": none, "right": none})
@@ -173,18 +177,30 @@ def followers(documents: DataFrame) -> DataFrame:
 def edits(documents: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256 and the digests own, edited and next of each row."""
     text = F.coalesce("text", F.lit(""))
-    docs = documents.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_key"),
-                            F.length(text).cast("long").alias("n_chars"))
-    order = followers(docs).select(F.col("doc_id").alias("o_id"), F.col("text_key").alias("o_key"), "before_id",
-                                   "before_key", "before_chars")
-    held = docs.join(order, F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("text_key") == F.col("o_key")))
-    give = (held.select("before_id", "before_key",
-                        F.substring("text", F.lit(1), F.floor(F.col("before_chars") / 2).cast("int")).alias("head"),
-                        digests(F.col("text")).alias("next")).dropDuplicates(["before_id", "before_key"]))
-    rows = held.select("doc_id", "text_key", "text", "n_chars").join(
-        give, F.col("doc_id").eqNullSafe(F.col("before_id")) & (F.col("text_key") == F.col("before_key")))
+    docs = documents.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_key"))
+    chars = F.length("text").cast("long")
+    order = followers(docs.withColumn("n_chars", chars))
+
+    def keyed(df: DataFrame, row: str, text_key: str, prefix: str) -> DataFrame:
+        """With the three columns that tell rows apart, nulls among the ids included."""
+        return df.withColumns({f"{prefix}0": F.coalesce(row, F.lit(0)), f"{prefix}1": F.col(row).isNull(),
+                               f"{prefix}2": F.col(text_key)})
+
+    def same(left: str, right: str) -> Column:
+        return ((F.col(f"{left}0") == F.col(f"{right}0")) & (F.col(f"{left}1") == F.col(f"{right}1"))
+                & (F.col(f"{left}2") == F.col(f"{right}2")))
+
+    docs = keyed(docs, "doc_id", "text_key", "d").drop("text_key")
+    order = keyed(keyed(order, "doc_id", "text_key", "o"), "before_id", "before_key", "b").select(
+        "o0", "o1", "o2", "b0", "b1", "b2", "before_chars")
+    # the same columns by the same keys on both ways: one exchange of the texts serves both joins, and the
+    # heads are dealt once for the distinct and the join
+    give = (docs.join(order, same("d", "o"))
+            .select("b0", "b1", "b2", F.substring("text", F.lit(1), F.floor(F.col("before_chars") / 2).cast("int")).alias("head"),
+                    digests(F.col("text")).alias("next")).dropDuplicates(["b0", "b1", "b2"]))
+    rows = docs.join(give, same("d", "b"))
     kept = F.col("n_chars") - F.floor(F.col("n_chars") / 2)
-    rows = rows.select("doc_id", "n_chars", digests(F.col("text")).alias("own"), "next",
+    rows = rows.withColumn("n_chars", chars).select("doc_id", "n_chars", digests(F.col("text")).alias("own"), "next",
                        F.concat(F.substring("text", F.lit(1), kept.cast("int")), "head").alias("edited_text"))
     return rows.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "own", "next",
                        digests(F.col("edited_text")).alias("edited"))
