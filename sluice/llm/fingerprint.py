@@ -190,7 +190,7 @@ def edits(documents: DataFrame) -> DataFrame:
         return ((F.col(f"{left}0") == F.col(f"{right}0")) & (F.col(f"{left}1") == F.col(f"{right}1"))
                 & (F.col(f"{left}2") == F.col(f"{right}2")))
 
-    docs = keyed(docs, "doc_id", "text_key", "d").drop("text_key")
+    docs = keyed(docs, "doc_id", "text_key", "d").select("text", "d0", "d1", "d2")
     order = keyed(keyed(order, "doc_id", "text_key", "o"), "before_id", "before_key", "b").select(
         "o0", "o1", "o2", "b0", "b1", "b2", "before_chars")
     # the same columns by the same keys on both ways: one exchange of the texts serves both joins, and the
@@ -198,7 +198,8 @@ def edits(documents: DataFrame) -> DataFrame:
     give = (docs.join(order, same("d", "o"))
             .select("b0", "b1", "b2", F.substring("text", F.lit(1), F.floor(F.col("before_chars") / 2).cast("int")).alias("head"),
                     digests(F.col("text")).alias("next")).dropDuplicates(["b0", "b1", "b2"]))
-    rows = docs.join(give, same("d", "b"))
+    kind = documents.schema["doc_id"].dataType
+    rows = docs.join(give, same("d", "b")).withColumn("doc_id", F.when(~F.col("d1"), F.col("d0")).cast(kind))
     kept = F.col("n_chars") - F.floor(F.col("n_chars") / 2)
     rows = rows.withColumn("n_chars", chars).select("doc_id", "n_chars", digests(F.col("text")).alias("own"), "next",
                        F.concat(F.substring("text", F.lit(1), kept.cast("int")), "head").alias("edited_text"))
