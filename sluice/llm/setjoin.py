@@ -16,8 +16,8 @@ answers those of the sets near it follow by their few differences:
 ``|x & y| = |h| - |Rx| - |Ry| + |Rx & Ry| + |Ax & Ay|`` with R and A what a set lacks and adds against the
 hub. After the links so found are joined to components, lists whose sets are all in one component need
 nothing more; in the others the sets of different components are compared in blocks, and only links that join
-components leave a task: no link between different sets is lost, and no group is expanded into its pairs. Before sets travel, one byte for each of
-``4 * (differing members) + 4`` blocks tells pairs apart: all but as many blocks as the sets may differ in
+components leave a task: no link between different sets is lost, and no group is expanded into its pairs. Before sets travel, four bits for each of
+``1.5 * (differing members) + 4`` blocks tell pairs apart: all but as many blocks as the sets may differ in
 must be equal.
 
 Lists are made in two steps: each task keeps, of the sets that share a list within a slice, the least as
@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm import tokens as tk
 from sluice.llm.components import components
-from sluice.llm.tables import staged, table
+from sluice.llm.tables import may_be_in, staged, table
 
 _U = np.uint64
 _M1, _M2 = _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9)
@@ -71,7 +71,7 @@ class Bands:
         self.slack = 1 + differ // (16 if wide else 10)
         self.blocks = differ + 1 + self.slack
         self.blocks[0] = 0
-        self.bytes = 4 * differ + 4
+        self.marks = differ + differ // 2 + 4
 
     def own(self, size: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.tops, size)
@@ -127,7 +127,8 @@ def entries(row: np.ndarray, hashed: np.ndarray, size: np.ndarray, bands: Bands,
         stamp = band[set_of].astype(_U) * _M2 + place.astype(_U) * _U(0x9E3779B97F4A7C15)
 
         def add(keep, held, summed, kind, set_of=set_of, stamp=stamp):
-            lists.append(tk.mix(summed[keep] + held[keep].astype(_U) * _M1 + stamp[keep] + _U(kind)))
+            key = tk.mix(summed[keep] + held[keep].astype(_U) * _M1 + stamp[keep] + _U(kind))
+            lists.append(key & ~_U(1) | band[set_of[keep]].astype(_U) & _U(1))  # the band's parity, for its marks
             owners.append(set_of[keep])
 
         use = rare & (count[row] > 0)
@@ -147,10 +148,17 @@ def entries(row: np.ndarray, hashed: np.ndarray, size: np.ndarray, bands: Bands,
     return np.concatenate(lists), np.concatenate(owners)
 
 
-def signature(hashed: np.ndarray, blocks: int) -> bytes:
-    """A byte for the content of each block of one set."""
-    held, summed = _blocks(np.zeros(len(hashed), dtype=np.int64), hashed, np.array([blocks]))
-    return tk.mix(summed + held.astype(_U)).astype(np.uint8).tobytes()
+def marks(hashed: np.ndarray, blocks: int) -> bytes:
+    """Four bits for the content of each block of one set."""
+    held, summed = _blocks(np.zeros(len(hashed), dtype=np.int64), hashed, np.array([blocks + blocks % 2]))
+    four = tk.mix(summed + held.astype(_U)).astype(np.uint8) & 15
+    return (four[::2] | four[1::2] << 4).tobytes()
+
+
+def marks_differ(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Blocks whose marks differ, along the last axis."""
+    z = x ^ y
+    return np.count_nonzero(z & 15, axis=-1) + np.count_nonzero(z >> 4, axis=-1)
 
 
 def _sorted(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -308,21 +316,14 @@ def _links(batches, bands: Bands):
 
 
 def _promising(batches, bands: Bands):
-    """The pairs whose signatures leave room for a link."""
+    """The pairs whose marks leave room for a link."""
     for batch in batches:
-        col = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in
-               ("doc", "hub_doc", "n", "hub_n", "band", "hub_band")}
-        high = np.maximum(col["band"], col["hub_band"])
-        limit = bands.may_differ(col["n"], col["hub_n"])
-        own = [batch.column("sig0"), batch.column("sig1")]
-        hub = [batch.column("hub_sig0"), batch.column("hub_sig1")]
-        keep = np.zeros(len(batch), dtype=bool)
-        for i in np.flatnonzero(high - np.minimum(col["band"], col["hub_band"]) <= 1):
-            x = np.frombuffer(own[high[i] - col["band"][i]][i].as_buffer(), dtype=np.uint8)
-            y = np.frombuffer(hub[high[i] - col["hub_band"][i]][i].as_buffer(), dtype=np.uint8)
-            keep[i] = np.count_nonzero(x != y) <= limit[i]
-        yield pa.RecordBatch.from_arrays([pa.array(col["hub_doc"][keep]), pa.array(col["doc"][keep])],
-                                         names=["hub_doc", "doc"])
+        limit = bands.may_differ(batch.column("n").to_numpy(), batch.column("hub_n").to_numpy())
+        keep = []
+        for x, y, most in zip(batch.column("marks"), batch.column("hub_marks"), limit, strict=True):
+            x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint8) for v in (x, y))
+            keep.append(len(x) == len(y) and bool(marks_differ(x, y) <= most))
+        yield batch.select(["hub_doc", "doc"]).filter(pa.array(keep, pa.bool_()))
 
 
 class _Joined:
@@ -341,23 +342,32 @@ class _Joined:
 
 
 def _pairs_apart(group: pa.Table, bands: Bands, joined: _Joined) -> Iterator[tuple[int, int]]:
-    """Rows of two blocks of sets, of labels not joined so far, whose signatures leave room for a link."""
-    col = {c: group.column(c).to_numpy() for c in ("label", "n", "band", "own", "i", "j")}
-    for top in np.unique(col["band"]):
-        # pairs whose larger set is of this band; linked sets are at most one band apart
-        at = np.flatnonzero((col["band"] == top) | (col["band"] == top - 1))
-        sigs = np.stack([np.frombuffer(group.column(f"sig{top - int(col['band'][k])}")[int(k)].as_buffer(), np.uint8)
-                         for k in at])
-        label, n, own, high = (col[c][at] for c in ("label", "n", "own", "band"))
+    """Rows of two blocks of sets, of labels not joined so far, whose marks leave room for a link."""
+    col = {c: group.column(c).to_numpy() for c in ("label", "n", "own", "i", "j")}
+    if "marks" in group.schema.names:  # of a list: all in its band's marks, but for lists that met by chance
+        own = [np.frombuffer(x.as_buffer(), np.uint8) for x in group.column("marks")]
+        length = np.array([len(x) for x in own])
+        parts = [(np.flatnonzero(length == size), own, None) for size in np.unique(length)]
+    else:  # of a family: pairs by the band of the larger set; linked sets are at most one band apart
+        band = group.column("band").to_numpy()
+        parts = []
+        for top in np.unique(band):
+            at = np.flatnonzero((band == top) | (band == top - 1))
+            parts.append((at, {k: np.frombuffer(group.column(f"marks{top - int(band[k])}")[int(k)].as_buffer(),
+                                                np.uint8) for k in at}, band == top))
+    for at, own, is_top in parts:
+        sigs = np.stack([own[k] for k in at])
+        label, n, place = (col[c][at] for c in ("label", "n", "own"))
+        top = np.ones(len(at), dtype=bool) if is_top is None else is_top[at]
         for k in range(len(at) - 1):
-            fits = ((label != label[k]) & ((high == top) | (high[k] == top))
+            fits = ((label != label[k]) & (top | top[k])
                     & (bands.q * np.minimum(n, n[k]) >= bands.p * np.maximum(n, n[k])))
             fits[:k + 1] = False
             if col["i"][0] != col["j"][0]:
-                fits &= own != own[k]
+                fits &= place != place[k]
             other = np.flatnonzero(fits)
             if len(other):
-                differ = np.count_nonzero(sigs[other] != sigs[k], axis=1)
+                differ = marks_differ(sigs[other], sigs[k])
                 for o in other[differ <= bands.may_differ(n[other], n[k])]:
                     if joined.find(int(label[k])) != joined.find(int(label[o])):
                         yield int(at[k]), int(at[o])
@@ -366,7 +376,7 @@ def _pairs_apart(group: pa.Table, bands: Bands, joined: _Joined) -> Iterator[tup
 def _families(group: pa.Table, bands: Bands) -> pa.Table:
     """Of the components in two blocks of a list: edges that connect those which may be linked."""
     group, joined, out = group.combine_chunks(), _Joined(), []
-    doc, label = group.column("doc").to_numpy(), group.column("label").to_numpy()
+    label = group.column("label").to_numpy()
     for x, y in _pairs_apart(group, bands, joined):
         joined.join(int(label[x]), int(label[y]))
         out.append((int(label[x]), int(label[y])))
@@ -412,8 +422,9 @@ def similar(documents: DataFrame, size: int, p: int, q: int) -> DataFrame:
 
     # the sets of every listed class, from the text of its first document
     pairs = lists.select("hub", "node").distinct()
-    wanted = (pairs.select(F.explode(F.array("hub", "node")).alias("c1")).distinct()
-              .join(classes, "c1").select(F.col("doc").alias("doc_id"), "c1", "c2"))
+    wanted = staged(pairs.select(F.explode(F.array("hub", "node")).alias("c1")).distinct()
+                    .join(classes, "c1").select(F.col("doc").alias("doc_id"), "c1", "c2"), "wanted")
+    likely = may_be_in(wanted.select(F.col("doc_id").cast("long")))  # so that few other texts are shuffled
 
     def sets(batches):
         for batch in batches:
@@ -423,18 +434,18 @@ def similar(documents: DataFrame, size: int, p: int, q: int) -> DataFrame:
                 n, c1, c2 = digests(row, hashed, last - first)
                 for m, x, y, i, j in zip(n, c1.view(np.int64), c2.view(np.int64), cuts[:-1], cuts[1:], strict=True):
                     band = int(bands.own(m))
-                    out.append((int(x), int(y), int(m), band, *(signature(hashed[i:j], int(bands.bytes[b]))
+                    out.append((int(x), int(y), int(m), band, *(marks(hashed[i:j], int(bands.marks[b]))
                                                                 for b in (band, band + 1)), hashed[i:j].tobytes()))
             cols = list(zip(*out, strict=True)) if out else [[]] * 7
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), batch.column("c1"), batch.column("c2"),
                  *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))],
-                names=["doc", "c1", "c2", "own1", "own2", "n", "band", "sig0", "sig1", "set"])
+                names=["doc", "c1", "c2", "own1", "own2", "n", "band", "marks0", "marks1", "set"])
 
     members = staged(
-        documents.select("doc_id", "text").join(wanted, "doc_id").mapInArrow(
-            sets, "doc long, c1 long, c2 long, own1 long, own2 long, n long, band int, sig0 binary, sig1 binary, "
+        documents.select("doc_id", "text").where(likely(F.col("doc_id").cast("long"))).join(wanted, "doc_id").mapInArrow(
+            sets, "doc long, c1 long, c2 long, own1 long, own2 long, n long, band int, marks0 binary, marks1 binary, "
                   "set binary")
         .where("c1 = own1 and c2 = own2").drop("own1", "own2", "c2").dropDuplicates(["doc", "c1"]), "members")
 
@@ -445,25 +456,29 @@ def similar(documents: DataFrame, size: int, p: int, q: int) -> DataFrame:
                 .select("hub_doc", "hub_set", "doc", "set").sortWithinPartitions("hub_doc"))
         return rows.mapInArrow(lambda batches: _links(batches, bands), "a long, b long")
 
-    side = members.select("doc", "c1", "n", "band", "sig0", "sig1")
+    side = members.select("doc", "c1", "n", "band", "marks0", "marks1")
     stars = (pairs.join(side.withColumnRenamed("c1", "node"), "node")
              .join(side.select(F.col("c1").alias("hub"), *(F.col(c).alias(f"hub_{c}") for c in
-                                                           ("doc", "n", "band", "sig0", "sig1"))), "hub")
+                                                           ("doc", "n", "band", "marks0", "marks1"))), "hub")
              .where((F.col("hub_doc") != F.col("doc"))
                     & (q * F.least("n", "hub_n") >= p * F.greatest("n", "hub_n")))
-             .drop("hub", "node").mapInArrow(lambda batches: _promising(batches, bands), "hub_doc long, doc long"))
+             .select("hub_doc", "doc", "n", "hub_n",
+                     F.when(F.col("hub_band") > F.col("band"), F.col("marks1")).otherwise(F.col("marks0")).alias("marks"),
+                     F.when(F.col("hub_band") < F.col("band"), F.col("hub_marks1")).otherwise(F.col("hub_marks0"))
+                     .alias("hub_marks"))
+             .mapInArrow(lambda batches: _promising(batches, bands), "hub_doc long, doc long"))
     links = staged(compared(stars), "first-links")
     labels = staged(components(links), "labels")
 
     # lists with sets of several components: families of components that may be linked, then their sets
-    side = side.drop("c1")
     entry = staged(lists.select("list", F.explode(F.array("hub", "node")).alias("c1")).distinct()
                    .join(members.select("doc", "c1"), "c1").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
                    .select("list", "doc", F.coalesce("label", "doc").alias("label")), "entries")
     mixed = (entry.groupBy("list").agg(F.min("label").alias("l"), F.max("label").alias("m")).where("l < m")
              .select("list"))
-    apart = entry.join(mixed, "list").join(side, "doc").withColumn(
-        "bytes_", F.octet_length("sig0") + F.octet_length("sig1"))
+    own = F.when(F.pmod("list", F.lit(2)) == F.pmod("band", F.lit(2)), F.col("marks0")).otherwise(F.col("marks1"))
+    apart = (entry.join(mixed, "list").join(side.drop("c1"), "doc").select("list", "doc", "label", "n", own.alias("marks"))
+             .withColumn("bytes_", F.octet_length("marks")))
     edges = staged(_in_blocks(apart, "list").groupBy("list", "i", "j")
                    .applyInArrow(lambda t: _families(t, bands), "a long, b long").distinct(), "family-edges")
     family = components(edges).select(F.col("node").alias("label"), F.col("label").alias("family"))
@@ -488,7 +503,11 @@ def one_of_each(documents: DataFrame, size: int, p: int, q: int) -> DataFrame:
     found = similar(documents, size, p, q)
     gone = found.where((F.col("n_shingles") > 0) & (F.col("doc_id") != F.col("component_id"))).select("doc_id")
     repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    kept = documents.join(staged(gone.distinct(), "gone"), "doc_id", "left_anti")
+    gone = staged(gone.distinct(), "gone")
+    likely = F.coalesce(may_be_in(gone)(F.col("doc_id")), F.lit(False))
+    # only the texts that may go are shuffled
+    kept = documents.where(~likely).unionByName(documents.where(likely).join(gone, "doc_id", "left_anti")
+                                                .select(documents.columns))
     repeated = staged(repeated, "repeated")
     if repeated.isEmpty():
         return kept

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sluice.session import scratch_dir
 
+#: Bits of a membership filter (8 MB), whatever the number of keys.
+FILTER_BITS = 1 << 26
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -22,3 +30,23 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def may_be_in(keys: DataFrame) -> Callable[[Column], Column]:
+    """A test that holds for every value of the one column of ``keys`` and for few others, as a bitmap of
+    fixed size. More keys only make it let more rows pass to the join that must follow."""
+    spark = keys.sparkSession
+    value = F.pmod(F.xxhash64(keys.columns[0]), F.lit(FILTER_BITS)) + 1
+    parts = (keys.select(value.alias("v")).groupBy(F.bitmap_bucket_number("v").alias("bucket"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("bits")).collect())
+    bits = np.zeros((FILTER_BITS // 32768, 4096), dtype=np.uint8)
+    for row in parts:
+        bits[row["bucket"] - 1] = np.frombuffer(bytes(row["bits"]), dtype=np.uint8)
+    shared = spark.sparkContext.broadcast(bits.ravel())
+
+    @F.pandas_udf("boolean")
+    def held(v: pd.Series) -> pd.Series:
+        at = v.to_numpy(dtype=np.int64)
+        return pd.Series((shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)
+
+    return lambda column: held(F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)))
