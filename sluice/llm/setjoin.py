@@ -451,8 +451,11 @@ def similar(documents: DataFrame, size: int, p: int, q: int) -> DataFrame:
 
     def compared(of: DataFrame) -> DataFrame:
         """Links among pairs of classes, by their documents (hub_doc, doc)."""
-        rows = (of.join(members.select("doc", "set"), "doc")
-                .join(members.select(F.col("doc").alias("hub_doc"), F.col("set").alias("hub_set")), "hub_doc")
+        of = staged(of, "pairs")
+        near = may_be_in(of.select(F.explode(F.array("hub_doc", "doc")).alias("doc")).distinct())
+        sets_near = members.where(near(F.col("doc"))).select("doc", "set")  # few of all sets are shuffled
+        rows = (of.join(sets_near, "doc")
+                .join(sets_near.select(F.col("doc").alias("hub_doc"), F.col("set").alias("hub_set")), "hub_doc")
                 .select("hub_doc", "hub_set", "doc", "set").sortWithinPartitions("hub_doc"))
         return rows.mapInArrow(lambda batches: _links(batches, bands), "a long, b long")
 
@@ -482,8 +485,9 @@ def similar(documents: DataFrame, size: int, p: int, q: int) -> DataFrame:
     edges = staged(_in_blocks(apart, "list").groupBy("list", "i", "j")
                    .applyInArrow(lambda t: _families(t, bands), "a long, b long").distinct(), "family-edges")
     family = components(edges).select(F.col("node").alias("label"), F.col("label").alias("family"))
-    sets_of = (members.drop("c1").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
-               .withColumn("label", F.coalesce("label", "doc")).join(family, "label")
+    where = staged(members.select("doc").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
+                   .withColumn("label", F.coalesce("label", "doc")).join(family, "label"), "family-members")
+    sets_of = (members.where(may_be_in(where.select("doc"))(F.col("doc"))).drop("c1").join(where, "doc")
                .withColumn("bytes_", F.octet_length("set")))
     more = (_in_blocks(sets_of, "family").groupBy("family", "i", "j")
             .applyInArrow(lambda t: _settled(t, bands), "a long, b long"))
