@@ -25,7 +25,8 @@ from sluice.functions.fileid import file_id_string
 from sluice.operators.ledger import (
     append_versions, current_versions, enqueue, force_cancel, job_row, read_versions, record_outcomes,
 )
-from sluice.operators.load import load_files
+from sluice.operators.load import load_files, stage
+from sluice.session import delete_paths
 from sluice.operators.submit import competing_jobs, skip_unchanged
 from sluice.sources.listing import list_files
 from sluice.spec import LoadSpec, check_target
@@ -49,7 +50,7 @@ def _utc_now() -> str:
 def run_load_job(spark: SparkSession, spec: LoadSpec, ledger_path: str, now: str | None = None,
                  force: bool = False, dry_run: bool = False) -> JobResult | DataFrame:
     check_target(spark, spec)
-    now = now or _utc_now()
+    fixed, now = now, now or _utc_now()
     manifest = list_files(spark, list(spec.source.paths), spec.source.fingerprint, spec.source.keep_duplicates,
                           include_empty=bool(spec.options.file_id_column))
     if dry_run:
@@ -75,25 +76,37 @@ def run_load_job(spark: SparkSession, spec: LoadSpec, ledger_path: str, now: str
         to_load = manifest
     else:
         to_load = skip_unchanged(manifest, of_competing, competing, now).drop("file_id")
-    to_load = to_load.cache()
+    # written, not cached: appends to the ledger below would have a cached plan computed again, over them
+    to_load, staged_path = stage(spark, to_load, "to-load")
     submitted = to_load.count()
     ignored = total - submitted
     if submitted == 0:
-        to_load.unpersist()
+        delete_paths(spark, [staged_path])
         return JobResult(None, 0, ignored, cancelled, None)
     job_id = uuid.uuid1().hex
     queued = enqueue(to_load, job_id, now)
+    # the job is visible while it runs; a load that fails leaves no task queued
+    append_versions(job_row(spark, job_id, now, spec.to_json()), ledger_path, table="jobs")
     append_versions(queued, ledger_path)
-    outcome = load_files(spark, spec, to_load)
-    to_load.unpersist()
+    try:
+        outcome = load_files(spark, spec, to_load)
+    except Exception as failure:
+        _, all_versions = read_versions(spark, ledger_path)
+        mine = current_versions(all_versions.where(F.col("job_id") == job_id))
+        failed = mine.select("file_id", F.lit("error").alias("status"),
+                             F.lit(f"load failed: {str(failure).splitlines()[0]}").alias("error"),
+                             F.lit(0).cast("bigint").alias("row_count"))
+        append_versions(record_outcomes(mine, failed, fixed or _utc_now(), started=now), ledger_path)
+        raise
+    finally:
+        delete_paths(spark, [staged_path])
     _, all_versions = read_versions(spark, ledger_path)
-    finished_at = _utc_now() if now is None else now
+    finished_at = fixed or _utc_now()
     versions = record_outcomes(current_versions(all_versions.where(F.col("job_id") == job_id)),
                                outcome.verdicts.select(F.col("file_id").cast("string").alias("file_id"),
                                                        "status", "error", "row_count"),
                                finished_at, started=now)
     append_versions(versions, ledger_path)
-    append_versions(job_row(spark, job_id, now, spec.to_json()), ledger_path, table="jobs")
     return JobResult(job_id, submitted, ignored, cancelled, outcome.verdicts)
 
 

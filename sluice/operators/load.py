@@ -24,7 +24,9 @@ One Spark job per batch of files instead of one transaction per file:
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -134,7 +136,9 @@ def _load_files(spark: SparkSession, spec: LoadSpec, files, rows: DataFrame | No
     written when this returns."""
     check_target(spark, spec)
     ensure_checkpoint_dir(spark)
-    paths = files if not isinstance(files, DataFrame) else [r["path"] for r in files.select("path").collect()]
+    # a manifest names files, not patterns: glob characters in a name stand for themselves
+    paths = files if not isinstance(files, DataFrame) else [
+        re.sub(r"([\\\[\]{}*?])", r"\\\1", r["path"]) for r in files.select("path").collect()]
     if not paths:
         empty = spark.createDataFrame(
             [], "file_id DECIMAL(20,0), name STRING, bucket STRING, status STRING, error STRING, row_count BIGINT")
@@ -163,27 +167,29 @@ def _load_files(spark: SparkSession, spec: LoadSpec, files, rows: DataFrame | No
 
     # --- A11: failures per row, earliest per file -----------------------------
     clean = rows.where(F.col("_error").isNull())
+    # ``ignore`` forgives bad values and duplicate keys, never a file that could not be read
+    unread = F.col("_fatal") if "_fatal" in rows.columns else F.lit(False)
     if not keys:
         # one pass: earliest failure and clean-row count per file
         per = rows.groupBy("_file").agg(
-            F.min_by("_error", F.when(F.col("_error").isNotNull(), _order_key())).alias("error"),
-            F.count_if(F.col("_error").isNull()).alias("n_clean"))
-        if method == "ignore":
-            per = per.select("_file", F.lit(None).cast("string").alias("error"), F.col("n_clean").alias("row_count"))
-            good = clean
-        else:
-            per = per.select("_file", "error", F.when(F.col("error").isNull(), F.col("n_clean"))
-                             .otherwise(F.lit(0)).alias("row_count"))
-            good = clean.join(per.where(F.col("error").isNotNull()).select("_file"), "_file", "left_anti")
+            F.min_by("_error", F.when(F.col("_error").isNotNull() & ((F.lit(method) != "ignore") | unread),
+                                      _order_key())).alias("error"),
+            F.count_if(F.col("_error").isNull()).alias("n_clean"),
+            F.max(F.col("_error").isNotNull() & ((F.lit(method) != "ignore") | unread)).alias("failed"))
+        per = per.select("_file", F.when(F.col("failed"), F.col("error")).alias("error"),
+                         F.when(F.col("failed"), F.lit(0)).otherwise(F.col("n_clean")).alias("row_count"))
+        good = clean.join(per.where(F.col("error").isNotNull()).select("_file"), "_file", "left_anti")
         per_file = fids.join(per, "_file", "left").select(F.col("_fid").alias("file_id"), "error", "row_count")
     else:
-        failures = rows.where(F.col("_error").isNotNull()).select(*_ORDER, F.col("_error").alias("msg"))
-        if method == "ignore":
-            failures = failures.limit(0)
+        failing = F.col("_error").isNotNull() & (unread if method == "ignore" else F.lit(True))
+        failures = rows.where(failing).select(*_ORDER, F.col("_error").alias("msg"))
+        # as in the source's unique keys, a NULL in a key makes it differ from every other
+        whole = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
+        keyed, free = clean.where(whole), clean.where(~whole)
         if method == "error":
             # aggregate per (key, file) first — partial, map-side — so a key
             # holding a third of all rows is one row per file before any join
-            per_key_file = clean.groupBy(*keys, "_file").agg(
+            per_key_file = keyed.groupBy(*keys, "_file").agg(
                 F.count(F.lit(1)).alias("_n"), F.min(_order_key()).alias("_first"))
             in_batch = per_key_file.groupBy(*keys).agg(F.sum("_n").alias("_n")).where(F.col("_n") > 1).select(*keys)
             in_target = target_kept.select(*keys).join(per_key_file.select(*keys).distinct(), keys, "left_semi")
@@ -199,14 +205,17 @@ def _load_files(spark: SparkSession, spec: LoadSpec, files, rows: DataFrame | No
         # --- rows to write ---------------------------------------------------
         if method == "ignore":
             # first row per key (partial aggregate), then drop keys the target has
-            good = (clean.groupBy(*keys).agg(F.min_by(F.struct(*clean.columns), _order_key()).alias("_r"))
+            sound = keyed.join(first_failure.select("_file"), "_file", "left_anti")
+            good = (sound.groupBy(*keys).agg(F.min_by(F.struct(*clean.columns), _order_key()).alias("_r"))
                     .select("_r.*"))
-            good = good.join(target_kept.select(*keys), keys, "left_anti")
+            good = good.join(target_kept.select(*keys), keys, "left_anti").select(clean.columns).unionByName(
+                free.join(first_failure.select("_file"), "_file", "left_anti").select(clean.columns))
         else:
             good = clean.join(first_failure.select("_file"), "_file", "left_anti")
             if method == "replace":
-                good = (good.groupBy(*keys).agg(F.max_by(F.struct(*good.columns), _order_key()).alias("_r"))
-                        .select("_r.*"))
+                good = (good.where(whole).groupBy(*keys)
+                        .agg(F.max_by(F.struct(*clean.columns), _order_key()).alias("_r"))
+                        .select("_r.*").unionByName(good.where(~whole).select(clean.columns)))
         counts = good.groupBy("_file").agg(F.count(F.lit(1)).alias("row_count"))
         per_file = (fids.join(first_failure, "_file", "left").join(counts, "_file", "left")
                     .select(F.col("_fid").alias("file_id"), "error", "row_count"))

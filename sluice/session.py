@@ -40,7 +40,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory the cluster names.
 
     The cluster setting (``spark.checkpoint.dir``) always wins; only when it is
-    unset (local tests) do we create one of our own.
+    unset on a local master (tests) do we create one of our own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a folder all nodes share")
     own = tempfile.mkdtemp(prefix="sluice-ckpt-")
     sc.setCheckpointDir(own)
     return sc.getCheckpointDir() or own

@@ -73,7 +73,7 @@ class TextOptions:
         if self.ignore_lines < 0:
             raise ValueError("ignore_lines must be >= 0")
         if self.file_id_column and self.file_id_column in self.columns:
-            raise ValueError("options.columns can not contain the file_id_column")
+            raise ValueError("the file id column is filled by the load and cannot be one of the columns read")
 
     def with_(self, **kw) -> "TextOptions":
         return replace(self, **kw)
@@ -309,7 +309,9 @@ def parse_lines(lines: DataFrame, schema, opts: TextOptions) -> DataFrame:
     err = F.coalesce(*errors) if errors else F.lit(None).cast("string")
     out_names = [f.name for f in st.fields if f.name != opts.file_id_column]
     keep_meta = [c for c in meta if c != "_script_error"]
-    return typed.select(*out_names, *keep_meta, err.alias("_error"))
+    # the file itself could not be read (not: one of its values could not be parsed)
+    fatal = [F.col("_script_error").isNotNull().alias("_fatal")] if "_script_error" in meta else []
+    return typed.select(*out_names, *keep_meta, err.alias("_error"), *fatal)
 
 
 def read_delimited(spark: SparkSession, paths: list[str] | str, schema, opts: TextOptions | None = None) -> DataFrame:

@@ -65,30 +65,41 @@ class LoadPath:
         return "^" + glob_to_regex(self.pattern) + "$"
 
 
+def _in_bucket(parsed, path: str) -> LoadPath:
+    return LoadPath("s3", parsed.netloc, parsed.path[1:])
+
+
+def _on_hdfs(parsed, path: str) -> LoadPath:
+    return LoadPath("hdfs", None, "/" + parsed.path.lstrip("/"), authority=parsed.netloc or None)
+
+
+def _on_disk(parsed, path: str) -> LoadPath:
+    raw = parsed.netloc + parsed.path if parsed.scheme else path
+    return LoadPath("file", None, os.path.abspath(raw) if not raw.startswith("/") else raw)
+
+
+_BY_SCHEME = {"s3": _in_bucket, "hdfs": _on_hdfs, "file": _on_disk, "": _on_disk}
+
+# what a path of each kind may not be: (applies to, is wrong, why)
+_WRONG = (
+    ("file", lambda p: "|" in p.pattern, "a local pattern has no alternatives: '|' is not allowed"),
+    ("s3", lambda p: has_magic(p.bucket or ""), "the bucket must be a plain name without glob characters"),
+    ("s3", lambda p: bool(p.bucket) and not p.pattern, "a key or pattern must follow the bucket"),
+)
+
+
 def resolve_path(path: str) -> LoadPath:
     """Scheme by prefix (none = local); errors for an unknown scheme,
     ``|`` in a local pattern, glob characters in a bucket, or a bucket with
     no key pattern."""
     parsed = urlparse(path)
-    scheme = parsed.scheme
-    if scheme == "s3":
-        lp = LoadPath("s3", parsed.netloc, parsed.path[1:])
-    elif scheme == "hdfs":
-        lp = LoadPath("hdfs", None, "/" + parsed.path.lstrip("/"), authority=parsed.netloc or None)
-    elif scheme in ("file", ""):
-        raw = parsed.netloc + parsed.path if scheme else path
-        if "|" in raw:
-            raise PathError("OR (|) operators are not supported in file patterns")
-        lp = LoadPath("file", None, raw if raw.startswith("/") else os.path.abspath(raw))
-    else:
-        raise PathError(f"Unknown file scheme {scheme}")
-    if lp.scheme == "file" and "|" in lp.pattern:
-        raise PathError("OR (|) operators are not supported in file patterns")
-    if lp.bucket is not None and has_magic(lp.bucket):
-        raise PathError(f"Buckets ({lp.bucket}) cannot have pattern characters ('*', '[', ']')")
-    if lp.bucket and not lp.pattern:
-        raise PathError(f"Path '{path}' specifies a bucket ('{lp.bucket}') but cannot match any keys")
-    return lp
+    if parsed.scheme not in _BY_SCHEME:
+        raise PathError(f"{path!r}: no reader for the scheme {parsed.scheme!r}; known: s3, hdfs, file")
+    found = _BY_SCHEME[parsed.scheme](parsed, path)
+    for scheme, wrong, why in _WRONG:
+        if found.scheme == scheme and wrong(found):
+            raise PathError(f"{path!r}: {why}")
+    return found
 
 
 def glob_to_regex(pattern: str) -> str:

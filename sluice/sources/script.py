@@ -15,7 +15,10 @@ For line-oriented commands that need no file boundary, Spark SQL's
 
 from __future__ import annotations
 
+import contextlib
 import gzip
+import os
+import signal
 import subprocess
 import threading
 from collections.abc import Iterator
@@ -30,31 +33,46 @@ _BATCH_LINES = 8192
 
 
 def _run(command: str, data: bytes, timeout_s: int) -> tuple[bytes, str | None]:
-    proc = subprocess.Popen(["/bin/bash", "-c", command], stdin=subprocess.PIPE,
-                            stdout=subprocess.PIPE, stderr=subprocess.PIPE)
-    out_chunks: list[bytes] = []
-    reader = threading.Thread(target=lambda: out_chunks.append(proc.stdout.read()))
-    reader.start()
-    try:
-        proc.stdin.write(data)
-    except BrokenPipeError:
-        pass
-    finally:
+    """Stdout of the command fed with ``data``, or why it failed.  The whole
+    run is bounded by ``timeout_s``; the command's children end with it; a
+    command that leaves input unread has failed, whatever its exit code."""
+    proc = subprocess.Popen(["/bin/bash", "-c", command], stdin=subprocess.PIPE, stdout=subprocess.PIPE,
+                            stderr=subprocess.PIPE, start_new_session=True)
+    got: dict[str, bytes] = {"stdout": b"", "stderr": b""}
+    unread: list[str] = []
+
+    def feed() -> None:
         try:
-            proc.stdin.close()
-        except BrokenPipeError:
-            pass
+            with proc.stdin:
+                proc.stdin.write(data)
+        except (BrokenPipeError, ValueError):
+            unread.append("script ended before it had read its whole input")
+
+    def drain(name: str) -> None:
+        got[name] = getattr(proc, name).read()
+
+    threads = [threading.Thread(target=feed, daemon=True),
+               *(threading.Thread(target=drain, args=(name,), daemon=True) for name in got)]
+    for t in threads:
+        t.start()
     try:
         proc.wait(timeout=timeout_s)
+        late = False
     except subprocess.TimeoutExpired:
-        proc.kill()
-        reader.join()
+        late = True
+    if not late:
+        for t in threads:
+            t.join(timeout=timeout_s)
+        late = any(t.is_alive() for t in threads)  # a child still holds a pipe
+    if late:
+        with contextlib.suppress(ProcessLookupError):
+            os.killpg(proc.pid, signal.SIGKILL)
+        proc.wait()
         return b"", f"script did not exit within {timeout_s} s"
-    reader.join()
-    err = proc.stderr.read().decode("utf-8", "replace").strip()
     if proc.returncode != 0:
-        return b"", f"script exited with code {proc.returncode}" + (f": {err[:500]}" if err else "")
-    return b"".join(out_chunks), None
+        err = got["stderr"].decode("utf-8", "replace").strip()
+        return b"", f"script exited with code {proc.returncode}" + (f": {err}" if err else "")
+    return (b"", unread[0]) if unread else (got["stdout"], None)
 
 
 def _make_mapper(command: str, line_sep: str, timeout_s: int):

@@ -104,9 +104,9 @@ def check_target(spark: SparkSession, spec: LoadSpec) -> None:
         if names[fid] != FILE_ID_TYPE:
             raise TargetError(f"file id column {fid!r} must be DECIMAL(20,0) (unsigned 64-bit)")
         if fid in spec.options.columns:
-            raise TargetError("options.columns can not contain the file_id_column")
+            raise TargetError("the file id column is filled by the load and cannot be one of the columns read")
         if not spec.options.columns:
-            raise TargetError("options.columns must be specified if file_id_column is provided")
+            raise TargetError("with a file id column, name the columns that the files hold (options.columns)")
     if spec.target.file_id_buckets is not None:
         if fid is None:
             raise TargetError("file_id_buckets needs options.file_id_column")
