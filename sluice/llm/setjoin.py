@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm import tokens as tk
 from sluice.llm.components import components
-from sluice.llm.tables import may_be_in, staged, table
+from sluice.llm.tables import split_by, staged, table
 
 _U = np.uint64
 _M1, _M2 = _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9)
@@ -424,27 +424,27 @@ def similar(documents: DataFrame, size: int, p: int, q: int) -> DataFrame:
     pairs = lists.select("hub", "node").distinct()
     wanted = staged(pairs.select(F.explode(F.array("hub", "node")).alias("c1")).distinct()
                     .join(classes, "c1").select(F.col("doc").alias("doc_id"), "c1", "c2"), "wanted")
-    likely = may_be_in(wanted.select(F.col("doc_id").cast("long")))  # so that few other texts are shuffled
+    likely, _ = split_by(documents.select("doc_id", "text"), "doc_id", wanted.select("doc_id"))  # few others are shuffled
 
     def sets(batches):
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
         for batch in batches:
-            out = []
-            for first, last, row, hashed in _sets(batch.column("text"), size):
+            for first, last, row, hashed in _sets(batch.column("text"), size):  # a slice at a time: sets are large
                 cuts = np.searchsorted(row, np.arange(last - first + 1))
                 n, c1, c2 = digests(row, hashed, last - first)
+                out = []
                 for m, x, y, i, j in zip(n, c1.view(np.int64), c2.view(np.int64), cuts[:-1], cuts[1:], strict=True):
                     band = int(bands.own(m))
                     out.append((int(x), int(y), int(m), band, *(marks(hashed[i:j], int(bands.marks[b]))
                                                                 for b in (band, band + 1)), hashed[i:j].tobytes()))
-            cols = list(zip(*out, strict=True)) if out else [[]] * 7
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), batch.column("c1"), batch.column("c2"),
-                 *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))],
-                names=["doc", "c1", "c2", "own1", "own2", "n", "band", "marks0", "marks1", "set"])
+                part = batch.slice(first, last - first)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id").cast(pa.int64()), part.column("c1"), part.column("c2"),
+                     *(pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True))],
+                    names=["doc", "c1", "c2", "own1", "own2", "n", "band", "marks0", "marks1", "set"])
 
     members = staged(
-        documents.select("doc_id", "text").where(likely(F.col("doc_id").cast("long"))).join(wanted, "doc_id").mapInArrow(
+        likely.join(wanted, "doc_id").mapInArrow(
             sets, "doc long, c1 long, c2 long, own1 long, own2 long, n long, band int, marks0 binary, marks1 binary, "
                   "set binary")
         .where("c1 = own1 and c2 = own2").drop("own1", "own2", "c2").dropDuplicates(["doc", "c1"]), "members")
@@ -452,8 +452,8 @@ def similar(documents: DataFrame, size: int, p: int, q: int) -> DataFrame:
     def compared(of: DataFrame) -> DataFrame:
         """Links among pairs of classes, by their documents (hub_doc, doc)."""
         of = staged(of, "pairs")
-        near = may_be_in(of.select(F.explode(F.array("hub_doc", "doc")).alias("doc")).distinct())
-        sets_near = members.where(near(F.col("doc"))).select("doc", "set")  # few of all sets are shuffled
+        both = of.select(F.explode(F.array("hub_doc", "doc")).alias("doc")).distinct()
+        sets_near, _ = split_by(members.select("doc", "set"), "doc", both)  # few of all sets are shuffled
         rows = (of.join(sets_near, "doc")
                 .join(sets_near.select(F.col("doc").alias("hub_doc"), F.col("set").alias("hub_set")), "hub_doc")
                 .select("hub_doc", "hub_set", "doc", "set").sortWithinPartitions("hub_doc"))
@@ -487,7 +487,7 @@ def similar(documents: DataFrame, size: int, p: int, q: int) -> DataFrame:
     family = components(edges).select(F.col("node").alias("label"), F.col("label").alias("family"))
     where = staged(members.select("doc").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
                    .withColumn("label", F.coalesce("label", "doc")).join(family, "label"), "family-members")
-    sets_of = (members.where(may_be_in(where.select("doc"))(F.col("doc"))).drop("c1").join(where, "doc")
+    sets_of = (split_by(members.drop("c1"), "doc", where.select("doc"))[0].join(where, "doc")
                .withColumn("bytes_", F.octet_length("set")))
     more = (_in_blocks(sets_of, "family").groupBy("family", "i", "j")
             .applyInArrow(lambda t: _settled(t, bands), "a long, b long"))
@@ -508,10 +508,8 @@ def one_of_each(documents: DataFrame, size: int, p: int, q: int) -> DataFrame:
     gone = found.where((F.col("n_shingles") > 0) & (F.col("doc_id") != F.col("component_id"))).select("doc_id")
     repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     gone = staged(gone.distinct(), "gone")
-    likely = F.coalesce(may_be_in(gone)(F.col("doc_id")), F.lit(False))
-    # only the texts that may go are shuffled
-    kept = documents.where(~likely).unionByName(documents.where(likely).join(gone, "doc_id", "left_anti")
-                                                .select(documents.columns))
+    likely, stay = split_by(documents, "doc_id", gone)  # only the texts that may go are shuffled
+    kept = stay.unionByName(likely.join(gone, "doc_id", "left_anti").select(documents.columns))
     repeated = staged(repeated, "repeated")
     if repeated.isEmpty():
         return kept

@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.session import scratch_dir
@@ -32,21 +28,20 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def may_be_in(keys: DataFrame) -> Callable[[Column], Column]:
-    """A test that holds for every value of the one column of ``keys`` and for few others, as a bitmap of
-    fixed size. More keys only make it let more rows pass to the join that must follow."""
-    spark = keys.sparkSession
-    value = F.pmod(F.xxhash64(keys.columns[0]), F.lit(FILTER_BITS)) + 1
-    parts = (keys.select(value.alias("v")).groupBy(F.bitmap_bucket_number("v").alias("bucket"))
-             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("bits")).collect())
-    bits = np.zeros((FILTER_BITS // 32768, 4096), dtype=np.uint8)
-    for row in parts:
-        bits[row["bucket"] - 1] = np.frombuffer(bytes(row["bits"]), dtype=np.uint8)
-    shared = spark.sparkContext.broadcast(bits.ravel())
-
-    @F.pandas_udf("boolean")
-    def held(v: pd.Series) -> pd.Series:
-        at = v.to_numpy(dtype=np.int64)
-        return pd.Series((shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)
-
-    return lambda column: held(F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)))
+def split_by(df: DataFrame, column: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``df`` as (rows whose ``column`` may be among the one column of ``keys``, rows where it is not).
+
+    The keys are a bitmap of fixed size, so its broadcast (at most 2,048 rows of 4 KB) does not grow with them;
+    more keys only let more rows pass to the join that must follow."""
+    kind = df.schema[column].dataType
+    value = F.pmod(F.xxhash64(F.col(keys.columns[0]).cast(kind)), F.lit(FILTER_BITS)) + 1
+    parts = (keys.select(value.alias("v")).groupBy(F.bitmap_bucket_number("v").alias("_bucket"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("_bits")))
+    own = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)) + 1
+    at = F.bitmap_bit_position(own)
+    byte = F.conv(F.hex(F.substring("_bits", F.call_function("div", at, F.lit(8).cast("long")).cast("int") + 1, F.lit(1))),
+                  16, 10).cast("int")
+    marked = (df.withColumn("_bucket", F.bitmap_bucket_number(own)).join(F.broadcast(parts), "_bucket", "left")
+              .withColumn("_held", F.coalesce(F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(1) == 1,
+                                              F.lit(False))))
+    return tuple(marked.where(F.col("_held") == side).select(df.columns) for side in (True, False))
