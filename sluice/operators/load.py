@@ -18,13 +18,14 @@ One Spark job per batch of files instead of one transaction per file:
 4. **write**: with a file-id column the target is partitioned by it and the
    batch is written with *dynamic partition overwrite* — loading a file again
    replaces exactly its old rows (K5); otherwise rows are appended, and a
-   ``replace`` without file ids rewrites the table through a staged snapshot
-   (a path cannot be overwritten while it is read).
+   ``replace`` without file ids writes the new table beside the old one and
+   renames (``_change_places``), so a write that fails leaves the old table.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -201,6 +202,10 @@ def _load_files(spark: SparkSession, spec: LoadSpec, files, rows: DataFrame | No
                 F.format_string("Duplicate entry '%s' for key 'PRIMARY'", key_text).alias("msg"))
             failures = failures.unionByName(conflicts)
         first_failure = failures.groupBy("_file").agg(F.min_by("msg", _order_key()).alias("error"))
+        if fid_col and method != "error":
+            # the old rows of a file whose reload fails stay, and so do their keys
+            reloaded = fids.join(first_failure, "_file", "left_anti").select(F.col("_fid").alias(fid_col))
+            target_kept = target.join(reloaded, fid_col, "left_anti")
 
         # --- rows to write ---------------------------------------------------
         if method == "ignore":
@@ -251,13 +256,31 @@ def _write(spark, spec, good, target, target_kept, keys, method, fid_col, data_c
         return
     out = good.select(*data_cols)
     if method == "replace" and keys:
-        snapshot = target.join(out.select(*keys), keys, "left_anti").unionByName(out)
-        snap_df, _ = stage(spark, snapshot, "snapshot")
-        snap_df.write.mode("overwrite").parquet(path)
+        fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+        target.join(out.select(*keys), keys, "left_anti").unionByName(out).write.parquet(fresh)
+        _change_places(spark, fresh, path)
         return
     out.write.mode("append").parquet(path)
 
 
+def _change_places(spark: SparkSession, fresh: str, path: str) -> None:
+    """The complete table at ``fresh`` becomes ``path``; the old one goes only
+    after that, and comes back if the rename fails."""
+    jvm = spark.sparkContext._jvm
+    new, at = (jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, path.rstrip("/")))
+    old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.old-{uuid.uuid4().hex}")
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    held = fs.exists(at)
+    if held and not fs.rename(at, old):
+        raise OSError(f"{path} cannot be renamed; the new table stays at {fresh}")
+    if not fs.rename(new, at):
+        if held:
+            fs.rename(old, at)
+        raise OSError(f"{fresh} cannot be renamed to {path}; the old table is unchanged")
+    if held:
+        fs.delete(old, True)
+
+
 def _write_bucketed(spark, spec, good, keys, method, fid_col, data_cols, fids, verdicts):
     """K5 on a bucketed target: rewrite only the buckets the batch touches.
 

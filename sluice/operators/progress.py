@@ -9,22 +9,21 @@ The 30-sample moving average uses the telescoping identity
 over one sort instead of a 30-row sliding frame.
 
 Skew: a plain ``Window.partitionBy(task)`` puts all samples of a task into one
-task.  The default (``skew_safe=True``) range-partitions on ``(task, seq)``
-instead — a hot task is cut across many partitions — and works per
-``(task, partition)`` group:
-
-* the last ``window`` samples of each group are carried into the task's next
-  group, so ``lag`` over the group sees exactly the rows it needs;
+task.  The default (``skew_safe=True``) cuts every task's samples into blocks
+of ``block_rows`` by their place within the task, and works per block:
+
+* places come from a range partitioning on ``(task, seq)`` (a hot task is cut
+  across many partitions): the row's place within its partition plus the
+  sizes of the task's earlier partitions, one row per (task, partition);
+* the last ``window`` rows of each block are copied into the task's next
+  block, so ``lag`` over a block sees exactly the rows it needs; every block
+  but a task's last is full, so this is exact for any input;
 * values that reach back to the task's start (first sample time, last
-  "moving" time) come from a small table of one row per group, prefix-scanned
-  over the groups of a task.
-
-Every group is at most one range partition, so no task holds more than its
-share.  The tagged samples are written once to the shared checkpoint folder
-(so group ids are stable across the branches that read them).  Exact as long as a range partition holds at least ``window`` rows: the
-partition count is capped at ``rows / (4 · window)`` and the group sizes are
-checked; otherwise the plain windows run (``partitions`` defaults to
-``spark.sql.shuffle.partitions``).
+  "moving" time) come from a small table of one row per block, prefix-scanned
+  over the blocks of a task.
+
+The ranged samples are written once to the shared checkpoint folder, so their
+partitions are the same in every branch that reads them.
 """
 
 from __future__ import annotations
@@ -38,53 +37,36 @@ RATE_WINDOW = 30
 STALL_MIN_BYTES = 10
 STALL_TIMEOUT_SECONDS = 30
 
+#: Samples of one task that one window group holds.
+BLOCK_ROWS = 1 << 16
 
-def _ranged(samples: DataFrame, task_col: str, order_col: str, partitions: int | None,
-            window: int) -> DataFrame | None:
-    """Range-partitioned samples tagged with their partition, written once to
-    the shared checkpoint folder: the group ids must be identical in every
-    branch that reads them (a recomputed range shuffle may sample other
-    bounds, and AQE may coalesce each branch differently).
 
-    Partitions must hold at least ``window`` rows for the carry to be exact:
-    the count (Parquet metadata) caps the number of partitions, and a check
-    of the group sizes returns None — use the plain windows — if a middle
-    group of some task is still shorter than the window."""
+def _blocks(samples: DataFrame, task_col: str, order_col: str, partitions: int | None, rows: int) -> DataFrame:
+    """The samples with ``_at``, their place within the task from 0, and ``_block``, ``rows`` places each."""
     from sluice.session import scratch_dir, track_staged
     spark = samples.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_dir(spark, "progress-ranged")
-    samples.repartitionByRange(n, task_col, order_col).withColumn("_pid", F.spark_partition_id()).write.parquet(path)
+    samples.repartitionByRange(n, task_col, order_col).withColumn("_range", F.spark_partition_id()).write.parquet(path)
     track_staged(path)
     staged = spark.read.parquet(path)
-    rows = staged.count()
-    cap = max(1, rows // (4 * window))
-    if n > cap:
-        path = scratch_dir(spark, "progress-ranged")
-        staged.drop("_pid").repartitionByRange(cap, task_col, order_col) \
-            .withColumn("_pid", F.spark_partition_id()).write.parquet(path)
-        track_staged(path)
-        staged = spark.read.parquet(path)
-    sizes = staged.groupBy(task_col, "_pid").count()
-    edge = Window.partitionBy(task_col)
-    short_middle = (sizes.withColumns({"_lo": F.min("_pid").over(edge), "_hi": F.max("_pid").over(edge)})
-                    .where((F.col("_pid") > F.col("_lo")) & (F.col("_pid") < F.col("_hi"))
-                           & (F.col("count") < window)))
-    if not short_middle.isEmpty():
-        return None
-    return staged
-
-
-def _with_carry(r: DataFrame, task_col: str, order_col: str, carry: int) -> DataFrame:
-    """``r`` (with ``_pid``) plus the last ``carry`` rows of each group copied
-    into the same task's next group, flagged ``_carry``."""
-    tail_w = Window.partitionBy(task_col, "_pid").orderBy(F.col(order_col).desc())
-    tails = r.withColumn("_rk", F.row_number().over(tail_w)).where(F.col("_rk") <= carry).drop("_rk")
-    groups = r.select(task_col, "_pid").distinct()
-    nxt = groups.withColumn("_next", F.lead("_pid").over(Window.partitionBy(task_col).orderBy("_pid")))
-    moved = (tails.join(nxt.where(F.col("_next").isNotNull()), [task_col, "_pid"])
-             .withColumn("_pid", F.col("_next")).drop("_next"))
-    return r.withColumn("_carry", F.lit(False)).unionByName(moved.withColumn("_carry", F.lit(True)))
+    sizes = staged.groupBy(F.col(task_col).alias("_t"), F.col("_range").alias("_r")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_t").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_t", "_r", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    within = Window.partitionBy(task_col, "_range").orderBy(order_col)
+    placed = staged.withColumn("_in", F.row_number().over(within) - 1).join(
+        starts, F.col(task_col).eqNullSafe(F.col("_t")) & (F.col("_range") == F.col("_r")))
+    at = F.col("_start") + F.col("_in")
+    return placed.select(*samples.columns, at.alias("_at"), F.floor(at / rows).alias("_block"))
+
+
+def _with_carry(blocks: DataFrame, rows: int, carry: int) -> DataFrame:
+    """``blocks`` plus the last ``carry`` rows of each full block once more in
+    the task's next block, flagged ``_carry``."""
+    copies = F.when(F.col("_at") % rows >= rows - carry, F.array(F.lit(False), F.lit(True))) \
+        .otherwise(F.array(F.lit(False)))
+    return (blocks.withColumn("_carry", F.explode(copies))
+            .withColumn("_block", F.col("_block") + F.col("_carry").cast("bigint")))
 
 
 def _rate_columns(df: DataFrame, w, window: int) -> DataFrame:
@@ -103,7 +85,8 @@ def _rate_columns(df: DataFrame, w, window: int) -> DataFrame:
 
 
 def with_rates(samples: DataFrame, window: int = RATE_WINDOW, task_col: str = "task_id",
-               order_col: str = "seq", skew_safe: bool = True, partitions: int | None = None) -> DataFrame:
+               order_col: str = "seq", skew_safe: bool = True, partitions: int | None = None,
+               block_rows: int = BLOCK_ROWS) -> DataFrame:
     """W1 delta, W2 moving-average rate, W3 time left.
 
     rate = mean of the last ``window`` deltas (first delta against 0);
@@ -113,17 +96,16 @@ def with_rates(samples: DataFrame, window: int = RATE_WINDOW, task_col: str = "t
     if not skew_safe:
         return _rate_columns(samples, Window.partitionBy(task_col).orderBy(order_col), window)
     cols = samples.columns
-    ranged = _ranged(samples, task_col, order_col, partitions, window)
-    if ranged is None:
-        return with_rates(samples, window, task_col, order_col, skew_safe=False)
-    u = _with_carry(ranged, task_col, order_col, window)
-    out = _rate_columns(u, Window.partitionBy(task_col, "_pid").orderBy(order_col), window)
+    rows = max(block_rows, window)
+    u = _with_carry(_blocks(samples, task_col, order_col, partitions, rows), rows, window)
+    out = _rate_columns(u, Window.partitionBy(task_col, "_block").orderBy("_at"), window)
     return out.where(~F.col("_carry")).select(*cols, "delta", "rate", *(["time_left"] if "bytes_total" in cols else []))
 
 
 def with_stall(samples: DataFrame, min_bytes: int = STALL_MIN_BYTES,
                timeout_s: int = STALL_TIMEOUT_SECONDS, task_col: str = "task_id",
-               order_col: str = "seq", skew_safe: bool = True, partitions: int | None = None) -> DataFrame:
+               order_col: str = "seq", skew_safe: bool = True, partitions: int | None = None,
+               block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``last_change`` = time of the last sample whose delta exceeded
     ``min_bytes`` (the task's first sample time before any); stalled when the
     sample is more than ``timeout_s`` later than that."""
@@ -138,24 +120,21 @@ def with_stall(samples: DataFrame, min_bytes: int = STALL_MIN_BYTES,
                                                    F.first("ts").over(upto)))
         return d.withColumn("stalled", F.col("ts") > limit)
     cols = samples.columns
-    ranged = _ranged(samples, task_col, order_col, partitions, RATE_WINDOW)
-    if ranged is None:
-        return with_stall(samples, min_bytes, timeout_s, task_col, order_col, skew_safe=False)
-    u = _with_carry(ranged, task_col, order_col, 1)
-    w = Window.partitionBy(task_col, "_pid").orderBy(order_col)
+    u = _with_carry(_blocks(samples, task_col, order_col, partitions, block_rows), block_rows, 1)
+    w = Window.partitionBy(task_col, "_block").orderBy("_at")
     d = u.withColumn("delta", b - F.lag(b, 1, 0).over(w)).where(~F.col("_carry")).drop("_carry")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     d = d.withColumns({"_moved": F.last(moved, ignorenulls=True).over(upto), "_first": F.first("ts").over(upto)})
-    # one row per (task, partition): what earlier groups contribute
-    groups = d.groupBy(task_col, "_pid").agg(
-        F.max_by(moved, F.when(moved.isNotNull(), F.col(order_col))).alias("_g_moved"),
-        F.min_by(F.col("ts"), F.col(order_col)).alias("_g_first"))
-    before = Window.partitionBy(task_col).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    task_start = Window.partitionBy(task_col).orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    groups = groups.select(task_col, "_pid",
+    # one row per block: what earlier blocks contribute
+    groups = d.groupBy(F.col(task_col).alias("_t"), F.col("_block").alias("_b")).agg(
+        F.max_by(moved, F.when(moved.isNotNull(), F.col("_at"))).alias("_g_moved"),
+        F.min_by(F.col("ts"), F.col("_at")).alias("_g_first"))
+    before = Window.partitionBy("_t").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    task_start = Window.partitionBy("_t").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    groups = groups.select("_t", "_b",
                            F.last("_g_moved", ignorenulls=True).over(before).alias("_in_moved"),
                            F.first("_g_first").over(task_start).alias("_task_first"))
-    d = d.join(groups, [task_col, "_pid"])
+    d = d.join(groups, F.col(task_col).eqNullSafe(F.col("_t")) & (F.col("_block") == F.col("_b")))
     d = d.withColumn("last_change", F.coalesce("_moved", "_in_moved", "_task_first"))
     return d.withColumn("stalled", F.col("ts") > limit).select(*cols, "delta", "last_change", "stalled")
 

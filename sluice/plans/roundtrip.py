@@ -230,7 +230,9 @@ def sync_stream(spark, sf_dir):
     landing = scratch_dir(spark, "landing")
     staging = scratch_dir(spark, "staging")
     ckpt = scratch_dir(spark, "sync-ckpt")
-    spec = _spec(spark, cust, TextOptions())
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cust.schema.fields)
+    spec = _spec(spark, cust, TextOptions(columns=tuple(cust.columns), file_id_column="fid"),
+                 schema=schema + ", fid DECIMAL(20,0)")
     keyed = cust.withColumn("_k", F.col("c_nationkey"))
     write_delimited(keyed.where("c_nationkey < 13"), staging + "/1", TextOptions(), columns=cust.columns,
                     file_key="_k", files=13, stable_names=True)
@@ -240,7 +242,7 @@ def sync_stream(spark, sf_dir):
                     file_key="_k", files=12, stable_names=True)
     replace_files(spark, staging + "/2", landing)
     run_sync_stream(spark, spec, landing, ckpt)
-    return read_target(spark, spec)
+    return read_target(spark, spec).select(cust.columns)
 
 
 def heartbeat_stream(spark, sf_dir):

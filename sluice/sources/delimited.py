@@ -135,34 +135,45 @@ def read_lines(spark: SparkSession, paths: list[str], opts: TextOptions) -> Data
     esc = opts.fields_escaped
     lt = opts.lines_terminated
     if opts.escaped_terminators:
-        whole = spark.read.text(paths, wholetext=True).select(
+        whole = spark.read.text(paths, wholetext=True, recursiveFileLookup=True).select(
             _protect(F.col("value"), esc).alias("value"),
             decode_file_path(F.col("_metadata.file_path")).alias("_file"))
         if opts.fields_enclosed:
             # records end at a terminator outside quotes (raw terminators
             # inside an enclosed field belong to the field)
             value = F.when(F.col("value").endswith(lt), F.col("value")).otherwise(F.concat(F.col("value"), F.lit(lt)))
-            records = F.regexp_extract_all(value, F.lit(_record_pattern(opts)), 1)
+            texts = F.regexp_extract_all(value, F.lit(_record_pattern(opts)), 1)
+            end = F.aggregate(texts, F.lit(0), lambda n, r: n + F.length(r) + F.lit(len(lt)))
+            unread = F.when(end < F.length(value), F.format_string("no record ends after character %d", end))
         else:
             sep_re = (f"(?<!{_q(esc)})" if esc else "") + _q(lt)
-            records = F.split(F.col("value"), sep_re, -1)
-        exploded = whole.select("_file", F.posexplode(records).alias("_line", "value"), F.size(records).alias("_n"))
-        lines = exploded.where(~((F.col("_line") == F.col("_n") - 1) & (F.col("value") == ""))).select(
-            "value", _plain_line(F.col("value"), esc, protected=True).alias("_plain"), "_file",
+            texts, unread = F.split(F.col("value"), sep_re, -1), F.lit(None).cast("string")
+        # what the pattern could not read is a failure of the file, not a shorter file
+        rest = F.filter(F.array(F.struct(F.lit("").alias("text"), unread.alias("error"))),
+                        lambda r: r["error"].isNotNull())
+        records = F.concat(F.transform(texts, lambda t: F.struct(
+            t.alias("text"), F.lit(None).cast("string").alias("error"))), rest)
+        exploded = whole.select("_file", F.posexplode(records).alias("_line", "_r"), F.size(records).alias("_n"))
+        exploded = exploded.select("_file", "_line", "_n", F.col("_r.text").alias("value"),
+                                   F.col("_r.error").alias("_script_error"))
+        last = (F.col("_line") == F.col("_n") - 1) & (F.col("value") == "") & F.col("_script_error").isNull()
+        lines = exploded.where(~last).select(
+            "value", _plain_line(F.col("value"), esc, protected=True).alias("_plain"), "_file", "_script_error",
             F.lit(0).cast("bigint").alias("_block"),
             F.col("_line").cast("bigint").alias("_mid"), F.col("_line").cast("bigint").alias("_line"))
     else:
-        raw = spark.read.text(paths, lineSep=lt).select(
+        raw = spark.read.text(paths, lineSep=lt, recursiveFileLookup=True).select(
             _protect(F.col("value"), esc).alias("value"), _plain_line(F.col("value"), esc).alias("_plain"),
             decode_file_path(F.col("_metadata.file_path")).alias("_file"),
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_mid"))
         lines = with_line_numbers(raw) if opts.ignore_lines > 0 else raw
+    failed = F.col("_script_error").isNotNull() if "_script_error" in lines.columns else F.lit(False)
     if opts.ignore_lines > 0:
-        lines = lines.where(F.col("_line") >= opts.ignore_lines)
+        lines = lines.where((F.col("_line") >= opts.ignore_lines) | failed)
     if opts.lines_starting:
         at = F.instr(F.col("value"), opts.lines_starting)
-        lines = lines.where(at > 0).withColumn(
+        lines = lines.where((at > 0) | failed).withColumn(
             "value", F.substring(F.col("value"), at + len(opts.lines_starting), F.length("value")))
     return lines
 
@@ -210,14 +221,17 @@ def with_line_numbers(lines: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def _record_pattern(opts: TextOptions) -> str:
-    """One record of a whole (protected) file: quoted runs, escape pairs or
-    any character that is not the terminator, up to the terminator."""
+    """One record of a whole (protected) file: fields up to the terminator.  A
+    quote encloses only where it opens the field and a separator or terminator
+    follows its partner; any other quote is a character of a bare field."""
+    sep = _q(opts.fields_terminated)
     lt, q, esc = _q(opts.lines_terminated), _q(opts.fields_enclosed), opts.fields_escaped
     e = _q(esc) if esc else None
     pair = f"{e}.|" if e else ""
     not_esc = f"(?!{e})" if e else ""
     quoted = f"{q}(?:{pair}{q}{q}|(?!{q}){not_esc}.)*+{q}"
-    return f"(?s)\\G((?:{quoted}|{pair}(?!{lt})(?!{q}){not_esc}.)*+){lt}"
+    cell = f"(?:{quoted}(?={sep}|{lt})|(?:{pair}(?!{lt})(?!{sep}){not_esc}.)*+)"
+    return f"(?s)\\G({cell}(?:{sep}{cell})*+){lt}"
 
 
 def _field_patterns(opts: TextOptions) -> str:

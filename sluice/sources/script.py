@@ -117,7 +117,7 @@ def transform_files(spark: SparkSession, paths: list[str], command: str, opts: T
     (protected value, ``_file``, ``_block``, ``_mid``) plus ``_script_error``.
     Skip-lines and line prefix apply to the script's output."""
     opts = opts or TextOptions()
-    files = spark.read.format("binaryFile").load(paths).select("path", "content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path", "content")
     out = files.mapInArrow(_make_mapper(command, opts.lines_terminated, timeout_s), _OUT_SCHEMA)
     out = out.withColumns({"_plain": _plain_line(F.col("value"), opts.fields_escaped),
                            "value": _protect(F.col("value"), opts.fields_escaped)})

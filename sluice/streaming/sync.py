@@ -4,8 +4,9 @@
 parses the micro-batch's lines with the same decoding as the batch reader and
 loads them with the file verdict / duplicate-key / file-id rules.  With
 ``trigger(availableNow=True)`` it is an incremental batch job; the checkpoint
-(in the shared checkpoint folder) remembers which files were done, so a
-restart — or a lost executor — never loads a file twice.
+(in the shared checkpoint folder) remembers which files were done.  A batch
+that was written but not yet marked done runs again after a crash; its files
+then replace their own rows, which is why a file-id column is required.
 
 The file source does not re-read a file whose content changed under the same
 name; for changed files use the batch ``sync``.
@@ -29,6 +30,8 @@ def start_sync_stream(spark: SparkSession, spec: LoadSpec, landing_dir: str, che
     """Start the stream; returns the ``StreamingQuery``."""
     if spec.options.ignore_lines or spec.options.escaped_terminators:
         raise ValueError("skip-lines / escaped terminators need whole files: use the batch sync")
+    if not spec.options.file_id_column:
+        raise ValueError("a repeated batch must replace its own rows: set options.file_id_column")
     reader = (spark.readStream.format("text").option("lineSep", spec.options.lines_terminated)
               .option("recursiveFileLookup", "true"))
     if name_glob:  # file-name pattern, e.g. "*.tsv.gz"

@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from sluice.operators import job
+from sluice.operators import job, load
 from sluice.operators.ledger import read_ledger
 from sluice.operators.load import load_files, read_target
 from sluice.session import ensure_checkpoint_dir, local_path
@@ -100,3 +100,57 @@ def test_cluster_needs_a_shared_folder():
 
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(Session())
+
+
+def test_failed_replace_keeps_the_table(spark, scratch, monkeypatch):
+    first, second = _put(scratch, **{"a.tsv": "1\t1\n2\t2\n"}), _put(scratch, **{"b.tsv": "2\t5\n"})
+    target = TargetSpec(path=scratch("t"), schema="k BIGINT, v BIGINT", key_columns=("k",))
+    spec = LoadSpec(SourceSpec(paths=(first,)), target, TextOptions(), duplicate_key_method="replace")
+    load_files(spark, spec, [first])
+
+    def broken(*_):
+        raise OSError("no rename")
+
+    with monkeypatch.context() as m:
+        m.setattr(load, "_change_places", broken)
+        with pytest.raises(OSError):
+            load_files(spark, spec, [second])
+    assert sorted(tuple(r) for r in read_target(spark, spec).collect()) == [(1, 1), (2, 2)]
+    load_files(spark, spec, [second])
+    assert sorted(tuple(r) for r in read_target(spark, spec).collect()) == [(1, 1), (2, 5)]
+
+
+def test_failed_reload_keeps_its_keys(spark, scratch):
+    folder = _put(scratch, **{"a.tsv": "1\t1\n"})
+    target = TargetSpec(path=scratch("t"), schema="k BIGINT, v BIGINT, fid DECIMAL(20,0)", key_columns=("k",))
+    options = TextOptions(columns=("k", "v"), file_id_column="fid")
+    spec = LoadSpec(SourceSpec(paths=(folder,)), target, options, duplicate_key_method="replace")
+    load_files(spark, spec, [folder])
+    for name, text in (("a.tsv", "x\t9\n"), ("b.tsv", "1\t2\n")):
+        with open(os.path.join(folder, name), "w") as f:
+            f.write(text)
+    load_files(spark, spec, [folder])
+    assert [(r.k, r.v) for r in read_target(spark, spec).collect()] == [(1, 2)]
+
+
+def test_stray_quotes_and_nested_files(spark, scratch):
+    folder = _put(scratch, **{"a.csv": '1,5" pipe\n2,"two\nlines"\n3,"open\n4,last\n'})
+    os.makedirs(os.path.join(folder, "sub"))
+    with open(os.path.join(folder, "sub", "b.csv"), "w") as f:
+        f.write("5,nested\n")
+    options = TextOptions(fields_terminated=",", fields_enclosed='"', escaped_terminators=True)
+    spec = LoadSpec(SourceSpec(paths=(folder,)), TargetSpec(path=scratch("t"), schema="a BIGINT, b STRING"), options)
+    verdicts = load_files(spark, spec, [folder]).verdicts.collect()
+    rows = sorted((r.a, r.b) for r in read_target(spark, spec).collect())
+    assert rows == [(1, '5" pipe'), (2, "two\nlines"), (3, '"open'), (4, "last"), (5, "nested")]
+    assert sorted(v.row_count for v in verdicts) == [1, 4]
+
+
+def test_unread_remainder_fails_the_file(spark, scratch):
+    folder = _put(scratch, **{"a.csv": "1,x\n2,y\\"})
+    options = TextOptions(fields_terminated=",", fields_enclosed='"', escaped_terminators=True)
+    spec = LoadSpec(SourceSpec(paths=(folder,)), TargetSpec(path=scratch("t"), schema="a BIGINT, b STRING"), options,
+                    duplicate_key_method="ignore")
+    verdict = load_files(spark, spec, [folder]).verdicts.collect()[0]
+    assert verdict.status == "error" and "no record ends" in verdict.error
+    assert read_target(spark, spec).count() == 0
