@@ -1,11 +1,18 @@
 """Line deduplication by pairwise alignment.
 
-Documents overlap where they share a line. A line that at most ``RARE`` documents hold pairs each of its
-documents with all earlier ones; a line that more hold pairs each with the first of them, so the pairs of a
-line grow with its documents and not with their square. Each pair is aligned by patience diff: lines that
-occur once in both, in their longest common order, are anchors, equal neighbours extend them, and the
-stretches between are aligned in the same way. Aligned blocks (lines that follow each other in both) of
-``MIN_WORDS`` words or more are deleted from the later document, the one with the greater doc_id.
+A run is a stretch of lines that follow each other and reach ``MIN_WORDS`` words, without a line that it could
+spare at its end (or at its start). A block that two documents share holds such runs, and they cover it; so only
+documents that share a run are compared. A run that at most ``RARE`` documents hold pairs each of them with all
+earlier ones. One that more hold pairs each with the first of them (and its n-th occurrence in a document with
+the first that has n); where that leaves lines of the run in a document, this document is paired with the next
+``RARE`` holders, and where lines are left still, with all earlier ones. Pairs that are left out could delete
+nothing more: the result is that of all pairs. The pairs of a run grow with its documents and not with their
+square, but for documents in which none of the first ``RARE`` + 1 holders aligns it.
+
+Each pair is aligned by patience diff: lines that occur once in both, in their longest common order, are anchors,
+equal neighbours extend them, and the stretches between are aligned in the same way. Aligned blocks (lines that
+follow each other in both) of ``MIN_WORDS`` words or more are deleted from the later document, the one with the
+greater doc_id.
 
 Lines are compared without regard to A-Z case; empty lines are not compared and stay. All pairs see the
 original texts, so the result does not depend on any order. Only line hashes travel; texts are shuffled once,
@@ -22,7 +29,8 @@ import bisect
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -114,24 +122,60 @@ def common_blocks(early: list[int], late: list[int], words: list[int], min_words
     return gone
 
 
+def runs_of(held: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """The runs of each doc: hash, which of its occurrences in the doc, place of the first line, and lines."""
+    def run(batches):
+        for batch in batches:
+            lists = batch.column("lines")
+            size = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+            lines = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            words = np.concatenate([[0], np.cumsum(batch.column("words").flatten().to_numpy(zero_copy_only=False),
+                                                   dtype=np.int64)])
+            stop = np.cumsum(size)
+            doc = np.repeat(np.arange(len(size)), size)
+            at = np.arange(len(lines))
+            ends = np.searchsorted(words, words[:-1] + min_words, side="left")
+            starts = np.searchsorted(words, words[1:] - min_words, side="right") - 1
+            down, up = ends <= stop[doc], starts >= (stop - size)[doc]
+            spans = np.unique(np.concatenate([np.stack([at[down], ends[down]], 1), np.stack([starts[up], at[up] + 1], 1)]),
+                              axis=0)
+            first, end = spans[:, 0], spans[:, 1]
+            hashed = tk.sequence_hashes(lines, first, end)
+            of = doc[first]
+            order = np.lexsort((first, hashed, of))
+            first, end, hashed, of = first[order], end[order], hashed[order], of[order]
+            fresh = np.ones(len(of), dtype=bool)
+            fresh[1:] = (of[1:] != of[:-1]) | (hashed[1:] != hashed[:-1])
+            begin = np.flatnonzero(fresh)
+            nth = np.arange(len(of)) - np.repeat(begin, np.diff(np.append(begin, len(of)))) + 1
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc").take(pa.array(of)), pa.array(hashed.view(np.int64)), pa.array(nth.astype(np.int32)),
+                 pa.array((first - (stop - size)[of]).astype(np.int32)), pa.array((end - first).astype(np.int32))],
+                names=["doc", "run", "nth", "at", "size"])
+
+    kind = held.schema["doc"].dataType.simpleString()
+    return held.select("doc", "lines", "words").mapInArrow(run, f"doc {kind}, run long, nth int, at int, size int")
+
+
 def deletions(hashed: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, text_key and the places (among the lines that are not empty) that go."""
     held = (hashed.where("doc_id is not null and size(lines) > 0").groupBy("doc_id")
             .agg(F.min_by(F.struct("text_key", "lines", "words"), "text_key").alias("d")).select("doc_id", "d.*"))
-    held = staged(held, "documents")
-    lines = held.select("doc_id", F.explode(F.array_distinct("lines")).alias("line"))
-    known = lines.groupBy("line").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")).where("n > 1")
-    known = staged(known, "shared")
-    often = (lines.join(known.where(F.col("n") > rare), "line").where(F.col("doc_id") != F.col("first"))
-             .select(F.col("first").alias("early"), F.col("doc_id").alias("late")))
-    few = (lines.join(known.where(F.col("n") <= rare).select("line"), "line")
-           .groupBy("line").agg(F.array_sort(F.collect_list("doc_id")).alias("docs"))  # at most ``rare``
+    held = staged(held.select(F.col("doc_id").alias("doc"), "text_key", "lines", "words"), "documents")
+    runs = runs_of(held, min_words)
+    known = (runs.groupBy("run").agg(F.count_if(F.col("nth") == 1).alias("n"), F.min("doc").alias("first"))
+             .where("n > 1"))
+    shared = staged(runs.join(known, "run"), "shared")
+    often = shared.where(F.col("n") > rare)
+    again = often.where("nth > 1")
+    again = again.join(again.groupBy("run", "nth").agg(F.min("doc").alias("nth_first")), ["run", "nth"])
+    few = (shared.where((F.col("n") <= rare) & (F.col("nth") == 1))
+           .groupBy("run").agg(F.array_sort(F.collect_list("doc")).alias("docs"))  # at most ``rare``
            .select("docs", F.posexplode("docs").alias("at", "late")).where("at > 0")
            .select(F.explode(F.slice("docs", 1, F.col("at"))).alias("early"), "late"))
-    pairs = often.unionByName(few).distinct()
-    rows = (pairs.join(held.select(F.col("doc_id").alias("early"), F.col("lines").alias("early_lines")), "early")
-            .join(held.select(F.col("doc_id").alias("late"), "text_key", "lines", "words"), "late")
-            .select("late", "text_key", "early_lines", "lines", "words"))
+    pairs = (often.select(F.col("first").alias("early"), F.col("doc").alias("late"))
+             .unionByName(again.select(F.col("nth_first").alias("early"), F.col("doc").alias("late")))
+             .where("early < late").unionByName(few).distinct())
 
     def compare(batches):
         for batch in batches:
@@ -139,12 +183,38 @@ def deletions(hashed: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS) -
                      zip(*(batch.column(c).to_pylist() for c in ("early_lines", "lines", "words")), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("late"), batch.column("text_key"),
                                               pa.array(found, pa.list_(pa.int32()))],
-                                             names=["doc_id", "text_key", "gone"])
+                                             names=["doc", "text_key", "gone"])
+
+    kind = held.schema["doc"].dataType.simpleString()
+
+    def places(pairs: DataFrame) -> DataFrame:
+        rows = (pairs.join(held.select(F.col("doc").alias("early"), F.col("lines").alias("early_lines")), "early")
+                .join(held.withColumnRenamed("doc", "late"), "late")
+                .select("late", "text_key", "early_lines", "lines", "words"))
+        return (rows.mapInArrow(compare, f"doc {kind}, text_key long, gone array<int>").where("size(gone) > 0")
+                .select("doc", "text_key", F.explode("gone").alias("place")).distinct())
+
+    def by_document(found: DataFrame) -> DataFrame:
+        return found.groupBy("doc", "text_key").agg(F.collect_set("place").alias("gone"))
+
+    def unfinished(spans: DataFrame, found: DataFrame) -> DataFrame:
+        gone = by_document(found).select("doc", "gone")
+        return spans.join(gone, "doc", "left").where(F.col("gone").isNull() | (F.size(F.array_except(
+            F.sequence(F.col("at"), F.col("at") + F.col("size") - 1), F.col("gone"))) > 0)).drop("gone")
+
+    def with_earlier(spans: DataFrame, holders: DataFrame) -> DataFrame:
+        return (spans.select("run", F.col("doc").alias("late")).distinct()
+                .join(holders.select("run", F.col("doc").alias("early")), "run").where("early < late")
+                .select("early", "late").distinct())
 
-    kind = hashed.schema["doc_id"].dataType.simpleString()
-    return (rows.mapInArrow(compare, f"doc_id {kind}, text_key long, gone array<int>").where("size(gone) > 0")
-            .select("doc_id", "text_key", F.explode("gone").alias("place")).distinct()
-            .groupBy("doc_id", "text_key").agg(F.collect_list("place").alias("gone")))
+    holders = often.where("nth = 1")
+    place = F.row_number().over(Window.partitionBy("run").orderBy("doc"))
+    nearest = holders.select("run", "doc", place.alias("k")).where(F.col("k") <= rare + 1).where("k > 1")
+    found = staged(places(pairs), "found")
+    left = staged(unfinished(often.where(F.col("first") < F.col("doc")).select("run", "doc", "at", "size"), found), "left")
+    found = found.unionByName(staged(places(with_earlier(left, nearest)), "found-next"))
+    last = places(with_earlier(unfinished(left, found), holders))
+    return by_document(found.unionByName(last)).withColumnRenamed("doc", "doc_id")
 
 
 def deduplicated(documents: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS) -> DataFrame:

@@ -108,6 +108,14 @@ def words_of(raw: np.ndarray, offs: np.ndarray, is_word: np.ndarray, seed: int =
     return Words(start, end, hashed, np.diff(first), first[:-1])
 
 
+def sequence_hashes(items: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each stretch of hashes from ``start`` to before ``end``."""
+    powers, inverses = _power_tables(len(items) + 1)
+    total = np.zeros(len(items) + 1, dtype=_U)
+    np.cumsum(items * powers[:len(items)], out=total[1:])
+    return mix((total[end] - total[start]) * inverses[start] + (end - start).astype(_U))
+
+
 def spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For groups of the given sizes laid end to end: each item's group and its place within it."""
     group = np.repeat(np.arange(len(counts)), counts)

@@ -228,6 +228,36 @@ def test_line_dedup(spark, odd, odd_rows, empty):
     assert linededup.deduplicated(empty).count() == 0
 
 
+def _all_pairs(docs, min_words):
+    """Text left of each document when each is aligned with all of smaller key."""
+    lines = {k: [x for x in (t or "").split("\n") if x] for k, t in docs}
+    out = {}
+    for k, own in lines.items():
+        gone = set()
+        for early in (x for x in lines if x < k):
+            gone |= set(linededup.common_blocks([x.lower() for x in lines[early]], [x.lower() for x in own],
+                                                [len(x.split()) for x in own], min_words))
+        out[k] = "\n".join(x for i, x in enumerate(own) if i not in gone)
+    return out
+
+
+def test_line_dedup_of_frequent_lines_is_that_of_all_pairs(spark):
+    menu = ["home and news", "our contact page", "terms of use", "all rights reserved"]
+    docs = [(i, f"alone {i}\n{x}") for i, x in enumerate(menu)]
+    docs += [(i, f"own {i}\n" + "\n".join(menu) + f"\nend {i}") for i in range(10, 30)]
+    kept = {r.doc_id: r.text for r in linededup.deduplicated(
+        spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert kept[10] == docs[4][1] and all(kept[i] == f"own {i}\nend {i}" for i in range(11, 30))
+    rng = random.Random(9)
+    some = ["a b c", "d e", "f", " ", "g h i j k", "l m n", "o p q r s t u v w x y"]
+    docs = [(i, "\n".join(rng.choice(some) + rng.choice(["", "", "", f" {i}"]) for _ in range(rng.randint(0, 14))))
+            for i in range(120)]
+    for rare in (1, 8):
+        kept = {r.doc_id: r.text for r in linededup.deduplicated(
+            spark.createDataFrame(docs, "doc_id long, text string").repartition(3), rare, 6).collect()}
+        assert kept == _all_pairs(docs, 6)
+
+
 def _base(t):
     out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
     out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t)
