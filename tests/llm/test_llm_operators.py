@@ -329,3 +329,23 @@ def test_trees_and_urls(spark):
         got = urlfilter.judge(pages, urlfilter.RULES, model).collect()
         assert len(got) == len(cases) and all(r.verdict in ("allow", "block") for r in got)
     assert urlfilter.judge(pages.limit(0), urlfilter.RULES, urlfilter.fit([])).count() == 0
+
+
+def test_url_shares_count_the_whole_table(spark):
+    rules = (("block", "b.net/"), ("allow", "a.net/"), ("block", "rare.com/x/"))
+    urls = [f"http://h{i}.a.net/{i}" for i in range(600)] + ["http://copy.a.net/"] * 3000 + ["http://rare.com/x/1"]
+    urls += [f"http://h{i}.b.net/{i}" for i in range(40)] + ["http://rare.com/y", "http://none.info/", "localhost", None]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(3)
+    shares = {r.two: r for r in urlfilter.suffix_shares(pages, rules).collect()}
+    n, bad = 3641, 41
+    share = (bad + 0.5) / (n + 1)
+    assert shares["rare.com"].share_two == pytest.approx((1 + 10 * share) / 11)
+    assert shares["b.net"].share_two == pytest.approx((40 + 10 * share) / 50)
+    assert shares["b.net"].share_one == pytest.approx((40 + 10 * share) / 3650)
+    assert shares["none.info"].share_two == share and not shares["none.info"].often and shares["a.net"].often
+    rows = urlfilter.training_rows(pages, rules, sample=20)
+    assert len({r[0] for r in rows}) == 20 and sum(r[1] == "block" for r in rows) == 10
+    assert {(r[1], r[4]) for r in rows} == {("allow", 601), ("block", 41)}
+    got = urlfilter.judge(pages, rules, urlfilter.fit(urlfilter.training_rows(pages, rules))).collect()
+    assert sorted(r.page_id for r in got) == list(range(len(urls)))
+    assert all(0 <= r.risk <= 1 for r in got)
