@@ -349,3 +349,13 @@ def test_url_shares_count_the_whole_table(spark):
     got = urlfilter.judge(pages, rules, urlfilter.fit(urlfilter.training_rows(pages, rules))).collect()
     assert sorted(r.page_id for r in got) == list(range(len(urls)))
     assert all(0 <= r.risk <= 1 for r in got)
+
+
+def test_pii_is_searched_where_a_generator_can_match(spark):
+    texts = ["mail john {at} example {dot} com", "mail john [at] example.com", "no trigger here"]
+    assert [bool(pii.candidates(t)) for t in texts] == [True, True, False]
+    assert [bool(pii._TRIGGER.search(t)) for t in texts] == [True, True, False]
+    forest = boosting.fit(np.zeros((0, 0)), np.zeros(0))._replace(start=5.0)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_added for r in pii.find(docs, {"email": (forest, 0.5)}).collect()}
+    assert got == {0: 1, 1: 1, 2: 0}
