@@ -11,7 +11,8 @@ The documents are read in place and never shuffled. The benchmark's text is broa
 document.
 
 Defined results: a null or wordless text has no words, no hits and is clean; a null or wordless item has no
-window; items of equal text each count; a repeated row gives a row for each repetition; an empty benchmark
+window; items of equal text each count; the items without an id are searched, count as one in n_items and not
+in items_sha256; a repeated row gives a row for each repetition; an empty benchmark
 or document table gives no hits or no rows; other columns, whatever their names, are not read.
 """
 
@@ -44,7 +45,7 @@ def _pair_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return tk.mix(left * _U(0x9E3779B97F4A7C15) + right)
 
 
-def build_index(items: list[tuple[str, str]], window: int = WINDOW) -> dict[str, Any]:
+def build_index(items: list[tuple[str | None, str]], window: int = WINDOW) -> dict[str, Any]:
     """Shift tables and buckets, one pair for each pattern length."""
     texts = pa.array([text for _, text in items], type=pa.string())
     found: dict[tuple[bytes, ...], tuple[np.ndarray, set[int]]] = {}
@@ -71,7 +72,7 @@ def build_index(items: list[tuple[str, str]], window: int = WINDOW) -> dict[str,
         groups.append({"size": size, "block": block, "bits": bits, "shift": shift, "keys": keys[order],
                        "rows": rows[order], "words": [entries[i][0] for i in order],
                        "owners": [sorted(entries[i][2]) for i in order]})
-    return {"groups": groups, "items": [str(item) for item, _ in items]}
+    return {"groups": groups, "items": [item for item, _ in items]}
 
 
 def _bucket_key(rows: np.ndarray) -> np.ndarray:
@@ -134,13 +135,14 @@ def _scan(index: dict[str, Any], raw: np.ndarray, offs: np.ndarray) -> Iterator[
         yield int(count), spans.get(row, []), items.get(row, set())
 
 
-def _verdict(n_words: int, spans: list[int], items: list[str]) -> tuple[int, int, int, str, bool]:
+def _verdict(n_words: int, spans: list[int], items: list[str | None]) -> tuple[int, int, int, str, bool]:
     hit, reached = 0, 0
     for begin, size in sorted(zip(spans[::2], spans[1::2], strict=True)):
         hit += max(0, begin + size - max(begin, reached))
         reached = max(reached, begin + size)
-    digest = hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
-    return n_words, hit, len(items), digest, hit > 0 and 20 * hit >= n_words
+    named = sorted(item for item in items if item is not None)
+    digest = hashlib.sha256(",".join(named).encode()).hexdigest()
+    return n_words, hit, len(named) + (len(named) < len(items)), digest, hit > 0 and 20 * hit >= n_words
 
 
 def find_hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
@@ -149,15 +151,15 @@ def find_hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     (doc_id, text) against ``benchmark`` (item_id, text)."""
     id_type = documents.schema["doc_id"].dataType.simpleString()
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where(
-        "item_id is not null and text is not null")
+        "text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))
     docs = documents.select("doc_id", "text")
 
     def index_of(block: int):
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).collect()
+        rows = items.where(F.pmod(F.xxhash64("item_id", F.when(F.col("item_id").isNull(), F.col("text"))), F.lit(blocks)) == block).collect()
         return documents.sparkSession.sparkContext.broadcast(
-            build_index(sorted((r.item_id, r.text) for r in rows), window))
+            build_index(sorted(((r.item_id, r.text) for r in rows), key=lambda x: (x[0] or "", x[1])), window))
 
     def result(names: list[Any], found: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*found, strict=True)) if found else [[]] * 5

@@ -359,3 +359,15 @@ def test_pii_is_searched_where_a_generator_can_match(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.n_added for r in pii.find(docs, {"email": (forest, 0.5)}).collect()}
     assert got == {0: 1, 1: 1, 2: 0}
+
+
+@pytest.mark.parametrize("block_bytes", [decontaminate.BLOCK_BYTES, 20])
+def test_benchmark_items_without_an_id_are_searched(spark, block_bytes):
+    items = [(None, "red blue green stone"), (None, "river cloud tree"), ("a", "bird house light")]
+    docs = [(1, "red blue green stone and river cloud tree"), (2, "a bird house light, river cloud tree"), (3, "wind")]
+    got = {r.doc_id: r for r in decontaminate.find_hits(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id string, text string"), block_bytes=block_bytes).collect()}
+    assert [(got[i].n_hit, got[i].n_items, got[i].contaminated) for i in (1, 2, 3)] == [
+        (7, 1, True), (6, 2, True), (0, 0, False)]
+    assert [got[i].items_sha256 for i in (1, 2)] == [hashlib.sha256(x).hexdigest() for x in (b"", b"a")]
