@@ -10,7 +10,7 @@ One Spark job per batch of files instead of one transaction per file:
    value or, for ``error`` mode, a duplicate key), else ``success``; a failed
    file contributes no rows and does not affect the others;
 3. **duplicate keys** (K2–K4, J5): ``error`` rejects the files holding a key
-   twice or already in the target; ``ignore`` keeps the existing row and the
+   twice, already in the target, or in a file before it that loads; ``ignore`` keeps the existing row and the
    first row in file order; ``replace`` keeps the last row and replaces the
    target's row.  First / last are ``min_by`` / ``max_by`` aggregates, which
    are partial (map-side) — a key holding a third of all rows costs one row
@@ -188,19 +188,7 @@ def _load_files(spark: SparkSession, spec: LoadSpec, files, rows: DataFrame | No
         whole = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
         keyed, free = clean.where(whole), clean.where(~whole)
         if method == "error":
-            # aggregate per (key, file) first — partial, map-side — so a key
-            # holding a third of all rows is one row per file before any join
-            per_key_file = keyed.groupBy(*keys, "_file").agg(
-                F.count(F.lit(1)).alias("_n"), F.min(_order_key()).alias("_first"))
-            in_batch = per_key_file.groupBy(*keys).agg(F.sum("_n").alias("_n")).where(F.col("_n") > 1).select(*keys)
-            in_target = target_kept.select(*keys).join(per_key_file.select(*keys).distinct(), keys, "left_semi")
-            dup_keys = in_batch.unionByName(in_target).distinct()
-            key_text = F.concat_ws("-", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
-            conflicts = per_key_file.join(dup_keys, keys, "left_semi").select(
-                F.col("_first._file").alias("_file"), F.col("_first._block").alias("_block"),
-                F.col("_first._mid").alias("_mid"),
-                F.format_string("Duplicate entry '%s' for key 'PRIMARY'", key_text).alias("msg"))
-            failures = failures.unionByName(conflicts)
+            failures = failures.unionByName(_conflicts(spark, spec, keyed, failures, target, target_kept, fids, keys))
         first_failure = failures.groupBy("_file").agg(F.min_by("msg", _order_key()).alias("error"))
         if fid_col and method != "error":
             # the old rows of a file whose reload fails stay, and so do their keys
@@ -234,6 +222,48 @@ def _load_files(spark: SparkSession, spec: LoadSpec, files, rows: DataFrame | No
     return LoadOutcome(verdicts, staged_path)
 
 
+def _conflicts(spark, spec, keyed, failures, target, target_kept, fids, keys) -> DataFrame:
+    """Duplicate-key failures of ``error`` mode: ``_ORDER`` and ``msg``, at a key's first row in its file.
+
+    A file fails by itself when it has a bad value, holds a key twice, or brings a key of a target row that stays.
+    The others are taken in the order of their names: of those that share a key the first one succeeds, unless it
+    fails for another key.  Old rows of a file whose reload fails stay, so their keys count again.  Each round
+    decides every file that has no undecided one before it; failed files only increase, so the rounds end."""
+    # one row per (key, file) — partial, map-side — so a key holding a third of all rows is no hot group
+    held, _ = stage(spark, keyed.groupBy(*keys, "_file").agg(
+        F.count(F.lit(1)).alias("_n"), F.min(_order_key()).alias("_first")), "key-files")
+    shared, _ = stage(spark, held.join(held.groupBy(*keys).agg(F.count(F.lit(1)).alias("_files"))
+                                       .where("_files > 1").select(*keys), keys, "left_semi")
+                      .select(*keys, "_file"), "shared-keys")
+    kept, _ = stage(spark, target_kept.select(*keys).join(held.select(*keys).distinct(), keys, "left_semi").distinct(),
+                    "kept-keys")
+    own = held.where("_n > 1").select(*keys, "_file").unionByName(held.join(kept, keys, "left_semi").select(*keys, "_file"))
+    hits, _ = stage(spark, own.distinct(), "key-conflicts")
+    out, _ = stage(spark, failures.select("_file").unionByName(hits.select("_file")).distinct(), "failed-files")
+    fid_col = spec.options.file_id_column
+    if fid_col:  # target rows that go if their file loads, where the batch brings their key
+        old, _ = stage(spark, target.join(fids, F.col(fid_col) == F.col("_fid")).select(*keys, F.col("_file").alias("_old"))
+                       .join(held.select(*keys).distinct(), keys, "left_semi"), "reloaded-keys")
+    while True:
+        alive = shared.join(out, "_file", "left_anti")
+        heads = alive.groupBy(*keys).agg(F.min("_file").alias("_head"))
+        behind = alive.join(heads, keys).where("_file <> _head")
+        blocked = behind.select("_file").distinct()
+        new = behind.join(blocked.select(F.col("_file").alias("_head")), "_head", "left_anti").select(*keys, "_file")
+        if fid_col:
+            back = old.join(out.select(F.col("_file").alias("_old")), "_old", "left_semi").select(*keys).distinct()
+            new = new.unionByName(held.join(out, "_file", "left_anti").join(back, keys, "left_semi").select(*keys, "_file"))
+        new, _ = stage(spark, new.distinct(), "key-conflicts")
+        if new.isEmpty():
+            break
+        hits = hits.unionByName(new)
+        out, _ = stage(spark, out.unionByName(new.select("_file").distinct()), "failed-files")
+    key_text = F.concat_ws("-", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    return held.join(hits, [*keys, "_file"], "left_semi").select(
+        "_file", F.col("_first._block").alias("_block"), F.col("_first._mid").alias("_mid"),
+        F.format_string("Duplicate entry '%s' for key 'PRIMARY'", key_text).alias("msg"))
+
+
 def _write(spark, spec, good, target, target_kept, keys, method, fid_col, data_cols, verdicts, fids):
     path = spec.target.path
     if fid_col and spec.target.file_id_buckets:

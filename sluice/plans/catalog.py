@@ -576,6 +576,12 @@ def _register_round_trips():
                           "FROM orders WHERE o_orderkey % 5 = 0 AND o_orderkey % 3 = 1 UNION ALL "
                           "SELECT 'b', 'success', NULL, count(*) FROM orders WHERE o_orderkey % 3 = 2 UNION ALL "
                           f"SELECT 'c', 'error', {dup}, 0 FROM orders WHERE o_orderkey % 21 = 0"),
+        "load_error_isolated": (
+            "SELECT 'a' AS file, 'error' AS status, 'Incorrect double' AS error, CAST(0 AS BIGINT) AS row_count UNION ALL "
+            "SELECT 'b', 'success', NULL, count(*) FROM orders WHERE o_orderkey % 3 = 1 UNION ALL "
+            "SELECT 'c', 'error', 'Duplicate entry', 0 UNION ALL "
+            "SELECT 'd', 'success', NULL, count(*) FROM orders WHERE o_orderkey % 3 = 2"),
+        "load_error_reload": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
         "reload_changed_file": ("SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_nationkey < 5 "
                                 "THEN c_acctbal + 1000 ELSE c_acctbal END AS c_acctbal FROM customer "
                                 "WHERE c_nationkey <> 5"),

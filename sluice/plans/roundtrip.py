@@ -138,6 +138,46 @@ def load_verdicts(spark, sf_dir):
                                "status", "error", "row_count")
 
 
+def _as_text(o: DataFrame, bad: str | None = None) -> DataFrame:
+    """The orders with the price as text; where ``bad`` holds it is no number."""
+    price = F.col("o_totalprice").cast("string")
+    return o.withColumn("o_totalprice", F.when(F.expr(bad), F.lit("oops")).otherwise(price) if bad else price)
+
+
+def load_error_isolated(spark, sf_dir):
+    """A file with a bad value takes no key from the clean file after it; of two clean files that share
+    keys the first loads."""
+    o = _table(spark, sf_dir, "orders").select(*_ORDER_COLS)
+    first = o.where("o_orderkey % 3 = 1")
+    _, out = _dup_fixture(spark, sf_dir, "false", {
+        "a": _as_text(first, "o_orderkey % 7 = 0"), "b": _as_text(first),
+        "c": _as_text(o.where("o_orderkey % 3 = 2").unionByName(first)),
+        "d": _as_text(o.where("o_orderkey % 3 = 2"))}, "error")
+    return out.verdicts.select(F.regexp_extract("name", r"key=([^/]+)/", 1).alias("file"), "status",
+                               F.regexp_extract("error", "^[A-Z][a-z]+ [a-z]+", 0).alias("error"), "row_count")
+
+
+def load_error_reload(spark, sf_dir):
+    """K2 / K5: a reload that fails keeps its old rows, so a file that brings their keys fails too."""
+    o = _table(spark, sf_dir, "orders").select(*_ORDER_COLS)
+    opts = TextOptions(columns=tuple(_ORDER_COLS), file_id_column="file_id")
+    spec = _spec(spark, o, opts, keys=["o_orderkey"], schema=o.schema.simpleString()[:-1] + ",file_id:decimal(20,0)>")
+    d = scratch_dir(spark, "files")
+
+    def put(files):
+        for name, rows in files.items():
+            write_delimited(rows.withColumn("_k", F.lit(name)), f"{d}-{name}", TextOptions(), columns=_ORDER_COLS,
+                            file_key="_k", files=1, stable_names=True)
+            replace_files(spark, f"{d}-{name}", d)
+        load_files(spark, spec, [f"{d}/key={name}" for name in files])
+
+    third = [o.where(f"o_orderkey % 3 = {k}") for k in range(3)]
+    put({"a": _as_text(third[1]), "b": _as_text(third[2])})
+    put({"a": _as_text(third[1], "o_orderkey % 7 = 0"),
+         "b": _as_text(third[2].unionByName(third[1].where("o_orderkey % 5 = 0"))), "c": _as_text(third[0])})
+    return read_target(spark, spec).drop("file_id")
+
+
 # --- per-file reload ----------------------------------------------------------------
 
 def reload_changed_file(spark, sf_dir, buckets: int | None = None):

@@ -154,3 +154,45 @@ def test_unread_remainder_fails_the_file(spark, scratch):
     verdict = load_files(spark, spec, [folder]).verdicts.collect()[0]
     assert verdict.status == "error" and "no record ends" in verdict.error
     assert read_target(spark, spec).count() == 0
+
+
+def _error_spec(target, fid=False):
+    opts = TextOptions(columns=("k", "v"), file_id_column="fid") if fid else TextOptions()
+    return LoadSpec(SourceSpec(paths=()), TargetSpec(path=target, schema="k INT, v INT" + ", fid DECIMAL(20,0)" * fid,
+                                                     key_columns=("k",)), opts)
+
+
+def _tsv(root, **files):
+    os.makedirs(root, exist_ok=True)
+    for name, text in files.items():
+        with open(os.path.join(root, f"{name}.tsv"), "w") as fh:
+            fh.write(text)
+    return [os.path.join(root, f"{name}.tsv") for name in files]
+
+
+def _verdicts(out):
+    return {os.path.basename(r.name)[:-4]: r.error for r in out.verdicts.collect()}
+
+
+def test_failing_file_takes_no_key_from_a_clean_one(spark, scratch):
+    spec = _error_spec(scratch("t"))
+    files = _tsv(local_path(scratch("in")), bad="1\t1\n2\toops\n", good="1\t5\n", later="1\t6\n7\t7\n", last="7\t8\n")
+    got = _verdicts(load_files(spark, spec, files))
+    assert "Incorrect" in got["bad"] and got["good"] is None and "'1'" in got["later"] and got["last"] is None
+    assert sorted(map(tuple, read_target(spark, spec).collect())) == [(1, 5), (7, 8)]
+
+
+def test_failed_reload_keeps_its_keys_in_error_mode(spark, scratch):
+    spec, root = _error_spec(scratch("t"), fid=True), local_path(scratch("in"))
+    load_files(spark, spec, _tsv(root, a="1\t1\n", b="2\t2\n", c="3\t3\n"))
+    # a's reload fails, so b may not have its key; b's fails with it, so c may not have b's
+    got = _verdicts(load_files(spark, spec, _tsv(root, a="1\toops\n", b="1\t20\n", c="2\t30\n", d="4\t4\n")))
+    assert "Incorrect" in got["a"] and "'1'" in got["b"] and "'2'" in got["c"] and got["d"] is None
+    assert sorted(tuple(r)[:2] for r in read_target(spark, spec).collect()) == [(1, 1), (2, 2), (3, 3), (4, 4)]
+
+
+def test_keys_may_change_files_in_one_reload(spark, scratch):
+    spec, root = _error_spec(scratch("t"), fid=True), local_path(scratch("in"))
+    load_files(spark, spec, _tsv(root, a="1\t1\n", b="2\t2\n"))
+    assert set(_verdicts(load_files(spark, spec, _tsv(root, a="2\t20\n", b="1\t10\n"))).values()) == {None}
+    assert sorted(tuple(r)[:2] for r in read_target(spark, spec).collect()) == [(1, 10), (2, 20)]
