@@ -9,6 +9,7 @@
 
 ``sync`` is the same call: changed files have a new fingerprint, so they are
 not skipped, and the file-id partitions make their reload replace old rows.
+``retry_job`` loads the files of failed tasks again (L8).
 """
 
 from __future__ import annotations
@@ -22,12 +23,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.fileid import file_id_string
+from sluice.functions.states import is_queued, now_literal
 from sluice.operators.ledger import (
-    append_versions, current_versions, enqueue, force_cancel, job_row, read_versions, record_outcomes,
+    append_versions, current_versions, enqueue, force_cancel, job_row, read_versions, record_outcomes, retry_errors,
 )
 from sluice.operators.load import load_files, stage
 from sluice.session import delete_paths
 from sluice.operators.submit import competing_jobs, skip_unchanged
+from sluice.plans.reports import prefix_filter
 from sluice.sources.listing import list_files
 from sluice.spec import LoadSpec, check_target
 
@@ -51,8 +54,7 @@ def run_load_job(spark: SparkSession, spec: LoadSpec, ledger_path: str, now: str
                  force: bool = False, dry_run: bool = False) -> JobResult | DataFrame:
     check_target(spark, spec)
     fixed, now = now, now or _utc_now()
-    manifest = list_files(spark, list(spec.source.paths), spec.source.fingerprint, spec.source.keep_duplicates,
-                          include_empty=bool(spec.options.file_id_column))
+    manifest = list_files(spark, list(spec.source.paths), spec.source.fingerprint, spec.source.keep_duplicates)
     if dry_run:
         return manifest.select("name", "size")  # S7
     total = manifest.count()
@@ -89,25 +91,69 @@ def run_load_job(spark: SparkSession, spec: LoadSpec, ledger_path: str, now: str
     append_versions(job_row(spark, job_id, now, spec.to_json()), ledger_path, table="jobs")
     append_versions(queued, ledger_path)
     try:
-        outcome = load_files(spark, spec, to_load)
+        verdicts = _load_and_record(spark, spec, ledger_path, to_load, F.col("job_id") == job_id, now, fixed)
+    finally:
+        delete_paths(spark, [staged_path])
+    return JobResult(job_id, submitted, ignored, cancelled, verdicts)
+
+
+def _load_and_record(spark: SparkSession, spec: LoadSpec, ledger_path: str, files: DataFrame, mine, now: str,
+                     fixed: str | None, gone: DataFrame | None = None) -> DataFrame:
+    """Load ``files`` and append the outcomes of the unfinished tasks that ``mine`` (a condition, or a table of task
+    ids) names.  ``gone``: file ids whose file is not there any more."""
+    def tasks() -> DataFrame:
+        _, versions = read_versions(spark, ledger_path)
+        return current_versions(versions.join(mine, "id", "left_semi") if isinstance(mine, DataFrame)
+                                else versions.where(mine))
+
+    def finish(verdicts: DataFrame) -> None:
+        append_versions(record_outcomes(tasks(), verdicts, fixed or _utc_now(), started=now), ledger_path)
+
+    def all_failed(of: DataFrame, why: str) -> DataFrame:
+        return of.select("file_id", F.lit("error").alias("status"), F.lit(why).alias("error"),
+                         F.lit(0).cast("bigint").alias("row_count"))
+
+    try:
+        outcome = load_files(spark, spec, files)
     except Exception as failure:
-        _, all_versions = read_versions(spark, ledger_path)
-        mine = current_versions(all_versions.where(F.col("job_id") == job_id))
-        failed = mine.select("file_id", F.lit("error").alias("status"),
-                             F.lit(f"load failed: {str(failure).splitlines()[0]}").alias("error"),
-                             F.lit(0).cast("bigint").alias("row_count"))
-        append_versions(record_outcomes(mine, failed, fixed or _utc_now(), started=now), ledger_path)
+        finish(all_failed(tasks().where(F.col("finished").isNull()), f"load failed: {str(failure).splitlines()[0]}"))
         raise
+    verdicts = outcome.verdicts.select(F.col("file_id").cast("string").alias("file_id"), "status", "error", "row_count")
+    finish(verdicts if gone is None else verdicts.unionByName(all_failed(gone, "the file is not there any more")))
+    return outcome.verdicts
+
+
+def retry_job(spark: SparkSession, spec: LoadSpec, ledger_path: str, now: str | None = None,
+              job_prefix: str | None = None) -> JobResult:
+    """Load the files of failed tasks again — those of the jobs with this target, or only of the jobs whose id
+    starts with ``job_prefix``.  Their tasks are queued anew (``retry_errors``) and get the new outcome; tasks that
+    were queued anew earlier and not loaded since run too.  A task whose file is gone fails again."""
+    check_target(spark, spec)
+    fixed, now = now, now or _utc_now()
+    jobs, versions = read_versions(spark, ledger_path)
+    own = competing_jobs(jobs, "spark", 0, spec.target.database, spec.target.name)
+    own = own.where(prefix_filter("id", job_prefix)).select(F.col("id").alias("job_id"))
+    tasks, tasks_path = stage(spark, current_versions(versions.join(own, "job_id", "left_semi")), "retry-tasks")
+    again = retry_errors(tasks, now)
+    waiting = tasks.where(is_queued(now_literal(now)) & (F.col("update_count") > 1)).select("id", "file_id")
+    due, due_path = stage(spark, again.select("id", "file_id").unionByName(waiting), "retry-due")
+    try:
+        submitted = due.count()
+        if submitted == 0:
+            return JobResult(None, 0, 0, 0, None)
+        append_versions(again, ledger_path)
+        listed = list_files(spark, list(spec.source.paths), spec.source.fingerprint).withColumn(
+            "file_id", file_id_string("name", "bucket"))
+        files = listed.join(due.select("file_id").distinct(), "file_id", "left_semi")
+        files, files_path = stage(spark, files, "retry-files")
+        try:
+            gone = due.select("file_id").distinct().join(files, "file_id", "left_anti")
+            verdicts = _load_and_record(spark, spec, ledger_path, files.drop("file_id"), due.select("id"), now, fixed, gone)
+        finally:
+            delete_paths(spark, [files_path])
     finally:
-        delete_paths(spark, [staged_path])
-    _, all_versions = read_versions(spark, ledger_path)
-    finished_at = fixed or _utc_now()
-    versions = record_outcomes(current_versions(all_versions.where(F.col("job_id") == job_id)),
-                               outcome.verdicts.select(F.col("file_id").cast("string").alias("file_id"),
-                                                       "status", "error", "row_count"),
-                               finished_at, started=now)
-    append_versions(versions, ledger_path)
-    return JobResult(job_id, submitted, ignored, cancelled, outcome.verdicts)
+        delete_paths(spark, [tasks_path, due_path])
+    return JobResult(None, submitted, 0, 0, verdicts)
 
 
 def sync(spark: SparkSession, spec: LoadSpec, ledger_path: str, now: str | None = None) -> JobResult:

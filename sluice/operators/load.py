@@ -37,9 +37,12 @@ from sluice.session import ensure_checkpoint_dir, scratch_dir, staging_scope, tr
 from sluice.sources.delimited import parse_lines, read_delimited, read_lines
 from sluice.sources.listing import empty_files
 from sluice.sources.paths import uri_bucket, uri_name
+from sluice.sources.streams import reachable
 from sluice.spec import LoadSpec, check_target
 
 _ORDER = ["_file", "_block", "_mid"]
+#: Names that Spark's text source hides, and gzip files.
+_STREAMED = re.compile(r"/[_.][^/]*$|\.gz$")
 
 
 @dataclass
@@ -81,15 +84,22 @@ def _order_key() -> Column:
     return F.struct(*[F.col(c) for c in _ORDER])
 
 
-def parse_files(spark: SparkSession, spec: LoadSpec, paths: list[str]) -> DataFrame:
+def parse_files(spark: SparkSession, spec: LoadSpec, paths: list[str], manifest: DataFrame | None = None) -> DataFrame:
     """Typed rows of the files plus ``_file``, ``_block``, ``_mid`` and
     ``_error``.  The file id is computed per file, not per row (see
-    ``file_ids``)."""
+    ``file_ids``).  ``manifest`` names the files of ``paths`` (escaped there,
+    as they are patterns); files that Spark's sources hide, or end a job at,
+    are then read by ``streams``."""
+    own = manifest if manifest is not None and all(map(reachable, paths)) else None
     if spec.script:
         from sluice.sources.script import transform_files
-        lines = transform_files(spark, paths, spec.script, spec.options, timeout_s=spec.script_timeout_s)
+        lines = transform_files(spark, paths, spec.script, spec.options, spec.script_timeout_s, manifest=own)
         return parse_lines(lines, spec.target.struct, spec.options)
-    return read_delimited(spark, paths, spec.target.struct, spec.options)
+    if own is None:
+        return read_delimited(spark, paths, spec.target.struct, spec.options)
+    plain = [p for p in paths if not _STREAMED.search(p)]
+    streamed = own.where(F.col("path").rlike(_STREAMED.pattern)) if len(plain) < len(paths) else None
+    return read_delimited(spark, plain, spec.target.struct, spec.options, streamed)
 
 
 def stage(spark: SparkSession, df: DataFrame, name: str = "stage") -> tuple[DataFrame, str]:
@@ -150,7 +160,8 @@ def _load_files(spark: SparkSession, spec: LoadSpec, files, rows: DataFrame | No
         all_files = files.select(file_id("name", "bucket").alias("file_id"), "name", "bucket")
     else:
         all_files = _files_frame(spark, paths, with_empty=bool(spec.options.file_id_column))
-    parsed = parse_files(spark, spec, paths) if rows is None else rows
+    parsed = rows if rows is not None else parse_files(
+        spark, spec, paths, files.select("path") if isinstance(files, DataFrame) else None)
     rows, staged_path = stage(spark, parsed)
     fids = file_ids(spark, rows)
     keys = list(spec.target.key_columns)

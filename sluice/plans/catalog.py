@@ -595,6 +595,21 @@ def _register_round_trips():
                            "|| '/data.txt' AS name FROM customer UNION ALL "
                            "SELECT DISTINCT 'recursive', 'deep/key=' || c_mktsegment || '/data.txt' FROM customer "
                            "UNION ALL SELECT DISTINCT 'deep', 'deep/key=' || c_mktsegment || '/data.txt' FROM customer"),
+        "list_hidden": (
+            "SELECT CASE WHEN c_nationkey < 9 THEN 'data' WHEN c_nationkey <= 15 THEN '_data' ELSE '.data' END || '/key=' || "
+            "c_nationkey || '/' || CASE WHEN c_nationkey < 9 THEN 'data' WHEN c_nationkey <= 15 THEN '_data' ELSE '.data' END "
+            "|| '.txt' AS name, CAST(CASE WHEN c_nationkey = 0 THEN 0 ELSE "
+            "sum(strlen(c_custkey || ' ' || c_name || ' ' || c_mktsegment) + 1) END AS BIGINT) AS size "
+            "FROM customer GROUP BY c_nationkey"),
+        "load_corrupt_gzip": "SELECT c_custkey, c_name, c_mktsegment, c_nationkey FROM customer WHERE c_nationkey <> 3",
+        "gzip_verdicts": (
+            "SELECT CAST(c_nationkey AS INTEGER) AS nation, CASE WHEN c_nationkey = 3 THEN 'error' ELSE 'success' END AS status, "
+            "CASE WHEN c_nationkey = 3 THEN 'corrupt gzip' END AS error, "
+            "CASE WHEN c_nationkey = 3 THEN 0 ELSE count(*) END AS row_count FROM customer GROUP BY c_nationkey"),
+        "sync_same_content": (
+            "SELECT c_custkey, CASE WHEN c_nationkey = 4 THEN upper(c_name) ELSE c_name END AS c_name, "
+            "CAST(1 AS BIGINT) AS submitted, (SELECT count(DISTINCT c_nationkey) - 1 FROM customer) AS ignored FROM customer"),
+        "retry_loads": "SELECT c_custkey, c_nationkey, c_name, CAST(0 AS BIGINT) AS failed FROM customer",
         "load_script": ("SELECT c_custkey, upper(c_name) AS c_name, c_nationkey, c_acctbal, "
                         "upper(c_mktsegment) AS c_mktsegment FROM customer"),
         "sync_stream": "SELECT * FROM customer",

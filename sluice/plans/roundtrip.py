@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from sluice.operators.load import load_files, read_target
 from sluice.session import local_path, scratch_dir, table_path
-from sluice.sources.delimited import TextOptions, replace_files, truncate_file, write_delimited
+from sluice.sources.delimited import (TextOptions, cut_file, name_part_files, replace_files, truncate_file,
+                                      write_delimited)
 from sluice.sources.listing import list_files
 from sluice.spec import LoadSpec, SourceSpec, TargetSpec
 
@@ -47,14 +48,20 @@ def load_csv_enclosed(spark, sf_dir):
     return _round_trip(spark, docs, TextOptions(fields_terminated=",", fields_enclosed='"'), "doc_id % 4", 4)
 
 
+def _spread(df: DataFrame, key: str, rows: int = 20_000) -> tuple[str, int]:
+    """(key expression, number) of the files to write: more rows make more files."""
+    n = max(4, -(-df.count() // rows))
+    return f"{key} % {n}", n
+
+
 def load_gzip(spark, sf_dir):
     cust = _table(spark, sf_dir, "customer")
-    return _round_trip(spark, cust, TextOptions(), "c_nationkey % 4", 4, compression="gzip")
+    return _round_trip(spark, cust, TextOptions(), *_spread(cust, "c_custkey"), compression="gzip")
 
 
 def load_skip_lines(spark, sf_dir):
     orders = _table(spark, sf_dir, "orders")
-    return _round_trip(spark, orders, TextOptions(ignore_lines=3), "o_orderkey % 4", 4, order_by=["o_orderkey"])
+    return _round_trip(spark, orders, TextOptions(ignore_lines=3), *_spread(orders, "o_orderkey"), order_by=["o_orderkey"])
 
 
 def load_line_prefix(spark, sf_dir):
@@ -75,8 +82,9 @@ def load_multi_sep(spark, sf_dir):
 def load_columns(spark, sf_dir):
     li = _table(spark, sf_dir, "lineitem").select("l_quantity", "l_orderkey", "l_linenumber")
     d = scratch_dir(spark, "files")
-    write_delimited(li.withColumn("_k", F.col("l_orderkey") % 4), d, TextOptions(),
-                    columns=["l_quantity", "l_orderkey", "l_linenumber"], file_key="_k", files=4)
+    key, n = _spread(li, "l_orderkey")
+    write_delimited(li.withColumn("_k", F.expr(key)), d, TextOptions(),
+                    columns=["l_quantity", "l_orderkey", "l_linenumber"], file_key="_k", files=n)
     opts = TextOptions(columns=("l_quantity", "l_orderkey", "l_linenumber"), file_id_column="file_id")
     spec = _spec(spark, li, opts, schema="l_orderkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_tax DOUBLE, "
                                          "file_id DECIMAL(20,0)")
@@ -90,17 +98,22 @@ def load_columns(spark, sf_dir):
 _ORDER_COLS = ["o_orderkey", "o_custkey", "o_totalprice"]
 
 
-def _dup_fixture(spark, sf_dir, base_filter: str, files: dict[str, DataFrame], method: str):
+def _dup_fixture(spark, sf_dir, base_filter: str, files: dict[str, DataFrame], method: str,
+                 spread: bool = False):
     orders = _table(spark, sf_dir, "orders").select(*_ORDER_COLS)
     spec = _spec(spark, orders, TextOptions(), keys=["o_orderkey"], method=method)
     base = orders.where(base_filter).withColumn("o_totalprice", F.col("o_totalprice") * 2)
     base.write.parquet(spec.target.path)
     d = scratch_dir(spark, "files")
-    parts = [df.withColumn("_k", F.lit(k)) for k, df in files.items()]
+    if spread:  # several files of each name, in the names' order
+        key, n = _spread(orders, "o_orderkey")
+        parts = [df.withColumn("_k", F.concat(F.lit(f"{k}-"), F.expr(key).cast("string"))) for k, df in files.items()]
+    else:
+        n, parts = 1, [df.withColumn("_k", F.lit(k)) for k, df in files.items()]
     allrows = parts[0]
     for p in parts[1:]:
         allrows = allrows.unionByName(p)
-    write_delimited(allrows, d, TextOptions(), columns=_ORDER_COLS, file_key="_k", files=len(files),
+    write_delimited(allrows, d, TextOptions(), columns=_ORDER_COLS, file_key="_k", files=n * len(files),
                     order_by=["o_orderkey"], stable_names=True)
     out = load_files(spark, spec, [d])
     return spec, out
@@ -109,14 +122,14 @@ def _dup_fixture(spark, sf_dir, base_filter: str, files: dict[str, DataFrame], m
 def load_dup_ignore(spark, sf_dir):
     o = _table(spark, sf_dir, "orders").select(*_ORDER_COLS)
     spec, _ = _dup_fixture(spark, sf_dir, "o_orderkey % 5 = 0", {
-        "a": o, "b": o.where("o_orderkey % 3 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)}, "ignore")
+        "a": o, "b": o.where("o_orderkey % 3 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)}, "ignore", spread=True)
     return read_target(spark, spec)
 
 
 def load_dup_replace(spark, sf_dir):
     o = _table(spark, sf_dir, "orders").select(*_ORDER_COLS)
     spec, _ = _dup_fixture(spark, sf_dir, "o_orderkey % 5 = 0", {
-        "a": o, "b": o.where("o_orderkey % 3 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)}, "replace")
+        "a": o, "b": o.where("o_orderkey % 3 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)}, "replace", spread=True)
     return read_target(spark, spec)
 
 
@@ -250,13 +263,102 @@ def dry_run(spark, sf_dir):
     return plan.select(F.expr(f"substring(name, {len(base) + 1})").alias("name"))
 
 
+_TEXT_COLS = ["c_custkey", "c_name", "c_mktsegment"]
+
+
+def list_hidden(spark, sf_dir):
+    """Names that start with ``_`` or ``.`` and empty files are listed, with their sizes."""
+    cust = _table(spark, sf_dir, "customer")
+    root = scratch_dir(spark, "tree")
+    for stem, part in (("data", "c_nationkey < 9"), ("_data", "c_nationkey BETWEEN 9 AND 15"), (".data", "c_nationkey > 15")):
+        d = f"{root}/{stem}"
+        write_delimited(cust.where(part).withColumn("_k", F.col("c_nationkey")), d, TextOptions(), columns=_TEXT_COLS,
+                        file_key="_k", files=9)
+        name_part_files(spark, d, stem)
+    truncate_file(spark, f"{root}/data/key=0/data.txt")
+    base = local_path(root).rstrip("/") + "/"
+    return list_files(spark, [base + "**"]).select(F.expr(f"substring(name, {len(base) + 1})").alias("name"), "size")
+
+
+def _gzip_tree(spark, sf_dir):
+    """A job's spec for gzip files by nation, some with hidden names; the file of nation 3 broke off."""
+    cust = _table(spark, sf_dir, "customer").select(*_TEXT_COLS, "c_nationkey")
+    root = scratch_dir(spark, "gz")
+    for stem, part in (("data", "c_nationkey < 20"), ("_data", "c_nationkey >= 20")):
+        d = f"{root}/{stem}"
+        write_delimited(cust.where(part).withColumn("_k", F.col("c_nationkey")), d, TextOptions(), columns=cust.columns,
+                        file_key="_k", files=20, compression="gzip")
+        name_part_files(spark, d, stem)
+    cut_file(spark, f"{root}/data/key=3/data.txt.gz", 40)
+    spec = _spec(spark, cust, TextOptions())
+    return LoadSpec(SourceSpec(paths=(local_path(root) + "/**.gz",)), spec.target, spec.options)
+
+
+def load_corrupt_gzip(spark, sf_dir):
+    """A gzip that cannot be unpacked fails alone, whatever its place in the job."""
+    from sluice.operators.job import run_load_job
+    spec = _gzip_tree(spark, sf_dir)
+    run_load_job(spark, spec, scratch_dir(spark, "ledger"))
+    return read_target(spark, spec)
+
+
+def gzip_verdicts(spark, sf_dir):
+    from sluice.operators.job import run_load_job
+    out = run_load_job(spark, _gzip_tree(spark, sf_dir), scratch_dir(spark, "ledger"))
+    return out.verdicts.select(F.regexp_extract("name", r"key=([^/]+)/", 1).cast("int").alias("nation"), "status",
+                               F.regexp_extract("error", "^[a-z]+ gzip", 0).alias("error"), "row_count")
+
+
+def _by_nation(spark, cust, root, name="data"):
+    write_delimited(cust.withColumn("_k", F.col("c_nationkey")), f"{root}-new", TextOptions(), columns=cust.columns,
+                    file_key="_k", files=25, order_by=["c_custkey"], stable_names=True)
+    replace_files(spark, f"{root}-new", root)
+
+
+def sync_same_content(spark, sf_dir):
+    """Files uploaded again are known by their content; only the changed one is loaded."""
+    from sluice.operators.job import sync
+    cust = _table(spark, sf_dir, "customer").select(*_TEXT_COLS, "c_nationkey")
+    root, ledger = scratch_dir(spark, "uploads"), scratch_dir(spark, "ledger")
+    opts = TextOptions(columns=tuple(cust.columns), file_id_column="file_id")
+    spec = _spec(spark, cust, opts, schema=cust.schema.simpleString()[:-1] + ",file_id:decimal(20,0)>")
+    spec = LoadSpec(SourceSpec(paths=(local_path(root) + "/**",), fingerprint="etag"), spec.target, opts)
+    _by_nation(spark, cust, root)
+    first = sync(spark, spec, ledger)
+    changed = F.when(F.col("c_nationkey") == 4, F.upper("c_name")).otherwise(F.col("c_name"))
+    _by_nation(spark, cust.withColumn("c_name", changed), root)
+    again = sync(spark, spec, ledger)
+    counts = spark.createDataFrame([(1, first.submitted, first.ignored), (2, again.submitted, again.ignored)],
+                                   "run INT, submitted BIGINT, ignored BIGINT")
+    return read_target(spark, spec).select("c_custkey", "c_name").crossJoin(counts.where("run = 2").drop("run"))
+
+
+def retry_loads(spark, sf_dir):
+    """The failed file is mended and retried; its rows are loaded and its task succeeds."""
+    from sluice.operators.job import retry_job, run_load_job
+    from sluice.operators.ledger import read_ledger
+    cust = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_name")
+    root, ledger = scratch_dir(spark, "files"), scratch_dir(spark, "ledger")
+    spec = _spec(spark, cust, TextOptions())
+    spec = LoadSpec(SourceSpec(paths=(local_path(root) + "/**",)), spec.target, spec.options)
+    bad = F.when(F.col("c_nationkey") == 3, F.lit("oops")).otherwise(F.col("c_custkey").cast("string"))
+    _by_nation(spark, cust.withColumn("c_custkey", bad), root)
+    run_load_job(spark, spec, ledger)
+    _by_nation(spark, cust, root)
+    retry_job(spark, spec, ledger)
+    _, tasks = read_ledger(spark, ledger)
+    left = tasks.where("result <> 'success'").agg(F.count("*").alias("failed"))
+    return read_target(spark, spec).crossJoin(left)
+
+
 # --- script --------------------------------------------------------------------------
 
 def load_script(spark, sf_dir):
     cust = _table(spark, sf_dir, "customer")
     d = scratch_dir(spark, "files")
-    write_delimited(cust.withColumn("_k", F.col("c_nationkey") % 4), d, TextOptions(), columns=cust.columns,
-                    file_key="_k", files=4, compression="gzip")
+    key, n = _spread(cust, "c_custkey")
+    write_delimited(cust.withColumn("_k", F.expr(key)), d, TextOptions(), columns=cust.columns,
+                    file_key="_k", files=n, compression="gzip")
     spec = _spec(spark, cust, TextOptions(), script="tr a-z A-Z")
     load_files(spark, spec, [d])
     return read_target(spark, spec)

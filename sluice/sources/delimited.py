@@ -17,6 +17,8 @@ Decoding, per line:
 3. per field: unquoted ``\\N`` → NULL; escape + any other character → that
    character; then one ``translate`` restores the escape character and the
    control characters of ``\\0 \\b \\n \\r \\t \\Z`` (marked per line in step 1).
+   Text that holds such a non-character itself is guarded in step 1 and restored
+   here, so every text comes back as it was.
 
 Row identity for "first / last row wins" and "earliest error":
 ``(_file, _block, _mid)`` — the split's start offset and a monotonically
@@ -33,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from sluice.sources.paths import decode_file_path
+from sluice.sources.streams import reachable, read_file_lines
 
 # Fixed values that must equal the reference's option defaults.
 DEFAULT_FIELDS_TERMINATED = "\t"
@@ -46,6 +49,10 @@ ESCAPE_LETTERS = {"0": "\x00", "b": "\b", "n": "\n", "r": "\r", "t": "\t", "Z":
 _PLACEHOLDER = "﷐"
 # one Unicode non-character per escape letter, assigned in ESCAPE_LETTERS order
 _LETTER_MARKS = {letter: chr(0xFDD1 + i) for i, letter in enumerate(ESCAPE_LETTERS)}
+# a mark that a text holds itself becomes two characters, the guard and one of its own
+_GUARD = chr(0xFDD7)
+_GUARDED = {mark: _GUARD + chr(0xFDD8 + i) for i, mark in enumerate([_PLACEHOLDER, *_LETTER_MARKS.values(), _GUARD])}
+_HOLDS_MARK = f"[{_PLACEHOLDER}-{_GUARD}]"
 
 
 @dataclass(frozen=True)
@@ -104,16 +111,12 @@ def _q(text: str) -> str:
 # reading lines
 # ---------------------------------------------------------------------------
 
-def _plain_line(value: Column, esc: str, protected: bool = False) -> Column:
-    """True when a line holds no escape at all — its fields need no decoding
+def _plain_line(value: Column, esc: str) -> Column:
+    """True when a line holds no escape and no mark — its fields need no decoding
     (the common case, taken without running the decoder)."""
     if not esc:
         return F.lit(True)
-    plain = F.instr(value, esc) == 0
-    if protected:
-        for mark in [_PLACEHOLDER, *_LETTER_MARKS.values()]:
-            plain = plain & (F.instr(value, mark) == 0)
-    return plain
+    return (F.instr(value, esc) == 0) & ~value.rlike(_HOLDS_MARK)
 
 
 def _protect(value: Column, esc: str) -> Column:
@@ -122,16 +125,40 @@ def _protect(value: Column, esc: str) -> Column:
     and each field later needs one ``translate`` to restore them."""
     if not esc:
         return value
-    out = F.replace(value, F.lit(esc + esc), F.lit(_PLACEHOLDER))
+    own = F.replace(value, F.lit(_GUARD), F.lit(_GUARDED[_GUARD]))
+    for mark, pair in _GUARDED.items():
+        if mark != _GUARD:
+            own = F.replace(own, F.lit(mark), F.lit(pair))
+    out = F.replace(F.when(value.rlike(_HOLDS_MARK), own).otherwise(value), F.lit(esc + esc), F.lit(_PLACEHOLDER))
     for letter, mark in _LETTER_MARKS.items():
         out = F.replace(out, F.lit(esc + letter), F.lit(mark))
     return out
 
 
-def read_lines(spark: SparkSession, paths: list[str], opts: TextOptions) -> DataFrame:
+#: Names that do not end in .gz, as a Hadoop glob.
+_NOT_GZ = "{*[^z],*[^g]z,*[^.]gz,z,gz}"
+
+
+def streamed_files(spark: SparkSession, paths: list[str]) -> DataFrame | None:
+    """(path) of the ``.gz`` files below ``paths``: a gzip is one task's anyway, and read by ``streams`` a corrupt
+    one fails alone.  None where there are none, or where tasks cannot open the store."""
+    if not paths or not all(map(reachable, paths)):
+        return None
+    packed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+              .option("pathGlobFilter", "*.gz").load(paths).select("path"))
+    return None if packed.isEmpty() else packed
+
+
+def _no_lines(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "value STRING, _plain BOOLEAN, _file STRING, _block BIGINT, _mid BIGINT")
+
+
+def read_lines(spark: SparkSession, paths: list[str], opts: TextOptions, streamed: DataFrame | None = None) -> DataFrame:
     """Lines of every file with ``_file`` (decoded URI), ``_block`` (split
     start) and ``_mid`` (ordered within a split); the value is protected
-    (step 1).  Prefix and skip-lines are applied."""
+    (step 1).  Prefix and skip-lines are applied.  ``streamed`` (``path``)
+    names files to read besides ``paths`` that Spark's text source would hide
+    or, if corrupt, end the job at; by default the ``.gz`` files of ``paths``."""
     esc = opts.fields_escaped
     lt = opts.lines_terminated
     if opts.escaped_terminators:
@@ -158,16 +185,26 @@ def read_lines(spark: SparkSession, paths: list[str], opts: TextOptions) -> Data
                                    F.col("_r.error").alias("_script_error"))
         last = (F.col("_line") == F.col("_n") - 1) & (F.col("value") == "") & F.col("_script_error").isNull()
         lines = exploded.where(~last).select(
-            "value", _plain_line(F.col("value"), esc, protected=True).alias("_plain"), "_file", "_script_error",
+            "value", _plain_line(F.col("value"), esc).alias("_plain"), "_file", "_script_error",
             F.lit(0).cast("bigint").alias("_block"),
             F.col("_line").cast("bigint").alias("_mid"), F.col("_line").cast("bigint").alias("_line"))
     else:
-        raw = spark.read.text(paths, lineSep=lt, recursiveFileLookup=True).select(
+        own = streamed_files(spark, paths) if streamed is None else streamed
+        packed = {} if own is None else {"pathGlobFilter": _NOT_GZ}
+        raw = _no_lines(spark) if not paths else spark.read.options(**packed).text(
+            paths, lineSep=lt, recursiveFileLookup=True).select(
             _protect(F.col("value"), esc).alias("value"), _plain_line(F.col("value"), esc).alias("_plain"),
             decode_file_path(F.col("_metadata.file_path")).alias("_file"),
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_mid"))
         lines = with_line_numbers(raw) if opts.ignore_lines > 0 else raw
+        if own is not None:
+            # the same form of URI as the text source gives, so that files sort alike
+            uri = F.regexp_replace("_file", "^file:/+", "file:///")
+            more = read_file_lines(own, lt).select(
+                _protect(F.col("value"), esc).alias("value"), _plain_line(F.col("value"), esc).alias("_plain"),
+                uri.alias("_file"), "_block", "_mid", "_script_error", F.col("_mid").alias("_line"))
+            lines = lines.unionByName(more if opts.ignore_lines > 0 else more.drop("_line"), allowMissingColumns=True)
     failed = F.col("_script_error").isNotNull() if "_script_error" in lines.columns else F.lit(False)
     if opts.ignore_lines > 0:
         lines = lines.where((F.col("_line") >= opts.ignore_lines) | failed)
@@ -272,6 +309,10 @@ def decode_field(f: Column, opts: TextOptions) -> Column:
         marks = {_LETTER_MARKS[k]: v for k, v in ESCAPE_LETTERS.items() if v != "\x00"}
         text = F.translate(text, _PLACEHOLDER + "".join(marks), esc + "".join(marks.values()))
         text = F.replace(text, F.lit(_LETTER_MARKS["0"]), F.lit("\x00"))
+        own = text
+        for mark, pair in _GUARDED.items():  # the guard itself comes last
+            own = F.replace(own, F.lit(pair), F.lit(mark))
+        text = F.when(F.instr(text, _GUARD) > 0, own).otherwise(text)
         is_null = ~is_quoted & (f == F.lit(esc + "N"))
         if q:
             is_null = is_null | (~is_quoted & (f == "NULL"))
@@ -328,14 +369,16 @@ def parse_lines(lines: DataFrame, schema, opts: TextOptions) -> DataFrame:
     return typed.select(*out_names, *keep_meta, err.alias("_error"), *fatal)
 
 
-def read_delimited(spark: SparkSession, paths: list[str] | str, schema, opts: TextOptions | None = None) -> DataFrame:
+def read_delimited(spark: SparkSession, paths: list[str] | str, schema, opts: TextOptions | None = None,
+                   streamed: DataFrame | None = None) -> DataFrame:
     """Parse delimited files into typed rows (plus ``_file``,
     ``_block``, ``_mid``, ``_error``).  ``.gz`` (and other Hadoop codecs) are
-    decoded by suffix (S15)."""
+    decoded by suffix (S15); a ``.gz`` that cannot be unpacked gives a row
+    with ``_error``."""
     opts = opts or TextOptions()
     if isinstance(paths, str):
         paths = [paths]
-    return parse_lines(read_lines(spark, paths, opts), schema, opts)
+    return parse_lines(read_lines(spark, paths, opts, streamed), schema, opts)
 
 
 # ---------------------------------------------------------------------------
@@ -402,6 +445,7 @@ def write_delimited(df: DataFrame, path: str, opts: TextOptions, columns: list[s
         sort = (["key"] if file_key else []) + ["_hdr"] + [f"_o{i}" for i, _ in enumerate(order_by)]
     body = body.sortWithinPartitions(*sort)
     w = body.select("value", *(["key"] if file_key else [])).write.mode("overwrite").option("lineSep", opts.lines_terminated)
+    w = w.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")  # data files only
     if compression:
         w = w.option("compression", compression)
     if file_key:
@@ -467,6 +511,18 @@ def replace_files(spark: SparkSession, src_root: str, dst_root: str) -> None:
         fs.rename(p, target)
 
 
+def cut_file(spark: SparkSession, path: str, keep: int) -> None:
+    """Leave the first ``keep`` bytes of ``path`` (an upload that broke off)."""
+    jvm, p, fs = _fs(spark, path)
+    cut = jvm.org.apache.hadoop.fs.Path(path + ".cut")
+    source, out = fs.open(p), fs.create(cut, True)
+    out.write(source.readNBytes(keep))
+    source.close()
+    out.close()
+    fs.delete(p, False)
+    fs.rename(cut, p)
+
+
 def truncate_file(spark: SparkSession, path: str) -> None:
     """Make ``path`` an empty file (a producer emptying a file)."""
     jvm, p, fs = _fs(spark, path)

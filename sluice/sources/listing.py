@@ -1,18 +1,20 @@
 """File listing (S2–S7, U1): a manifest DataFrame of the files to load.
 
-``binaryFile`` with ``recursiveFileLookup`` lists the literal root of each
-pattern (Spark lists large trees with a distributed job); only ``path``,
-``length`` and ``modificationTime`` are selected, so no file content is read.
-The glob is applied as a regex on the name.  A change fingerprint stands in
-for the etag, which Hadoop file systems do not expose:
+The literal root of each pattern is listed by executor tasks
+(``streams.list_tree``), hidden and empty files included, and the glob is
+applied as a regex on the name.  Stores that tasks cannot open by themselves
+(``hdfs``) are listed by Spark's file index (``binaryFile``, metadata columns
+only), which hides names starting with ``_`` or ``.``; empty files are added
+from a Hadoop metadata listing.
+
+The change fingerprint (``etag`` column) is one of
 
 * ``size_mtime`` (default) – length and modification time;
-* ``md5`` – MD5 of the content (reads every byte; files < 2 GB);
+* ``etag`` – the object store's own etag; where a store has none, as ``md5``;
+* ``md5`` – MD5 of the content, read in chunks by executors: a file uploaded
+  again with the same content is unchanged;
 * ``none`` – NULL, i.e. the file always loads (the reference's rule for
   local files).
-
-Files whose names start with ``_`` or ``.`` are hidden from Spark's file
-sources and are therefore never listed.
 """
 
 from __future__ import annotations
@@ -24,73 +26,68 @@ from pyspark.sql import functions as F
 
 from sluice.functions.fileid import file_id
 from sluice.sources.paths import LoadPath, resolve_path, uri_bucket, uri_name, uri_scheme
+from sluice.sources.streams import content_tags, list_tree, reachable
 
 MANIFEST_COLUMNS = ["scheme", "bucket", "name", "etag", "size", "mtime", "path"]
+FINGERPRINTS = ("size_mtime", "etag", "md5", "none")
 
 
-def _list_one(spark: SparkSession, lp: LoadPath, fingerprint: str) -> DataFrame:
+def _found(spark: SparkSession, lp: LoadPath, include_empty: bool) -> DataFrame:
+    """(path, size, ms) of the files below the pattern's root."""
+    if reachable(lp.root):
+        found = list_tree(spark, lp.root)
+        return found if include_empty else found.where("size > 0")
     # keys that vanish between listing and reading are skipped (S3 rule)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true")
     try:
-        df = reader.load(lp.root)
+        found = reader.load(lp.root).select("path", F.col("length").alias("size"),
+                                            F.unix_millis("modificationTime").alias("ms"))
     except Exception as e:  # noqa: BLE001 - a missing root matches nothing
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], "scheme STRING, bucket STRING, name STRING, etag STRING, "
-                                             "size BIGINT, mtime TIMESTAMP_NTZ, path STRING")
-        raise
-    path = F.col("path")  # binaryFile gives the raw name (unlike _metadata.file_path)
-    cols = {
-        "scheme": uri_scheme(path),
-        "bucket": uri_bucket(path),
-        "name": uri_name(path),
-        "size": F.col("length"),
-        "mtime": F.col("modificationTime").cast("timestamp_ntz"),
-        "path": F.col("path"),
-    }
-    if fingerprint == "md5":
-        cols["etag"] = F.md5(F.col("content"))
-    elif fingerprint == "size_mtime":
-        cols["etag"] = F.concat_ws("-", F.col("length").cast("string"),
-                                   F.unix_micros(F.col("modificationTime")).cast("string"))
-    elif fingerprint == "none":
-        cols["etag"] = F.lit(None).cast("string")
-    else:
-        raise ValueError(f"unknown fingerprint {fingerprint!r}")
-    out = df.select(*[cols[c].alias(c) for c in MANIFEST_COLUMNS])
-    return out.where(F.col("name").rlike(lp.regex))
-
-
-def _empty_part(spark: SparkSession, lp: LoadPath, fingerprint: str) -> DataFrame | None:
-    found = empty_files(spark, [lp.root], with_mtime=True)
-    if not found:
-        return None
-    df = spark.createDataFrame(found, "path STRING, ms BIGINT")
-    etag = {"size_mtime": F.concat_ws("-", F.lit("0"), (F.col("ms") * 1000).cast("string")),
-            "md5": F.md5(F.lit(b"")), "none": F.lit(None).cast("string")}[fingerprint]
-    out = df.select(uri_scheme(F.col("path")).alias("scheme"), uri_bucket(F.col("path")).alias("bucket"),
-                    uri_name(F.col("path")).alias("name"), etag.alias("etag"), F.lit(0).cast("bigint").alias("size"),
-                    F.timestamp_millis(F.col("ms")).cast("timestamp_ntz").alias("mtime"), "path")
-    return out.where(F.col("name").rlike(lp.regex))
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        return spark.createDataFrame([], "path STRING, size BIGINT, ms BIGINT")
+    empties = empty_files(spark, [lp.root], with_mtime=True) if include_empty else []
+    if empties:
+        found = found.unionByName(spark.createDataFrame(empties, "path STRING, ms BIGINT")
+                                  .withColumn("size", F.lit(0).cast("bigint")))
+    return found
+
+
+def _list_one(spark: SparkSession, lp: LoadPath, include_empty: bool) -> DataFrame:
+    path = F.col("path")  # the raw name (unlike _metadata.file_path)
+    found = _found(spark, lp, include_empty).select(
+        uri_scheme(path).alias("scheme"), uri_bucket(path).alias("bucket"), uri_name(path).alias("name"),
+        F.concat_ws("-", F.col("size").cast("string"), (F.col("ms") * 1000).cast("string")).alias("etag"), "size",
+        F.timestamp_millis("ms").cast("timestamp_ntz").alias("mtime"), "path")
+    return found.where(F.col("name").rlike(lp.regex))
+
+
+def _content_tags(manifest: DataFrame, roots: list[str], etags: bool) -> DataFrame:
+    if all(map(reachable, roots)):
+        return content_tags(manifest, "etag", etags).select(MANIFEST_COLUMNS)
+    read = manifest.sparkSession.read.format("binaryFile").option("recursiveFileLookup", "true").load(roots)
+    return manifest.drop("etag").join(read.select("path", F.md5("content").alias("etag")), "path", "left").withColumn(
+        "etag", F.when(F.col("size") == 0, F.md5(F.lit(b""))).otherwise(F.col("etag"))).select(MANIFEST_COLUMNS)
 
 
 def list_files(spark: SparkSession, paths: list[str] | str, fingerprint: str = "size_mtime",
-               keep_duplicates: bool = False, include_empty: bool = False) -> DataFrame:
+               keep_duplicates: bool = False, include_empty: bool = True) -> DataFrame:
     """S2–S4 + U1: the manifest of every file matched by any pattern.
 
     The reference lists a file twice when two patterns match it; by default
-    we de-duplicate on (scheme, bucket, name).  ``include_empty`` adds
-    zero-length files, which Spark's file index skips (needed when an
-    emptied file must replace its old rows).
+    we de-duplicate on (scheme, bucket, name).
     """
-    if isinstance(paths, str):
-        paths = [paths]
-    parts = [_list_one(spark, resolve_path(p), fingerprint) for p in paths]
-    if include_empty:
-        parts += [e for e in (_empty_part(spark, resolve_path(p), fingerprint) for p in paths) if e is not None]
-    out = reduce(DataFrame.unionByName, parts)
+    if fingerprint not in FINGERPRINTS:
+        raise ValueError(f"unknown fingerprint {fingerprint!r}; known: {', '.join(FINGERPRINTS)}")
+    resolved = [resolve_path(p) for p in ([paths] if isinstance(paths, str) else paths)]
+    out = reduce(DataFrame.unionByName, [_list_one(spark, lp, include_empty) for lp in resolved])
     if not keep_duplicates:
         out = out.dropDuplicates(["scheme", "bucket", "name"])
-    return out
+    if fingerprint == "none":
+        out = out.withColumn("etag", F.lit(None).cast("string"))
+    elif fingerprint != "size_mtime":
+        out = _content_tags(out, [lp.root for lp in resolved], fingerprint == "etag")
+    return out.select(MANIFEST_COLUMNS)
 
 
 def with_file_id(manifest: DataFrame) -> DataFrame:

@@ -1,13 +1,15 @@
 """Per-file external script (S16): file bytes → ``/bin/bash -c script`` →
 the lines of its stdout are what gets parsed.
 
-``binaryFile`` gives one row per file; ``mapInArrow`` runs the process per
-file inside the executor and streams its stdout back as Arrow batches of
-lines, so no file passes through the driver.  ``.gz`` input is gunzipped
-before the script sees it.  A non-zero exit, a corrupt gzip or a script that
-does not exit within ``timeout_s`` after its input closes make the file fail
-(one row carrying ``_script_error``) — no retry, as in the reference.
-Files must be < 2 GB (binaryFile limit).
+A task opens the file itself and feeds it to the process in chunks while it
+turns the output into Arrow batches of lines, so its memory does not depend on
+the file's size; ``.gz`` input is gunzipped on the way.  A non-zero exit, a
+corrupt gzip, input left unread, or ``timeout_s`` seconds in which the process
+neither takes input nor gives output nor ends make the file fail (one row
+carrying ``_script_error``) — no retry, as in the reference.
+
+Stores that tasks cannot open (``streams.reachable``) are read with
+``binaryFile``: there a file is one value, and must be < 2 GB.
 
 For line-oriented commands that need no file boundary, Spark SQL's
 ``TRANSFORM ... USING`` is the lighter path (``transform_lines``).
@@ -18,107 +20,149 @@ from __future__ import annotations
 import contextlib
 import gzip
 import os
+import queue
 import signal
 import subprocess
 import threading
+import time
+import zlib
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.sources.delimited import TextOptions, _plain_line, _protect
+from sluice.sources.streams import (LINE_SCHEMA, Unreadable, checked_chunks, line_batches, reachable, split_lines,
+                                    store_options)
+
+_STDERR_KEPT = 4096
+
 
-_OUT_SCHEMA = "value STRING, _file STRING, _block BIGINT, _mid BIGINT, _script_error STRING"
-_BATCH_LINES = 8192
+class ScriptFailure(Exception):
+    """Why a script's run of one file failed."""
 
 
-def _run(command: str, data: bytes, timeout_s: int) -> tuple[bytes, str | None]:
-    """Stdout of the command fed with ``data``, or why it failed.  The whole
-    run is bounded by ``timeout_s``; the command's children end with it; a
-    command that leaves input unread has failed, whatever its exit code."""
+def script_output(command: str, source: Iterator[bytes], timeout_s: float) -> Iterator[bytes]:
+    """Chunks of the command's stdout while ``source`` is fed to it; raises ``ScriptFailure`` or ``Unreadable``.
+    The command's children end with it; a command that leaves input unread has failed, whatever its exit code."""
     proc = subprocess.Popen(["/bin/bash", "-c", command], stdin=subprocess.PIPE, stdout=subprocess.PIPE,
                             stderr=subprocess.PIPE, start_new_session=True)
-    got: dict[str, bytes] = {"stdout": b"", "stderr": b""}
-    unread: list[str] = []
+    moved = [time.monotonic()]
+    trouble: list[Exception] = []
+    stderr: list[bytes] = []
+    out: queue.Queue = queue.Queue(maxsize=16)  # the process waits while its output is not taken
+    over = threading.Event()
 
     def feed() -> None:
         try:
             with proc.stdin:
-                proc.stdin.write(data)
+                for chunk in source:
+                    for first in range(0, len(chunk), 65536):
+                        proc.stdin.write(chunk[first:first + 65536])
+                        moved[0] = time.monotonic()
         except (BrokenPipeError, ValueError):
-            unread.append("script ended before it had read its whole input")
-
-    def drain(name: str) -> None:
-        got[name] = getattr(proc, name).read()
-
-    threads = [threading.Thread(target=feed, daemon=True),
-               *(threading.Thread(target=drain, args=(name,), daemon=True) for name in got)]
+            trouble.append(ScriptFailure("script ended before it had read its whole input"))
+        except Unreadable as e:
+            trouble.append(e)
+        moved[0] = time.monotonic()
+
+    def put(chunk: bytes | None) -> None:
+        while not over.is_set():
+            with contextlib.suppress(queue.Full):
+                return out.put(chunk, timeout=0.2)
+
+    def drain() -> None:
+        while chunk := proc.stdout.read1(65536):
+            moved[0] = time.monotonic()
+            put(chunk)
+        put(None)
+
+    def keep_errors() -> None:
+        while chunk := proc.stderr.read1(65536):
+            if sum(map(len, stderr)) < _STDERR_KEPT:
+                stderr.append(chunk)
+
+    threads = [threading.Thread(target=f, daemon=True) for f in (feed, drain, keep_errors)]
     for t in threads:
         t.start()
     try:
-        proc.wait(timeout=timeout_s)
-        late = False
-    except subprocess.TimeoutExpired:
-        late = True
-    if not late:
+        while True:
+            try:
+                chunk = out.get(timeout=0.1)
+            except queue.Empty:
+                if time.monotonic() - moved[0] > timeout_s:  # stuck, or a child still holds a pipe
+                    raise ScriptFailure(f"script did not exit within {timeout_s} s") from None
+                continue
+            if chunk is None:
+                break
+            yield chunk
+            moved[0] = time.monotonic()  # the time that the lines took downstream is not the script's
+        try:
+            proc.wait(timeout=timeout_s)
+        except subprocess.TimeoutExpired:
+            raise ScriptFailure(f"script did not exit within {timeout_s} s") from None
         for t in threads:
             t.join(timeout=timeout_s)
-        late = any(t.is_alive() for t in threads)  # a child still holds a pipe
-    if late:
-        with contextlib.suppress(ProcessLookupError):
-            os.killpg(proc.pid, signal.SIGKILL)
+        unreadable = [e for e in trouble if isinstance(e, Unreadable)]
+        if unreadable:
+            raise unreadable[0]
+        if proc.returncode != 0:
+            said = b"".join(stderr)[:_STDERR_KEPT].decode("utf-8", "replace").strip()
+            raise ScriptFailure(f"script exited with code {proc.returncode}" + (f": {said}" if said else ""))
+        if trouble:
+            raise trouble[0]
+    finally:
+        over.set()
+        if proc.poll() is None or any(t.is_alive() for t in threads):
+            with contextlib.suppress(ProcessLookupError):
+                os.killpg(proc.pid, signal.SIGKILL)
         proc.wait()
-        return b"", f"script did not exit within {timeout_s} s"
-    if proc.returncode != 0:
-        err = got["stderr"].decode("utf-8", "replace").strip()
-        return b"", f"script exited with code {proc.returncode}" + (f": {err}" if err else "")
-    return (b"", unread[0]) if unread else (got["stdout"], None)
 
 
-def _make_mapper(command: str, line_sep: str, timeout_s: int):
-    import pyarrow as pa
+def _run(command: str, data: bytes, timeout_s: float) -> tuple[bytes, str | None]:
+    """Stdout of the command fed with ``data``, or why it failed."""
+    try:
+        return b"".join(script_output(command, iter([data] if data else []), timeout_s)), None
+    except ScriptFailure as e:
+        return b"", str(e)
+
+
+def _from_value(path: str, content: bytes | None) -> Iterator[bytes]:
+    """The bytes of a file that Spark has read as one value."""
+    try:
+        yield gzip.decompress(content or b"") if path.endswith(".gz") else content or b""
+    except (OSError, EOFError, zlib.error) as e:
+        raise Unreadable(f"corrupt gzip input: {e}") from e
+
 
+def _make_mapper(command: str, line_sep: str, timeout_s: float, options: dict):
     sep = line_sep.encode("utf-8")
 
-    def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def mapper(batches):
         for batch in batches:
             paths = batch.column("path").to_pylist()
-            contents = batch.column("content").to_pylist()
-            for path, content in zip(paths, contents):
-                data, error = content or b"", None
-                if path.endswith(".gz"):
-                    try:
-                        data = gzip.decompress(data)
-                    except (OSError, EOFError) as e:
-                        error = f"corrupt gzip input: {e}"
-                if error is None:
-                    data, error = _run(command, data, timeout_s)
-                if error is not None:
-                    yield pa.RecordBatch.from_pydict(
-                        {"value": [None], "_file": [path], "_block": [0], "_mid": [0], "_script_error": [error]})
-                    continue
-                lines = data.split(sep)
-                if lines and lines[-1] == b"":
-                    lines.pop()
-                for start in range(0, len(lines), _BATCH_LINES):
-                    chunk = [x.decode("utf-8", "replace") for x in lines[start:start + _BATCH_LINES]]
-                    n = len(chunk)
-                    yield pa.RecordBatch.from_pydict({
-                        "value": chunk, "_file": [path] * n, "_block": [0] * n,
-                        "_mid": list(range(start, start + n)), "_script_error": [None] * n,
-                    }, schema=pa.schema([("value", pa.string()), ("_file", pa.string()), ("_block", pa.int64()),
-                                         ("_mid", pa.int64()), ("_script_error", pa.string())]))
+            values = batch.column("content") if "content" in batch.schema.names else [None] * len(paths)
+            for path, value in zip(paths, values, strict=True):
+                source = checked_chunks(path, options) if value is None else _from_value(path, value.as_py())
+                yield from line_batches(path, split_lines(script_output(command, source, timeout_s), sep),
+                                        (ScriptFailure, Unreadable))
     return mapper
 
 
 def transform_files(spark: SparkSession, paths: list[str], command: str, opts: TextOptions | None = None,
-                    timeout_s: int = 30) -> DataFrame:
+                    timeout_s: float = 30, manifest: DataFrame | None = None) -> DataFrame:
     """Lines of each file after the script, in the shape ``read_lines`` gives
     (protected value, ``_file``, ``_block``, ``_mid``) plus ``_script_error``.
-    Skip-lines and line prefix apply to the script's output."""
+    Skip-lines and line prefix apply to the script's output.  ``manifest``
+    (``path``) names the files instead of ``paths``."""
     opts = opts or TextOptions()
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path", "content")
-    out = files.mapInArrow(_make_mapper(command, opts.lines_terminated, timeout_s), _OUT_SCHEMA)
+    files = manifest if manifest is not None else (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths))
+    if manifest is not None or all(map(reachable, paths)):
+        files = files.select("path").repartition(F.xxhash64("path"))
+    else:
+        files = files.select("path", "content")
+    out = files.mapInArrow(_make_mapper(command, opts.lines_terminated, timeout_s, store_options(spark)), LINE_SCHEMA)
     out = out.withColumns({"_plain": _plain_line(F.col("value"), opts.fields_escaped),
                            "value": _protect(F.col("value"), opts.fields_escaped)})
     if opts.ignore_lines > 0:

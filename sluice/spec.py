@@ -23,7 +23,7 @@ FILE_ID_TYPE = DecimalType(20, 0)
 @dataclass(frozen=True)
 class SourceSpec:
     paths: tuple[str, ...]
-    fingerprint: str = "size_mtime"  # size_mtime | md5 | none
+    fingerprint: str = "size_mtime"  # size_mtime | etag | md5 | none
     keep_duplicates: bool = False
     # (The HDFS user is the cluster's: HADOOP_USER_NAME / Kerberos at JVM
     # start; the namenode comes from the hdfs://host:port URI.)
