@@ -111,14 +111,16 @@ def _load_and_record(spark: SparkSession, spec: LoadSpec, ledger_path: str, file
 
     def all_failed(of: DataFrame, why: str) -> DataFrame:
         return of.select("file_id", F.lit("error").alias("status"), F.lit(why).alias("error"),
-                         F.lit(0).cast("bigint").alias("row_count"))
+                         F.lit(0).cast("bigint").alias("row_count"), none.alias("started"), none.alias("stopped"))
 
+    none = F.lit(None).cast("timestamp_ntz")
     try:
         outcome = load_files(spark, spec, files)
     except Exception as failure:
         finish(all_failed(tasks().where(F.col("finished").isNull()), f"load failed: {str(failure).splitlines()[0]}"))
         raise
-    verdicts = outcome.verdicts.select(F.col("file_id").cast("string").alias("file_id"), "status", "error", "row_count")
+    verdicts = outcome.verdicts.select(F.col("file_id").cast("string").alias("file_id"), "status", "error", "row_count",
+                                       "started", "stopped")
     finish(verdicts if gone is None else verdicts.unionByName(all_failed(gone, "the file is not there any more")))
     return outcome.verdicts
 

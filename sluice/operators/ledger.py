@@ -160,23 +160,30 @@ def cancel_jobs(jobs: DataFrame, tasks: DataFrame, now, job_prefix: str | None =
                 job_filter: Column | None = None, multiple: bool = True) -> DataFrame:
     """L4: cancel the unfinished tasks of the jobs matching a prefix and/or a
     job filter.  Without ``multiple`` the prefix must name exactly one job
-    (checked with ``limit(2)``)."""
+    (checked with ``limit(2)``); ``job_candidates`` lists what others it names."""
     sel = jobs.where(prefix_filter("id", job_prefix))
     if job_filter is not None:
         sel = sel.where(job_filter)
     if not multiple:
-        ids = [r["id"] for r in sel.select("id").orderBy("id").limit(21).collect()]
-        if not ids:
+        found = job_candidates(jobs, job_prefix, job_filter).limit(2).count()
+        if not found:
             raise ValueError(f"No job found with id `{job_prefix}`")
-        if len(ids) > 1:
-            shown = ", ".join(ids[:20]) + (", ..." if len(ids) > 20 else "")
-            raise ValueError(f"More than one job matches `{job_prefix}` ({shown}); "
+        if found > 1:
+            named = job_candidates(jobs, job_prefix, job_filter)
+            first = ", ".join(r["id"] for r in named.limit(20).collect())
+            raise ValueError(f"More than one job matches `{job_prefix}` ({first}; {sel.count()} in all, see job_candidates); "
                              "use a longer prefix or multiple=True")
     targets = sel.select(F.col("id").alias("job_id"))
     scoped = tasks.where(prefix_filter("job_id", job_prefix)).join(targets, "job_id", "left_semi")
     return bulk_finish(scoped, now)
 
 
+def job_candidates(jobs: DataFrame, job_prefix: str | None = None, job_filter: Column | None = None) -> DataFrame:
+    """The jobs that a prefix and / or filter names, in the order of their ids: what an ambiguous prefix may mean."""
+    sel = jobs.where(prefix_filter("id", job_prefix))
+    return (sel if job_filter is None else sel.where(job_filter)).select("id", "created").orderBy("id")
+
+
 def cancel_task(tasks: DataFrame, now, task_id) -> DataFrame:
     """Cancel one task by id (a string or a Column, e.g. a scalar subquery)."""
     return bulk_finish(tasks, now, F.col("id") == task_id)
@@ -211,10 +218,15 @@ def record_outcomes(tasks: DataFrame, verdicts: DataFrame, now, started=None) ->
     """Version rows from per-file verdicts
     ``(file_id, status 'success'|'error', error, row_count)``: result set,
     ``data.row_count`` / ``data.error`` filled, one ``download`` step (the
-    step the load statistics, A6, measure)."""
+    step the load statistics, A6, measure): from ``started`` to ``stopped``
+    of the file's verdict where it has them, else from ``started`` to now."""
     nowc = _now(now)
     start = nowc if started is None else _now(started)
-    v = verdicts.select(F.col("file_id").cast("string").alias("file_id"), "status", "error", "row_count")
+    timed = {"started", "stopped"} <= set(verdicts.columns)
+    v = verdicts.select(
+        F.col("file_id").cast("string").alias("file_id"), "status", "error", "row_count",
+        *((F.coalesce(F.col(c) if timed else F.lit(None), other).cast("timestamp_ntz").alias(f"_{c}")
+           for c, other in (("started", start), ("stopped", nowc)))))
     d = task_data("data")
     j = tasks.where(F.col("finished").isNull()).join(v, "file_id", "inner")
     new_data = F.to_json(F.struct(
@@ -225,9 +237,9 @@ def record_outcomes(tasks: DataFrame, verdicts: DataFrame, now, started=None) ->
     return j.select(
         "id", "created", new_data.alias("data"), F.col("status").alias("result"),
         F.coalesce("execution_id", F.lit("0")).alias("execution_id"),
-        steps_json("download", start, nowc).alias("steps"), "job_id", "file_id", "bytes_total",
+        steps_json("download", F.col("_started"), F.col("_stopped")).alias("steps"), "job_id", "file_id", "bytes_total",
         F.col("bytes_total").alias("bytes_downloaded"), "download_rate", "md5",
-        start.alias("started"), nowc.alias("last_contact"),
+        F.col("_started").alias("started"), nowc.alias("last_contact"),
         (F.col("update_count") + 1).alias("update_count"), nowc.alias("finished"),
     )
 

@@ -33,12 +33,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.fileid import file_id
+from sluice.operators.swap import recover, swap_partitions
 from sluice.session import ensure_checkpoint_dir, scratch_dir, staging_scope, track_staged
 from sluice.sources.delimited import parse_lines, read_delimited, read_lines
 from sluice.sources.listing import empty_files
 from sluice.sources.paths import uri_bucket, uri_name
 from sluice.sources.streams import reachable
-from sluice.spec import LoadSpec, check_target
+from sluice.spec import BUCKET_COL, LoadSpec, check_target
 
 _ORDER = ["_file", "_block", "_mid"]
 #: Names that Spark's text source hides, and gzip files.
@@ -47,13 +48,10 @@ _STREAMED = re.compile(r"/[_.][^/]*$|\.gz$")
 
 @dataclass
 class LoadOutcome:
-    verdicts: DataFrame   # file_id, name, bucket, status, error, row_count
+    verdicts: DataFrame   # file_id, name, bucket, status, error, row_count, started, stopped (first and last row read)
     staged_path: str      # where the parsed rows were staged (removed after the load)
 
 
-BUCKET_COL = "_file_bucket"
-
-
 def _read_stored(spark: SparkSession, spec: LoadSpec) -> DataFrame:
     """The target as stored (with the bucket partition column if bucketed)."""
     st = spec.target.struct
@@ -145,14 +143,16 @@ def _load_files(spark: SparkSession, spec: LoadSpec, files, rows: DataFrame | No
     URIs) into the target.  ``rows`` may carry the batch already parsed (the
     streaming path).  Returns the per-file verdicts (staged); the target is
     written when this returns."""
-    check_target(spark, spec)
     ensure_checkpoint_dir(spark)
+    recover(spark, spec.target.path)
+    check_target(spark, spec)
     # a manifest names files, not patterns: glob characters in a name stand for themselves
     paths = files if not isinstance(files, DataFrame) else [
         re.sub(r"([\\\[\]{}*?])", r"\\\1", r["path"]) for r in files.select("path").collect()]
     if not paths:
         empty = spark.createDataFrame(
-            [], "file_id DECIMAL(20,0), name STRING, bucket STRING, status STRING, error STRING, row_count BIGINT")
+            [], "file_id DECIMAL(20,0), name STRING, bucket STRING, status STRING, error STRING, row_count BIGINT, "
+                "started TIMESTAMP_NTZ, stopped TIMESTAMP_NTZ")
         return LoadOutcome(empty, "")
     if isinstance(files, DataFrame) and {"name", "bucket"} <= set(files.columns):
         # a manifest already names every file (empty ones too when listed
@@ -162,8 +162,14 @@ def _load_files(spark: SparkSession, spec: LoadSpec, files, rows: DataFrame | No
         all_files = _files_frame(spark, paths, with_empty=bool(spec.options.file_id_column))
     parsed = rows if rows is not None else parse_files(
         spark, spec, paths, files.select("path") if isinstance(files, DataFrame) else None)
-    rows, staged_path = stage(spark, parsed)
+    # when each row was parsed, by the clock of the task that did it
+    rows, staged_path = stage(spark, parsed.withColumn(
+        "_ms", F.expr("CAST(java_method('java.lang.System', 'currentTimeMillis') AS BIGINT)")))
     fids = file_ids(spark, rows)
+    spans = rows.groupBy("_file").agg(*(F.timestamp_millis(f("_ms")).cast("timestamp_ntz").alias(name) for f, name in
+                                        ((F.min, "started"), (F.max, "stopped"))))
+    spans = spans.join(fids, "_file").select(F.col("_fid").alias("file_id"), "started", "stopped")
+    rows = rows.drop("_ms")
     keys = list(spec.target.key_columns)
     fid_col = spec.options.file_id_column
     method = spec.duplicate_key_method
@@ -223,10 +229,10 @@ def _load_files(spark: SparkSession, spec: LoadSpec, files, rows: DataFrame | No
         counts = good.groupBy("_file").agg(F.count(F.lit(1)).alias("row_count"))
         per_file = (fids.join(first_failure, "_file", "left").join(counts, "_file", "left")
                     .select(F.col("_fid").alias("file_id"), "error", "row_count"))
-    verdicts = (all_files.join(per_file, "file_id", "left")
+    verdicts = (all_files.join(per_file, "file_id", "left").join(spans, "file_id", "left")
                 .select("file_id", "name", "bucket",
                         F.when(F.col("error").isNotNull(), F.lit("error")).otherwise(F.lit("success")).alias("status"),
-                        "error", F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count")))
+                        "error", F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"), "started", "stopped"))
     verdicts, _ = stage(spark, verdicts, "verdicts")
 
     _write(spark, spec, good, target, target_kept, keys, method, fid_col, data_cols, verdicts, fids)
@@ -289,11 +295,10 @@ def _write(spark, spec, good, target, target_kept, keys, method, fid_col, data_c
             hit = target_kept.join(out.select(*keys), keys, "left_semi").select(fid_col).distinct()
             survivors = target_kept.join(hit, fid_col, "left_semi").join(out.select(*keys), keys, "left_anti")
             out = out.select(*cols).unionByName(survivors.select(*cols))
-            emptied = hit.join(out.select(fid_col).distinct(), fid_col, "left_anti")
-            empty_fids = empty_fids.unionByName(emptied.select(F.col(fid_col).alias("file_id")))
-        (out.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(fid_col).parquet(path))
-        _drop_partitions(spark, path, fid_col, empty_fids)
+            empty_fids = empty_fids.unionByName(hit.select(F.col(fid_col).alias("file_id")))
+        goners = empty_fids
+        swap_partitions(spark, path, out.select(*cols), fid_col, lambda written: goners.join(
+            written.select(F.col(fid_col).alias("file_id")), "file_id", "left_anti").select("file_id"))
         return
     out = good.select(*data_cols)
     if method == "replace" and keys:
@@ -327,8 +332,8 @@ def _write_bucketed(spark, spec, good, keys, method, fid_col, data_cols, fids, v
 
     new bucket = old rows of the bucket − rows of the reloaded files
                  (− rows whose key is replaced) ∪ the batch's rows.
-    Staged in the shared folder first, so the overwrite never reads the
-    partitions it replaces; buckets left without rows are dropped."""
+    ``swap_partitions`` writes them beside the table first, so the overwrite
+    never reads the partitions it replaces; buckets left without rows go."""
     nb = spec.target.file_id_buckets
     bucket = lambda c: F.pmod(F.col(c), F.lit(nb)).cast("int")
     cols = data_cols + [fid_col]
@@ -348,31 +353,8 @@ def _write_bucketed(spark, spec, good, keys, method, fid_col, data_cols, fids, v
     old = stored.join(touched, BUCKET_COL, "left_semi").join(batch_fids, fid_col, "left_anti")
     if method == "replace" and keys:
         old = old.join(new.select(*keys), keys, "left_anti")
-    final, _ = stage(spark, old.select(*cols, BUCKET_COL).unionByName(new.select(*cols, BUCKET_COL)), "buckets")
-    emptied = [r[0] for r in touched.join(final.select(BUCKET_COL).distinct(), BUCKET_COL, "left_anti").collect()]
-    (final.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET_COL).parquet(spec.target.path))
-    if emptied:
-        _drop_partitions(spark, spec.target.path, BUCKET_COL,
-                         spark.createDataFrame([(int(b),) for b in emptied], "file_id INT"))
-
-
-def _drop_partitions(spark: SparkSession, path: str, col: str, fids: DataFrame) -> None:
-    """Delete ``col=<id>`` directories of files that now have no rows (a
-    reloaded empty file, or an old file whose rows were all replaced).
-    Dynamic overwrite cannot express "this partition is now empty".  Only
-    the (few) ids reach the driver; deletion is a metadata operation."""
-    ids = [r[0] for r in fids.distinct().collect()]
-    if not ids:
-        return
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
-    for i in ids:
-        p = jvm.org.apache.hadoop.fs.Path(root, f"{col}={i}")
-        if fs.exists(p):
-            fs.delete(p, True)
+    swap_partitions(spark, spec.target.path, old.select(*cols, BUCKET_COL).unionByName(new.select(*cols, BUCKET_COL)),
+                    BUCKET_COL, lambda written: touched.join(written.select(BUCKET_COL), BUCKET_COL, "left_anti"))
 
 
 def plan_load(spark: SparkSession, spec: LoadSpec, paths: list[str]) -> DataFrame:

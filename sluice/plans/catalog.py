@@ -610,6 +610,18 @@ def _register_round_trips():
             "SELECT c_custkey, CASE WHEN c_nationkey = 4 THEN upper(c_name) ELSE c_name END AS c_name, "
             "CAST(1 AS BIGINT) AS submitted, (SELECT count(DISTINCT c_nationkey) - 1 FROM customer) AS ignored FROM customer"),
         "retry_loads": "SELECT c_custkey, c_nationkey, c_name, CAST(0 AS BIGINT) AS failed FROM customer",
+        "list_patterns": (
+            "WITH f AS (SELECT DISTINCT 'key=' || c_nationkey || '/data.txt' AS name FROM customer UNION ALL "
+            "SELECT DISTINCT 'deep/key=' || c_mktsegment || '/data.txt' FROM customer), "
+            "m AS (SELECT name, CAST(name LIKE 'deep/%' AS BIGINT) + 1 + CAST(name LIKE 'key=1%' AS BIGINT) AS n FROM f) "
+            "SELECT name, CAST(1 AS BIGINT) AS times, false AS kept FROM m UNION ALL SELECT name, n, true FROM m"),
+        "load_text_options": "SELECT c_name, c_custkey, CAST(NULL AS INTEGER) AS c_nationkey FROM customer",
+        "job_cycle": (
+            "SELECT CAST(c_nationkey AS INTEGER) AS nation, CASE WHEN c_nationkey = 3 THEN 'error' ELSE 'success' END AS result, "
+            "CAST(2 AS BIGINT) AS update_count, CASE WHEN c_nationkey = 3 THEN 0 ELSE count(*) END AS row_count, "
+            "CASE WHEN c_nationkey = 3 THEN 'Incorrect' END AS error, CAST(sum(strlen(CASE WHEN c_nationkey = 3 THEN 'oops' "
+            "ELSE CAST(c_custkey AS VARCHAR) END || c_nationkey || c_name) + 3) AS BIGINT) AS bytes_total, "
+            "'download' AS step, true AS in_order FROM customer GROUP BY c_nationkey"),
         "load_script": ("SELECT c_custkey, upper(c_name) AS c_name, c_nationkey, c_acctbal, "
                         "upper(c_mktsegment) AS c_mktsegment FROM customer"),
         "sync_stream": "SELECT * FROM customer",
@@ -683,3 +695,43 @@ WHERE t.job_id = (SELECT id FROM jobs ORDER BY created DESC, id DESC LIMIT 1)"""
 def q_last_job_tasks(spark, sf_dir):
     jobs, tasks = _views(spark, sf_dir, "jobs", "tasks")
     return rp.last_job_tasks(jobs, tasks, FIXTURE_NOW)
+
+
+@register("live_leases", W("tasks") + f"""
+SELECT id, execution_id, last_contact FROM tasks
+WHERE execution_id IS NOT NULL AND last_contact > {NOW} - INTERVAL 120 SECOND""")
+def q_live_leases(spark, sf_dir):
+    from sluice.functions.states import has_live_lease, now_literal
+    tasks = _views(spark, sf_dir, "tasks")
+    return tasks.where(has_live_lease(now_literal(FIXTURE_NOW))).select("id", "execution_id", "last_contact")
+
+
+@register("cancel_count", W("jobs", "tasks") + f"""
+SELECT count(*) AS cancelled FROM tasks WHERE finished IS NULL AND job_id IN (SELECT id FROM jobs WHERE {_T3})""")
+def q_cancel_count(spark, sf_dir):
+    jobs, tasks = _views(spark, sf_dir, "jobs", "tasks")
+    return _cancel_t3(jobs, tasks).agg(F.count("*").alias("cancelled"))
+
+
+@register("job_specs", W("jobs") + "SELECT id, spec FROM jobs WHERE id LIKE '0000%'")
+def q_job_specs(spark, sf_dir):
+    return rp.job_specs(_views(spark, sf_dir, "jobs"), "0000")
+
+
+@register("job_candidates", W("jobs") + f"SELECT id, created FROM jobs WHERE id LIKE '0000%' AND {_T3}")
+def q_job_candidates(spark, sf_dir):
+    from sluice.operators.ledger import job_candidates
+    return job_candidates(_views(spark, sf_dir, "jobs"), "0000", _t3_filter())
+
+
+@register("broken_fields", W("tasks") + """
+SELECT id, CASE WHEN length(id) % 2 = 0 OR update_count > 1 THEN NULL ELSE json_extract_string(data, '$.key_name') END AS key_name,
+       CASE WHEN length(id) % 2 = 0 OR update_count > 1 THEN NULL ELSE TRY_CAST(json_extract(data, '$.row_count') AS BIGINT) END AS row_count
+FROM tasks""")
+def q_broken_fields(spark, sf_dir):
+    """fields of text that is no JSON are NULL."""
+    from sluice.functions.fields import task_data
+    tasks = _views(spark, sf_dir, "tasks")
+    broken = (F.length("id") % 2 == 0) | (F.col("update_count") > 1)
+    d = task_data(F.when(broken, F.expr("substring(data, 2)")).otherwise(F.col("data")))
+    return tasks.select("id", d["key_name"].alias("key_name"), d["row_count"].alias("row_count"))

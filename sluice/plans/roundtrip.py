@@ -5,6 +5,8 @@ transformation.  Work grows with the table (whole tables, every row)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -351,6 +353,49 @@ def retry_loads(spark, sf_dir):
     return read_target(spark, spec).crossJoin(left)
 
 
+def list_patterns(spark, sf_dir):
+    """Overlapping patterns list a file once, or as often as they match."""
+    root = _tree(spark, sf_dir)
+    base = local_path(root).rstrip("/") + "/"
+    patterns = [base + "deep/**", base + "**/data.txt", base + "key=1*/*"]
+    return reduce(DataFrame.unionByName, (
+        list_files(spark, patterns, keep_duplicates=keep).groupBy(F.expr(f"substring(name, {len(base) + 1})").alias("name"))
+        .agg(F.count("*").alias("times")).withColumn("kept", F.lit(keep)) for keep in (False, True)))
+
+
+def load_text_options(spark, sf_dir):
+    """Separators and columns as typed on a command line."""
+    typed = TextOptions.from_text(fields_terminated="\\u0001", lines_terminated="\\x02\\n", columns="c_name , c_custkey")
+    cust = _table(spark, sf_dir, "customer").select("c_name", "c_custkey", "c_nationkey")
+    d = scratch_dir(spark, "files")
+    key, n = _spread(cust, "c_custkey")
+    write_delimited(cust.withColumn("_k", F.expr(key)), d, typed, columns=["c_name", "c_custkey"], file_key="_k", files=n)
+    spec = _spec(spark, cust, typed)
+    load_files(spark, spec, [d])
+    return read_target(spark, spec)
+
+
+def job_cycle(spark, sf_dir):
+    """The ledger after a job with one bad file."""
+    from sluice.functions.fields import task_data
+    from sluice.operators.job import run_load_job
+    from sluice.operators.ledger import read_ledger
+    cust = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_name")
+    root, ledger = scratch_dir(spark, "files"), scratch_dir(spark, "ledger")
+    bad = F.when(F.col("c_nationkey") == 3, F.lit("oops")).otherwise(F.col("c_custkey").cast("string"))
+    _by_nation(spark, cust.withColumn("c_custkey", bad), root)
+    spec = _spec(spark, cust, TextOptions())
+    spec = LoadSpec(SourceSpec(paths=(local_path(root) + "/**",)), spec.target, spec.options)
+    run_load_job(spark, spec, ledger)
+    jobs, tasks = read_ledger(spark, ledger)
+    d = task_data("data")
+    return tasks.join(jobs.select(F.col("id").alias("job_id")), "job_id").select(
+        F.regexp_extract(d["key_name"], r"key=([^/]+)/", 1).cast("int").alias("nation"), "result", "update_count",
+        d["row_count"].alias("row_count"), F.regexp_extract(d["error"], "^[A-Z][a-z]+", 0).alias("error"), "bytes_total",
+        F.get_json_object("steps", "$[0].name").alias("step"),
+        (F.get_json_object("steps", "$[0].start") <= F.get_json_object("steps", "$[0].stop")).alias("in_order"))
+
+
 # --- script --------------------------------------------------------------------------
 
 def load_script(spark, sf_dir):
@@ -390,14 +435,16 @@ def sync_stream(spark, sf_dir):
 def heartbeat_stream(spark, sf_dir):
     from sluice.plans.fixtures import tasks_view
     from sluice.session import FIXTURE_NOW
-    from sluice.functions.states import now_literal
-    from sluice.streaming.heartbeat import lost_tasks, run_heartbeat_stream
-    t = tasks_view(spark, sf_dir).where(F.col("finished").isNull() & F.col("execution_id").isNotNull())
-    beats = t.select(F.col("id").alias("task_id"), F.col("last_contact").alias("ts"))
-    src = scratch_dir(spark, "heartbeats")
-    # an older beat per task arrives first, the latest one later
-    beats.select("task_id", (F.col("ts") - F.expr("INTERVAL 60 SECONDS")).alias("ts")).write.parquet(src + "/1")
-    beats.write.parquet(src + "/2")
-    latest = run_heartbeat_stream(spark, src + "/*", "task_id STRING, ts TIMESTAMP_NTZ",
-                                  scratch_dir(spark, "heartbeat-latest"))
-    return lost_tasks(latest, now_literal(FIXTURE_NOW))
+    from sluice.streaming.heartbeat import run_heartbeat_stream
+    schema = "task_id STRING, ts TIMESTAMP_NTZ, finished BOOLEAN"
+    t = tasks_view(spark, sf_dir).where(F.col("execution_id").isNotNull() & F.col("last_contact").isNotNull())
+    beats = t.select(F.col("id").alias("task_id"), F.col("last_contact").alias("ts"),
+                     F.col("finished").isNotNull().alias("finished"))
+    src, lost, ckpt = (scratch_dir(spark, f"heartbeat-{x}") for x in ("beats", "lost", "ckpt"))
+    # every task beats a minute earlier first; then the latest beats, the last of which is the clock's
+    beats.select("task_id", (F.col("ts") - F.expr("INTERVAL 60 SECONDS")).alias("ts"), F.lit(False).alias("finished")) \
+        .write.parquet(src + "/1")
+    clock = spark.createDataFrame([("clock", FIXTURE_NOW)], "task_id STRING, ts STRING").select(
+        "task_id", (F.col("ts").cast("timestamp_ntz") + F.expr("INTERVAL 1 SECOND")).alias("ts"), F.lit(False).alias("finished"))
+    beats.unionByName(clock).write.parquet(src + "/2")
+    return run_heartbeat_stream(spark, src + "/*", schema, lost, ckpt)

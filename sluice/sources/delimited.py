@@ -82,6 +82,12 @@ class TextOptions:
         if self.file_id_column and self.file_id_column in self.columns:
             raise ValueError("the file id column is filled by the load and cannot be one of the columns read")
 
+    @classmethod
+    def from_text(cls, **texts) -> "TextOptions":
+        """Options as a user types them: escapes in separators decoded (F17), ``columns`` as ``a, b, c``."""
+        columns = split_columns(texts.pop("columns", None))
+        return cls(columns=columns, **{k: unescape_option(v) if isinstance(v, str) else v for k, v in texts.items()})
+
     def with_(self, **kw) -> "TextOptions":
         return replace(self, **kw)
 

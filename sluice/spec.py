@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from dataclasses import asdict, dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql.types import DecimalType, StructType, _parse_datatype_string
 
@@ -18,6 +19,8 @@ from sluice.sources.paths import resolve_path
 
 DUPLICATE_KEY_METHODS = ("error", "ignore", "replace")
 FILE_ID_TYPE = DecimalType(20, 0)
+#: Partition column of a target that is bucketed by file id.
+BUCKET_COL = "_file_bucket"
 
 
 @dataclass(frozen=True)
@@ -86,9 +89,39 @@ class TargetError(ValueError):
     pass
 
 
+def _stored_schema(spark: SparkSession, path: str) -> StructType | None:
+    """The schema in the stored table's files and partitions, None where there is no table yet."""
+    try:
+        return spark.read.parquet(path).schema
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _check_stored(spark: SparkSession, spec: LoadSpec) -> None:
+    stored = _stored_schema(spark, spec.target.path)
+    if stored is None:
+        return
+    fid, bucketed = spec.options.file_id_column, spec.target.file_id_buckets is not None
+    kinds = {f.name: f.dataType for f in stored.fields}
+    if bucketed != (BUCKET_COL in kinds):
+        raise TargetError(f"the stored table at {spec.target.path} is {'not ' if bucketed else ''}bucketed by file id")
+    kinds.pop(BUCKET_COL, None)
+    for f in spec.target.struct.fields:
+        if f.name not in kinds:
+            raise TargetError(f"column {f.name!r} does not exist in the stored table at {spec.target.path}")
+        kind = kinds.pop(f.name)
+        if f.name != fid and kind != f.dataType:  # a partition value has no stored type
+            raise TargetError(f"column {f.name!r} is stored as {kind.simpleString()}, not {f.dataType.simpleString()}")
+    if kinds:
+        raise TargetError(f"the stored table at {spec.target.path} has more columns: {', '.join(sorted(kinds))}")
+
+
 def check_target(spark: SparkSession, spec: LoadSpec) -> None:
     """S17 preflight: listed / key columns exist; the file-id column exists,
-    is DECIMAL(20,0) (unsigned 64-bit) and is not in the column list."""
+    is DECIMAL(20,0) (unsigned 64-bit) and is not in the column list; the
+    table that is stored at the target, if any, has just these columns."""
     st = spec.target.struct
     names = {f.name: f.dataType for f in st.fields}
     for c in spec.options.columns:
@@ -112,3 +145,4 @@ def check_target(spark: SparkSession, spec: LoadSpec) -> None:
             raise TargetError("file_id_buckets needs options.file_id_column")
         if spec.target.file_id_buckets < 1:
             raise TargetError("file_id_buckets must be >= 1")
+    _check_stored(spark, spec)

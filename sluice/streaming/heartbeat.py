@@ -1,49 +1,104 @@
 """Tasks whose worker stopped sending heartbeats.
 
 Batch form: ``plans.reports.stale_tasks`` (P6/P7 over the current ledger).
-Stream form: the latest heartbeat per task is streaming state (a
-``max`` aggregation in the state store); each micro-batch publishes the
-per-task latest heartbeat, and ``lost_tasks`` picks those at least the TTL
-older than ``now``.  ``applyInPandasWithState`` with
-an event-time timeout would also work; the aggregation keeps it JVM-side.
+Stream form: ``transformWithState`` keeps one value per live task — its latest
+heartbeat — and one event-time timer ``ttl`` after it.  A newer beat moves the
+timer; a beat that says ``finished`` drops the task; a timer that expires emits
+the task as lost and drops its state.  So the state holds the tasks that are
+alive (not every task ever seen) and the output is appended, never rewritten.
+
+Event time is the beats' own: the clock is the latest beat of any task, less
+``delay``.  A beat that comes after its task was reported makes it live again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from sluice.functions.states import TASK_TTL_SECONDS
 from sluice.session import scratch_dir
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+LOST_SCHEMA = "task_id STRING, last_ms BIGINT"
+
+
+class LostHeartbeats(StatefulProcessor):
+    """Per task: rows ``(task_id, ms, finished)`` in, ``(task_id, last_ms)`` out when ``ttl`` passes without one."""
+
+    def __init__(self, ttl: int):
+        self.ttl_ms = ttl * 1000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "ms BIGINT")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        known = self.last.get()[0] if self.last.exists() else None
+        latest, done = known, False
+        for row in rows:
+            done = done or bool(row["finished"])
+            if row["ms"] is not None and (latest is None or row["ms"] > latest):
+                latest = row["ms"]
+        if known is not None and (done or latest != known):
+            self.handle.deleteTimer(known + self.ttl_ms)
+        if done:
+            self.last.clear()
+        elif latest is not None and latest != known:
+            self.last.update((latest,))
+            self.handle.registerTimer(latest + self.ttl_ms)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.last.exists():
+            (last,) = self.last.get()
+            self.last.clear()
+            yield Row(task_id=key[0], last_ms=last)
+
+    def close(self) -> None:
+        pass
+
+
+@contextmanager
+def _rocksdb(spark: SparkSession):
+    """Timers need the RocksDB state store; the session's own setting comes back afterwards."""
+    before = spark.conf.get(_PROVIDER)
+    spark.conf.set(_PROVIDER, _ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(_PROVIDER, before)
+
 
-def latest_heartbeats(heartbeats: DataFrame, task_col: str = "task_id", ts_col: str = "ts") -> DataFrame:
-    """Streaming (or batch) latest heartbeat per task."""
-    return heartbeats.groupBy(task_col).agg(F.max(ts_col).alias("last_contact"))
+def lost_heartbeats(beats: DataFrame, ttl: int = TASK_TTL_SECONDS, delay: str = "0 seconds") -> DataFrame:
+    """Streaming ``(task_id, last_contact)`` of the tasks silent for ``ttl`` seconds; ``beats`` has ``task_id``,
+    ``ts`` (TIMESTAMP_NTZ, UTC) and, where tasks say so, ``finished``."""
+    finished = F.col("finished") if "finished" in beats.columns else F.lit(False)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    rows = (beats.select("task_id", F.timestamp_diff("MILLISECOND", epoch, F.col("ts")).alias("ms"),
+                         F.coalesce(finished, F.lit(False)).alias("finished"))
+            .withColumn("at", F.timestamp_millis("ms")).withWatermark("at", delay))
+    lost = rows.groupBy("task_id").transformWithState(LostHeartbeats(ttl), LOST_SCHEMA, "Append", "EventTime")
+    return lost.select("task_id", F.timestamp_add("MILLISECOND", F.col("last_ms"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+                       .alias("last_contact"))
 
 
 def run_heartbeat_stream(spark: SparkSession, source_dir: str, schema: str, sink_path: str,
-                         checkpoint: str | None = None, task_col: str = "task_id", ts_col: str = "ts") -> DataFrame:
-    """Fold the heartbeat files of ``source_dir`` into ``sink_path`` (one row
-    per task, latest heartbeat) with one availableNow run; returns the table.
-
-    The per-task maximum lives in the state store; ``complete`` output hands
-    each micro-batch the whole (one row per task) result, which replaces the
-    sink — no read-modify-write of the sink path."""
-    hb = spark.readStream.schema(schema).parquet(source_dir)
-    agg = latest_heartbeats(hb, task_col, ts_col)
-
-    def publish(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(sink_path)
-
-    q = (agg.writeStream.outputMode("complete").foreachBatch(publish)
-         .option("checkpointLocation", checkpoint or scratch_dir(spark, "heartbeat-stream"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(sink_path)
-
-
-def lost_tasks(latest: DataFrame, now_col, ttl: int = TASK_TTL_SECONDS) -> DataFrame:
-    """Tasks whose latest heartbeat is at least ``ttl`` seconds before ``now``."""
-    cutoff = now_col - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(ttl))
-    return latest.where(F.col("last_contact") <= cutoff)
+                         checkpoint: str | None = None, ttl: int = TASK_TTL_SECONDS,
+                         max_files_per_trigger: int | None = None) -> DataFrame:
+    """Read the heartbeat files of ``source_dir`` that are new since the last run and append the tasks lost by now
+    to ``sink_path`` (one availableNow run); returns the sink's table."""
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    with _rocksdb(spark):
+        q = (lost_heartbeats(reader.parquet(source_dir), ttl).writeStream.outputMode("append").format("parquet")
+             .option("checkpointLocation", checkpoint or scratch_dir(spark, "heartbeat-stream"))
+             .trigger(availableNow=True).start(sink_path))
+        q.awaitTermination()
+    return spark.read.schema("task_id STRING, last_contact TIMESTAMP_NTZ").parquet(sink_path)

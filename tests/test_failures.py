@@ -196,3 +196,51 @@ def test_keys_may_change_files_in_one_reload(spark, scratch):
     load_files(spark, spec, _tsv(root, a="1\t1\n", b="2\t2\n"))
     assert set(_verdicts(load_files(spark, spec, _tsv(root, a="2\t20\n", b="1\t10\n"))).values()) == {None}
     assert sorted(tuple(r)[:2] for r in read_target(spark, spec).collect()) == [(1, 10), (2, 20)]
+
+
+@pytest.mark.parametrize("buckets", [None, 2])
+def test_broken_reload_is_completed_or_undone(spark, scratch, monkeypatch, buckets):
+    """K5: a reload that breaks off after its plan is made is completed by the next load; before, nothing changes."""
+    from sluice.operators import swap
+    root, target = local_path(scratch("in")), scratch("t")
+    spec = LoadSpec(SourceSpec(paths=()), TargetSpec(path=target, schema="k INT, v INT, fid DECIMAL(20,0)",
+                                                     file_id_buckets=buckets),
+                    TextOptions(columns=("k", "v"), file_id_column="fid"))
+    table = lambda: sorted(tuple(r)[:2] for r in read_target(spark, spec).collect())
+    load_files(spark, spec, _tsv(root, a="1\t1\n", b="2\t2\n"))
+    files = _tsv(root, a="1\t10\n", b="")
+
+    def broken(*args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(swap, "_complete", broken)
+        with pytest.raises(OSError, match="lost"):
+            load_files(spark, spec, files)
+    assert table() == [(1, 1), (2, 2)]          # not begun
+    assert swap.recover(spark, target) == 1
+    assert table() == [(1, 10)]
+    with monkeypatch.context() as m:
+        m.setattr(swap, "drop_partitions", broken)
+        with pytest.raises(OSError, match="lost"):
+            load_files(spark, spec, _tsv(root, a="", b="2\t20\n"))
+    load_files(spark, spec, _tsv(root, c="3\t3\n"))     # completes it first
+    assert table() == [(2, 20), (3, 3)]
+    with monkeypatch.context() as m:
+        m.setattr(swap, "_fs", broken)  # before the plan is made
+        with pytest.raises(OSError, match="lost"):
+            swap.swap_partitions(spark, target, read_target(spark, spec), "fid", lambda rows: rows.select("fid"))
+    assert swap.recover(spark, target) == 0 and table() == [(2, 20), (3, 3)]
+
+
+def test_spans_are_of_each_file(spark, scratch):
+    """A file behind a slow script has a longer download step than one that is not."""
+    import json
+    root, ledger = local_path(scratch("in")), scratch("ledger")
+    _tsv(root, fast="1\t1\n2\t2\n", slow="3\t3\n4\t4\n")
+    slow = 'while read -r l; do echo "$l"; case "$l" in 3*) sleep 1.5;; esac; done'
+    spec = LoadSpec(SourceSpec(paths=(root + "/*",)), TargetSpec(path=scratch("t"), schema="k INT, v INT"), script=slow)
+    job.run_load_job(spark, spec, ledger)
+    steps = {json.loads(r.data)["key_name"][-8:-4]: json.loads(r.steps)[0] for r in read_ledger(spark, ledger)[1].collect()}
+    assert steps["slow"]["duration"] >= 0 and steps["fast"]["duration"] < 1.4
+    assert steps["slow"]["stop"] > steps["fast"]["stop"]

@@ -48,3 +48,21 @@ def test_configure_s3(spark):
     conf.unset("fs.s3a.access.key")
     conf.unset("fs.s3a.secret.key")
     conf.unset("fs.s3a.aws.credentials.provider")
+
+
+def test_preflight_reads_the_stored_table(spark, scratch):
+    from dataclasses import replace
+    path = scratch("t")
+    spark.range(1).selectExpr("CAST(id AS INT) AS a", "'x' AS b").write.parquet(path)
+    spec = LoadSpec(SourceSpec(paths=("/d/*",)), TargetSpec(path=path, schema="a INT, b STRING"))
+    check_target(spark, spec)
+    for schema, why in (("a BIGINT, b STRING", "stored as int"), ("a INT, c STRING", "'c' does not exist"),
+                        ("a INT", "more columns: b")):
+        with pytest.raises(TargetError, match=why):
+            check_target(spark, replace(spec, target=replace(spec.target, schema=schema)))
+    from sluice.operators.job import run_load_job
+    from sluice.operators.ledger import read_ledger
+    ledger = scratch("ledger")
+    with pytest.raises(TargetError):
+        run_load_job(spark, replace(spec, target=replace(spec.target, schema="a INT")), ledger)
+    assert read_ledger(spark, ledger)[1].count() == 0

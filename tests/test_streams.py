@@ -121,3 +121,23 @@ def test_marks_in_texts_survive(spark, scratch, options):
     got = {r.a: r.b for r in read_delimited(spark, root, "a INT, b STRING", options).collect()}
     want = dict(enumerate(texts)) | {4: "x\tb﷒c\\﷐﷓" if options.fields_escaped else "x"}
     assert got == want
+
+
+def test_heartbeats_over_runs(spark, scratch):
+    """A task is reported once its silence passes the time to live, across restarts; finished ones never are."""
+    from sluice.streaming.heartbeat import run_heartbeat_stream
+    schema = "task_id STRING, ts TIMESTAMP_NTZ, finished BOOLEAN"
+    src, sink, ckpt = scratch("beats"), scratch("lost"), scratch("ckpt")
+
+    def beat(n, *rows):
+        spark.createDataFrame(rows, "task_id STRING, s INT, finished BOOLEAN").selectExpr(
+            "task_id", "timestampadd(SECOND, s, TIMESTAMP_NTZ'2024-01-01 00:00:00') AS ts", "finished").write.parquet(f"{src}/{n}")
+        got = run_heartbeat_stream(spark, src + "/*", schema, sink, ckpt)
+        return sorted((r.task_id, (r.last_contact.minute * 60 + r.last_contact.second)) for r in got.collect())
+
+    assert beat(1, ("a", 0, False), ("b", 0, False), ("c", 5, False)) == []
+    assert beat(2, ("a", 100, False), ("c", 101, True)) == []
+    assert beat(3, ("d", 130, False)) == [("b", 0)]
+    assert beat(4, ("d", 400, False)) == [("a", 100), ("b", 0)]
+    assert beat(5, ("a", 500, False)) == [("a", 100), ("b", 0)]
+    assert beat(6, ("d", 900, False)) == [("a", 100), ("a", 500), ("b", 0)]  # d is back in time
