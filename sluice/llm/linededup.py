@@ -6,8 +6,11 @@ documents that share a run are compared. A run that at most ``RARE`` documents h
 earlier ones. One that more hold pairs each with the first of them (and its n-th occurrence in a document with
 the first that has n); where that leaves lines of the run in a document, this document is paired with the next
 ``RARE`` holders, and where lines are left still, with all earlier ones. Pairs that are left out could delete
-nothing more: the result is that of all pairs. The pairs of a run grow with its documents and not with their
-square, but for documents in which none of the first ``RARE`` + 1 holders aligns it.
+nothing more: the result is that of all pairs. The first two steps pair each document with a fixed number of others.
+In the last one documents are reduced to the lines that another of them holds, with one mark for each gap; those of
+equal reduced lists are a class, and each pair of classes is aligned once, whatever the number of their documents.
+So the work grows with the documents, and with the square only of the different reduced lists that share a run which
+the first ``RARE`` + 1 holders do not align.
 
 Each pair is aligned by patience diff: lines that occur once in both, in their longest common order, are anchors,
 equal neighbours extend them, and the stretches between are aligned in the same way. Aligned blocks (lines that
@@ -35,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from sluice.llm import tokens as tk
-from sluice.llm.tables import staged, table
+from sluice.llm.tables import fresh, staged, table
 
 RARE = 8
 MIN_WORDS = 10
@@ -212,23 +215,101 @@ def deletions(hashed: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS) -
     nearest = holders.select("run", "doc", place.alias("k")).where(F.col("k") <= rare + 1).where("k > 1")
     found = staged(places(pairs), "found")
     left = staged(unfinished(often.where(F.col("first") < F.col("doc")).select("run", "doc", "at", "size"), found), "left")
-    found = found.unionByName(staged(places(with_earlier(left, nearest)), "found-next"))
-    last = places(with_earlier(unfinished(left, found), holders))
+    found = staged(found.unionByName(places(with_earlier(left, nearest))), "found-next")
+    left = staged(unfinished(left, found).select("run", "doc").distinct(), "left-last")
+    last = class_places(left, staged(holders.join(left.select("run").distinct(), "run").select("run", "doc"), "holders-last"),
+                        held, min_words)
     return by_document(found.unionByName(last)).withColumnRenamed("doc", "doc_id")
 
 
+#: A stretch of lines that no other document holds, in the earlier and the later document: equal to nothing.
+_GAP, _LATE_GAP = "gap", "late gap"
+
+
+def classes(docs: DataFrame, held: DataFrame) -> DataFrame:
+    """doc, class, line, words and at (places) of the lines of ``docs`` (doc) that two of them hold. A stretch of other
+    lines is one line, null. Documents of one class have equal lists of lines, so patience diff aligns them alike."""
+    own = held.join(docs, "doc")
+    shared = staged(own.select("doc", F.explode("lines").alias("line")).distinct().groupBy("line").count()
+                    .where("count > 1").select("line"), "lines-shared")
+    each = own.select("doc", F.posexplode(F.arrays_zip("lines", "words")).alias("at", "x")).select(
+        "doc", "at", F.col("x.lines").alias("line"), F.col("x.words").alias("words"))
+    marked = (each.join(shared.withColumn("is_shared", F.lit(True)), "line", "left")
+              .groupBy("doc").agg(F.array_sort(F.collect_list(F.struct(
+                  "at", F.when(F.col("is_shared"), F.col("line")).alias("line"), "words"))).alias("list")))  # a text's lines
+    kind = held.schema["doc"].dataType.simpleString()
+
+    def reduce(batches):
+        for batch in batches:
+            lines, words, at = [], [], []
+            for rows in batch.column("list").to_pylist():
+                keep = [r for k, r in enumerate(rows) if r["line"] is not None or not k or rows[k - 1]["line"] is not None]
+                lines.append([r["line"] for r in keep])
+                words.append([r["words"] if r["line"] is not None else 0 for r in keep])
+                at.append([r["at"] for r in keep])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc"), pa.array(lines, pa.list_(pa.int64())), pa.array(words, pa.list_(pa.int32())),
+                 pa.array(at, pa.list_(pa.int32()))], names=["doc", "line", "words", "at"])
+
+    reduced = marked.mapInArrow(reduce, f"doc {kind}, line array<long>, words array<int>, at array<int>")
+    return reduced.withColumn("class", F.xxhash64(F.size("line"), F.transform("line", lambda x: F.coalesce(x, F.lit(0))),
+                                                  F.transform("line", lambda x: x.isNull())))
+
+
+def class_pairs(left: DataFrame, holders: DataFrame, of: DataFrame) -> DataFrame:
+    """(early, late, from_doc): classes to align, and the first document of the early one."""
+    named = of.select("doc", "class")
+    first = holders.join(named, "doc").groupBy("run", "class").agg(F.min("doc").alias("from_doc"))
+    # the first document of a class, whichever run it is met at
+    first = first.join(named.groupBy("class").agg(F.min("doc").alias("class_first")), "class").select(
+        "run", F.col("class").alias("early"), F.col("class_first").alias("from_doc"))
+    late = left.join(named, "doc").groupBy("run", "class").agg(F.max("doc").alias("to_doc"))
+    return (first.join(late.withColumnRenamed("class", "late"), "run").where("from_doc < to_doc")
+            .select("early", "late", "from_doc").distinct())
+
+
+def class_places(left: DataFrame, holders: DataFrame, held: DataFrame, min_words: int) -> DataFrame:
+    """doc, text_key and places that go when the documents of ``left`` (run, doc) are aligned with all earlier
+    holders of their runs: each pair of classes once, however many documents they have."""
+    of = staged(classes(holders.select("doc").distinct(), held), "classes")
+    model = of.groupBy("class").agg(F.min_by(F.struct("line", "words"), "doc").alias("m")).select("class", "m.*")
+    model = staged(model, "class-lists")
+    pairs = (class_pairs(left, holders, of)
+             .join(model.select(F.col("class").alias("early"), F.col("line").alias("early_line")), "early")
+             .join(model.withColumnRenamed("class", "late"), "late"))
+    kind = held.schema["doc"].dataType.simpleString()
+
+    def compare(batches):
+        for batch in batches:
+            gone = []
+            for early, late, words in zip(*(batch.column(c).to_pylist() for c in ("early_line", "line", "words")), strict=True):
+                gone.append(common_blocks([_GAP if x is None else x for x in early],
+                                          [_LATE_GAP if x is None else x for x in late], words, min_words))
+            yield pa.RecordBatch.from_arrays([batch.column("late"), batch.column("from_doc"), pa.array(gone, pa.list_(pa.int32()))],
+                                             names=["class", "from_doc", "gone"])
+
+    goes = (pairs.mapInArrow(compare, f"class long, from_doc {kind}, gone array<int>")
+            .select("class", "from_doc", F.explode("gone").alias("k")).groupBy("class", "k").agg(F.min("from_doc").alias("from_doc"))
+            .groupBy("class").agg(F.collect_list(F.struct("k", "from_doc")).alias("goes")))  # at most a text's lines
+    late = of.join(left.select("doc").distinct(), "doc", "left_semi").join(goes, "class")
+    return (late.join(held.select("doc", "text_key"), "doc")
+            .select("doc", "text_key", "at", F.explode("goes").alias("g")).where(F.col("g.from_doc") < F.col("doc"))
+            .select("doc", "text_key", F.element_at("at", F.col("g.k") + 1).alias("place")).distinct())
+
+
 def deduplicated(documents: DataFrame, rare: int = RARE, min_words: int = MIN_WORDS) -> DataFrame:
     """``documents`` with text cut, and n_lines and n_deleted added (lines that are not empty)."""
+    id_, key, gone_at = fresh(documents, "id", "key", "gone")
     gone = staged(deletions(line_hashes(documents), rare, min_words), "deletions").select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("gone").alias("_gone"))
-    rows = documents.join(gone, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_key")), "left")
+        F.col("doc_id").alias(id_), F.col("text_key").alias(key), F.col("gone").alias(gone_at))
+    rows = documents.join(gone, (F.col("doc_id") == F.col(id_)) & (F.xxhash64("text") == F.col(key)), "left")
 
     columns = [c for c in documents.columns if c not in ("n_lines", "n_deleted")]
 
     def cut(batches):
         for batch in batches:
             texts, n_lines, n_deleted = [], [], []
-            for text, gone_ in zip(batch.column("text"), batch.column("_gone").to_pylist(), strict=True):
+            for text, gone_ in zip(batch.column("text"), batch.column(gone_at).to_pylist(), strict=True):
                 text = text.as_py()
                 lines = (text or "").split("\n")
                 n_lines.append(sum(1 for x in lines if x))
@@ -247,7 +328,7 @@ def deduplicated(documents: DataFrame, rare: int = RARE, min_words: int = MIN_WO
 
     schema = StructType([*(documents.schema[c] for c in columns), StructField("n_lines", LongType()),
                          StructField("n_deleted", LongType())])
-    return rows.select(*columns, "_gone").mapInArrow(cut, schema)
+    return rows.select(*columns, gone_at).mapInArrow(cut, schema)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,6 +24,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that no column of ``df`` has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -34,14 +45,15 @@ def split_by(df: DataFrame, column: str, keys: DataFrame) -> tuple[DataFrame, Da
     The keys are a bitmap of fixed size, so its broadcast (at most 2,048 rows of 4 KB) does not grow with them;
     more keys only let more rows pass to the join that must follow."""
     kind = df.schema[column].dataType
+    bucket, bits, held = fresh(df, "bucket", "bits", "held")
     value = F.pmod(F.xxhash64(F.col(keys.columns[0]).cast(kind)), F.lit(FILTER_BITS)) + 1
-    parts = (keys.select(value.alias("v")).groupBy(F.bitmap_bucket_number("v").alias("_bucket"))
-             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("_bits")))
+    parts = (keys.select(value.alias("v")).groupBy(F.bitmap_bucket_number("v").alias(bucket))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias(bits)))
     own = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)) + 1
     at = F.bitmap_bit_position(own)
-    byte = F.conv(F.hex(F.substring("_bits", F.call_function("div", at, F.lit(8).cast("long")).cast("int") + 1, F.lit(1))),
+    byte = F.conv(F.hex(F.substring(bits, F.call_function("div", at, F.lit(8).cast("long")).cast("int") + 1, F.lit(1))),
                   16, 10).cast("int")
-    marked = (df.withColumn("_bucket", F.bitmap_bucket_number(own)).join(F.broadcast(parts), "_bucket", "left")
-              .withColumn("_held", F.coalesce(F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(1) == 1,
-                                              F.lit(False))))
-    return tuple(marked.where(F.col("_held") == side).select(df.columns) for side in (True, False))
+    marked = (df.withColumn(bucket, F.bitmap_bucket_number(own)).join(F.broadcast(parts), bucket, "left")
+              .withColumn(held, F.coalesce(F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(1) == 1,
+                                           F.lit(False))))
+    return tuple(marked.where(F.col(held) == side).select(df.columns) for side in (True, False))
