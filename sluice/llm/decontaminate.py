@@ -6,9 +6,11 @@ without missing an occurrence; where the shift is zero, the patterns that share
 and prefix block are its bucket, and a direct comparison of the words confirms an occurrence. Many cursors,
 one for each stretch of ``CHUNK`` window ends, advance together as numpy arrays.
 
-The documents are read in place and never shuffled. The benchmark's text is broadcast in blocks of about
-``BLOCK_BYTES``; a benchmark of several blocks is searched block by block and the hits are merged by
-document.
+The benchmark is cut into blocks of about ``BLOCK_BYTES`` of text (a longer item is a block of its own). An index
+keeps the block's text and, for each of its words and windows, a few numbers, no copies of words: about 16 bytes for
+each byte of text, so at most about ``16 * BLOCK_BYTES`` in the driver and in a task. The documents' texts are read in
+place, once for each block, and never shuffled; the hits of a block are written before the next one is built, and its
+index is released. Only ids, word counts and hits are shuffled, to merge what several blocks found.
 
 Defined results: a null or wordless text has no words, no hits and is clean; a null or wordless item has no
 window; items of equal text each count; the items without an id are searched, count as one in n_items and not
@@ -21,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 from typing import Any
 
 import numpy as np
@@ -29,10 +32,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm import tokens as tk
-from sluice.llm.tables import staged, table
+from sluice.llm.tables import fresh, staged, table
 
 WINDOW = 13
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 CHUNK = 512
 
 _U = np.uint64
@@ -46,39 +49,67 @@ def _pair_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def build_index(items: list[tuple[str | None, str]], window: int = WINDOW) -> dict[str, Any]:
-    """Shift tables and buckets, one pair for each pattern length."""
-    texts = pa.array([text for _, text in items], type=pa.string())
-    found: dict[tuple[bytes, ...], tuple[np.ndarray, set[int]]] = {}
+    """The block's text and words and, for each pattern length, a shift table and buckets. A pattern is the place of
+    its first word in the block's text; equal windows are one pattern with several owners."""
+    texts = pa.array([text for _, text in items], type=pa.large_string())
+    lower, start, end, hashes, count, item = [], [], [], [], [], []
+    offset = 0
     for first, _, raw, offs in tk.text_slices(texts):
         words = tk.words_of(raw, offs, tk.IS_ALNUM)
-        lower = tk.LOWER[raw].tobytes()
-        for row, (count, begin) in enumerate(zip(words.count, words.first, strict=True)):
-            size = min(window, int(count))
-            for at in range(begin, begin + count - size + 1) if size else ():
-                key = tuple(lower[words.start[i]:words.end[i]] for i in range(at, at + size))
-                found.setdefault(key, (words.hash[at:at + size].copy(), set()))[1].add(first + row)
+        lower.append(tk.LOWER[raw].tobytes())
+        start.append(words.start + offset)
+        end.append(words.end + offset)
+        hashes.append(words.hash)
+        count.append(words.count)
+        item.append(first + np.arange(len(words.count)))
+        offset += len(raw)
+    if not items:
+        return {"groups": [], "items": [], "lower": b"", "start": np.zeros(0, np.int64), "end": np.zeros(0, np.int64)}
+    text, start, end, hashes = b"".join(lower), np.concatenate(start), np.concatenate(end), np.concatenate(hashes)
+    count, item = np.concatenate(count), np.concatenate(item)
+    begin = np.cumsum(count) - count
+
+    def words_at(at: int, size: int) -> list[bytes]:
+        return [text[start[k]:end[k]] for k in range(at, at + size)]
+
     groups = []
-    for size in sorted({len(key) for key in found}):
-        entries = [(key, *found[key]) for key in found if len(key) == size]
-        rows = np.array([hashes for _, hashes, _ in entries], dtype=_U)
-        bits = max(12, math.ceil(math.log2(8 * rows.size)))
+    sizes = np.minimum(count, window)
+    for size in map(int, np.unique(sizes[sizes > 0])):
+        rows = np.flatnonzero(sizes == size)
+        which, place = tk.spread(count[rows] - size + 1)
+        first = begin[rows][which] + place
+        owner = item[rows][which]
+        whole = tk.sequence_hashes(hashes, first, first + size)
+        order = np.lexsort((first, whole))
+        first, owner, whole = first[order], owner[order], whole[order]
+        same = np.zeros(len(first), dtype=bool)  # the same window as the one before
+        for k in np.flatnonzero(whole[1:] == whole[:-1]) + 1:
+            same[k] = words_at(first[k], size) == words_at(first[k - 1], size)
+        head = np.flatnonzero(~same)
+        cuts = np.append(head, len(first))
+        patterns = first[head]
+        keys = _bucket_key(hashes, patterns, size)
+        by_key = np.argsort(keys, kind="stable")
         block = min(2, size)
-        shift = np.full(1 << bits, size - block + 1, dtype=np.int32)
-        for end in range(block - 1, size):
-            slots = _pair_hash(rows[:, end - block + 1], rows[:, end]) >> _U(64 - bits)
-            np.minimum.at(shift, slots.astype(np.int64), size - 1 - end)
-        keys = _bucket_key(rows)
-        order = np.argsort(keys, kind="stable")
-        groups.append({"size": size, "block": block, "bits": bits, "shift": shift, "keys": keys[order],
-                       "rows": rows[order], "words": [entries[i][0] for i in order],
-                       "owners": [sorted(entries[i][2]) for i in order]})
-    return {"groups": groups, "items": [item for item, _ in items]}
-
-
-def _bucket_key(rows: np.ndarray) -> np.ndarray:
-    """Suffix block and prefix block of each window."""
-    block = min(2, rows.shape[1])
-    return _pair_hash(_pair_hash(rows[:, -block], rows[:, -1]), _pair_hash(rows[:, 0], rows[:, block - 1]))
+        bits = max(12, math.ceil(math.log2(8 * len(hashes))))
+        shift = np.full(1 << bits, size - block + 1, dtype=np.uint8 if size < 256 else np.int32)
+        for last in range(block - 1, size):
+            slots = _pair_hash(hashes[patterns + last - block + 1], hashes[patterns + last]) >> _U(64 - bits)
+            np.minimum.at(shift, slots.astype(np.int64), shift.dtype.type(size - 1 - last))
+        lengths = np.diff(cuts)[by_key]
+        groups.append({"size": size, "block": block, "bits": bits, "shift": shift, "keys": keys[by_key],
+                       "first": patterns[by_key].astype(np.int32 if len(hashes) < 1 << 31 else np.int64),
+                       "owned": np.append(0, np.cumsum(lengths)),
+                       "owners": owner[np.repeat(cuts[:-1][by_key], lengths) + tk.spread(lengths)[1]].astype(np.int32)})
+    small = np.int32 if len(text) < 1 << 31 else np.int64
+    return {"groups": groups, "items": [name for name, _ in items], "lower": text, "hash": hashes,
+            "start": start.astype(small), "end": end.astype(small)}
+
+
+def _bucket_key(hashes: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
+    """Suffix block and prefix block of the windows that begin at ``first``."""
+    block, end = min(2, size), first + size
+    return _pair_hash(_pair_hash(hashes[end - block], hashes[end - 1]), _pair_hash(hashes[first], hashes[first + block - 1]))
 
 
 def _zero_shifts(group: dict[str, Any], words: tk.Words) -> np.ndarray:
@@ -101,23 +132,24 @@ def _zero_shifts(group: dict[str, Any], words: tk.Words) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, dtype=np.int64)
 
 
-def _occurrences(group: dict[str, Any], words: tk.Words, lower: bytes) -> list[tuple[int, int]]:
+def _occurrences(index: dict[str, Any], group: dict[str, Any], words: tk.Words, lower: bytes) -> Iterator[tuple[int, int]]:
     """(first word, pattern) of every occurrence."""
-    size, found = group["size"], []
+    size, text, start, end = group["size"], index["lower"], index["start"], index["end"]
     ends = _zero_shifts(group, words)
     for part in np.array_split(ends, max(1, len(ends) // 100_000)):
-        rows = words.hash[part[:, None] + np.arange(1 - size, 1)]
-        keys = _bucket_key(rows)
+        begin = part - (size - 1)
+        keys = _bucket_key(words.hash, begin, size)
         low = np.searchsorted(group["keys"], keys, side="left")
         at, place = tk.spread(np.searchsorted(group["keys"], keys, side="right") - low)
         pattern = low[at] + place
-        same = (group["rows"][pattern] == rows[at]).all(axis=1)
-        for end, which in zip(part[at[same]], pattern[same], strict=True):
-            begin = int(end) - size + 1
-            text = group["words"][which]
-            if all(lower[words.start[begin + i]:words.end[begin + i]] == text[i] for i in range(size)):
-                found.append((begin, int(which)))
-    return found
+        same = np.ones(len(at), dtype=bool)
+        for i in range(size):  # the words' hashes before the words themselves
+            same[same] = index["hash"][group["first"][pattern[same]] + i] == words.hash[begin[at[same]] + i]
+        for own, which in zip(begin[at[same]].tolist(), pattern[same].tolist(), strict=True):
+            other = int(group["first"][which])
+            if all(lower[words.start[own + i]:words.end[own + i]] == text[start[other + i]:end[other + i]]
+                   for i in range(size)):
+                yield own, which
 
 
 def _scan(index: dict[str, Any], raw: np.ndarray, offs: np.ndarray) -> Iterator[tuple[int, list[int], set[int]]]:
@@ -127,10 +159,10 @@ def _scan(index: dict[str, Any], raw: np.ndarray, offs: np.ndarray) -> Iterator[
     spans: dict[int, list[int]] = {}
     items: dict[int, set[int]] = {}
     for group in index["groups"]:
-        for begin, which in _occurrences(group, words, lower):
+        for begin, which in _occurrences(index, group, words, lower):
             row = int(np.searchsorted(words.first, begin, side="right")) - 1
             spans.setdefault(row, []).extend((begin - int(words.first[row]), group["size"]))
-            items.setdefault(row, set()).update(group["owners"][which])
+            items.setdefault(row, set()).update(group["owners"][group["owned"][which]:group["owned"][which + 1]].tolist())
     for row, count in enumerate(words.count):
         yield int(count), spans.get(row, []), items.get(row, set())
 
@@ -154,12 +186,8 @@ def find_hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
         "text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))
-    docs = documents.select("doc_id", "text")
-
-    def index_of(block: int):
-        rows = items.where(F.pmod(F.xxhash64("item_id", F.when(F.col("item_id").isNull(), F.col("text"))), F.lit(blocks)) == block).collect()
-        return documents.sparkSession.sparkContext.broadcast(
-            build_index(sorted(((r.item_id, r.text) for r in rows), key=lambda x: (x[0] or "", x[1])), window))
+    which = F.pmod(F.xxhash64("item_id", F.when(F.col("item_id").isNull(), F.col("text"))), F.lit(blocks))
+    docs = documents.select("doc_id", "text").withColumn("text_key", F.xxhash64("text"))
 
     def result(names: list[Any], found: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*found, strict=True)) if found else [[]] * 5
@@ -168,21 +196,11 @@ def find_hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
             [names, *(pa.array(c, type=k) for c, k in zip(columns, kinds, strict=True))],
             names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
-    if blocks == 1:
-        index = index_of(0)
-
-        def whole(batches):
-            for batch in batches:
-                found = []
-                for _, _, raw, offs in tk.text_slices(batch.column("text")):
-                    found += [_verdict(n, spans, [index.value["items"][i] for i in hit])
-                              for n, spans, hit in _scan(index.value, raw, offs)]
-                yield result(batch.column("doc_id"), found)
-
-        return docs.mapInArrow(whole, _RESULT.format(id=id_type))
-
     def searched(block: int) -> DataFrame:
-        index = index_of(block)
+        """Every row in the first block's scan, and in the others those with hits."""
+        rows = items.where(which == block).collect()  # about ``block_bytes`` of text
+        index = documents.sparkSession.sparkContext.broadcast(
+            build_index(sorted(((r.item_id, r.text) for r in rows), key=lambda x: (x[0] or "", x[1])), window))
 
         def scan(batches):
             for batch in batches:
@@ -197,12 +215,12 @@ def find_hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                      pa.array(spans, pa.list_(pa.int32())), pa.array(hits, pa.list_(pa.string()))],
                     names=["doc_id", "text_key", "n_words", "spans", "items"])
 
-        keyed = docs.withColumn("text_key", F.xxhash64("text"))
-        return keyed.mapInArrow(scan, _SCAN.format(id=id_type)).withColumn("rows", F.lit(int(block == 0)))
+        found = docs.mapInArrow(scan, _SCAN.format(id=id_type)).withColumn("rows", F.lit(int(block == 0)))
+        found = staged(found if block == 0 else found.where(F.size("spans") > 0), f"hits-{block}")
+        index.destroy()
+        return found
 
-    merged = searched(0)
-    for block in range(1, blocks):
-        merged = merged.unionByName(searched(block).where(F.size("spans") > 0))
+    merged = reduce(DataFrame.unionByName, [searched(block) for block in range(blocks)])
     merged = merged.groupBy("doc_id", "text_key", "n_words").agg(
         F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"),
         F.sum("rows").alias("rows"))
@@ -226,9 +244,9 @@ def clean(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     verdicts = find_hits(documents.withColumn("doc_id", F.struct("doc_id", F.xxhash64("text").alias("key"))),
                          benchmark, window, block_bytes)
     bad = staged(verdicts.where("contaminated").select("doc_id.*").distinct(), "contaminated")
-    bad = bad.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
-    return documents.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key")),
-                          "left_anti")
+    id_, key = fresh(documents, "id", "key")
+    bad = bad.select(F.col("doc_id").alias(id_), F.col("key").alias(key))
+    return documents.join(bad, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(key)), "left_anti")
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
