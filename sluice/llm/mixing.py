@@ -27,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.tables import staged, table
+from sluice.llm.tables import fresh, staged, table
 
 MAX_REPEATS = 4.0
 BLOCKS = 64
@@ -142,15 +142,14 @@ def mixed(documents: DataFrame, max_repeats: float | None = MAX_REPEATS, entropy
         F.col("doc_id").eqNullSafe(F.col("_i")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("_text") == F.col("_t")))
     # repeated rows share their draws: each as many as all can have, the first ones one more
     times = staged(times.select("_i", "_s", "_t", "_draws", "_rows"), "draws")
-    joined = documents.withColumn("_text", key).join(
-        times, F.col("doc_id").eqNullSafe(F.col("_i")) & F.col("source").eqNullSafe(F.col("_s"))
-        & (F.col("_text") == F.col("_t")))
-    place = F.when(F.col("_rows") == 1, 1).otherwise(
-        F.row_number().over(Window.partitionBy("_i", "_s", "_t").orderBy("_rows")))
-    count = F.floor(F.col("_draws") / F.col("_rows")) + F.when(
-        F.col("_place") <= F.col("_draws") % F.col("_rows"), 1).otherwise(0)
-    return (joined.withColumn("_place", place).withColumn("_n", count.cast("int")).where("_n > 0")
-            .withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*documents.columns))
+    text, i, src, t, draws, held, place, n = fresh(documents, "text_", "i", "s", "t", "draws", "rows", "place", "n")
+    times = times.toDF(i, src, t, draws, held)
+    joined = documents.withColumn(text, key).join(
+        times, F.col("doc_id").eqNullSafe(F.col(i)) & F.col("source").eqNullSafe(F.col(src)) & (F.col(text) == F.col(t)))
+    nth = F.when(F.col(held) == 1, 1).otherwise(F.row_number().over(Window.partitionBy(i, src, t).orderBy(held)))
+    count = F.floor(F.col(draws) / F.col(held)) + F.when(F.col(place) <= F.col(draws) % F.col(held), 1).otherwise(0)
+    return (joined.withColumn(place, nth).withColumn(n, count.cast("int")).where(F.col(n) > 0)
+            .withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*documents.columns))
 
 
 def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

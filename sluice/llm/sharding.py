@@ -9,7 +9,8 @@ each partition); run s of n takes the ranks from ceil(s * rows / n) on: the law
 
 Defined results: nulls of any dimension are cell 0; a null text has size 16 and checksum 0; rows that are
 equal in everything share their places in any order; an empty table has no rows; columns besides the
-dimensions, text and id pass through untouched.
+dimensions, text and id pass through untouched, but for those named hilbert, shard or slot, which the result's
+own columns replace.
 """
 
 from __future__ import annotations
@@ -18,10 +19,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from sluice.llm.tables import partitions, staged, table
+from sluice.llm.tables import fresh, partitions, staged, table
 
 SHARDS = 40
 BITS = 5
+#: Columns of the result; those of the input with these names are replaced.
+OWN = ("hilbert", "shard", "slot")
 
 
 def curve_steps(dims: int) -> tuple[list[int], list[int]]:
@@ -96,27 +99,32 @@ def shard(df: DataFrame, dimensions: list[str], order: list[Column], shards: int
           bits: int = BITS) -> DataFrame:
     """``df`` with hilbert, shard and slot: equal runs of rows by (hilbert, *order)."""
     spark = df.sparkSession
-    keys = [f"_order{i}" for i in range(len(order))]
-    placed = df.select("*", hilbert_index(coordinates(df, dimensions, bits), bits).alias("hilbert"),
+    row, part, rows, before, rank, *keys = fresh(df, "row", "part", "rows", "before", "rank",
+                                                 *(f"order{i}" for i in range(len(order))))
+    # one projection: the dimensions and the order may name columns that the result replaces
+    placed = df.select(*(c for c in df.columns if c.lower() not in OWN),
+                       hilbert_index(coordinates(df, dimensions, bits), bits).alias("hilbert"),
                        *(c.alias(k) for c, k in zip(order, keys, strict=True)))
     placed = (placed.repartitionByRange(partitions(spark), "hilbert", *keys).sortWithinPartitions("hilbert", *keys)
-              .drop(*keys).withColumn("_row", F.monotonically_increasing_id()))
+              .drop(*keys).withColumn(row, F.monotonically_increasing_id()))
     placed = staged(placed, "runs")
-    part = F.shiftright("_row", 33)
-    counts = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
-    before = counts.select("_part", (F.sum("_rows").over(Window.orderBy("_part")) - F.col("_rows")).alias("_before"))
+    own = F.shiftright(row, 33)
+    counts = placed.groupBy(own.alias(part)).agg(F.count("*").alias(rows))
+    earlier = counts.select(part, (F.sum(rows).over(Window.orderBy(part)) - F.col(rows)).alias(before))
     total = F.lit(placed.count())
     # one row for each partition: a proven bound for the broadcast
-    rank = F.col("_before") + F.col("_row").bitwiseAND((1 << 33) - 1)
-    ranked = placed.withColumn("_part", part).join(F.broadcast(before), "_part").withColumn("_rank", rank)
-    ranked = ranked.withColumn("shard", F.call_function("div", F.col("_rank") * shards, total).cast("int"))
+    place = F.col(before) + F.col(row).bitwiseAND((1 << 33) - 1)
+    ranked = placed.withColumn(part, own).join(F.broadcast(earlier), part).withColumn(rank, place)
+    ranked = ranked.withColumn("shard", F.call_function("div", F.col(rank) * shards, total).cast("int"))
     first = F.call_function("div", F.col("shard").cast("long") * total + (shards - 1), F.lit(shards).cast("long"))
-    return ranked.withColumn("slot", F.col("_rank") - first).drop("_part", "_row", "_before", "_rank")
+    return ranked.withColumn("slot", F.col(rank) - first).drop(part, row, before, rank)
 
 
-def write_shards(sharded: DataFrame, path: str) -> None:
-    """One directory for each shard, rows in curve order, so that a file's value ranges are narrow."""
-    (sharded.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard")
+def write_shards(sharded: DataFrame, path: str, rows_a_file: int = 1_000_000) -> None:
+    """One directory for each shard, rows in curve order, in files of about ``rows_a_file`` consecutive rows, so that
+    a file's value ranges are narrow and a shard, however large, is many tasks."""
+    files = max(1, -(-sharded.count() // rows_a_file))
+    (sharded.repartitionByRange(files, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard")
      .mode("errorifexists").parquet(path))
 
 
