@@ -238,8 +238,8 @@ def index_lists(documents: DataFrame, size: int, bands: Bands, total: int, commo
                 head, hub = _heads(key, node)
                 part = np.where(head, key >> _U(32), (node >> _U(32)) % _U(parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
-                cuts = np.searchsorted(part[order], np.arange(parts + 1))
-                out = [(p, order[a:b]) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+                held, cuts = np.unique(part[order], return_index=True)  # the slice's parts, not all there are
+                out = list(zip(held.tolist(), np.split(order, cuts[1:]), strict=True)) if len(order) else []
                 low = key.astype(np.uint32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([p for p, _ in out], pa.int32()),
@@ -497,8 +497,9 @@ def similar(documents: DataFrame, size: int, p: int, q: int) -> DataFrame:
             .applyInArrow(lambda t: _settled(t, bands), "a long, b long"))
     labels = components(links.unionByName(more))
 
-    named = (classes.join(labels.withColumnRenamed("node", "doc"), "doc", "left")
-             .select("c1", "c2", "n_shingles", F.coalesce("label", "doc").alias("component_id")))
+    # written, so that the join below reads it as it is: a class that holds a third of all rows is split there
+    named = staged(classes.join(labels.withColumnRenamed("node", "doc"), "doc", "left")
+                   .select("c1", "c2", "n_shingles", F.coalesce("label", "doc").alias("component_id")), "named")
     kind = documents.schema["doc_id"].dataType
     return (described.join(named, ["c1", "c2", "n_shingles"], "left")
             .select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id"))
