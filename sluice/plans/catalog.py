@@ -559,6 +559,7 @@ def _register_round_trips():
     oracles = {
         "load_tsv": "SELECT * FROM part",
         "load_csv_enclosed": "SELECT * FROM documents",
+        "load_multiline": "SELECT doc_id, replace(text, 'e ', 'e' || chr(10) || '\"') AS text, lang FROM documents",
         "load_gzip": "SELECT * FROM customer",
         "load_skip_lines": "SELECT * FROM orders",
         "load_line_prefix": "SELECT * FROM supplier",

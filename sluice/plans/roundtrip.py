@@ -50,6 +50,19 @@ def load_csv_enclosed(spark, sf_dir):
     return _round_trip(spark, docs, TextOptions(fields_terminated=",", fields_enclosed='"'), "doc_id % 4", 4)
 
 
+def load_multiline(spark, sf_dir):
+    """Cells that hold raw newlines and quotes, in files that many tasks share."""
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", F.replace("text", F.lit("e "), F.lit('e\n"')).alias("text"), "lang")
+    cell = F.concat(F.lit('"'), F.replace(F.replace("text", F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('""')), F.lit('"'))
+    null = F.lit("\\N")
+    d = scratch_dir(spark, "files")
+    docs.select(F.concat_ws(",", "doc_id", F.coalesce(cell, null), F.coalesce("lang", null)).alias("value")).write.text(d)
+    spec = _spec(spark, docs, TextOptions(fields_terminated=",", fields_enclosed='"', escaped_terminators=True))
+    load_files(spark, spec, [d])
+    return read_target(spark, spec)
+
+
 def _spread(df: DataFrame, key: str, rows: int = 20_000) -> tuple[str, int]:
     """(key expression, number) of the files to write: more rows make more files."""
     n = max(4, -(-df.count() // rows))

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from sluice.sources.paths import decode_file_path
+from sluice.sources.records import join_lines
 from sluice.sources.streams import reachable, read_file_lines
 
 # Fixed values that must equal the reference's option defaults.
@@ -66,8 +67,8 @@ class TextOptions:
     columns: tuple[str, ...] = field(default_factory=tuple)
     file_id_column: str | None = None
     # Allow raw line terminators inside a field: after an escape, or (with an
-    # encloser) inside quotes — multi-line CSV cells.  Needs whole-file reads
-    # (one task per file), so it is opt-in.
+    # encloser) inside quotes — multi-line CSV cells (``records``).  Costs a
+    # staged copy and a shuffle of the lines, so it is opt-in.
     escaped_terminators: bool = False
 
     def __post_init__(self):
@@ -155,6 +156,22 @@ def streamed_files(spark: SparkSession, paths: list[str]) -> DataFrame | None:
     return None if packed.isEmpty() else packed
 
 
+def _terminator_stands_alone(opts: TextOptions) -> bool:
+    """Whether lines can be cut at every terminator first and joined later: no other special character is in it, it
+    does not overlap itself, and an escape before it is no escape letter's."""
+    lt, esc = opts.lines_terminated, opts.fields_escaped
+    others = set(opts.fields_terminated + opts.fields_enclosed + esc)
+    overlaps = any(lt[:k] == lt[-k:] for k in range(1, len(lt)))
+    return not (others & set(lt) or overlaps or (esc and lt[0] in ESCAPE_LETTERS))
+
+
+def joined_records(lines: DataFrame, opts: TextOptions) -> DataFrame:
+    """Records of lines (``read_lines``) whose fields may hold raw terminators."""
+    literals = (_q(x) if x else "" for x in (opts.fields_terminated, opts.fields_enclosed, opts.fields_escaped))
+    records = join_lines(lines, *literals, opts.fields_escaped, opts.fields_enclosed, opts.lines_terminated)
+    return records.withColumn("_plain", _plain_line(F.col("value"), opts.fields_escaped))
+
+
 def _no_lines(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "value STRING, _plain BOOLEAN, _file STRING, _block BIGINT, _mid BIGINT")
 
@@ -167,7 +184,7 @@ def read_lines(spark: SparkSession, paths: list[str], opts: TextOptions, streame
     or, if corrupt, end the job at; by default the ``.gz`` files of ``paths``."""
     esc = opts.fields_escaped
     lt = opts.lines_terminated
-    if opts.escaped_terminators:
+    if opts.escaped_terminators and not _terminator_stands_alone(opts):
         whole = spark.read.text(paths, wholetext=True, recursiveFileLookup=True).select(
             _protect(F.col("value"), esc).alias("value"),
             decode_file_path(F.col("_metadata.file_path")).alias("_file"))
@@ -203,14 +220,17 @@ def read_lines(spark: SparkSession, paths: list[str], opts: TextOptions, streame
             decode_file_path(F.col("_metadata.file_path")).alias("_file"),
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_mid"))
-        lines = with_line_numbers(raw) if opts.ignore_lines > 0 else raw
+        numbered = opts.ignore_lines > 0 and not opts.escaped_terminators
+        lines = with_line_numbers(raw) if numbered else raw
         if own is not None:
             # the same form of URI as the text source gives, so that files sort alike
             uri = F.regexp_replace("_file", "^file:/+", "file:///")
             more = read_file_lines(own, lt).select(
                 _protect(F.col("value"), esc).alias("value"), _plain_line(F.col("value"), esc).alias("_plain"),
                 uri.alias("_file"), "_block", "_mid", "_script_error", F.col("_mid").alias("_line"))
-            lines = lines.unionByName(more if opts.ignore_lines > 0 else more.drop("_line"), allowMissingColumns=True)
+            lines = lines.unionByName(more if numbered else more.drop("_line"), allowMissingColumns=True)
+        if opts.escaped_terminators:
+            lines = joined_records(lines, opts)
     failed = F.col("_script_error").isNotNull() if "_script_error" in lines.columns else F.lit(False)
     if opts.ignore_lines > 0:
         lines = lines.where((F.col("_line") >= opts.ignore_lines) | failed)

@@ -31,7 +31,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.sources.delimited import TextOptions, _plain_line, _protect
+from sluice.sources.delimited import TextOptions, _plain_line, _protect, joined_records
 from sluice.sources.streams import (LINE_SCHEMA, Unreadable, checked_chunks, line_batches, reachable, split_lines,
                                     store_options)
 
@@ -165,13 +165,14 @@ def transform_files(spark: SparkSession, paths: list[str], command: str, opts: T
     out = files.mapInArrow(_make_mapper(command, opts.lines_terminated, timeout_s, store_options(spark)), LINE_SCHEMA)
     out = out.withColumns({"_plain": _plain_line(F.col("value"), opts.fields_escaped),
                            "value": _protect(F.col("value"), opts.fields_escaped)})
+    out = joined_records(out, opts) if opts.escaped_terminators else out.withColumn("_line", F.col("_mid"))
     if opts.ignore_lines > 0:
-        out = out.where((F.col("_mid") >= opts.ignore_lines) | F.col("_script_error").isNotNull())
+        out = out.where((F.col("_line") >= opts.ignore_lines) | F.col("_script_error").isNotNull())
     if opts.lines_starting:
         at = F.instr(F.col("value"), opts.lines_starting)
         out = out.where((at > 0) | F.col("_script_error").isNotNull()).withColumn(
             "value", F.substring(F.col("value"), at + len(opts.lines_starting), F.length("value")))
-    return out.withColumn("_line", F.col("_mid"))
+    return out
 
 
 def transform_lines(spark: SparkSession, lines: DataFrame, command: str, column: str = "value") -> DataFrame:
