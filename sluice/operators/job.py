@@ -46,14 +46,15 @@ class JobResult:
     verdicts: DataFrame | None
 
 
-def _utc_now() -> str:
+def utc_now() -> str:
     return datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
 
 
 def run_load_job(spark: SparkSession, spec: LoadSpec, ledger_path: str, now: str | None = None,
-                 force: bool = False, dry_run: bool = False) -> JobResult | DataFrame:
+                 force: bool = False, dry_run: bool = False, job_prefix: str = "") -> JobResult | DataFrame:
+    """List, skip or force, enqueue, load and record. ``job_prefix`` (hexadecimal) starts the new job's id."""
     check_target(spark, spec)
-    fixed, now = now, now or _utc_now()
+    fixed, now = now, now or utc_now()
     manifest = list_files(spark, list(spec.source.paths), spec.source.fingerprint, spec.source.keep_duplicates)
     if dry_run:
         return manifest.select("name", "size")  # S7
@@ -85,7 +86,7 @@ def run_load_job(spark: SparkSession, spec: LoadSpec, ledger_path: str, now: str
     if submitted == 0:
         delete_paths(spark, [staged_path])
         return JobResult(None, 0, ignored, cancelled, None)
-    job_id = uuid.uuid1().hex
+    job_id = job_prefix + uuid.uuid1().hex[:32 - len(job_prefix)]
     queued = enqueue(to_load, job_id, now)
     # the job is visible while it runs; a load that fails leaves no task queued
     append_versions(job_row(spark, job_id, now, spec.to_json()), ledger_path, table="jobs")
@@ -107,7 +108,7 @@ def _load_and_record(spark: SparkSession, spec: LoadSpec, ledger_path: str, file
                                 else versions.where(mine))
 
     def finish(verdicts: DataFrame) -> None:
-        append_versions(record_outcomes(tasks(), verdicts, fixed or _utc_now(), started=now), ledger_path)
+        append_versions(record_outcomes(tasks(), verdicts, fixed or utc_now(), started=now), ledger_path)
 
     def all_failed(of: DataFrame, why: str) -> DataFrame:
         return of.select("file_id", F.lit("error").alias("status"), F.lit(why).alias("error"),
@@ -131,7 +132,7 @@ def retry_job(spark: SparkSession, spec: LoadSpec, ledger_path: str, now: str |
     starts with ``job_prefix``.  Their tasks are queued anew (``retry_errors``) and get the new outcome; tasks that
     were queued anew earlier and not loaded since run too.  A task whose file is gone fails again."""
     check_target(spark, spec)
-    fixed, now = now, now or _utc_now()
+    fixed, now = now, now or utc_now()
     jobs, versions = read_versions(spark, ledger_path)
     own = competing_jobs(jobs, "spark", 0, spec.target.database, spec.target.name)
     own = own.where(prefix_filter("id", job_prefix)).select(F.col("id").alias("job_id"))
@@ -158,9 +159,10 @@ def retry_job(spark: SparkSession, spec: LoadSpec, ledger_path: str, now: str |
     return JobResult(None, submitted, 0, 0, verdicts)
 
 
-def sync(spark: SparkSession, spec: LoadSpec, ledger_path: str, now: str | None = None) -> JobResult:
+def sync(spark: SparkSession, spec: LoadSpec, ledger_path: str, now: str | None = None,
+         job_prefix: str = "") -> JobResult:
     """T1 (batch form): bring the target in line with the files matching the
     spec's paths — new and changed files are (re)loaded, unchanged skipped."""
     if not spec.options.file_id_column:
         raise ValueError("sync needs options.file_id_column so a changed file replaces its old rows")
-    return run_load_job(spark, spec, ledger_path, now=now)
+    return run_load_job(spark, spec, ledger_path, now=now, job_prefix=job_prefix)

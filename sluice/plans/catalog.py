@@ -626,6 +626,8 @@ def _register_round_trips():
         "load_script": ("SELECT c_custkey, upper(c_name) AS c_name, c_nationkey, c_acctbal, "
                         "upper(c_mktsegment) AS c_mktsegment FROM customer"),
         "sync_stream": "SELECT * FROM customer",
+        "watch_stream": ("SELECT * REPLACE (CASE WHEN c_nationkey < 5 THEN c_acctbal + 1000 ELSE c_acctbal END "
+                         "AS c_acctbal) FROM customer"),
         "heartbeat_stream": W("tasks") + (f"SELECT id AS task_id, last_contact FROM tasks WHERE finished IS NULL "
                                           f"AND execution_id IS NOT NULL AND last_contact <= {NOW} - INTERVAL 120 SECOND"),
     }

@@ -445,6 +445,25 @@ def sync_stream(spark, sf_dir):
     return read_target(spark, spec).select(cust.columns)
 
 
+def watch_stream(spark, sf_dir):
+    """A watch over two runs: between them files of five nations are written anew, those of twelve come in."""
+    from sluice.streaming.watch import run_watch
+    cust = _table(spark, sf_dir, "customer")
+    landing, staging, ledger, ckpt = (scratch_dir(spark, f"watch-{x}") for x in ("landing", "staging", "ledger", "ckpt"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cust.schema.fields)
+    spec = LoadSpec(SourceSpec(paths=(landing + "/**",)),
+                    TargetSpec(path=scratch_dir(spark, "target"), schema=schema + ", fid DECIMAL(20,0)"),
+                    TextOptions(columns=tuple(cust.columns), file_id_column="fid"))
+    keyed = cust.withColumn("_k", F.col("c_nationkey"))
+    anew = keyed.where("c_nationkey < 5").withColumn("c_acctbal", F.col("c_acctbal") + 1000)
+    for n, part in enumerate((keyed.where("c_nationkey < 13"), anew.unionByName(keyed.where("c_nationkey >= 13")))):
+        write_delimited(part, f"{staging}/{n}", TextOptions(), columns=cust.columns, file_key="_k", files=13,
+                        stable_names=True)
+        replace_files(spark, f"{staging}/{n}", landing)
+        run_watch(spark, spec, ledger, ckpt)
+    return read_target(spark, spec).select(cust.columns)
+
+
 def heartbeat_stream(spark, sf_dir):
     from sluice.plans.fixtures import tasks_view
     from sluice.session import FIXTURE_NOW
