@@ -131,6 +131,27 @@ def file_ids(spark: SparkSession, rows: DataFrame) -> DataFrame:
     return stage(spark, m, "file-ids")[0]
 
 
+#: Key types whose least and greatest value are exact as text.
+_RANGED = re.compile(r"tinyint|smallint|int|bigint|decimal.*|date|string")
+
+
+def key_range(rows: DataFrame, keys: list[str]) -> Column:
+    """A condition that every row sharing a key with ``rows`` meets: each key column lies between its least and its
+    greatest value there.  Plain comparisons with constants, so that a scan of the target skips the files and row
+    groups whose statistics lie outside.  Two values for a column reach the driver."""
+    types = dict(rows.dtypes)
+    ranged = [k for k in keys if k in types and _RANGED.fullmatch(types[k])]
+    if not ranged:
+        return F.lit(True)
+    ends = rows.agg(*(f(k).cast("string").alias(f"{name}_{i}") for i, k in enumerate(ranged)
+                      for name, f in (("least", F.min), ("greatest", F.max)))).first()
+    if None in ends:  # no row has a whole key, and NULL keys meet none
+        return F.lit(False)
+    return reduce(lambda a, b: a & b, (
+        F.col(k).between(*(F.lit(ends[f"{name}_{i}"]).cast(types[k]) for name in ("least", "greatest")))
+        for i, k in enumerate(ranged)))
+
+
 def load_files(spark: SparkSession, spec: LoadSpec, files, rows: DataFrame | None = None) -> LoadOutcome:
     """Load a batch; staged copies (rows, maps, snapshots) are deleted when
     the load ends — only the small verdict table stays (it is returned)."""
@@ -204,8 +225,11 @@ def _load_files(spark: SparkSession, spec: LoadSpec, files, rows: DataFrame | No
         # as in the source's unique keys, a NULL in a key makes it differ from every other
         whole = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
         keyed, free = clean.where(whole), clean.where(~whole)
+        # key searches of the target read the part that the batch's keys can be in
+        near = key_range(keyed, keys)
         if method == "error":
-            failures = failures.unionByName(_conflicts(spark, spec, keyed, failures, target, target_kept, fids, keys))
+            failures = failures.unionByName(_conflicts(
+                spark, spec, keyed, failures, target.where(near), target_kept.where(near), fids, keys))
         first_failure = failures.groupBy("_file").agg(F.min_by("msg", _order_key()).alias("error"))
         if fid_col and method != "error":
             # the old rows of a file whose reload fails stay, and so do their keys
@@ -218,7 +242,7 @@ def _load_files(spark: SparkSession, spec: LoadSpec, files, rows: DataFrame | No
             sound = keyed.join(first_failure.select("_file"), "_file", "left_anti")
             good = (sound.groupBy(*keys).agg(F.min_by(F.struct(*clean.columns), _order_key()).alias("_r"))
                     .select("_r.*"))
-            good = good.join(target_kept.select(*keys), keys, "left_anti").select(clean.columns).unionByName(
+            good = good.join(target_kept.where(near).select(*keys), keys, "left_anti").select(clean.columns).unionByName(
                 free.join(first_failure.select("_file"), "_file", "left_anti").select(clean.columns))
         else:
             good = clean.join(first_failure.select("_file"), "_file", "left_anti")
@@ -235,7 +259,8 @@ def _load_files(spark: SparkSession, spec: LoadSpec, files, rows: DataFrame | No
                         "error", F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"), "started", "stopped"))
     verdicts, _ = stage(spark, verdicts, "verdicts")
 
-    _write(spark, spec, good, target, target_kept, keys, method, fid_col, data_cols, verdicts, fids)
+    _write(spark, spec, good, target, target_kept, keys, method, fid_col, data_cols, verdicts, fids,
+           near if keys else F.lit(True))
     return LoadOutcome(verdicts, staged_path)
 
 
@@ -281,10 +306,10 @@ def _conflicts(spark, spec, keyed, failures, target, target_kept, fids, keys) ->
         F.format_string("Duplicate entry '%s' for key 'PRIMARY'", key_text).alias("msg"))
 
 
-def _write(spark, spec, good, target, target_kept, keys, method, fid_col, data_cols, verdicts, fids):
+def _write(spark, spec, good, target, target_kept, keys, method, fid_col, data_cols, verdicts, fids, near):
     path = spec.target.path
     if fid_col and spec.target.file_id_buckets:
-        _write_bucketed(spark, spec, good, keys, method, fid_col, data_cols, fids, verdicts)
+        _write_bucketed(spark, spec, good, keys, method, fid_col, data_cols, fids, verdicts, near)
         return
     if fid_col:
         out = good.join(fids, "_file").select(*data_cols, F.col("_fid").alias(fid_col))
@@ -292,7 +317,7 @@ def _write(spark, spec, good, target, target_kept, keys, method, fid_col, data_c
         empty_fids = verdicts.where((F.col("status") == "success") & (F.col("row_count") == 0)).select("file_id")
         if method == "replace" and keys:
             # partitions of other files that hold replaced keys are rewritten too
-            hit = target_kept.join(out.select(*keys), keys, "left_semi").select(fid_col).distinct()
+            hit = target_kept.where(near).join(out.select(*keys), keys, "left_semi").select(fid_col).distinct()
             survivors = target_kept.join(hit, fid_col, "left_semi").join(out.select(*keys), keys, "left_anti")
             out = out.select(*cols).unionByName(survivors.select(*cols))
             empty_fids = empty_fids.unionByName(hit.select(F.col(fid_col).alias("file_id")))
@@ -327,7 +352,7 @@ def _change_places(spark: SparkSession, fresh: str, path: str) -> None:
         fs.delete(old, True)
 
 
-def _write_bucketed(spark, spec, good, keys, method, fid_col, data_cols, fids, verdicts):
+def _write_bucketed(spark, spec, good, keys, method, fid_col, data_cols, fids, verdicts, near):
     """K5 on a bucketed target: rewrite only the buckets the batch touches.
 
     new bucket = old rows of the bucket − rows of the reloaded files
@@ -346,7 +371,7 @@ def _write_bucketed(spark, spec, good, keys, method, fid_col, data_cols, fids, v
     stored = _read_stored(spark, spec)
     if method == "replace" and keys:
         # buckets of other files holding replaced keys are rewritten too
-        hit = stored.join(new.select(*keys), keys, "left_semi").select(BUCKET_COL)
+        hit = stored.where(near).join(new.select(*keys), keys, "left_semi").select(BUCKET_COL)
         touched = touched.unionByName(hit)
     # staged: after the overwrite nothing may read the replaced partitions
     touched, _ = stage(spark, touched.distinct(), "touched-buckets")
