@@ -5,10 +5,16 @@ The reference mutates rows of a SQLite table in place and bumps
 *change set*: new version rows with ``update_count + 1`` that are appended;
 the current state of a task is its row with the greatest ``update_count`` (L1).
 All change sets are lazy DataFrames; writing them is one append.
+
+Task versions lie in buckets by task id, so the versions of a task meet in the
+task that reads their bucket, without a shuffle.  The number of buckets is a
+property of the ledger: a file ``_buckets=<n>`` beside the tables holds it.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +32,9 @@ TASKS_SCHEMA = (
     "update_count BIGINT, finished TIMESTAMP_NTZ"
 )
 
+#: Buckets of a new ledger. One task reads a bucket: compact a grown ledger into more (``compact_ledger``).
+BUCKETS = 8
+
 
 def _now(now) -> Column:
     return now if isinstance(now, Column) else now_literal(now)
@@ -55,8 +64,11 @@ def read_versions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
     """``(jobs, task versions)`` without resolving versions.  A task's
     ``job_id`` and ``file_id`` never change between versions, so filters on
     them can run *before* ``current_versions`` and shrink its input."""
-    return (_read_or_empty(spark, f"{path}/jobs", JOBS_SCHEMA),
-            _read_or_empty(spark, f"{path}/tasks", TASKS_SCHEMA))
+    jobs = _read_or_empty(spark, f"{path}/jobs", JOBS_SCHEMA)
+    buckets, exists = _layout(spark, path)
+    if not exists or buckets is None:
+        return jobs, _read_or_empty(spark, f"{path}/tasks", TASKS_SCHEMA)
+    return jobs, spark.table(_bucketed_table(spark, path, buckets))
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -68,23 +80,82 @@ def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         raise
 
 
+def _folder(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and a function from a name in it to the Hadoop path."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, lambda name="": hadoop.Path(f"{path}/{name}" if name else path)
+
+
+def _layout(spark: SparkSession, path: str) -> tuple[int | None, bool]:
+    """(number of buckets, or None where the versions are not bucketed; whether there are task versions)."""
+    fs, at = _folder(spark, path)
+    names = [f.getPath().getName() for f in fs.listStatus(at())] if fs.exists(at()) else []
+    marked = [int(n.removeprefix("_buckets=")) for n in names if n.startswith("_buckets=")]
+    return (min(marked) if marked else None), "tasks" in names
+
+
+def create_ledger(spark: SparkSession, path: str, buckets: int = BUCKETS) -> int | None:
+    """Fix the number of buckets of a ledger that has none yet; returns the number in force (None for a ledger whose
+    versions were written without buckets: it stays so until it is compacted).  The first append does this with
+    ``BUCKETS``; call it before the first writers start where another number is wanted."""
+    known, exists = _layout(spark, path)
+    if known is None and not exists:
+        fs, at = _folder(spark, path)
+        fs.mkdirs(at())
+        fs.createNewFile(at(f"_buckets={buckets}"))
+        known, _ = _layout(spark, path)
+    return known
+
+
+def _bucketed_table(spark: SparkSession, path: str, buckets: int) -> str:
+    """The name of an external table over the versions: Spark reads buckets only through its catalog.  The file list
+    is read anew, as other sessions append too."""
+    fs, at = _folder(spark, path)
+    where = fs.makeQualified(at("tasks")).toString()
+    name = f"sluice_ledger_{hashlib.sha256(f'{where} {buckets}'.encode()).hexdigest()[:24]}"
+    location = where.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({TASKS_SCHEMA}) USING parquet "
+              f"CLUSTERED BY (id) SORTED BY (job_id, id) INTO {buckets} BUCKETS LOCATION '{location}'")
+    spark.catalog.refreshTable(name)
+    return name
+
+
 def append_versions(df: DataFrame, path: str, table: str = "tasks") -> None:
     """Append version rows (or job rows) to the ledger.
 
     Not partitioned by job: millions of small jobs would mean millions of
-    directories.  Rows are sorted by (job id, id) inside each file instead, so
-    Parquet min/max statistics let a job-id prefix filter skip row groups."""
-    key = "job_id" if table == "tasks" else "id"
-    df.sortWithinPartitions(key, "id" if key != "id" else "created").write.mode("append").parquet(f"{path}/{table}")
-
-
-def compact_ledger(spark: SparkSession, path: str, out_path: str) -> None:
+    directories.  Task versions go to the buckets of their ids, one file a
+    bucket.  Rows are sorted by (job id, id) inside each file, so Parquet
+    min/max statistics let a job-id prefix filter skip row groups."""
+    buckets = create_ledger(df.sparkSession, path) if table == "tasks" else None
+    if buckets is None:
+        key = "job_id" if table == "tasks" else "id"
+        rows = df.sortWithinPartitions(key, "id" if key != "id" else "created")
+        rows.write.mode("append").parquet(f"{path}/{table}")
+        return
+    _append_to_buckets(df, path, buckets)
+
+
+def _append_to_buckets(df: DataFrame, path: str, buckets: int) -> None:
+    name = _bucketed_table(df.sparkSession, path, buckets)
+    columns = df.sparkSession.table(name).schema.fields
+    # same hash as the buckets': each bucket is written by one task, as one file
+    df.select([F.col(c.name).cast(c.dataType).alias(c.name) for c in columns]) \
+        .repartition(buckets, "id").write.insertInto(name)
+
+
+def compact_ledger(spark: SparkSession, path: str, out_path: str, buckets: int | None = None) -> None:
     """Write the current version of every task (and all jobs) to a new
-    ledger directory — many appends become a few sorted files.  Readers
-    switch to ``out_path``; the old directory is left untouched."""
+    ledger directory — many appends become a few sorted files, in ``buckets``
+    buckets (by default as many as before).  Readers switch to ``out_path``;
+    the old directory is left untouched."""
+    known, exists = _layout(spark, out_path)
+    if exists or known is not None:
+        raise ValueError(f"{out_path} holds a ledger already")
     jobs, tasks = read_ledger(spark, path)
     jobs.repartitionByRange("id").sortWithinPartitions("id").write.parquet(f"{out_path}/jobs")
-    tasks.repartitionByRange("job_id", "id").sortWithinPartitions("job_id", "id").write.parquet(f"{out_path}/tasks")
+    _append_to_buckets(tasks, out_path, create_ledger(spark, out_path, buckets or _layout(spark, path)[0] or BUCKETS))
 
 
 def job_row(spark: SparkSession, job_id: str, created: str, spec_json: str) -> DataFrame:
@@ -120,8 +191,9 @@ def enqueue(manifest: DataFrame, job_id: str, now) -> DataFrame:
 def current_versions(versions: DataFrame, key: str = "id") -> DataFrame:
     """L1: the row with the greatest ``update_count`` per task id.
 
-    ``max_by`` over a struct is a partial aggregate: each map task keeps one
-    row per id before the shuffle.
+    The versions of a ledger lie in buckets by id: each task aggregates its
+    bucket, and nothing is shuffled.  For other inputs ``max_by`` over a struct
+    is a partial aggregate: each map task keeps one row per id before the shuffle.
     """
     cols = [c for c in versions.columns if c != key]
     return (versions.groupBy(key)

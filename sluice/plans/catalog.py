@@ -623,6 +623,13 @@ def _register_round_trips():
             "CASE WHEN c_nationkey = 3 THEN 'Incorrect' END AS error, CAST(sum(strlen(CASE WHEN c_nationkey = 3 THEN 'oops' "
             "ELSE CAST(c_custkey AS VARCHAR) END || c_nationkey || c_name) + 3) AS BIGINT) AS bytes_total, "
             "'download' AS step, true AS in_order FROM customer GROUP BY c_nationkey"),
+        "stored_versions": W("tasks") + f""", s AS (SELECT *, {_TASK_STATE} AS st FROM tasks), v AS (
+            SELECT id, update_count, finished, result, execution_id, last_contact FROM s
+            UNION ALL SELECT id, update_count + 1, {NOW}, 'cancelled', '0', {NOW} FROM s WHERE finished IS NULL
+            UNION ALL SELECT id, update_count + 1, NULL, NULL, NULL, NULL FROM s WHERE st = 'ERROR'
+            UNION ALL SELECT id, update_count + 2, {NOW}, 'cancelled', '0', {NOW} FROM s WHERE st = 'ERROR' AND bytes_total % 2 = 0)
+            SELECT id, update_count, result, {_TASK_STATE} AS state FROM (
+              SELECT *, row_number() OVER (PARTITION BY id ORDER BY update_count DESC) AS rn FROM v) WHERE rn = 1""",
         "load_script": ("SELECT c_custkey, upper(c_name) AS c_name, c_nationkey, c_acctbal, "
                         "upper(c_mktsegment) AS c_mktsegment FROM customer"),
         "sync_stream": "SELECT * FROM customer",
