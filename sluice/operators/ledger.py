@@ -44,11 +44,12 @@ def _now(now) -> Column:
 # storage (S18, K7)
 # ---------------------------------------------------------------------------
 
-def read_ledger(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_ledger(spark: SparkSession, path: str, columns: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """``(jobs, tasks)`` of a ledger directory; tasks at their current
-    version (L1).  Missing tables read as empty."""
+    version (L1), of which only ``columns`` if given.  Missing tables read as
+    empty."""
     jobs, versions = read_versions(spark, path)
-    return jobs, current_versions(versions)
+    return jobs, current_versions(versions, columns=columns)
 
 
 def read_job_tasks(spark: SparkSession, path: str, job_prefix: str) -> tuple[DataFrame, DataFrame]:
@@ -188,14 +189,15 @@ def enqueue(manifest: DataFrame, job_id: str, now) -> DataFrame:
 # L1: current version
 # ---------------------------------------------------------------------------
 
-def current_versions(versions: DataFrame, key: str = "id") -> DataFrame:
-    """L1: the row with the greatest ``update_count`` per task id.
+def current_versions(versions: DataFrame, key: str = "id", columns: list[str] | None = None) -> DataFrame:
+    """L1: the row with the greatest ``update_count`` per task id, or ``key`` and those of its ``columns``: the rest
+    is then neither read, sorted nor shuffled (Spark does not prune the struct of an aggregate).
 
     The versions of a ledger lie in buckets by id: each task aggregates its
     bucket, and nothing is shuffled.  For other inputs ``max_by`` over a struct
     is a partial aggregate: each map task keeps one row per id before the shuffle.
     """
-    cols = [c for c in versions.columns if c != key]
+    cols = [c for c in versions.columns if c != key and (columns is None or c in columns)]
     return (versions.groupBy(key)
             .agg(F.max_by(F.struct(*cols), F.col("update_count")).alias("_v"))
             .select(key, *[F.col(f"_v.{c}").alias(c) for c in cols]))

@@ -504,11 +504,11 @@ versions AS (
 SELECT id, update_count, {_TASK_STATE} AS state FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY update_count DESC) AS rn FROM versions) v WHERE rn = 1""")
 def q_current_tasks(spark, sf_dir):
-    from sluice.functions.states import now_literal, task_state
+    from sluice.functions.states import STATE_COLUMNS, now_literal, task_state
     from sluice.operators.ledger import current_versions, retry_errors
     jobs, tasks = _views(spark, sf_dir, "jobs", "tasks")
     versions = tasks.unionByName(_cancel_t3(jobs, tasks)).unionByName(retry_errors(tasks, FIXTURE_NOW))
-    cur = current_versions(versions)
+    cur = current_versions(versions, columns=["update_count", *STATE_COLUMNS])
     return cur.select("id", "update_count", task_state(now_literal(FIXTURE_NOW)).alias("state"))
 
 
