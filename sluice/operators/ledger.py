@@ -36,6 +36,9 @@ TASKS_SCHEMA = (
 BUCKETS = 8
 
 
+#: Rows of a first append for each bucket: some 150 MB to sort in the task that writes or reads it.
+BUCKET_ROWS = 400_000
+
 def _now(now) -> Column:
     return now if isinstance(now, Column) else now_literal(now)
 
@@ -99,7 +102,8 @@ def _layout(spark: SparkSession, path: str) -> tuple[int | None, bool]:
 def create_ledger(spark: SparkSession, path: str, buckets: int = BUCKETS) -> int | None:
     """Fix the number of buckets of a ledger that has none yet; returns the number in force (None for a ledger whose
     versions were written without buckets: it stays so until it is compacted).  The first append does this with
-    ``BUCKETS``; call it before the first writers start where another number is wanted."""
+    ``BUCKETS``; call it before the first writers start where another number is wanted.  (``append_versions`` asks for more than
+    ``BUCKETS`` if its rows are many.)"""
     known, exists = _layout(spark, path)
     if known is None and not exists:
         fs, at = _folder(spark, path)
@@ -129,7 +133,11 @@ def append_versions(df: DataFrame, path: str, table: str = "tasks") -> None:
     directories.  Task versions go to the buckets of their ids, one file a
     bucket.  Rows are sorted by (job id, id) inside each file, so Parquet
     min/max statistics let a job-id prefix filter skip row groups."""
-    buckets = create_ledger(df.sparkSession, path) if table == "tasks" else None
+    buckets = None
+    if table == "tasks":
+        known, exists = _layout(df.sparkSession, path)
+        buckets = known if known or exists else create_ledger(
+            df.sparkSession, path, max(BUCKETS, -(-df.count() // BUCKET_ROWS)))
     if buckets is None:
         key = "job_id" if table == "tasks" else "id"
         rows = df.sortWithinPartitions(key, "id" if key != "id" else "created")

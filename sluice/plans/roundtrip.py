@@ -412,7 +412,7 @@ def job_cycle(spark, sf_dir):
 def stored_versions(spark, sf_dir):
     """L1 over a stored ledger: tasks, then those cancelled, then those retried, of which half are
     cancelled; all appended to the buckets of their ids."""
-    from sluice.functions.states import now_literal, task_state
+    from sluice.functions.states import STATE_COLUMNS, now_literal, task_state
     from sluice.operators.ledger import append_versions, bulk_finish, read_ledger, retry_errors
     from sluice.plans.fixtures import tasks_view
     from sluice.session import FIXTURE_NOW
@@ -422,7 +422,7 @@ def stored_versions(spark, sf_dir):
     append_versions(bulk_finish(tasks, FIXTURE_NOW), ledger)
     append_versions(retry_errors(tasks, FIXTURE_NOW), ledger)
     append_versions(bulk_finish(read_ledger(spark, ledger)[1], FIXTURE_NOW, F.col("bytes_total") % 2 == 0), ledger)
-    _, now_tasks = read_ledger(spark, ledger)
+    _, now_tasks = read_ledger(spark, ledger, ["update_count", *STATE_COLUMNS])
     return now_tasks.select("id", "update_count", "result", task_state(now_literal(FIXTURE_NOW)).alias("state"))
 
 
