@@ -42,12 +42,12 @@ def _round_trip(spark, df: DataFrame, opts: TextOptions, key: str | None, files:
 
 def load_tsv(spark, sf_dir):
     part = _table(spark, sf_dir, "part")
-    return _round_trip(spark, part, TextOptions(), "p_partkey % 8", 8)
+    return _round_trip(spark, part, TextOptions(), *_spread(part, "p_partkey"))
 
 
 def load_csv_enclosed(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
-    return _round_trip(spark, docs, TextOptions(fields_terminated=",", fields_enclosed='"'), "doc_id % 4", 4)
+    return _round_trip(spark, docs, TextOptions(fields_terminated=",", fields_enclosed='"'), *_spread(docs, "doc_id"))
 
 
 def load_multiline(spark, sf_dir):
@@ -91,7 +91,7 @@ def load_line_prefix(spark, sf_dir):
 
 def load_multi_sep(spark, sf_dir):
     ev = _table(spark, sf_dir, "events")
-    return _round_trip(spark, ev, TextOptions(fields_terminated="||", lines_terminated=";;"), "user_id % 4", 4)
+    return _round_trip(spark, ev, TextOptions(fields_terminated="||", lines_terminated=";;"), *_spread(ev, "event_id"))
 
 
 def load_columns(spark, sf_dir):
