@@ -30,6 +30,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
@@ -441,6 +443,25 @@ def format_lines(df: DataFrame, opts: TextOptions, columns: list[str] | None = N
     return F.concat(F.lit(opts.lines_starting), line) if opts.lines_starting else line
 
 
+def _stretches(lines: DataFrame, terminator: str) -> DataFrame:
+    """Sorted lines joined, in the tasks that hold them, to stretches of many lines of one ``key``; their order is that
+    of ``_part`` and ``_place``.  A file's task then sorts a few stretches, not the file's rows."""
+    def run(batches):
+        part, place = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            keys, values = batch.column("key").to_pylist(), batch.column("value").to_pylist()
+            starts = [i for i, k in enumerate(keys) if not i or k != keys[i - 1]]
+            joined = [terminator.join(values[a:b]) for a, b in zip(starts, [*starts[1:], len(keys)], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(joined, pa.string()), batch.column("key").take(pa.array(starts, pa.int64())),
+                 pa.array([part] * len(starts), pa.int32()), pa.array(range(place, place + len(starts)), pa.int64())],
+                names=["value", "key", "_part", "_place"])
+            place += len(starts)
+
+    kind = lines.schema["key"].dataType.simpleString()
+    return lines.select("value", "key").mapInArrow(run, f"value string, key {kind}, _part int, _place long")
+
+
 def write_delimited(df: DataFrame, path: str, opts: TextOptions, columns: list[str] | None = None,
                     file_key: str | None = None, files: int | None = None,
                     header_lines: int = 0, compression: str | None = None,
@@ -465,10 +486,13 @@ def write_delimited(df: DataFrame, path: str, opts: TextOptions, columns: list[s
                          *[F.lit(None).alias(f"_o{i}") for i, _ in enumerate(order_by or [])])
         body = body.unionByName(hdr, allowMissingColumns=True)
     n = files or 1
-    body = body.repartition(n, "key") if file_key else body.repartition(n)
     sort = (["key"] if file_key else []) + ["_hdr", "value"] + [f"_o{i}" for i, _ in enumerate(order_by or [])]
     if order_by:
         sort = (["key"] if file_key else []) + ["_hdr"] + [f"_o{i}" for i, _ in enumerate(order_by)]
+    if order_by and file_key:
+        body, sort = _stretches(body.repartitionByRange(*sort).sortWithinPartitions(*sort), opts.lines_terminated), [
+            "key", "_part", "_place"]
+    body = body.repartition(n, "key") if file_key else body.repartition(n)
     body = body.sortWithinPartitions(*sort)
     w = body.select("value", *(["key"] if file_key else [])).write.mode("overwrite").option("lineSep", opts.lines_terminated)
     w = w.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")  # data files only
