@@ -195,7 +195,7 @@ def load_error_reload(spark, sf_dir):
     def put(files):
         for name, rows in files.items():
             write_delimited(rows.withColumn("_k", F.lit(name)), f"{d}-{name}", TextOptions(), columns=_ORDER_COLS,
-                            file_key="_k", files=1, stable_names=True)
+                            file_key="_k", files=1, order_by=["o_orderkey"], stable_names=True)
             replace_files(spark, f"{d}-{name}", d)
         load_files(spark, spec, [f"{d}/key={name}" for name in files])
 
