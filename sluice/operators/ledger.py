@@ -32,13 +32,14 @@ TASKS_SCHEMA = (
     "update_count BIGINT, finished TIMESTAMP_NTZ"
 )
 
-#: Buckets of a new ledger. One task reads a bucket: compact a grown ledger into more (``compact_ledger``).
+#: Least number of buckets of a new ledger. One task reads a bucket: a first append of many rows makes more, a grown
+#: ledger is compacted into more (``compact_ledger``).
 BUCKETS = 8
 
-
 #: Rows of a first append for each bucket: some 150 MB to sort in the task that writes or reads it.
 BUCKET_ROWS = 400_000
 
+
 def _now(now) -> Column:
     return now if isinstance(now, Column) else now_literal(now)
 
