@@ -13,13 +13,14 @@ against. The plus sign is kept from the trees, so that phones without one are ju
 
 Thresholds. The examples of every second document are held out. Of those, the ones that the base rules do not settle
 (all but the spans that touch a base one) calibrate a threshold for each kind, the least above 0.5 at which
-``PRECISION`` of the accepted ones are examples for. A kind that lacks examples of either label in either half
-(``LEAST_EXAMPLES``) accepts nothing. An accepted candidate that touches no base span is added.
+``PRECISION`` of the accepted ones are examples for; their scores count to ``PLACES`` places. A kind that lacks examples
+of either label in either half (``LEAST_EXAMPLES``) accepts nothing. An accepted candidate that touches no base span is
+added.
 
-Bounds. Trees are fitted on a sample, the least by hash of the id: for each kind ``SAMPLE`` documents that may hold a
-base span of it and ``SAMPLE`` that hold a digit or an at sign but none of those, and of their candidates at most
-``PER_GROUP`` for each kind, label and origin. Model and ids are broadcast; every text is searched whole, in place. A
-written-out address has a local part of at most 64 characters and at most 9 labels of at most 63.
+Bounds. Trees and thresholds come from all examples of all documents: these are staged, the trees grow from sums over
+their blocks (``boosting.fit_frame``), thresholds from counts for each score. The driver holds sums of fixed size. The
+model is broadcast; every text is searched whole, in place. A written-out address has a local part of at most 64
+characters and at most 9 labels of at most 63.
 
 Defined results: null and empty texts have no spans. A kind without enough examples gets none added. Of overlapping
 accepted candidates the one of the highest score stays (ties: the first, then the order of the kinds). Repeated rows
@@ -40,12 +41,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.llm import boosting
-from sluice.llm.tables import table
+from sluice.llm.tables import staged, table
+from sluice.session import staging_scope
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE = 1000
-PER_GROUP = 3000
 PRECISION = 0.95
+PLACES = 4
 LEAST_EXAMPLES = 20
 
 #: Fixed words: what may stand before personal data, and what before other numbers.
@@ -243,20 +244,23 @@ def examples(text: str) -> list[Example]:
     return out
 
 
-def threshold(score: np.ndarray, label: np.ndarray, precision: float = PRECISION) -> float | None:
+def threshold(score: np.ndarray, label: np.ndarray, precision: float = PRECISION, n: np.ndarray | None = None) -> float | None:
     """What accepts the most of the scores above 0.5 such that ``precision`` of the accepted have label 1: the middle
-    between the least accepted score and the next one below it (0.5 at least)."""
+    between the least accepted score and the next one below it (0.5 at least). With ``n``, a row stands for so many
+    examples and ``label`` counts those of label 1."""
     order = np.argsort(-score, kind="stable")
-    score, label = score[order], label[order]
+    n = np.ones(len(score), dtype=np.int64) if n is None else n
+    score, label, n = score[order], label[order], n[order]
     last = np.append(score[1:] != score[:-1], True)  # equal scores are accepted together
-    fine = np.flatnonzero((np.cumsum(label) >= precision * np.arange(1, len(label) + 1)) & last & (score > 0.5))
+    fine = np.flatnonzero((np.cumsum(label) >= precision * np.cumsum(n)) & last & (score > 0.5))
     if not len(fine):
         return None
     return (float(score[fine[-1]]) + max(0.5, float(score[fine[-1] + 1]) if fine[-1] + 1 < len(score) else 0.5)) / 2
 
 
 def fit(rows: list[tuple[bool, Example]]) -> dict[str, Any]:
-    """For each kind with enough examples its trees and threshold; the rows say which half they are of."""
+    """For each kind with enough examples its trees and threshold; the rows say which half they are of. What ``learn``
+    finds, for examples at hand."""
     out = {}
     for kind in KINDS:
         own = [(half, e) for half, e in rows if e.kind == kind]
@@ -265,8 +269,8 @@ def fit(rows: list[tuple[bool, Example]]) -> dict[str, Any]:
         held = ~learn & np.array([not e.settled for _, e in own], dtype=bool)
         if min((int((y[part] == label).sum()) for part in (learn, held) for label in (0, 1)), default=0) < LEAST_EXAMPLES:
             continue
-        forest = boosting.fit(x[learn], y[learn])
-        least = threshold(boosting.predict(forest, x[held]), y[held])
+        forest = boosting.fit_block(x[learn], y[learn])
+        least = threshold(np.round(boosting.predict(forest, x[held]), PLACES), y[held])
         if least is not None:
             out[kind] = (forest, least)
     return out
@@ -288,42 +292,74 @@ def all_spans(text: str, model: dict[str, Any]) -> tuple[list, list]:
     return base, _ordered(base + chosen)
 
 
-#: Texts that may hold a base span of the kind.
-_MAY_HOLD = {"email": "[A-Za-z0-9._%+-]@[A-Za-z0-9-]+[.]", "ip": "[0-9]+[.][0-9]+[.][0-9]+[.][0-9]",
-             "card": "[0-9]([ -]?[0-9]){11}", "phone": "[+][0-9][ ().0-9-]+[0-9]"}
-
-
-def training_rows(documents: DataFrame, sample: int = SAMPLE, per_group: int = PER_GROUP) -> list[tuple[bool, Example]]:
-    """(learned from or held out, example) of the sample."""
-    may = [F.when(F.col("text").rlike(pattern), F.lit(kind)) for kind, pattern in _MAY_HOLD.items()]
-    kinds = F.array_compact(F.array(*may))
-    order = F.xxhash64(F.col("doc_id").cast("string"))
-    seen = (documents.where(F.col("doc_id").isNotNull() & F.col("text").rlike("[0-9@]"))
-            .select("doc_id", F.explode(F.when(F.size(kinds) > 0, kinds).otherwise(F.array(F.lit("other")))).alias("kind"))
-            .withColumn("order", order).distinct())
-    first = Window.partitionBy("kind").orderBy("order", "doc_id")
-    ids = (seen.withColumn("at", F.row_number().over(first)).where(F.col("at") <= sample)
-           .select("doc_id", "order").distinct())  # at most ``sample`` for each of five
-
+def example_rows(documents: DataFrame) -> DataFrame:
+    """half (learned from, or held out), kind, label, settled and features of the examples of all documents."""
     def run(batches):
         for batch in batches:
-            for text, half in zip(batch.column("text"), batch.column("half").to_pylist(), strict=True):
-                rows = examples(text.as_py() or "")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([half] * len(rows), pa.bool_()), pa.array([r.kind for r in rows], pa.string()),
-                     pa.array([r.label for r in rows], pa.bool_()), pa.array([r.settled for r in rows], pa.bool_()),
-                     pa.array([r.features for r in rows], pa.list_(pa.float64()))],
-                    names=["half", "kind", "label", "settled", "features"])
-
-    rows = (documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-            .select("text", (F.pmod("order", F.lit(2)) == 0).alias("half"))
-            .mapInArrow(run, "half boolean, kind string, label boolean, settled boolean, features array<double>"))
-    least = Window.partitionBy("kind", "label", "settled").orderBy(F.xxhash64("features"), "half")
-    rows = rows.withColumn("at", F.row_number().over(least)).where(F.col("at") <= per_group).drop("at")
+            rows = [(half, e) for text, half in zip(batch.column("text"), batch.column("half").to_pylist(), strict=True)
+                    if _TRIGGER.search(text.as_py() or "") for e in examples(text.as_py())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([half for half, _ in rows], pa.bool_()), pa.array([e.kind for _, e in rows], pa.string()),
+                 pa.array([e.label for _, e in rows], pa.bool_()), pa.array([e.settled for _, e in rows], pa.bool_()),
+                 pa.array([e.features for _, e in rows], pa.list_(pa.float64()))],
+                names=["half", "kind", "label", "settled", "features"])
+
+    half = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(2)) == 0
+    return documents.select("text", half.alias("half")).mapInArrow(
+        run, "half boolean, kind string, label boolean, settled boolean, features array<double>")
+
+
+def training_rows(documents: DataFrame, sample: int | None = None, per_group: int | None = None) -> list[tuple[bool, Example]]:
+    """``example_rows`` at hand, for tables that fit the driver; ``learn`` does without. For trials, those of the first
+    ``sample`` documents by hash that hold a digit or an at sign, and ``per_group`` for each kind, label and origin."""
+    if sample is not None:
+        documents = documents.where(F.col("text").rlike("[0-9@]")).orderBy(
+            F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(sample)
+    rows = example_rows(documents)
+    if per_group is not None:
+        least = Window.partitionBy("kind", "label", "settled").orderBy(F.xxhash64("features"), "half")
+        rows = rows.withColumn("at", F.row_number().over(least)).where(F.col("at") <= per_group).drop("at")
     return [(r["half"], Example(r["kind"], r["label"], r["settled"], list(r["features"]))) for r in
             sorted(rows.collect(), key=lambda r: (r["kind"], r["half"], r["label"], r["settled"], r["features"]))]
 
 
+def learn(documents: DataFrame) -> dict[str, Any]:
+    """For each kind with enough examples its trees and threshold, from all examples of all documents."""
+    spark = documents.sparkSession
+    with staging_scope(spark):
+        rows = staged(example_rows(documents), "pii-examples")
+        held = ~F.col("half") & ~F.col("settled")
+        counts = rows.groupBy("kind").agg(*(F.count_if(part & (F.col("label") == label)).alias(f"n{i}{int(label)}")
+                                            for i, part in enumerate((F.col("half"), held)) for label in (False, True)))
+        kinds = [r["kind"] for r in counts.collect() if min(r["n00"], r["n01"], r["n10"], r["n11"]) >= LEAST_EXAMPLES]
+        if not kinds:
+            return {}
+        rows = rows.where(F.col("kind").isin(kinds))
+        forests = boosting.fit_frame(rows.where("half").select(F.col("kind").alias("group"), "label", "features"))
+        shared = spark.sparkContext.broadcast(forests)
+
+        def score(batches):
+            for batch in batches:
+                kind = np.array(batch.column("kind").to_pylist(), dtype=object)
+                x = batch.column("features").flatten().to_numpy(zero_copy_only=False).reshape(len(kind), -1) if len(kind) else None
+                out = np.zeros(len(kind))
+                for name in set(kind):
+                    out[kind == name] = np.round(boosting.predict(shared.value[name], x[kind == name]), PLACES)
+                yield pa.RecordBatch.from_arrays([batch.column("kind"), batch.column("label"), pa.array(out)],
+                                                 names=["kind", "label", "score"])
+
+        scores = (rows.where(held).select("kind", "label", "features").mapInArrow(score, "kind string, label boolean, score double")
+                  .where("score > 0.5").groupBy("kind", "score")
+                  .agg(F.count(F.lit(1)).alias("n"), F.count_if("label").alias("positive")).collect())  # at most 5,000 a kind
+    out = {}
+    for kind in (k for k in KINDS if k in forests):
+        own = [r for r in scores if r["kind"] == kind]
+        least = threshold(*(np.array([r[c] for r in own]) for c in ("score", "positive")), n=np.array([r["n"] for r in own]))
+        if least is not None:
+            out[kind] = (forests[kind], least)
+    return out
+
+
 def redact(text: str, spans: list[tuple[str, int, int]]) -> str:
     """``text`` with each stretch of spans replaced by the kind of its first."""
     out, at = [], 0
@@ -363,4 +399,4 @@ def find(documents: DataFrame, model: dict[str, Any], with_text: bool = False) -
 
 def op6_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    return find(documents, fit(training_rows(documents)))
+    return find(documents, learn(documents))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.session import scratch_dir
+from sluice.session import scratch_dir, track_staged
 
 #: Bits of a membership filter (8 MB), whatever the number of keys.
 FILTER_BITS = 1 << 26
@@ -17,10 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written below ``spark.checkpoint.dir`` and read again: lineage is cut, and a lost executor
-    costs no recomputation of what came before."""
+    costs no recomputation of what came before. Inside a ``staging_scope`` it goes when the block ends."""
     spark = df.sparkSession
     path = scratch_dir(spark, f"llm-{name}")
     df.write.parquet(path)
+    track_staged(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -102,3 +102,45 @@ def test_overlaps_ties_and_odd_rows(spark, model):
     assert got[4].n_added == 0 and got[4].redacted == "<phone> and <email>"
     spans = pii.all_spans("1.2.3.4 and 4111 1111 1111 1111 and 10 . 9 . 8 . 7", model)[1]
     assert all(a[2] <= b[1] or a in pii.base_spans("") for a, b in zip(spans, spans[1:]))
+
+
+def test_the_model_is_learned_from_all_documents(spark, monkeypatch):
+    """What the dataset's blocks give is what all examples at hand give; more texts than any bound change the counts."""
+    from sluice.llm import boosting
+    rng = random.Random(5)
+    texts = [_planted(rng)[0] + f" mail w{i}@h{i % 7}.com or +1 555 {i:03} 4567" for i in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    seen = {}
+    fit_frame = boosting.fit_frame
+
+    def counted(rows, **options):
+        seen.update({r["group"]: r["count"] for r in rows.groupBy("group").count().collect()})
+        return fit_frame(rows, **options)
+
+    monkeypatch.setattr(boosting, "fit_frame", counted)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 300)
+    found, rows = pii.learn(docs), pii.training_rows(docs)
+    want = pii.fit(rows)
+    assert set(found) == set(want) and len(want) >= 2
+    assert seen == {k: sum(half for half, e in rows if e.kind == k) for k in seen} and set(want) <= set(seen)
+    for kind, (forest, least) in want.items():
+        assert all(np.allclose(a, b) for a, b in zip(forest, found[kind][0])) and abs(least - found[kind][1]) < 1e-9
+    # one kind and label beyond the bound of 3,000 that the sample had
+    many = spark.range(900).selectExpr("id AS doc_id", "concat('mail me', id, '@host', id % 9, '.com now') AS text")
+    assert sum(e.kind == "email" and e.label and not e.settled for _, e in pii.training_rows(many)) > 3000
+
+
+def test_cuts_are_exact_quantiles(spark):
+    from sluice.llm import boosting
+    rng = np.random.default_rng(2)
+    x = np.column_stack([rng.integers(0, 9, 700), rng.normal(size=700), np.zeros(700)])
+    rows = spark.createDataFrame([("a", v.tolist()) for v in x], "group string, features array<double>").repartition(3)
+    cuts = boosting.cuts_of(rows)["a"]
+    places = np.linspace(0, 1, boosting.BINS + 1)[1:-1]
+    for j, got in enumerate(cuts):
+        assert got.tolist() == np.unique(np.quantile(x[:, j], places, method="inverted_cdf")).tolist()
+
+
+def test_no_documents_give_no_model(spark):
+    assert pii.learn(spark.createDataFrame([], "doc_id long, text string")) == {}
+    assert pii.learn(spark.createDataFrame([(None, None), (1, "")], "doc_id long, text string")) == {}
