@@ -141,3 +141,32 @@ def test_heartbeats_over_runs(spark, scratch):
     assert beat(4, ("d", 400, False)) == [("a", 100), ("b", 0)]
     assert beat(5, ("a", 500, False)) == [("a", 100), ("b", 0)]
     assert beat(6, ("d", 900, False)) == [("a", 100), ("a", 500), ("b", 0)]  # d is back in time
+
+
+def test_heartbeat_states_are_of_buckets(spark, scratch, monkeypatch):
+    """Many tasks share a state and its timer; each is reported as by itself."""
+    import random
+
+    from sluice.streaming import heartbeat
+    monkeypatch.setattr(heartbeat, "BUCKETS", 3)
+    rng = random.Random(4)
+    schema = "task_id STRING, ts TIMESTAMP_NTZ, finished BOOLEAN"
+    src, sink, ckpt = scratch("beats"), scratch("lost"), scratch("ckpt")
+    live, want, clock = {}, set(), 0
+    for n in range(2):
+        beats = [(rng.choice([None, *map(str, range(60))]), clock + rng.randint(1, 200), rng.random() < 0.1) for _ in range(80)]
+        beats.append(("clock", clock + 201, False))
+        done = {t for t, _, finished in beats if finished}
+        for t, s, _ in beats:
+            live[t] = max(s, live.get(t, 0))
+        live, clock = {t: s for t, s in live.items() if t not in done}, clock + 201
+        due = {(t, s) for t, s in live.items() if s + 120 < clock}
+        want, live = want | due, {t: s for t, s in live.items() if (t, s) not in due}
+        spark.createDataFrame(beats, "task_id STRING, s INT, finished BOOLEAN").selectExpr(
+            "task_id", "timestampadd(SECOND, s, TIMESTAMP_NTZ'2024-01-01 00:00:00') AS ts", "finished").write.parquet(f"{src}/{n}")
+        got = heartbeat.run_heartbeat_stream(spark, src + "/*", schema, sink, ckpt).collect()
+        assert sorted(map(str, want)) == sorted(str((r.task_id, r.last_contact.minute * 60 + r.last_contact.second)) for r in got)
+    assert want and live
+    with heartbeat._rocksdb(spark):
+        states = spark.read.format("statestore").option("stateVarName", "live").load(local_path(ckpt))
+        assert 1 <= states.count() <= 3
