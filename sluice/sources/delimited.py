@@ -70,7 +70,7 @@ class TextOptions:
     file_id_column: str | None = None
     # Allow raw line terminators inside a field: after an escape, or (with an
     # encloser) inside quotes — multi-line CSV cells (``records``).  Costs a
-    # staged copy and a shuffle of the lines, so it is opt-in.
+    # second read and a staged copy, so it is opt-in.
     escaped_terminators: bool = False
 
     def __post_init__(self):
@@ -167,10 +167,11 @@ def _terminator_stands_alone(opts: TextOptions) -> bool:
     return not (others & set(lt) or overlaps or (esc and lt[0] in ESCAPE_LETTERS))
 
 
-def joined_records(lines: DataFrame, opts: TextOptions) -> DataFrame:
-    """Records of lines (``read_lines``) whose fields may hold raw terminators."""
+def joined_records(lines: DataFrame, opts: TextOptions, in_order: bool = False) -> DataFrame:
+    """Records of lines (``read_lines``) whose fields may hold raw terminators; ``in_order`` as of ``join_lines``."""
     literals = (_q(x) if x else "" for x in (opts.fields_terminated, opts.fields_enclosed, opts.fields_escaped))
-    records = join_lines(lines, *literals, opts.fields_escaped, opts.fields_enclosed, opts.lines_terminated)
+    records = join_lines(lines, *literals, opts.fields_escaped, opts.fields_enclosed, opts.lines_terminated,
+                         in_order)
     return records.withColumn("_plain", _plain_line(F.col("value"), opts.fields_escaped))
 
 
@@ -232,7 +233,7 @@ def read_lines(spark: SparkSession, paths: list[str], opts: TextOptions, streame
                 uri.alias("_file"), "_block", "_mid", "_script_error", F.col("_mid").alias("_line"))
             lines = lines.unionByName(more if numbered else more.drop("_line"), allowMissingColumns=True)
         if opts.escaped_terminators:
-            lines = joined_records(lines, opts)
+            lines = joined_records(lines, opts, in_order=True)
     failed = F.col("_script_error").isNotNull() if "_script_error" in lines.columns else F.lit(False)
     if opts.ignore_lines > 0:
         lines = lines.where((F.col("_line") >= opts.ignore_lines) | failed)
