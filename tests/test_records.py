@@ -137,3 +137,17 @@ def test_texts_are_shuffled_by_split_not_by_file(spark, scratch):
     plan = read_lines(spark, [root], options)._jdf.queryExecution().executedPlan().toString()
     keys = {line.split("hashpartitioning(")[1].split(")")[0] for line in plan.splitlines() if "hashpartitioning(" in line}
     assert keys and all("_block" in k or "_start" in k for k in keys)
+
+
+def test_lines_in_order_are_joined_without_a_shuffle(spark, scratch):
+    """Only the pieces of records that cross a split's end are shuffled."""
+    options = TextOptions(fields_terminated=",", fields_enclosed='"', escaped_terminators=True)
+    root = local_path(scratch("in-order"))
+    os.makedirs(root)
+    with open(os.path.join(root, "a.csv"), "w") as fh:
+        fh.write('1,"a\nb"\n2,"c"\n')
+    lines = read_lines(spark, [root], options)
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    keys = [line.split("hashpartitioning(")[1].split(")")[0] for line in plan.splitlines() if "hashpartitioning(" in line]
+    assert keys and all("_start" in k for k in keys)
+    assert sorted(r.value for r in lines.collect()) == ['1,"a\nb"', '2,"c"']
