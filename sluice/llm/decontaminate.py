@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm import tokens as tk
-from sluice.llm.tables import fresh, staged, table
+from sluice.llm.tables import fresh, map_batches, staged, table
 
 WINDOW = 13
 BLOCK_BYTES = 4 << 20
@@ -215,7 +215,7 @@ def find_hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                      pa.array(spans, pa.list_(pa.int32())), pa.array(hits, pa.list_(pa.string()))],
                     names=["doc_id", "text_key", "n_words", "spans", "items"])
 
-        found = docs.mapInArrow(scan, _SCAN.format(id=id_type)).withColumn("rows", F.lit(int(block == 0)))
+        found = map_batches(docs, scan, _SCAN.format(id=id_type)).withColumn("rows", F.lit(int(block == 0)))
         found = staged(found if block == 0 else found.where(F.size("spans") > 0), f"hits-{block}")
         index.destroy()
         return found
@@ -235,7 +235,7 @@ def find_hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                 zip(batch.column("n_words").to_pylist(), batch.column("spans").to_pylist(),
                     batch.column("items").to_pylist(), strict=True)])
 
-    return merged.mapInArrow(verdicts, _RESULT.format(id=id_type))
+    return map_batches(merged, verdicts, _RESULT.format(id=id_type))
 
 
 def clean(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,

@@ -22,11 +22,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.llm import tokens as tk
-from sluice.llm.tables import table
+from sluice.llm.tables import map_batches, table
 
 SPECTRUM = 3
 SLOTS = 1 << 13
 ROWS = 512
+#: Text scored at once; a presence vector is 32 KB for each of its rows, and a worker keeps what it took.
+SCORE_BYTES = 1 << 18
 PER_LANGUAGE = 500
 LANDMARKS = 128
 RIDGE = 1e-3
@@ -128,7 +130,7 @@ def training_rows(documents: DataFrame, per_language: int = PER_LANGUAGE) -> lis
 def classify(model: dict | None, texts: pa.Array) -> tuple[list[str], list[float]]:
     """Language and score of each text."""
     langs, scores = [], []
-    for _, _, raw, offs in tk.text_slices(texts, max_rows=ROWS):
+    for _, _, raw, offs in tk.text_slices(texts, limit=SCORE_BYTES, max_rows=ROWS):
         if model is None:
             langs += ["und"] * (len(offs) - 1)
             scores += [0.0] * (len(offs) - 1)
@@ -154,7 +156,7 @@ def identified(documents: DataFrame, model: dict | None, least: float = LEAST_SC
             yield batch.filter(pa.array([lang != "und" and score >= least
                                          for lang, score in zip(langs, scores, strict=True)], pa.bool_()))
 
-    return documents.mapInArrow(keep, documents.schema)
+    return map_batches(documents, keep, documents.schema)
 
 
 def predict(documents: DataFrame, model: dict | None) -> DataFrame:
@@ -170,7 +172,7 @@ def predict(documents: DataFrame, model: dict | None) -> DataFrame:
                  pa.array(scores, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
     rows = documents.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    return rows.mapInArrow(score, f"doc_id {id_type}, held_out boolean, lang_pred string, score double")
+    return map_batches(rows, score, f"doc_id {id_type}, held_out boolean, lang_pred string, score double")
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

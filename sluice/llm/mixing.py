@@ -27,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.tables import fresh, staged, table
+from sluice.llm.tables import fresh, split_by, staged, table
 
 MAX_REPEATS = 4.0
 BLOCKS = 64
@@ -136,20 +136,27 @@ def mixed(documents: DataFrame, max_repeats: float | None = MAX_REPEATS, entropy
     rows = staged(documents.select("doc_id", "source", key.alias("_text"), word_count(F.col("text")).alias("words")),
                   "words")
     drawn = draw(rows, plan(rows, max_repeats, entropy, budget))
-    times = drawn.groupBy("doc_id", "source", "_text").agg(F.count("*").alias("_draws")).join(
-        rows.groupBy(F.col("doc_id").alias("_i"), F.col("source").alias("_s"), F.col("_text").alias("_t"))
-        .agg(F.count("*").alias("_rows")),
-        F.col("doc_id").eqNullSafe(F.col("_i")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("_text") == F.col("_t")))
+    given = drawn.groupBy("doc_id", "source", "_text").agg(F.count("*").alias("_draws"))
+    times = given.toDF("_i", "_s", "_t", "_draws").join(
+        rows.groupBy("doc_id", "source", "_text").agg(F.count("*").alias("_rows")),
+        F.col("doc_id").eqNullSafe(F.col("_i")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("_text") == F.col("_t")),
+        "right").select("doc_id", "source", "_text", F.coalesce("_draws", F.lit(0)).alias("_draws"), "_rows")
+    # most rows are drawn once: only the texts of the others are shuffled.
     # repeated rows share their draws: each as many as all can have, the first ones one more
-    times = staged(times.select("_i", "_s", "_t", "_draws", "_rows"), "draws")
-    text, i, src, t, draws, held, place, n = fresh(documents, "text_", "i", "s", "t", "draws", "rows", "place", "n")
+    times = staged(times.where("_draws <> _rows"), "draws")
+    text, own, i, src, t, draws, held, place, n = fresh(
+        documents, "text_", "own", "i", "s", "t", "draws", "rows", "place", "n")
+    keyed = documents.withColumn(text, key).withColumn(own, F.xxhash64("doc_id", "source", text))
+    others, once = split_by(keyed, own, times.select(F.xxhash64("doc_id", "source", "_text").alias("key")))
     times = times.toDF(i, src, t, draws, held)
-    joined = documents.withColumn(text, key).join(
-        times, F.col("doc_id").eqNullSafe(F.col(i)) & F.col("source").eqNullSafe(F.col(src)) & (F.col(text) == F.col(t)))
+    same = F.col("doc_id").eqNullSafe(F.col(i)) & F.col("source").eqNullSafe(F.col(src)) & (F.col(text) == F.col(t))
+    once = once.unionByName(others.join(times, same, "left_anti")).select(*documents.columns)
+    joined = others.join(times, same)
     nth = F.when(F.col(held) == 1, 1).otherwise(F.row_number().over(Window.partitionBy(i, src, t).orderBy(held)))
     count = F.floor(F.col(draws) / F.col(held)) + F.when(F.col(place) <= F.col(draws) % F.col(held), 1).otherwise(0)
-    return (joined.withColumn(place, nth).withColumn(n, count.cast("int")).where(F.col(n) > 0)
+    other = (joined.withColumn(place, nth).withColumn(n, count.cast("int")).where(F.col(n) > 0)
             .withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*documents.columns))
+    return once.unionByName(other)
 
 
 def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

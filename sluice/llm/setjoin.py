@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm import tokens as tk
 from sluice.llm.components import components
-from sluice.llm.tables import split_by, staged, table
+from sluice.llm.tables import map_batches, split_by, staged, table
 
 _U = np.uint64
 _M1, _M2 = _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9)
@@ -54,6 +54,9 @@ BLOCK_BYTES = 16 << 20
 #: are: a bound for their broadcast that does not grow with the input.
 COMMON = 1e-3
 LEAST_COMMON = 8
+#: Rows, and shingles of them (8 bytes each), over which a task counts frequent shingles.
+STRETCH_ROWS = 10_000
+STRETCH_SHINGLES = 1 << 22
 
 
 class Bands:
@@ -183,35 +186,52 @@ def _sets(column, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         yield first, last, *tk.shingles_of(tk.words_of(raw, offs, tk.IS_SPACED), size)
 
 
+def _frequent(seen: list[np.ndarray], least: float) -> list[dict[str, int]]:
+    """The shingles that are ``least`` times or more in ``seen``, a sixteenth of all hashes at a time."""
+    out = []
+    for part in range(16):
+        some = np.sort(np.concatenate([x[x >> _U(60) == _U(part)] for x in seen]))
+        cut = np.flatnonzero(np.concatenate([[True], some[1:] != some[:-1]])) if len(some) else np.zeros(0, np.int64)
+        held = np.diff(np.concatenate([cut, [len(some)]])).astype(np.int64) if len(some) else cut
+        many = held >= least
+        out += [{"shingle": int(x), "held": int(k)} for x, k in
+                zip(some[cut[many]].view(np.int64), held[many], strict=True)]
+    return out
+
+
 def describe(documents: DataFrame, size: int) -> DataFrame:
     """doc_id, n_shingles and the set's digests c1, c2 of each row; ``often`` holds, on the first row of a
-    batch, the shingles that are frequent in the batch, and in how many of its rows."""
+    stretch of at most about ``STRETCH_ROWS`` rows or ``STRETCH_SHINGLES``, the shingles that are frequent in the
+    stretch, and in how many of its rows."""
     kind = documents.schema["doc_id"].dataType.simpleString()
 
+    def described(ids, parts, seen):
+        n, c1, c2 = (np.concatenate(x) for x in zip(*parts, strict=True))
+        often = [None] * len(n)
+        often[0] = _frequent(seen, max(LEAST_COMMON, COMMON / 2 * len(n)))
+        return pa.RecordBatch.from_arrays(
+            [pa.concat_arrays(ids), pa.array(n.astype(np.int64)), pa.array(c1.view(np.int64)),
+             pa.array(c2.view(np.int64)),
+             pa.array(often, pa.list_(pa.struct([("shingle", pa.int64()), ("held", pa.int64())])))],
+            names=["doc_id", "n_shingles", "c1", "c2", "often"])
+
     def run(batches):
+        ids, parts, seen, rows, held = [], [], [], 0, 0
         for batch in batches:
-            parts, seen = [], []
             for first, last, row, hashed in _sets(batch.column("text"), size):
+                ids.append(batch.column("doc_id").take(pa.array(np.arange(first, last))))  # a slice would keep the batch
                 parts.append(digests(row, hashed, last - first))
                 seen.append(hashed)
-            if not parts:
-                continue
-            n, c1, c2 = (np.concatenate(x) for x in zip(*parts, strict=True))
-            seen = np.sort(np.concatenate(seen))
-            cut = np.flatnonzero(np.concatenate([[True], seen[1:] != seen[:-1]])) if len(seen) else seen[:0]
-            held = np.diff(np.concatenate([cut, [len(seen)]])).astype(np.int64)
-            many = held >= max(LEAST_COMMON, COMMON / 2 * len(n))
-            often = [None] * len(n)
-            often[0] = [{"shingle": int(x), "held": int(k)} for x, k in
-                        zip(seen[cut[many]].view(np.int64), held[many], strict=True)] if len(seen) else []
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(c1.view(np.int64)),
-                 pa.array(c2.view(np.int64)),
-                 pa.array(often, pa.list_(pa.struct([("shingle", pa.int64()), ("held", pa.int64())])))],
-                names=["doc_id", "n_shingles", "c1", "c2", "often"])
-
-    return documents.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_shingles long, c1 long, c2 long, often array<struct<shingle: long, held: long>>")
+                rows, held = rows + last - first, held + len(hashed)
+                if rows >= STRETCH_ROWS or held >= STRETCH_SHINGLES:
+                    yield described(ids, parts, seen)
+                    ids, parts, seen, rows, held = [], [], [], 0, 0
+        if parts:
+            yield described(ids, parts, seen)
+
+    return map_batches(
+        documents.select("doc_id", "text"), run,
+        f"doc_id {kind}, n_shingles long, c1 long, c2 long, often array<struct<shingle: long, held: long>>")
 
 
 def common_shingles(described: DataFrame) -> np.ndarray:
@@ -259,8 +279,9 @@ def index_lists(documents: DataFrame, size: int, bands: Bands, total: int, commo
                np.concatenate([cols["node"], node[~head]])]
         return pa.table([pa.array(x.view(np.int64)) for x in out], names=["list", "hub", "node"])
 
-    packed = documents.select("text").mapInArrow(
-        send, "part int, list binary, hub binary, node binary, head_list binary, head_node binary")
+    packed = map_batches(
+        documents.select("text"), send,
+        "part int, list binary, hub binary, node binary, head_list binary, head_node binary")
     return packed.groupBy("part").applyInArrow(meet, "list long, hub long, node long")
 
 
@@ -444,9 +465,10 @@ def similar(documents: DataFrame, size: int, p: int, q: int) -> DataFrame:
                     names=["doc", "c1", "c2", "own1", "own2", "n", "band", "marks0", "marks1", "set"])
 
     members = staged(
-        likely.join(wanted, "doc_id").mapInArrow(
-            sets, "doc long, c1 long, c2 long, own1 long, own2 long, n long, band int, marks0 binary, marks1 binary, "
-                  "set binary")
+        map_batches(
+            likely.join(wanted, "doc_id"), sets,
+            "doc long, c1 long, c2 long, own1 long, own2 long, n long, band int, marks0 binary, marks1 binary, "
+            "set binary")
         .where("c1 = own1 and c2 = own2").drop("own1", "own2", "c2").dropDuplicates(["doc", "c1"]), "members")
 
     def compared(of: DataFrame) -> DataFrame:
@@ -457,7 +479,7 @@ def similar(documents: DataFrame, size: int, p: int, q: int) -> DataFrame:
         rows = (of.join(sets_near, "doc")
                 .join(sets_near.select(F.col("doc").alias("hub_doc"), F.col("set").alias("hub_set")), "hub_doc")
                 .select("hub_doc", "hub_set", "doc", "set").sortWithinPartitions("hub_doc"))
-        return rows.mapInArrow(lambda batches: _links(batches, bands), "a long, b long")
+        return map_batches(rows, lambda batches: _links(batches, bands), "a long, b long")
 
     side = members.select("doc", "c1", "n", "band", "marks0", "marks1")
     stars = (pairs.join(side.withColumnRenamed("c1", "node"), "node")
@@ -468,8 +490,8 @@ def similar(documents: DataFrame, size: int, p: int, q: int) -> DataFrame:
              .select("hub_doc", "doc", "n", "hub_n",
                      F.when(F.col("hub_band") > F.col("band"), F.col("marks1")).otherwise(F.col("marks0")).alias("marks"),
                      F.when(F.col("hub_band") < F.col("band"), F.col("hub_marks1")).otherwise(F.col("hub_marks0"))
-                     .alias("hub_marks"))
-             .mapInArrow(lambda batches: _promising(batches, bands), "hub_doc long, doc long"))
+                     .alias("hub_marks")))
+    stars = map_batches(stars, lambda batches: _promising(batches, bands), "hub_doc long, doc long")
     links = staged(compared(stars), "first-links")
     labels = staged(components(links), "labels")
 

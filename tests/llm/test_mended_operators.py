@@ -3,13 +3,14 @@
 import pickle
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SF01
-from sluice.llm import decontaminate, linededup, mixing, setjoin, sharding
-from sluice.llm.tables import split_by, table
+from sluice.llm import decontaminate, language, linededup, mixing, setjoin, sharding
+from sluice.llm.tables import BATCH_BYTES, split_by, table
 
 
 # --- line dedup ----------------------------------------------------------------------------------------------
@@ -153,3 +154,39 @@ def test_index_is_bounded_by_its_text():
     assert len(pickle.dumps(index, 5)) < 16 * text
     big = next(g for g in index["groups"] if g["size"] == 13)
     assert sorted(big["owners"][big["owned"][0]:big["owned"][1]].tolist()) and len(big["first"]) == 2000 * 108
+
+
+# --- memory of a task ----------------------------------------------------------------------------------------
+
+def test_batches_of_long_texts_are_bounded_by_bytes(spark):
+    def seen(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["rows"])
+
+    docs = spark.range(0, 60, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("ab cd "), 50_000).alias("text"))
+    language.identified(docs, None)  # as any stage of the pipeline that runs Python
+    rows = [r.rows for r in docs.mapInArrow(seen, "rows long").collect()]
+    assert sum(rows) == 60 and max(rows) * 300_000 <= BATCH_BYTES + 300_000
+
+
+def test_frequent_shingles_are_counted_over_batches(spark):
+    docs = spark.range(0, 60, 1, 1).select(F.col("id").alias("doc_id"), F.concat(
+        F.lit("one two three "), F.repeat(F.concat(F.col("id"), F.lit(" ")), 150_000)).alias("text"))
+    found = setjoin.describe(docs, 3)
+    assert sorted(r.doc_id for r in found.collect()) == list(range(60))
+    (often,) = [r.often for r in found.where("often is not null").collect()]
+    assert [x.held for x in often] == [60]
+
+
+def test_mixing_shuffles_only_texts_that_are_not_drawn_once(spark, scratch):
+    path = scratch("mix")
+    rows = [(k, f"word{k} " * 3, "big", "x") for k in range(40)] + [(k, f"few{k} " * 2, None, "x") for k in range(40, 50)]
+    rows += [(3, "word3 " * 3, "big", "y"), (None, "no id", "big", "x"), (None, None, "big", "x"), (50, None, None, "x")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, own string").write.parquet(path)
+    docs = spark.read.parquet(path)
+    mixed = mixing.mixed(docs, max_repeats=2.0)
+    found = {tuple(r): r["count"] for r in mixed.groupBy("doc_id", "text", "source", "own").count().collect()}
+    assert {k[:4] for k in found} == set(rows) and max(found.values()) == 2 and len(rows) < sum(found.values()) < 2 * len(rows)
+    assert all(n == 1 for (*_, source, _, _), n in found.items() if source == "big")
+    plan = mixed._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "LeftAnti" in plan
