@@ -13,10 +13,7 @@ FILTER_BITS = 1 << 26
 #: partitions: a task holds a batch several times, in the JVM's direct memory and in Python, and both keep what they
 #: took once.
 BATCH_BYTES = 4 << 20
-#: Rows that the Parquet reader decodes at once: with Spark's 4,096, texts of 4 KB need arrays of 16 MB that are
-#: doubled as they fill, which fragment the heap.
-READ_ROWS = 512
-_BOUNDS = {"spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES, "spark.sql.parquet.columnarReaderBatchSize": READ_ROWS}
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,17 +41,12 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Batches of rows are held to ``BATCH_BYTES`` and ``READ_ROWS``, unless the session has bounds of its own. The
-    session's settings are made here and stay, as Spark reads them when the rows are asked for."""
-    for name, most in _BOUNDS.items():
-        if spark.conf.get(name, None) is None:
-            spark.conf.set(name, str(most))
-
-
 def map_batches(df: DataFrame, function, schema) -> DataFrame:
-    """``df.mapInArrow`` in bounded batches."""
-    bound_batches(df.sparkSession)
+    """``df.mapInArrow`` in batches of about ``BATCH_BYTES``, unless the session sets a bound of its own. The
+    session's setting is made here and stays, as Spark reads it when the rows are asked for."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_CONF, None) is None:
+        conf.set(_BATCH_CONF, str(BATCH_BYTES))
     return df.mapInArrow(function, schema)
 
 
